@@ -69,11 +69,15 @@ def map_array(
     number: str,
     out: str,
     key: Sequence[str] | None = None,
+    default: int | None = None,
 ) -> DataFrame:
-    """Add ``out``: the number of each element of ``tokens``, null where it is not in ``table``."""
+    """Add ``out``: the number of each element of ``tokens``, ``default`` where it is not in ``table``."""
+    missing = F.lit(default).cast("int")
     find = literal_lookup(table, entry, number)
     if find is not None:
-        return df.withColumn(out, F.transform(F.col(tokens), find))
+        found = find if default is None else lambda token: F.coalesce(find(token), missing)
+        return df.withColumn(out, F.transform(F.col(tokens), found))
     if not key:
         raise ValueError(f"over {LITERAL_ROWS} entries in the vocabulary: a row key is needed to join it")
-    return joined_lookup(df, key, tokens, table, entry, number, out)
+    joined = joined_lookup(df, key, tokens, table, entry, number, out)
+    return joined.withColumn(out, F.transform(out, lambda n: F.coalesce(n, missing)))

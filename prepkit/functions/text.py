@@ -15,9 +15,13 @@ def words(text: Column | str) -> Column:
 
 
 def cut_word(word: Column, width: int) -> Column:
-    """Consecutive pieces of at most ``width`` characters of a word that is not empty."""
-    starts = F.sequence(F.lit(1), F.length(word), F.lit(width))
-    return F.transform(starts, lambda s: F.substr(word, s, F.lit(width)))
+    """Consecutive pieces of at most ``width`` characters."""
+    return F.regexp_extract_all(word, F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
+
+
+def text_pieces(text: Column | str, width: int) -> Column:
+    """Pieces of all words of a text in one pass: no piece crosses a blank."""
+    return F.regexp_extract_all(text, F.lit(f"{WORD[:-1]}{{1,{width}}}"), F.lit(0))
 
 
 def piece_word_ids(tokens: Column, width: int | None) -> Column:

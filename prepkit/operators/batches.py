@@ -13,12 +13,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from prepkit.operators.positions import global_position, names, with_bucket
+from prepkit.operators.positions import global_position, names, order_hash, with_bucket
 
 BATCH = ("split", "shard", "batch_id")
 IGNORE = -100
 
 
+def assign_shards(
+    df: DataFrame, key: str | Sequence[str], shards: int, seed: int | None = None
+) -> DataFrame:
+    """Add ``shard``: equal parts that follow the order of the rows."""
+    return with_bucket(df, key, seed, shards, "shard")[0]
+
+
+def batch_in_shards(
+    df: DataFrame,
+    key: str | Sequence[str],
+    size: int | Column,
+    by: str | Sequence[str] = "split",
+    seed: int | None = None,
+) -> DataFrame:
+    """Add ``batch_id, pos`` inside each assigned shard: one shuffle of the rows."""
+    order = ([] if seed is None else [order_hash(key, seed)]) + [F.col(k) for k in names(key)]
+    inside = W.partitionBy(*names(by), "shard").orderBy(*order)
+    return _number(df.withColumn("__at", F.row_number().over(inside)), size)
+
+
 def assign_batches(
     df: DataFrame,
     key: str | Sequence[str],
@@ -29,15 +49,15 @@ def assign_batches(
 ) -> DataFrame:
     """Add ``shard, batch_id, pos``: consecutive groups of ``size`` rows, ``pos`` from 0 inside each.
 
-    ``seed`` shuffles the rows reproducibly; without it they keep key order.
+    ``seed`` shuffles the rows reproducibly; without it they keep key order. ``df`` is read twice,
+    for its keys and for its rows: store it first if making it is costly.
     """
-    by = names(by)
-    if shards is None:
-        placed = global_position(df, key, seed, by, "__at").withColumn("shard", F.lit(0))
-    else:
-        bucketed, order = with_bucket(df, key, seed, shards, "shard")
-        inside = W.partitionBy(*by, "shard").orderBy(*order)
-        placed = bucketed.withColumn("__at", F.row_number().over(inside))
+    if shards is not None:
+        return batch_in_shards(assign_shards(df, key, shards, seed), key, size, by, seed)
+    return _number(global_position(df, key, seed, by, "__at").withColumn("shard", F.lit(0)), size)
+
+
+def _number(placed: DataFrame, size: int | Column) -> DataFrame:
     before = F.col("__at") - 1
     return (
         placed.withColumn("batch_id", F.floor(before / size).cast("long"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,14 +48,15 @@ def assert_features(df: DataFrame, col: str = "input_ids") -> DataFrame:
     )
 
 
+def _all_present(cols: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(name).isNotNull() for name in cols])
+
+
 def keep_complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Rows in which all of ``cols`` are present."""
-    return df.dropna(subset=list(cols))
+    """Rows in which all of ``cols`` are present; stored columns are tested in the scan."""
+    return df.where(_all_present(cols))
 
 
 def split_rejects(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with all of ``cols`` present, and the others."""
-    whole = F.lit(True)
-    for name in cols:
-        whole = whole & F.col(name).isNotNull()
-    return df.where(whole), df.where(~whole)
+    return df.where(_all_present(cols)), df.where(~_all_present(cols))

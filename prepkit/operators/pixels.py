@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prepkit.functions.resize import resize
+from prepkit.sources.images import decode_cell, default_decoder
 
 # The usual channel means and deviations for natural images.
 IMAGE_MEAN = (0.485, 0.456, 0.406)
@@ -55,43 +58,66 @@ def normalise(pixels: Column, spec: PixelSpec) -> Column:
     )
 
 
-def to_pixels(df: DataFrame, spec: PixelSpec, image: str = "image", error: str = "error") -> DataFrame:
+def pixel_row(pixels: np.ndarray, spec: PixelSpec) -> tuple:
+    """``(values, channels, height, width, error)`` of one image."""
+    if pixels.shape[2] == 1 and spec.grey_to_rgb:
+        pixels = np.repeat(pixels, 3, axis=2)
+    if pixels.shape[2] != len(spec.mean):
+        return None, None, None, None, f"pixels: {pixels.shape[2]} channels"
+    if spec.height is not None:
+        pixels = resize(pixels, spec.height, spec.width, spec.resample)
+    values = (pixels * spec.scale - np.array(spec.mean)) / np.array(spec.std)
+    planes = np.ascontiguousarray(values.transpose(2, 0, 1), dtype=np.float32)
+    return planes.reshape(-1), *planes.shape, None
+
+
+def to_pixels(
+    df: DataFrame,
+    spec: PixelSpec,
+    image: str = "image",
+    error: str = "error",
+    decoder: Callable[[bytes], np.ndarray] | None = None,
+) -> DataFrame:
     """Add ``pixel_values`` (flat, channel first) with ``channels, height, width``.
 
-    Images with another number of channels than the settings get a null and an ``error``.
+    ``image`` holds decoded images, or bytes that are decoded in the same pass. Images that cannot
+    be read, or whose channels differ from the settings, get a null and an ``error``.
     """
+    names = ["pixel_values", "channels", "height", "width", "error"]
+    shape = "pixel_values array<float>, channels int, height int, width int, error string"
 
-    @F.pandas_udf("pixel_values array<float>, channels int, height int, width int, error string")
-    def prepare(cells: pd.DataFrame) -> pd.DataFrame:
-        mean, std = np.array(spec.mean), np.array(spec.std)
+    def table(rows: list[tuple]) -> pd.DataFrame:
+        result = pd.DataFrame(rows, columns=names, dtype=object)
+        return result.astype({c: "Int32" for c in names[1:4]})
+
+    @F.pandas_udf(shape)
+    def from_bytes(cells: pd.Series) -> pd.DataFrame:
+        read = decoder or default_decoder()
+        rows = []
+        for cell in cells:
+            pixels, problem = decode_cell(cell, read)
+            rows.append((None, None, None, None, problem) if pixels is None else pixel_row(pixels, spec))
+        return table(rows)
+
+    @F.pandas_udf(shape)
+    def from_images(cells: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for height, width, channels, data in cells[["height", "width", "channels", "data"]].itertuples(index=False):
             if data is None:
-                rows.append((None, None, None, None, None))
+                rows.append((None,) * 5)
                 continue
             pixels = np.frombuffer(data, dtype=np.uint8).reshape(int(height), int(width), int(channels))
-            if channels == 1 and spec.grey_to_rgb:
-                pixels = np.repeat(pixels, 3, axis=2)
-            if pixels.shape[2] != len(mean):
-                rows.append((None, None, None, None, f"pixels: {int(channels)} channels"))
-                continue
-            if spec.height is not None:
-                pixels = resize(pixels, spec.height, spec.width, spec.resample)
-            values = (pixels * spec.scale - mean) / std
-            planes = np.ascontiguousarray(values.transpose(2, 0, 1), dtype=np.float32)
-            rows.append((planes.reshape(-1), *planes.shape, None))
-        names = ["pixel_values", "channels", "height", "width", "error"]
-        result = pd.DataFrame(rows, columns=names, dtype=object)
-        return result.astype({c: "Int32" for c in ("channels", "height", "width")})
+            rows.append(pixel_row(pixels, spec))
+        return table(rows)
 
+    stored = isinstance(df.schema[image].dataType, T.BinaryType)
+    # Declared not deterministic, so that a later filter does not run it a second time.
+    prepare = (from_bytes if stored else from_images).asNondeterministic()
     earlier = F.col(error) if error in df.columns else F.lit(None).cast("string")
     done = df.withColumn("__p", prepare(image))
     return done.withColumns(
         {
-            "pixel_values": F.col("__p.pixel_values"),
-            "channels": F.col("__p.channels"),
-            "height": F.col("__p.height"),
-            "width": F.col("__p.width"),
+            **{name: F.col(f"__p.{name}") for name in names[:4]},
             error: F.coalesce(earlier, F.col("__p.error")),
         }
     ).drop("__p")

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prepkit.session import pin
+from prepkit.session import pin_ordered
 
 HASH_BUCKETS = 16**4
 RANGE_BUCKETS = 4096
@@ -48,7 +48,7 @@ def with_bucket(
     if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.NumericType):
         return _by_quantiles(df, keys[0], buckets, out), order
     # Any other order: sort into a stored copy and number its partitions.
-    ranged = pin(df.repartitionByRange(buckets, *keys))
+    ranged = pin_ordered(df.repartitionByRange(buckets, *keys))
     return ranged.withColumn(out, F.spark_partition_id()), order
 
 

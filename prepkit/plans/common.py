@@ -74,9 +74,13 @@ def token_vocab(df: DataFrame, columns: Sequence[str], job: Job) -> DataFrame |
     return pin(build_vocab(one, "text", job.vocab_size, job.encoder_width))
 
 
-def batch_rows(df: DataFrame, job: Job, shuffled: bool = True) -> DataFrame:
-    """Batches of the size set for each split; ``shuffled`` rows follow the job's seed."""
-    size: int | Column = job.per_device_train_batch_size
-    if job.per_device_eval_batch_size != size:
-        size = F.when(F.col("split") == VALIDATION, job.per_device_eval_batch_size).otherwise(size)
-    return assign_batches(df, job.key_column_name, size, "split", job.shards, job.seed if shuffled else None)
+def batch_size(job: Job) -> int | Column:
+    size = job.per_device_train_batch_size
+    if job.per_device_eval_batch_size == size:
+        return size
+    return F.when(F.col("split") == VALIDATION, job.per_device_eval_batch_size).otherwise(size)
+
+
+def batch_rows(df: DataFrame, job: Job) -> DataFrame:
+    """Batches of the size set for each split, in the order of the job's seed."""
+    return assign_batches(df, job.key_column_name, batch_size(job), "split", job.shards, job.seed)

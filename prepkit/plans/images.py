@@ -7,42 +7,64 @@ from pyspark.sql import functions as F
 
 from prepkit.config import CaptionJob, ImageClassJob
 from prepkit.functions.text import to_text
-from prepkit.operators.batches import labels_masked_copy, pad_to_longest
+from prepkit.operators.batches import (
+    assign_batches,
+    assign_shards,
+    batch_in_shards,
+    labels_masked_copy,
+    pad_to_longest,
+)
 from prepkit.operators.checks import assert_features, require_columns, split_rejects
 from prepkit.operators.labels import encode_label_or_raw, label_vocab
 from prepkit.operators.pixels import PixelSpec, to_pixels
 from prepkit.operators.tokens import attention_mask, encode
-from prepkit.plans.common import batch_rows, encoder_spec, first_rows, token_vocab
-from prepkit.sources.images import load_images
+from prepkit.plans.common import batch_size, encoder_spec, first_rows, token_vocab
+from prepkit.session import pin
+from prepkit.sources.images import load_content
 
 
-def pixel_spec(job: ImageClassJob | CaptionJob, grey_to_rgb: bool = True) -> PixelSpec:
-    return PixelSpec(height=job.image_height, width=job.image_width, grey_to_rgb=grey_to_rgb)
+def pixel_spec(job: ImageClassJob | CaptionJob) -> PixelSpec:
+    return PixelSpec(height=job.image_height, width=job.image_width)
 
 
-def image_rows(df: DataFrame, job: ImageClassJob | CaptionJob) -> DataFrame:
-    """Rows with a decoded ``image`` and an ``error``, before any pixel work."""
-    return load_images(
+def image_prepare(df: DataFrame, job: ImageClassJob | CaptionJob) -> DataFrame:
+    """Fetch, decode and normalise: adds ``pixel_values``, its shape, and ``error``.
+
+    Fetched bytes are stored; decoding and pixel work are one pass over them.
+    """
+    loaded = load_content(
         df,
         job.image_column_name,
-        "image",
+        "__content",
         timeout_s=job.requests_timeout,
         partitions=job.processing_num_workers,
     )
+    return to_pixels(loaded, pixel_spec(job), "__content").drop("__content")
+
+
+def batch_prepared(df: DataFrame, job: ImageClassJob | CaptionJob, seed: int | None) -> DataFrame:
+    """Batches of rows made by costly steps.
 
+    Rows that carry a shard are batched in it, in the same pass. Otherwise batches run over the
+    whole split, whose rows must be counted first: the prepared rows are stored for that.
+    """
+    if "shard" in df.columns:
+        return batch_in_shards(df, job.key_column_name, batch_size(job), "split", seed)
+    return assign_batches(pin(df), job.key_column_name, batch_size(job), "split", None, seed)
 
-def image_prepare(df: DataFrame, job: ImageClassJob | CaptionJob, grey_to_rgb: bool = True) -> DataFrame:
-    """Fetch, decode and normalise: adds ``pixel_values``, its shape, and ``error``."""
-    return to_pixels(image_rows(df, job), pixel_spec(job, grey_to_rgb), "image").drop("image")
 
+def with_shards(df: DataFrame, job: ImageClassJob | CaptionJob, seed: int | None) -> DataFrame:
+    """Shards from the key alone, before any image work."""
+    return df if job.shards is None else assign_shards(df, job.key_column_name, job.shards, seed)
 
-def image_class_rows(df: DataFrame, job: ImageClassJob) -> tuple[DataFrame, DataFrame]:
-    """Rows with pixels and a label, and the rejected rows with their ``error``."""
-    key, _, label = job.columns()
-    prepared = image_prepare(first_rows(df, job), job)
-    columns = ["split", key, label, "pixel_values", "channels", "height", "width", "error"]
-    kept, rejects = split_rejects(prepared.select(*columns), ["pixel_values", label])
-    return kept.drop("error"), rejects.select("split", key, "error")
+
+def image_class_rows(df: DataFrame, job: ImageClassJob) -> DataFrame:
+    """All rows with their pixels, shape, label, and an ``error`` where pixels or label are missing."""
+    key, image, label = job.columns()
+    wanted = [c for c in ("split", "shard", key, image, label) if c in df.columns]
+    prepared = image_prepare(first_rows(df.select(*dict.fromkeys(wanted)), job), job)
+    missing = F.when(F.col(label).isNull(), F.lit("no label"))
+    return prepared.withColumn("error", F.coalesce("error", missing)).drop(image)
 
 
 def image_class_batches(df: DataFrame, job: ImageClassJob, labels: DataFrame | None = None) -> DataFrame:
@@ -51,35 +73,29 @@ def image_class_batches(df: DataFrame, job: ImageClassJob, labels: DataFrame | N
     df = require_columns(df, [key, image, label])
     if labels is None:
         labels = label_vocab(df, label)
-    kept, _ = image_class_rows(df, job)
-    coded = encode_label_or_raw(kept, labels, label, "labels")
-    features = coded.select("split", key, "pixel_values", "channels", "height", "width", "labels")
-    return batch_rows(features, job, shuffled=False)
+    kept, _ = split_rejects(image_class_rows(with_shards(df, job, None), job), ["pixel_values", label])
+    coded = encode_label_or_raw(kept.drop("error"), labels, label, "labels")
+    return batch_prepared(coded if label == "labels" else coded.drop(label), job, None)
 
 
-def caption_rows(
-    df: DataFrame, job: CaptionJob, vocab: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Rows with pixels and encoded caption, and the rejected rows with their ``error``."""
+def caption_rows(df: DataFrame, job: CaptionJob, vocab: DataFrame | None = None) -> DataFrame:
+    """All rows with pixels, shape, encoded caption and mask, and an ``error`` where pixels are missing."""
     key, image, text = job.columns()
-    df = require_columns(df, [key, image, text])
     printed = to_text(F.col(text), df.schema[text].dataType)
-    rows = first_rows(df, job).select("split", key, image, printed.alias("caption"))
+    wanted = [c for c in ("split", "shard", key, image) if c in df.columns]
+    rows = first_rows(df, job).select(*wanted, printed.alias("caption"))
     if vocab is None:
         vocab = token_vocab(rows, ["caption"], job)
-    prepared = image_prepare(rows, job)
+    prepared = image_prepare(rows, job).drop(image)
     coded = encode(prepared, "caption", encoder_spec(job, job.max_length), vocab, key=[key])
-    coded = coded.withColumn("attention_mask", attention_mask(F.col("input_ids")))
-    kept, rejects = split_rejects(coded, ["pixel_values", "input_ids", "attention_mask"])
-    features = kept.select(
-        "split", key, "pixel_values", "channels", "height", "width", "input_ids", "attention_mask"
-    )
-    return features, rejects.select("split", key, "error")
+    return coded.withColumn("attention_mask", attention_mask(F.col("input_ids"))).drop("caption")
 
 
 def caption_batches(df: DataFrame, job: CaptionJob, vocab: DataFrame | None = None) -> DataFrame:
     """Batches with padded caption ids, and labels that ignore the padding."""
+    df = require_columns(df, job.columns())
     pad = encoder_spec(job, job.max_length).padding
-    kept, _ = caption_rows(df, job, vocab)
-    rows = batch_rows(assert_features(kept.drop("attention_mask")), job)
-    return labels_masked_copy(pad_to_longest(rows, "input_ids", pad), "input_ids", pad)
+    rows = caption_rows(with_shards(df, job, job.seed), job, vocab)
+    kept, _ = split_rejects(rows, ["pixel_values", "input_ids", "attention_mask"])
+    batched = batch_prepared(assert_features(kept.drop("attention_mask", "error")), job, job.seed)
+    return labels_masked_copy(pad_to_longest(batched, "input_ids", pad), "input_ids", pad)

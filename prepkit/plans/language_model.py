@@ -11,6 +11,7 @@ from prepkit.operators.batches import labels_copy, labels_pad_separately, pad_to
 from prepkit.operators.checks import keep_complete, require_columns
 from prepkit.operators.tokens import EncoderSpec, encode, encode_pair, token_length
 from prepkit.plans.common import batch_rows, encoder_spec, first_rows, token_vocab
+from prepkit.session import spread
 
 
 def text_columns(job: LanguageModelJob) -> list[str]:
@@ -25,7 +26,7 @@ def lm_rows(df: DataFrame, job: LanguageModelJob) -> DataFrame:
     """Checked rows of each split: first N, complete, lowercased if asked."""
     texts = text_columns(job)
     df = require_columns(df, {t: T.StringType for t in texts} | {job.key_column_name: None})
-    df = keep_complete(first_rows(df, job), texts)
+    df = spread(keep_complete(first_rows(df, job), texts).select("split", job.key_column_name, *texts), [job.key_column_name])
     if job.do_lower_case:
         df = df.withColumns({t: F.lower(t) for t in texts})
     return df

@@ -13,6 +13,7 @@ from prepkit.operators.labels import build_label_vocab, encode_label
 from prepkit.operators.splits import TRAIN
 from prepkit.operators.tokens import encode
 from prepkit.plans.common import batch_rows, encoder_spec, first_rows, token_vocab
+from prepkit.session import spread
 
 
 def text_class_batches(
@@ -24,7 +25,8 @@ def text_class_batches(
     """
     key, text, label = job.columns()
     df = require_columns(df, {key: None, text: T.StringType, label: None})
-    rows = keep_complete(first_rows(df, job), [text, label])
+    rows = keep_complete(first_rows(df.select("split", key, text, label), job), [text, label])
+    rows = spread(rows, [key])
     if labels is None:
         labels = build_label_vocab(rows, label, split=TRAIN)
     if vocab is None:

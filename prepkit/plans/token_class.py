@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepkit.config import TokenClassJob
@@ -11,6 +12,7 @@ from prepkit.operators.checks import keep_complete, require_columns
 from prepkit.operators.labels import encode_label_array, label_vocab
 from prepkit.operators.tokens import align_labels, encode
 from prepkit.plans.common import batch_rows, encoder_spec, first_rows, token_vocab
+from prepkit.session import spread
 
 
 def token_class_features(
@@ -24,12 +26,15 @@ def token_class_features(
     df = require_columns(df, {key: None, text: T.ArrayType, label: T.ArrayType})
     if labels is None:
         labels = label_vocab(df, label)
-    rows = keep_complete(first_rows(df, job), [text, label])
+    rows = keep_complete(first_rows(df.select("split", key, text, label), job), [text, label])
+    rows = spread(rows, [key])
     if vocab is None:
         vocab = token_vocab(rows, [text], job)
     spec = encoder_spec(job, job.max_length)
     coded = encode(rows, text, spec, vocab, word_ids="word_ids", key=[key])
-    coded = encode_label_array(coded, labels, label, "label_ids", [key], job.on_unknown_label)
+    # Labels of words past the cut are never looked up.
+    used = F.slice(label, 1, F.coalesce(F.array_max("word_ids") + 1, F.lit(0)))
+    coded = encode_label_array(coded.withColumn(label, used), labels, label, "label_ids", [key], job.on_unknown_label)
     return align_labels(coded).select("split", key, "input_ids", "labels")
 
 

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+SPLIT_BYTES = 128 * 1024 * 1024
+SPREAD_BYTES = 4 * 1024 * 1024 * 1024
 
 
 def get_session(app_name: str = "prepkit", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,12 +57,33 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Compute once into the shared folder and continue from there."""
+def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
+    """Compute once into a table in the shared folder and continue from there.
+
+    Later readers scan only the columns they need, and lost executors cost no recomputation.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pin_ordered(df: DataFrame) -> DataFrame:
+    """As ``pin``, keeping partitions and their order."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def spread(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Spread a small table over all cores before heavy per-row work.
+
+    A small file may hold a single row group, which one task would read and process alone. Larger
+    inputs keep the partitions of their scan: nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, *key) if size <= min(cores * SPLIT_BYTES, SPREAD_BYTES) else df
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Rough in-memory size, computed as one aggregate."""
     width = F.lit(16)

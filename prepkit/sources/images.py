@@ -45,7 +45,7 @@ def fetch(
         with ThreadPoolExecutor(threads) as pool:
             return pd.DataFrame(list(pool.map(get, addresses)), columns=["content", "error"], dtype=object)
 
-    fetched = df.withColumn("__f", get_all(url))
+    fetched = df.withColumn("__f", get_all.asNondeterministic()(url))
     return fetched.withColumns({"content": F.col("__f.content"), "error": F.col("__f.error")}).drop("__f")
 
 
@@ -71,6 +71,16 @@ def default_decoder() -> Callable[[bytes], np.ndarray]:
     return decode
 
 
+def decode_cell(cell: bytes | None, read: Callable[[bytes], np.ndarray]) -> tuple[np.ndarray | None, str | None]:
+    """Pixels of a cell, or why there are none."""
+    if cell is None:
+        return None, "no content"
+    try:
+        return read(bytes(cell)), None
+    except (OSError, ValueError) as problem:
+        return None, f"decode: {problem}"
+
+
 def decode_images(
     df: DataFrame,
     content: str = "content",
@@ -85,20 +95,16 @@ def decode_images(
         read = decoder or default_decoder()
         rows = []
         for cell in cells:
-            try:
-                pixels = None if cell is None else read(bytes(cell))
-            except (OSError, ValueError) as problem:
-                rows.append((None, f"decode: {problem}"))
-                continue
-            if pixels is None:
-                rows.append((None, "no content"))
-            else:
+            pixels, problem = decode_cell(cell, read)
+            image = None
+            if pixels is not None:
                 height, width, channels = pixels.shape
                 image = {"height": height, "width": width, "channels": channels, "data": pixels.tobytes()}
-                rows.append((image, None))
+            rows.append((image, problem))
         return pd.DataFrame(rows, columns=["image", "error"], dtype=object)
 
-    decoded = df.withColumn("__d", decode_all(content))
+    # Declared not deterministic, so that a later filter does not run it a second time.
+    decoded = df.withColumn("__d", decode_all.asNondeterministic()(content))
     earlier = F.col(error) if error in df.columns else F.lit(None).cast("string")
     return decoded.withColumns(
         {out: F.col("__d.image"), error: F.coalesce(earlier, F.col("__d.error"))}
@@ -146,27 +152,35 @@ def rgb_order(data: Column, channels: Column) -> Column:
     return flip_all(data, channels)
 
 
-def load_images(
-    df: DataFrame, col: str, out: str = "image", timeout_s: float = 1.0, store_fetched: bool = True, **options
+def load_content(
+    df: DataFrame, col: str, out: str = "content", timeout_s: float = 1.0, store_fetched: bool = True, **options
 ) -> DataFrame:
-    """Add the decoded image and ``error``, choosing by the type of ``col``.
+    """Add what an image can be made from, and ``error``, choosing by the type of ``col``.
 
-    Image structs are used as they are, binary cells are decoded, strings are fetched as URLs.
+    Image structs and binary cells are used as they are; strings are fetched as URLs.
     """
     dtype = df.schema[col].dataType
+    if isinstance(dtype, T.StringType):
+        fetched = (fetch_stored if store_fetched else fetch)(df, col, timeout_s=timeout_s, **options)
+        return fetched if out == "content" else fetched.withColumnRenamed("content", out)
+    if isinstance(dtype, T.StructType) and "nChannels" in dtype.names:
+        image, error = _from_source(F.col(col))
+        return df.withColumn("error", error).withColumn(out, image)
     if isinstance(dtype, T.StructType):
-        if "nChannels" in dtype.names:
-            image, error = _from_source(F.col(col))
-            return df.withColumn("__i", image).withColumn("error", error).drop(*[out]).withColumnRenamed("__i", out)
         return df.withColumn("error", F.when(F.col(col).isNull(), F.lit("no image"))).withColumn(out, F.col(col))
     if isinstance(dtype, T.BinaryType):
-        return decode_images(df, col, out)
-    if isinstance(dtype, T.StringType):
-        fetcher = fetch_stored if store_fetched else fetch
-        return decode_images(fetcher(df, col, timeout_s=timeout_s, **options), "content", out).drop("content")
+        return df.withColumn("error", F.lit(None).cast("string")).withColumn(out, F.col(col))
     raise ValueError(f"column {col!r} of type {dtype.simpleString()} holds no images")
 
 
+def load_images(df: DataFrame, col: str, out: str = "image", **options) -> DataFrame:
+    """Add the decoded image and ``error`` from structs, binary cells or URLs."""
+    loaded = load_content(df, col, "__content", **options)
+    if isinstance(loaded.schema["__content"].dataType, T.BinaryType):
+        return decode_images(loaded, "__content", out).drop("__content")
+    return loaded.withColumn(out, F.col("__content")).drop("__content")
+
+
 def load_mixed(df: DataFrame, binary: str, url: str, out: str = "image", **options) -> DataFrame:
     """Rows carry either bytes or a URL: bytes are used first, the rest is fetched."""
     missing = F.when(F.col(binary).isNull(), F.col(url))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from prepkit.functions.text import words
 from prepkit.operators import labels as ops
 from prepkit.operators.splits import head_per_split
-from prepkit.session import pin
+from prepkit.session import pin, spread
 from prepkit.verification.registry import (
     WORDS,
     query,
@@ -33,7 +33,8 @@ def word_tag(word: Column) -> Column:
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as words with one tag per word."""
-    listed = table(spark, sf_dir, "documents").select("doc_id", words("text").alias("tokens"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    listed = docs.select("doc_id", words("text").alias("tokens"))
     return listed.withColumn("ner_tags", F.transform("tokens", word_tag))
 
 

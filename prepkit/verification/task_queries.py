@@ -11,6 +11,7 @@ from prepkit.plans.images import caption_batches, image_class_batches
 from prepkit.plans.language_model import lm_batches
 from prepkit.plans.text_class import text_class_batches
 from prepkit.plans.token_class import token_class_batches
+from prepkit.session import pin
 from prepkit.verification.image_queries import SQL_PIXELS, vector_images
 from prepkit.verification.label_queries import SQL_TAG_IDS, SQL_TAGGED, sql_label_vocab, tagged
 from prepkit.verification.registry import (
@@ -134,7 +135,7 @@ def tokenclass(spark: SparkSession, sf_dir: str) -> DataFrame:
         key_column_name="doc_id", text_column_name="tokens", label_column_name="ner_tags", encoder="chunk",
         encoder_width=4, per_device_train_batch_size=2, per_device_eval_batch_size=2, shards=SHARDS, vocab_size=10_000,
     )
-    rows = token_class_batches(split_exact(tagged(spark, sf_dir), "doc_id"), job)
+    rows = token_class_batches(split_exact(pin(tagged(spark, sf_dir)), "doc_id"), job)
     return rows.select(
         *at("doc_id"),
         text_of("input_ids").alias("input_ids"),

@@ -11,7 +11,7 @@ from prepkit.operators import batches as pack
 from prepkit.operators import tokens as ops
 from prepkit.operators.labels import encode_label_array, label_vocab
 from prepkit.operators.tokens import EncoderSpec
-from prepkit.session import pin
+from prepkit.session import pin, spread
 from prepkit.verification.label_queries import SQL_TAG_IDS, SQL_TAGGED, tagged
 from prepkit.verification.registry import (
     WORDS,
@@ -44,7 +44,7 @@ SQL_PIECES = f"""p as (select doc_id, tokens, ner_tags, flatten(list_transform(t
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
 
 
 def vocab_of(docs: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def vocab_of(docs: DataFrame) -> DataFrame:
 
 
 def coded_documents(spark: SparkSession, sf_dir: str, max_length: int | None = None) -> DataFrame:
-    docs = split_documents(spark, sf_dir).select("doc_id", "split", "text")
+    docs = spread(split_documents(spark, sf_dir).select("doc_id", "split", "text"), ["doc_id"])
     spec = EncoderSpec(max_length=max_length)
     return ops.encode(docs, "text", spec, vocab_of(docs), key=["doc_id"]).select("doc_id", "split", "input_ids")
 
