@@ -20,6 +20,8 @@ from prepkit.session import pin_ordered
 
 HASH_BUCKETS = 16**4
 RANGE_BUCKETS = 4096
+RANGE_ROWS = 250_000
+SAMPLE_PER_BUCKET = 64
 
 
 def names(key: str | Sequence[str]) -> list[str]:
@@ -37,26 +39,34 @@ def with_bucket(
 ) -> tuple[DataFrame, list[Column]]:
     """Add bucket numbers 0..buckets-1 that follow the order; also return the order itself."""
     keys = names(key)
+    order = [F.col(k) for k in keys]
     if seed is not None:
         if buckets > HASH_BUCKETS:
             raise ValueError(f"at most {HASH_BUCKETS} hash buckets")
         h = order_hash(keys, seed)
         first = F.conv(F.substring(h, 1, 4), 16, 10).cast("long")
         bucket = F.floor(first * buckets / HASH_BUCKETS).cast("int")
-        return df.withColumn(out, bucket), [h, *map(F.col, keys)]
-    order = [F.col(k) for k in keys]
-    if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.NumericType):
+        return df.withColumn(out, bucket), [h, *order]
+    if _is_number(df, keys):
         return _by_quantiles(df, keys[0], buckets, out), order
     # Any other order: sort into a stored copy and number its partitions.
     ranged = pin_ordered(df.repartitionByRange(buckets, *keys))
     return ranged.withColumn(out, F.spark_partition_id()), order
 
 
+def _is_number(df: DataFrame, keys: list[str]) -> bool:
+    return len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.NumericType)
+
+
 def _by_quantiles(df: DataFrame, key: str, buckets: int, out: str) -> DataFrame:
+    """Range buckets between quantiles of a sample; the sample grows with the buckets, not the data."""
     if buckets < 2:
         return df.withColumn(out, F.lit(0))
+    keys = df.select(F.col(key).cast("double").alias("k"))
+    share = min(1.0, SAMPLE_PER_BUCKET * buckets / max(1, keys.count()))
+    drawn = keys if share == 1.0 else keys.sample(share, seed=0)
     steps = [i / buckets for i in range(1, buckets)]
-    inner = df.approxQuantile(key, steps, 1 / (4 * buckets))
+    inner = drawn.approxQuantile("k", steps, 1 / (4 * buckets))
     edges = [float("-inf"), *sorted(set(inner)), float("inf")]
     cut = Bucketizer(splits=edges, inputCol="__k", outputCol=out)
     return (
@@ -66,6 +76,15 @@ def _by_quantiles(df: DataFrame, key: str, buckets: int, out: str) -> DataFrame:
     )
 
 
+def bucket_count(df: DataFrame, key: str | Sequence[str], seed: int | None) -> int:
+    """Buckets for exact positions: a bounded number, each small enough to be sorted by one task."""
+    if seed is not None:
+        return HASH_BUCKETS
+    if _is_number(df, names(key)):
+        return max(1, min(RANGE_BUCKETS, -(-df.count() // RANGE_ROWS)))
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def global_position(
     df: DataFrame,
     key: str | Sequence[str],
@@ -75,12 +94,7 @@ def global_position(
 ) -> DataFrame:
     """Add the 1-based position of every row, counted per ``by`` (a few values, such as splits)."""
     by = names(by)
-    buckets = RANGE_BUCKETS if seed is None else HASH_BUCKETS
-    if seed is None and not isinstance(df.schema[names(key)[0]].dataType, T.NumericType):
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    elif seed is None and len(names(key)) > 1:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df, order = with_bucket(df, key, seed, buckets, "__bucket")
+    df, order = with_bucket(df, key, seed, bucket_count(df, key, seed), "__bucket")
     sizes = df.groupBy(*by, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     earlier = W.partitionBy(*by).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(

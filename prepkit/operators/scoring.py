@@ -51,14 +51,13 @@ def score_head(df: DataFrame, col: str, weights: HeadWeights, out: str = "logits
     @F.pandas_udf("array<double>")
     def score(vectors: pd.Series) -> pd.Series:
         w = shared.value
-        result = pd.Series(None, index=vectors.index, dtype=object)
-        given = vectors.notna()
-        if given.any():
-            x = np.stack(vectors[given].to_numpy()).astype("float64")
-            hidden = np.maximum(x @ w.hidden.T + w.hidden_bias, 0.0)
-            logits = hidden @ w.output.T + w.output_bias
-            result.loc[given] = pd.Series(list(logits), index=vectors.index[given], dtype=object)
-        return result
+        given = [v for v in vectors if v is not None]
+        if not given:
+            return pd.Series([None] * len(vectors), dtype=object)
+        x = np.stack(given).astype("float64")
+        hidden = np.maximum(x @ w.hidden.T + w.hidden_bias, 0.0)
+        scores = iter(hidden @ w.output.T + w.output_bias)
+        return pd.Series([None if v is None else next(scores) for v in vectors], dtype=object)
 
     return df.withColumn(out, score(col))
 

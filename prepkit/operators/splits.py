@@ -13,33 +13,38 @@ from prepkit.operators.positions import global_position, names, order_hash
 
 TRAIN, VALIDATION = "train", "validation"
 TOP_ROWS = 100_000
+HASH_DIGITS = 32
+FEW_ROWS = 1_000_000
 
 
-def hash_of_rank(df: DataFrame, key: str | Sequence[str], seed: int, rank: int) -> str | None:
-    """The ``rank``-th smallest order hash, found by narrowing histograms of its leading digits.
+def boundary_hash(df: DataFrame, key: str | Sequence[str], seed: int, fraction: float) -> str | None:
+    """The order hash of row number ``ceil(fraction * n)``, found by narrowing histograms.
 
-    Each pass reads the key columns only and shuffles at most 65,536 partial counts; the last one
-    sees about one row in four billion.
+    Each pass reads the key columns only and groups by leading digits of the hash, at most 65,536
+    new groups; a pass over single hashes comes when few enough are left.
     """
-    if rank < 1:
-        return None
     hashed = df.select(order_hash(key, seed).alias("h"))
-    prefix = ""
-    for digits in (4, 8, 32):
+    upto = W.orderBy("d").rowsBetween(W.unboundedPreceding, 0)
+    prefix, rank, digits = "", None, 4
+    while True:
         counts = (
             hashed.where(F.col("h").startswith(prefix))
             .groupBy(F.substring("h", 1, digits).alias("d"))
             .agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("total", F.sum("n").over(upto))
         )
-        upto = W.orderBy("d").rowsBetween(W.unboundedPreceding, 0)
-        cut = (
-            counts.withColumn("total", F.sum("n").over(upto))
-            .where(F.col("total") >= rank)
-            .orderBy("d")
-            .first()
-        )
-        prefix, rank = cut["d"], rank - (cut["total"] - cut["n"])
-    return prefix
+        if rank is None:
+            wanted = F.ceil(F.lit(fraction) * F.sum("n").over(W.partitionBy()))
+            counts = counts.withColumn("rank", wanted)
+        else:
+            counts = counts.withColumn("rank", F.lit(rank))
+        cut = counts.where((F.col("total") >= F.col("rank")) & (F.col("rank") > 0)).orderBy("d").first()
+        if cut is None:
+            return None
+        prefix, rank = cut["d"], cut["rank"] - (cut["total"] - cut["n"])
+        if digits == HASH_DIGITS:
+            return prefix
+        digits = HASH_DIGITS if cut["n"] <= FEW_ROWS else min(digits + 4, HASH_DIGITS)
 
 
 def split_exact(
@@ -50,8 +55,7 @@ def split_exact(
     The rows are not shuffled: the boundary hash is found first, then compared row by row. Rows
     sharing a key always land on the same side.
     """
-    wanted = math.ceil(fraction * df.count())
-    edge = hash_of_rank(df, key, seed, wanted)
+    edge = boundary_hash(df, key, seed, fraction)
     if edge is None:
         return df.withColumn(out, F.lit(TRAIN))
     return df.withColumn(
