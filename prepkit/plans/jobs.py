@@ -24,7 +24,7 @@ from prepkit.plans.images import (
 from prepkit.plans.language_model import lm_batches, lm_rows, text_columns
 from prepkit.plans.text_class import text_class_batches
 from prepkit.plans.token_class import token_class_batches
-from prepkit.session import pin
+from prepkit.session import pin, temporary_tables
 from prepkit.sinks.store import (
     prepared_cache,
     write_assets,
@@ -98,7 +98,11 @@ def run_job(spark: SparkSession, job: Job) -> DataFrame:
     """
     if not job.output_dir:
         raise ValueError("output_dir is not set")
-    out = job.output_dir.rstrip("/")
+    with temporary_tables(spark):
+        return _run(spark, job, job.output_dir.rstrip("/"))
+
+
+def _run(spark: SparkSession, job: Job, out: str) -> DataFrame:
     rows = load_splits(spark, job)
     labels, vocab = label_table(rows, job), token_table(rows, job)
 

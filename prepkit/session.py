@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SPLIT_BYTES = 128 * 1024 * 1024
 SPREAD_BYTES = 4 * 1024 * 1024 * 1024
 
+_pinned: list[str] = []
+
 
 def get_session(app_name: str = "prepkit", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on; ``conf`` overrides any of them."""
@@ -63,10 +66,23 @@ def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
     Later readers scan only the columns they need, and lost executors cost no recomputation.
     """
     path = new_path(df.sparkSession, name)
+    _pinned.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables pinned inside the block when it ends; results must be stored by then."""
+    before = len(_pinned)
+    try:
+        yield
+    finally:
+        while len(_pinned) > before:
+            path = hadoop_path(spark, _pinned.pop())
+            file_system(spark, path).delete(path, True)
+
+
 def pin_ordered(df: DataFrame) -> DataFrame:
     """As ``pin``, keeping partitions and their order."""
     shared_dir(df.sparkSession)

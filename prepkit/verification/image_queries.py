@@ -149,9 +149,14 @@ def gray_to_rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return px.select("vec_id", text_of(ops.gray_to_rgb(F.col("px"), channels)).alias("rgb"))
 
 
-@query(f"with {SQL_PIXELS} select vec_id, 3 as channels, 4 as height, {sql_micro('pixel_values')} as pixels from pixels")
+@query(
+    f"""with {SQL_PIXELS} select vec_id, case when pixel_values is not null then 3 end as channels,
+    case when pixel_values is not null then 4 end as height, {sql_micro('pixel_values')} as pixels
+    from img left join pixels using (vec_id)"""
+)
 def image_to_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = vector_images(spark, sf_dir).where("label <= 6").select("vec_id", "content")
+    content = F.when(F.col("label") != 9, F.col("content"))
+    rows = vector_images(spark, sf_dir).select("vec_id", content.alias("content"))
     done = ops.to_pixels(images.decode_images(rows), PixelSpec(height=4, width=4))
     return done.select("vec_id", "channels", "height", micro_text("pixel_values").alias("pixels"))
 

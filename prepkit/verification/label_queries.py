@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from prepkit.functions.text import words
 from prepkit.operators import labels as ops
-from prepkit.operators.splits import head_per_split
 from prepkit.session import pin, spread
 from prepkit.verification.registry import (
     WORDS,
@@ -83,14 +82,12 @@ def vocab_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""with d as ({sql_hash_split('documents', 'doc_id')}), h as (select * from (select *, row_number() over
-    (partition by split order by doc_id) as rn from d) where rn <= 50 or split <> 'train')
-    {sql_label_vocab('h', 'source', "split = 'train'")}"""
+    f"""with d as ({sql_hash_split('documents', 'doc_id')})
+    {sql_label_vocab('d', 'source', "split = 'train'")}"""
 )
 def vocab_train_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = split_documents(spark, sf_dir).select("doc_id", "split", "source")
-    first = head_per_split(docs, "doc_id", {"train": 50})
-    return with_long_id(ops.build_label_vocab(first, "source", split="train"))
+    return with_long_id(ops.build_label_vocab(docs, "source", split="train"))
 
 
 @query("select count(distinct lang) as num_labels from documents")

@@ -99,13 +99,13 @@ def encode_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""with {SQL_CODED} select doc_id, {sql_text('list_concat([2], ids[1:62], [3])')} as ids,
-    {sql_text("list_concat([null], range(0, least(len(ids), 62)), [null])")} as word_ids from e""",
+    f"""with {SQL_CODED} select doc_id, {sql_text('list_concat([2], ids, [3])')} as ids,
+    {sql_text("list_concat([null], range(0, len(ids)), [null])")} as word_ids from e""",
     name="encode_json",
 )
 def encode_with_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = texts(spark, sf_dir)
-    spec = EncoderSpec("json", max_length=64, specials=True, asset=ops.json_asset(vocab_of(docs)))
+    spec = EncoderSpec("json", specials=True, asset=ops.json_asset(vocab_of(docs)))
     coded = ops.encode(
         docs.select("doc_id", words("text").alias("tokens")), "tokens", spec, word_ids="word_ids"
     )
@@ -120,13 +120,13 @@ SQL_PAIR_CODED = f"""c as ({SQL_PAIRS}),
 
 
 @query(
-    f"""with {SQL_PAIR_CODED} select pair_id, {sql_text('es.ids[1:16]')} as input_ids,
-    {sql_text('eg.ids[1:16]')} as labels from es join eg using (pair_id)"""
+    f"""with {SQL_PAIR_CODED} select pair_id, {sql_text('es.ids[1:128]')} as input_ids,
+    {sql_text('eg.ids[1:128]')} as labels from es join eg using (pair_id)"""
 )
 def encode_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = turn_pairs(spark, sf_dir).withColumns({"source": F.lower("source"), "target": F.lower("target")})
     both = pairs.select(F.col("source").alias("text")).unionByName(pairs.select(F.col("target").alias("text")))
-    coded = ops.encode_pair(pairs, "source", "target", EncoderSpec(max_length=16), vocab_of(both), key=["pair_id"])
+    coded = ops.encode_pair(pairs, "source", "target", EncoderSpec(max_length=128), vocab_of(both), key=["pair_id"])
     return coded.select("pair_id", text_of("input_ids").alias("input_ids"), text_of("labels").alias("labels"))
 
 
@@ -263,8 +263,8 @@ def labels_masked_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.labels_masked_copy(padded).select(*batch_key(), text_of("labels").alias("labels"))
 
 
-SQL_PAIR_PLACED = f"""{SQL_PAIR_CODED}, r as (select es.pair_id, 'train' as split, es.ids[1:16] as ids,
-    eg.ids[1:16] as labels from es join eg using (pair_id)), b as ({sql_batches('r', 'pair_id', 2, 4)}),
+SQL_PAIR_PLACED = f"""{SQL_PAIR_CODED}, r as (select es.pair_id, 'train' as split, es.ids[1:128] as ids,
+    eg.ids[1:128] as labels from es join eg using (pair_id)), b as ({sql_batches('r', 'pair_id', 2, 4)}),
     x as (select *, max(len(ids)) over q as m, max(len(labels)) over q as n from b
     window q as (partition by split, shard, batch_id))"""
 
@@ -276,7 +276,7 @@ SQL_PAIR_PLACED = f"""{SQL_PAIR_CODED}, r as (select es.pair_id, 'train' as spli
 def labels_pad_separately(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = turn_pairs(spark, sf_dir).withColumns({"source": F.lower("source"), "target": F.lower("target")})
     both = pairs.select(F.col("source").alias("text")).unionByName(pairs.select(F.col("target").alias("text")))
-    coded = ops.encode_pair(pairs, "source", "target", EncoderSpec(max_length=16), vocab_of(both), key=["pair_id"])
+    coded = ops.encode_pair(pairs, "source", "target", EncoderSpec(max_length=128), vocab_of(both), key=["pair_id"])
     rows = coded.select("pair_id", F.lit("train").alias("split"), "input_ids", "labels")
     padded = pack.labels_pad_separately(pack.assign_batches(rows, "pair_id", 2, shards=4, seed=42))
     return padded.select(
@@ -286,15 +286,14 @@ def labels_pad_separately(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""with {SQL_PIECES_CODED}, d as ({sql_hash_split('documents', 'doc_id')}),
-    r as (select doc_id, split, ids[1:64] as ids, word_ids[1:48] as word_ids, ner_tags from e join d using (doc_id)),
-    l as (select doc_id, split, ids, {SQL_ALIGNED} as labels from r, m),
+    l as (select doc_id, split, ids[1:512] as ids, {SQL_ALIGNED} as labels from e join d using (doc_id), m),
     b as ({sql_batches('l', 'doc_id', 8, 4)}),
     x as (select *, max(len(ids)) over (partition by split, shard, batch_id) as m from b)
-    select doc_id, {sql_text(sql_pad('labels', 'm', '-100'))} as labels from x"""
+    select doc_id, {sql_text(f"({sql_pad('labels', 'm', '-100')})[1:m]")} as labels from x"""
 )
 def labels_pad_to_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels of at most 48 pieces beside ids of at most 64."""
-    coded = coded_pieces(spark, sf_dir, piece_spec(64)).withColumn("word_ids", F.slice("word_ids", 1, 48))
+    """Labels of whole texts beside ids of at most 512 pieces."""
+    coded = coded_pieces(spark, sf_dir, piece_spec()).withColumn("input_ids", F.slice("input_ids", 1, 512))
     coded = encode_label_array(coded, label_vocab(tagged(spark, sf_dir), "ner_tags"), "ner_tags")
     splits = split_documents(spark, sf_dir).select("doc_id", "split")
     rows = ops.align_labels(coded).select("doc_id", "input_ids", "labels").join(splits, "doc_id")

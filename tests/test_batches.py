@@ -1,0 +1,127 @@
+import hashlib
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from prepkit.operators import batches as ops
+from prepkit.operators.maps import collate_fn, filter_rows, map_batches, map_rows
+
+
+def rows_of(spark, lists, split="train"):
+    return spark.createDataFrame([(i, split, v) for i, v in enumerate(lists)], "k int, split string, input_ids array<int>")
+
+
+def one_batch(spark, lists):
+    return rows_of(spark, lists).withColumns({"shard": F.lit(0), "batch_id": F.lit(0), "pos": F.col("k")})
+
+
+def column(df, name):
+    return [r[name] for r in df.orderBy("k").collect()]
+
+
+@pytest.mark.parametrize("shards", [None, 3])
+@pytest.mark.parametrize("seed", [None, 42])
+def test_batches_cover_all_rows_once(spark, shards, seed):
+    df = spark.range(101).select(F.col("id").alias("k"), F.when(F.col("id") < 60, "train").otherwise("validation").alias("split"))
+    rows = ops.assign_batches(df, "k", 8, shards=shards, seed=seed).collect()
+    assert sorted(r["k"] for r in rows) == list(range(101))
+    groups = {}
+    for r in rows:
+        groups.setdefault((r["split"], r["shard"]), []).append(r)
+    for members in groups.values():
+        members.sort(key=lambda r: (r["batch_id"], r["pos"]))
+        assert [(r["batch_id"], r["pos"]) for r in members] == [(i // 8, i % 8) for i in range(len(members))]
+        order = (lambda k: hashlib.md5(f"{seed}:{k}".encode()).hexdigest()) if seed else (lambda k: k)
+        assert [r["k"] for r in members] == sorted((r["k"] for r in members), key=order)
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_same_batches_for_any_partitioning(spark, partitions):
+    df = spark.range(50).select(F.col("id").alias("k"), F.lit("train").alias("split"))
+    want = sorted(map(tuple, ops.assign_batches(df, "k", 4, seed=42, shards=2).collect()))
+    assert sorted(map(tuple, ops.assign_batches(df.repartition(partitions), "k", 4, seed=42, shards=2).collect())) == want
+
+
+def test_batch_size_per_split(spark):
+    df = spark.range(40).select(F.col("id").alias("k"), F.when(F.col("id") < 20, "train").otherwise("validation").alias("split"))
+    size = F.when(F.col("split") == "validation", 5).otherwise(2)
+    got = ops.assign_batches(df, "k", size).groupBy("split").agg(F.max("batch_id").alias("b"), F.max("pos").alias("p"))
+    assert {r["split"]: (r["b"], r["p"]) for r in got.collect()} == {"train": (9, 1), "validation": (3, 4)}
+
+
+def test_padding(spark):
+    padded = ops.pad_to_longest(one_batch(spark, [[5], [5, 6, 7], []]), pad_id=9)
+    assert column(padded, "input_ids") == [[5, 9, 9], [5, 6, 7], [9, 9, 9]]
+    assert column(padded, "attention_mask") == [[1, 0, 0], [1, 1, 1], [0, 0, 0]]
+    alone = ops.pad_to_longest(one_batch(spark, [[5, 6]]))
+    assert column(alone, "input_ids") == [[5, 6]]
+
+
+def test_label_rules(spark):
+    padded = ops.pad_to_longest(one_batch(spark, [[5], [5, 0]]))
+    assert column(ops.pad_labels(padded, "copy"), "labels") == [[5, 0], [5, 0]]
+    assert column(ops.labels_copy(padded, mask_padding=True), "labels") == [[5, -100], [5, 0]]
+    assert column(ops.pad_labels(padded, "masked"), "labels") == [[5, -100], [5, -100]]
+    with pytest.raises(ValueError):
+        ops.pad_labels(padded, "other")
+
+
+def test_labels_of_other_lengths(spark):
+    df = one_batch(spark, [[1, 2], [1, 2, 3]]).withColumn("labels", F.when(F.col("k") == 0, F.array(*map(F.lit, [7]))).otherwise(F.array(*map(F.lit, [7, 8, 9, 10, 11]))))
+    padded = ops.pad_to_longest(df)
+    assert column(ops.pad_labels(padded, "to_input"), "labels") == [[7, -100, -100], [7, 8, 9]]
+    assert column(ops.pad_labels(padded, "own"), "labels") == [[7, 0, 0, 0, 0], [7, 8, 9, 10, 11]]
+
+
+def test_stacking(spark):
+    df = one_batch(spark, [[1], [2], [3]]).withColumn("labels", F.col("k") * 10)
+    assert ops.stack_labels(df.repartition(3)).first()["labels"] == [0, 10, 20]
+    shaped = df.withColumns({"pixel_values": F.col("input_ids"), "channels": F.lit(1), "height": F.lit(1), "width": F.lit(1)})
+    row = ops.stack_pixels(shaped.repartition(3)).first()
+    assert (row["pixel_values"], row["rows"], row["width"]) == ([1, 2, 3], 3, 1)
+    with pytest.raises(PySparkException, match="different shapes"):
+        ops.stack_pixels(shaped.withColumn("width", F.col("k"))).collect()
+
+
+def test_stats(spark):
+    row = ops.batch_stats(one_batch(spark, [[1], [1, 2, 3], []])).first()
+    assert (row["rows"], row["width"], row["padded_cells"]) == (3, 3, 5)
+
+
+def test_padding_in_shards_shuffles_once(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), F.lit("train").alias("split"), F.array(F.col("id")).alias("input_ids"))
+    padded = ops.pad_to_longest(ops.assign_batches(df, "k", 8, shards=16, seed=42))
+    plan = padded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "SinglePartition" not in plan
+
+
+def test_no_single_task_holds_the_rows(spark):
+    split = F.when(F.col("id") < 700, "train").otherwise("validation")
+    df = spark.range(1000).select(F.col("id").alias("k"), split.alias("split"), F.array(F.col("id")).alias("input_ids"))
+    plan = ops.pad_to_longest(ops.assign_batches(df, "k", 8, seed=42))._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_user_functions(spark):
+    df = spark.range(25).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("t"))
+    def double(batch):
+        assert len(batch["k"]) <= 4
+        return {"k": batch["k"], "twice": [2 * v for v in batch["k"]]}
+
+    got = map_batches(df, double, "k int, twice int", batch_size=4, num_partitions=3, columns=["k"])
+    assert sorted((r["k"], r["twice"]) for r in got.collect()) == [(i, 2 * i) for i in range(25)]
+    named = map_rows(df, lambda k, t: f"{t}{k}", "string", "name", "k", "t")
+    assert {r["name"] for r in named.collect()} == {f"x{i}" for i in range(25)}
+    assert filter_rows(df, F.col("k") > 20).count() == 4
+
+
+def test_collate(spark):
+    df = one_batch(spark, [[1], [2, 3]])
+
+    def total(rows):
+        import pandas as pd
+
+        return pd.DataFrame({"batch_id": [rows["batch_id"].iloc[0]], "n": [sum(map(len, rows["input_ids"]))]})
+
+    assert collate_fn(df, total, "batch_id int, n int").first()["n"] == 3

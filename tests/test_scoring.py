@@ -1,0 +1,77 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from prepkit.operators import scoring as ops
+from prepkit.operators.scoring import HeadWeights
+
+
+def test_pooling_counts_padding_unless_masked(spark):
+    df = spark.createDataFrame(
+        [(0, 1, [1.0, 2.0]), (0, 1, [3.0, 4.0]), (0, 0, [0.0, 0.0]), (1, 1, [5.0, 5.0])],
+        "seq int, mask int, vec array<double>",
+    )
+    whole = {r["seq"]: r["pooled"] for r in ops.mean_pool(df, "seq", "vec").collect()}
+    assert np.allclose(whole[0], [4 / 3, 2]) and np.allclose(whole[1], [5, 5])
+    masked = {r["seq"]: r["pooled"] for r in ops.mean_pool(df, "seq", "vec", mask="mask").collect()}
+    assert np.allclose(masked[0], [2, 3])
+
+
+def test_pooling_of_a_hot_sequence_is_partial(spark):
+    df = spark.range(2000).select(F.lit(0).alias("seq"), F.array(F.col("id").cast("double")).alias("vec"))
+    pooled = ops.mean_pool(df.repartition(8), "seq", "vec")
+    assert "partial" in pooled._jdf.queryExecution().executedPlan().toString()
+    assert math.isclose(pooled.first()["pooled"][0], 999.5)
+
+
+def test_head(spark):
+    rng = np.random.default_rng(1)
+    w = HeadWeights(rng.normal(size=(2, 4)), rng.normal(size=2), rng.normal(size=(3, 2)), rng.normal(size=3))
+    x = rng.normal(size=(5, 4))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(5, None)], "k int, vec array<double>")
+    rows = ops.score_head(df, "vec", w).orderBy("k").collect()
+    want = np.maximum(x @ w.hidden.T + w.hidden_bias, 0) @ w.output.T + w.output_bias
+    assert np.allclose([r["logits"] for r in rows[:5]], want) and rows[5]["logits"] is None
+
+
+def test_softmax_and_loss(spark):
+    df = spark.createDataFrame(
+        [("validation", [1000.0, 1000.0], 0), ("validation", [0.0, math.log(3)], 1), ("validation", [0.0, 0.0], None), ("train", [9.0, 0.0], 1)],
+        "split string, z array<double>, label int",
+    )
+    shown = ops.with_probabilities(df, "z").collect()
+    assert np.allclose([r["probabilities"] for r in shown[:2]], [[0.5, 0.5], [0.25, 0.75]])
+    want = -(math.log(0.5 + 1e-10) + math.log(0.75 + 1e-10)) / 2
+    loss = ops.nll_loss(ops.with_probabilities(df.where("split = 'validation'"), "z"), label="label").first()["loss"]
+    assert math.isclose(loss, want)
+    metrics = {r["metric"]: r["value"] for r in ops.evaluate(df, "z", "label").collect()}
+    assert math.isclose(metrics["eval_loss"], want) and metrics["eval_samples"] == 3
+    alone = df.where("label is null")
+    assert ops.nll_loss(ops.with_probabilities(alone, "z")).first()["loss"] is None
+
+
+def test_certain_mistakes_stay_finite(spark):
+    df = spark.createDataFrame([([0.0, 2000.0], 0)], "z array<double>, label int")
+    loss = ops.nll_loss(ops.with_probabilities(df, "z")).first()["loss"]
+    assert math.isclose(loss, -math.log(1e-10))
+
+
+def test_trained_head_learns(spark):
+    rng = np.random.default_rng(2)
+    rows = [((rng.normal(size=4) * 0.1 + 2 * np.eye(4)[i % 3]).tolist(), i % 3) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec array<double>, label int")
+    model = ops.train_head(df, "vec", "label", 3, steps=60)
+    scored = ops.apply_trained_head(df, model, "vec")
+    assert scored.where("prediction = label").count() >= 85
+    total = scored.select(F.aggregate("probabilities", F.lit(0.0), lambda a, b: a + b).alias("s")).first()["s"]
+    assert math.isclose(total, 1.0, abs_tol=1e-9)
+
+
+@pytest.mark.parametrize("n", [2, 50])
+def test_softmax_matches_numpy(spark, n):
+    z = np.random.default_rng(n).normal(size=n) * 5
+    got = spark.createDataFrame([(z.tolist(),)], "z array<double>").select(ops.softmax(F.col("z")).alias("p")).first()["p"]
+    e = np.exp(z - z.max())
+    assert np.allclose(got, e / e.sum())
