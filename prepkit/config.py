@@ -68,7 +68,9 @@ class Job:
     vocab_size: int = 30_000
     encoder: str = "word"
     encoder_width: int | None = None
-    add_special_tokens: bool = False
+    add_special_tokens: bool | None = None
+    pad_token: str | None = None
+    eos_token: str | None = None
     trainer: dict[str, Any] = field(default_factory=dict, compare=False)
 
     def columns(self) -> list[str]:

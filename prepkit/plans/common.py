@@ -11,7 +11,7 @@ from prepkit.config import Job
 from prepkit.operators.batches import assign_batches
 from prepkit.operators.checks import require_columns
 from prepkit.operators.splits import TRAIN, VALIDATION, head_per_split, split_exact
-from prepkit.operators.tokens import EncoderSpec, build_vocab
+from prepkit.operators.tokens import EncoderSpec, build_vocab, json_spec, read_tokenizer
 from prepkit.session import pin
 from prepkit.sources.scan import scan_split, union_splits
 
@@ -48,18 +48,20 @@ def first_rows(df: DataFrame, job: Job) -> DataFrame:
 
 
 def encoder_spec(job: Job, max_length: int | None) -> EncoderSpec:
-    asset = None
-    if job.encoder == "json":
-        if not job.tokenizer_name:
-            raise ValueError("the json encoder needs tokenizer_name, the path of a tokenizer JSON file")
-        with open(job.tokenizer_name, encoding="utf-8") as handle:
-            asset = handle.read()
-    return EncoderSpec(
-        kind=job.encoder,
-        max_length=max_length,
-        specials=job.add_special_tokens,
-        width=job.encoder_width,
-        asset=asset,
+    """The encoder of a job: special tokens are on by default for a given tokenizer only."""
+    if job.encoder != "json":
+        return EncoderSpec(
+            kind=job.encoder, max_length=max_length, specials=bool(job.add_special_tokens), width=job.encoder_width
+        )
+    if not job.tokenizer_name:
+        raise ValueError("the json encoder needs tokenizer_name, the path of a tokenizer file or folder")
+    read = read_tokenizer(job.tokenizer_name)
+    return json_spec(
+        read["asset"],
+        max_length,
+        job.add_special_tokens is not False,
+        job.pad_token or read["pad_token"],
+        job.eos_token or read["end_token"],
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from prepkit.functions import lookup
 from prepkit.functions.text import to_text, words
 from prepkit.operators import tokens as ops
+from prepkit.operators.labels import label_vocab
 from prepkit.operators.tokens import END, START, UNKNOWN, EncoderSpec
 
 
@@ -90,7 +91,6 @@ def test_json_equals_word(spark):
     df = rows_of(spark, texts)
     vocab = ops.build_vocab(df, "text", 10)
     asset = ops.json_asset(vocab)
-    assert ops.asset_pad_id(asset) == 0 and ops.asset_pad_id(asset, "<none>") is None
     for specials in (False, True):
         for limit in (None, 4):
             word = ops.encode(df, "text", EncoderSpec(max_length=limit, specials=specials), vocab, word_ids="w")
@@ -104,7 +104,13 @@ def test_json_equals_word(spark):
     assert column(word, "input_ids") == column(other, "input_ids") and column(word, "w") == column(other, "w")
 
 
-def test_pad_falls_back_to_end():
+def test_pad_falls_back_to_end(spark):
+    asset = ops.json_asset(vocab_of(spark, "a"))
+    assert ops.json_spec(asset, pad_token="<pad>", end_token="</s>").padding == 0
+    assert ops.json_spec(asset, end_token="</s>").padding == END
+    for missing in ({}, {"pad_token": "<none>"}):
+        with pytest.raises(ValueError):
+            ops.json_spec(asset, **missing)
     assert EncoderSpec().padding == 0
     assert EncoderSpec(pad_id=None).padding == END
     for bad in ({"kind": "bpe"}, {"kind": "chunk"}, {"kind": "json"}, {"width": 3}):
@@ -173,3 +179,38 @@ def test_text_of_other_cells(spark):
     assert list(row) == ["it's", "None", "[[1, 2], []]", "[True, None]"]
     joined = df.select(to_text(F.array(F.lit("a"), F.lit("b")), df.select(F.array("s").alias("x")).schema["x"].dataType, "join"))
     assert joined.first()[0] == "a, b"
+
+
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_public_tokenizer_batches(spark, tmp_path, file):
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    from prepkit.config import LanguageModelJob, TokenClassJob
+    from prepkit.plans.language_model import lm_batches
+    from prepkit.plans.token_class import token_class_batches
+
+    path = public.path(file)
+    tokenizer = Tokenizer.from_file(path)
+    end = tokenizer.token_to_id("<|endoftext|>")
+    texts = ["A short text.", "Wörter über Wörter, and it's longer", "x", "unbelievable tokenization of 12345 things"] * 3
+    df = spark.createDataFrame([(i, "train", t) for i, t in enumerate(texts)], "id int, split string, text string")
+    settings = dict(encoder="json", tokenizer_name=str(path), eos_token="<|endoftext|>", per_device_train_batch_size=2, per_device_eval_batch_size=2, shards=2)
+    job = LanguageModelJob(text_column_name="text", max_tokens_length=6, **settings)
+    for row in lm_batches(df, job).collect():
+        ids = tokenizer.encode(texts[row["id"]]).ids[:6]
+        assert row["input_ids"][: len(ids)] == ids and row["tokens_input_length"] == len(ids)
+        assert set(row["input_ids"][len(ids) :]) <= {end} and row["labels"] == row["input_ids"]
+        assert sum(row["attention_mask"]) == len(ids)
+    words_df = df.withColumn("tokens", words("text")).withColumn("tags", F.transform("tokens", lambda w: F.length(w).cast("string")))
+    job = TokenClassJob(text_column_name="tokens", label_column_name="tags", **settings)
+    ids_of = {r["label"]: r["id"] for r in label_vocab(words_df, "tags").collect()}
+    for row in token_class_batches(words_df, job).collect():
+        listed = texts[row["id"]].split()
+        coded = tokenizer.encode(listed, is_pretokenized=True)
+        want, last = [], None
+        for w in coded.word_ids:
+            want.append(-100 if w is None or w == last else ids_of[str(len(listed[w]))])
+            last = w
+        assert row["input_ids"][: len(coded.ids)] == coded.ids
+        assert row["labels"] == want + [-100] * (len(row["input_ids"]) - len(want))
