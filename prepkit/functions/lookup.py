@@ -2,7 +2,7 @@
 
 A map lookup in Spark SQL walks the map, so a vocabulary becomes an array of small maps addressed
 by a hash of the key: one array access and one short walk per token, on the JVM, without a shuffle.
-Vocabularies over ``LITERAL_ROWS`` entries are joined instead.
+Vocabularies over ``LITERAL_ROWS`` entries, or of very long ones, are joined instead.
 """
 
 from __future__ import annotations
@@ -14,20 +14,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LITERAL_ROWS = 100_000
+LITERAL_CHARS = 8_000_000
+ENTRY_CHARS = 10_000
 SALTS = 16
 
 
 def literal_lookup(table: DataFrame, key: str, value: str) -> Callable[[Column], Column] | None:
-    """A function from a string column to the int found in ``table``, or None if it is too long."""
-    rows = table.select(key, value).limit(LITERAL_ROWS + 1)
-    slots_at = lambda n: 1 << max(4, (2 * n - 1).bit_length())
-    found = rows.withColumn("h", F.hash(F.col(key).cast("string"))).collect()
-    if len(found) > LITERAL_ROWS:
+    """A function from a column to the int found in ``table``, or None if the table is too long."""
+    entry = F.col(key).cast("string")
+    found = table.select(entry, value, F.hash(entry)).where(entry.isNotNull()).limit(LITERAL_ROWS + 1).collect()
+    lengths = [len(row[0]) for row in found]
+    if len(found) > LITERAL_ROWS or sum(lengths) > LITERAL_CHARS or max(lengths, default=0) > ENTRY_CHARS:
         return None
-    slots = slots_at(max(1, len(found)))
+    slots = 1 << max(4, (2 * len(found)).bit_length())
     maps: list[dict[str, int]] = [{} for _ in range(slots)]
-    for entry, number, h in found:
-        maps[h & (slots - 1)][str(entry)] = number
+    for text, number, h in found:
+        maps[h & (slots - 1)][text] = number
     literal = F.from_json(F.lit(json.dumps(maps, ensure_ascii=False)), "array<map<string,int>>")
 
     def find(word: Column) -> Column:
@@ -45,9 +47,9 @@ def joined_lookup(
     ``key`` must identify a row. A frequent token is spread over ``SALTS`` join keys.
     """
     salt = F.pmod(F.hash(*key, "__p"), F.lit(SALTS))
-    spread = df.select(*key, F.posexplode(tokens).alias("__p", "__t")).withColumn("__s", salt)
+    spread = df.select(*key, F.posexplode(F.col(tokens).cast("array<string>")).alias("__p", "__t")).withColumn("__s", salt)
     salted = table.select(
-        F.col(entry).alias("__t"),
+        F.col(entry).cast("string").alias("__t"),
         F.col(number).alias("__n"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__s"),
     )
@@ -78,6 +80,6 @@ def map_array(
         found = find if default is None else lambda token: F.coalesce(find(token), missing)
         return df.withColumn(out, F.transform(F.col(tokens), found))
     if not key:
-        raise ValueError(f"over {LITERAL_ROWS} entries in the vocabulary: a row key is needed to join it")
+        raise ValueError("the vocabulary is too long for a literal: a row key is needed to join it")
     joined = joined_lookup(df, key, tokens, table, entry, number, out)
     return joined.withColumn(out, F.transform(out, lambda n: F.coalesce(n, missing)))

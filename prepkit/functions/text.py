@@ -15,8 +15,13 @@ def words(text: Column | str) -> Column:
 
 
 def cut_word(word: Column, width: int) -> Column:
-    """Consecutive pieces of at most ``width`` characters."""
-    return F.regexp_extract_all(word, F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
+    """Consecutive pieces of at most ``width`` characters; none of an empty or missing word."""
+    starts = F.sequence(F.lit(1), F.length(word), F.lit(width))
+    return (
+        F.when(F.length(word) > width, F.transform(starts, lambda s: F.substr(word, s, F.lit(width))))
+        .when(F.length(word) > 0, F.array(word))
+        .otherwise(F.array().cast("array<string>"))
+    )
 
 
 def text_pieces(text: Column | str, width: int) -> Column:
@@ -37,11 +42,10 @@ def piece_word_ids(tokens: Column, width: int | None) -> Column:
 
 
 def pieces(tokens: Column, width: int | None) -> Column:
-    """The words themselves, or the words cut into pieces."""
-    present = F.filter(tokens, lambda w: F.length(w) > 0)
+    """The words that are not empty, or all words cut into pieces."""
     if width is None:
-        return present
-    return F.flatten(F.transform(present, lambda w: cut_word(w, width)))
+        return F.filter(tokens, lambda w: F.length(w) > 0)
+    return F.flatten(F.transform(tokens, lambda w: cut_word(w, width)))
 
 
 # Characters Python prints escaped inside a string (everything it calls not printable).

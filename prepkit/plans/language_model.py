@@ -15,7 +15,7 @@ from prepkit.session import spread
 
 
 def text_columns(job: LanguageModelJob) -> list[str]:
-    return job.columns()[1:]
+    return list(dict.fromkeys(job.columns()[1:]))
 
 
 def lm_spec(job: LanguageModelJob) -> EncoderSpec:
@@ -42,7 +42,7 @@ def lm_features(df: DataFrame, job: LanguageModelJob, vocab: DataFrame | None =
     if job.model_type == "causal-lm":
         coded = encode(rows, texts[0], spec, vocab, key=[key])
         return token_length(coded).select("split", key, "input_ids", "tokens_input_length")
-    coded = encode_pair(rows, texts[0], texts[1], spec, vocab, key=[key])
+    coded = encode_pair(rows, texts[0], texts[-1], spec, vocab, key=[key])
     return token_length(coded).select("split", key, "input_ids", "labels", "tokens_input_length")
 
 

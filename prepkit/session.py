@@ -93,11 +93,13 @@ def spread(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Spread a small table over all cores before heavy per-row work.
 
     A small file may hold a single row group, which one task would read and process alone. Larger
-    inputs keep the partitions of their scan: nothing is shuffled.
+    inputs, and those in as many files as cores, keep the partitions of their scan.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, *key) if size <= min(cores * SPLIT_BYTES, SPREAD_BYTES) else df
+    if size > min(cores * SPLIT_BYTES, SPREAD_BYTES) or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores, *key)
 
 
 def measured_bytes(df: DataFrame) -> int:

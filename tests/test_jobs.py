@@ -29,6 +29,7 @@ from prepkit.operators.checks import (
 from prepkit.plans.common import load_splits
 from prepkit.plans.images import image_class_batches
 from prepkit.plans.jobs import run_job
+from prepkit.plans.language_model import lm_batches
 from prepkit.plans.text_class import text_class_batches
 from prepkit.session import file_exists, new_path, pin, shared_dir, temporary_tables
 from prepkit.sinks import store
@@ -238,6 +239,13 @@ def test_language_model_job(spark, tmp_path, model_type):
     assert "question" in tokens and "Question" not in tokens
 
 
+def test_source_and_target_may_be_one_column(spark):
+    df = spark.createDataFrame([(0, "train", "a b"), (1, "train", "b")], "id int, split string, text string")
+    job = LanguageModelJob(model_type="seq2seq", source_column_name="text", target_column_name="text")
+    rows = {r["id"]: r for r in lm_batches(df, job).collect()}
+    assert rows[0]["labels"] == rows[0]["input_ids"] and rows[1]["labels"] == [rows[1]["input_ids"][0], 0]
+
+
 def test_token_class_job(spark, tmp_path):
     rows = [(i, ["alpha", "be", "gamma"][: i % 3 + 1], ["X", "O", "Y"][: i % 3 + 1]) for i in range(20)]
     spark.createDataFrame(rows, "id int, tokens array<string>, ner_tags array<string>").withColumn(

@@ -214,3 +214,16 @@ def test_public_tokenizer_batches(spark, tmp_path, file):
             last = w
         assert row["input_ids"][: len(coded.ids)] == coded.ids
         assert row["labels"] == want + [-100] * (len(row["input_ids"]) - len(want))
+
+
+def test_very_long_tokens_are_joined(spark):
+    long = "z" * 60_000
+    df = rows_of(spark, [f"a {long} {long}x"])
+    coded = ops.encode(df, "text", EncoderSpec(), vocab_of(spark, "a", long), key=["k"])
+    assert column(coded, "input_ids") == [[4, 5, UNKNOWN]]
+
+
+def test_piece_counts_weigh_words(spark):
+    df = rows_of(spark, ["abab ab abab", "cab"])
+    got = {r["token"]: r["count"] for r in ops.count_tokens(df, "text", 2).collect()}
+    assert got == {"ab": 5, "ca": 1, "b": 1}
