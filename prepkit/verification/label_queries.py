@@ -23,8 +23,8 @@ from prepkit.verification.table_queries import declared_embeddings, split_docume
 def word_tag(word: Column) -> Column:
     """Tag of a word: NUM, END, CAP or O."""
     return (
-        F.when(word.rlike("[0-9]"), F.lit("NUM"))
-        .when(word.rlike("[.,!?]$"), F.lit("END"))
+        F.when(F.translate(word, "0123456789", "") != word, F.lit("NUM"))
+        .when(F.substring(word, -1, 1).isin(".", ",", "!", "?"), F.lit("END"))
         .when(F.lower(word) != word, F.lit("CAP"))
         .otherwise(F.lit("O"))
     )
