@@ -160,7 +160,7 @@ def decode_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     select doc_id, {sql_text('list_transform(ner_tags, lambda x: m.m[x])')} as label_ids from t, m"""
 )
 def encode_label_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tagged(spark, sf_dir)
+    docs = pin(tagged(spark, sf_dir))
     vocab = ops.label_vocab(docs, "ner_tags")
     coded = ops.encode_label_array(docs, vocab, "ner_tags", key=["doc_id"])
     return coded.select("doc_id", text_of("label_ids").alias("label_ids"))

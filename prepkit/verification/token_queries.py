@@ -134,8 +134,7 @@ def piece_spec(max_length: int | None = None, specials: bool = False) -> Encoder
     return EncoderSpec("chunk", max_length=max_length, width=WIDTH, specials=specials)
 
 
-def coded_pieces(spark: SparkSession, sf_dir: str, spec: EncoderSpec) -> DataFrame:
-    docs = tagged(spark, sf_dir)
+def coded_pieces(docs: DataFrame, spec: EncoderSpec) -> DataFrame:
     vocab = pin(ops.build_vocab(docs, "tokens", PIECES, WIDTH))
     return ops.encode(docs, "tokens", spec, vocab, word_ids="word_ids", key=["doc_id"])
 
@@ -150,7 +149,7 @@ SQL_PIECES_CODED = f"""t as ({SQL_TAGGED}), {SQL_PIECES}, v as ({sql_vocab('p',
     {sql_text('list_concat([null], word_ids[1:510], [null])')} as word_ids from e"""
 )
 def encode_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = coded_pieces(spark, sf_dir, piece_spec(512, specials=True))
+    coded = coded_pieces(pin(tagged(spark, sf_dir)), piece_spec(512, specials=True))
     return coded.select("doc_id", text_of("input_ids").alias("ids"), text_of("word_ids").alias("word_ids"))
 
 
@@ -160,8 +159,8 @@ SQL_ALIGNED = """list_transform(word_ids, lambda x, i: case when i > 1 and x = w
 
 @query(f"with {SQL_PIECES_CODED} select doc_id, {sql_text(SQL_ALIGNED)} as labels from e, m")
 def align_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = coded_pieces(spark, sf_dir, piece_spec())
-    coded = encode_label_array(coded, label_vocab(tagged(spark, sf_dir), "ner_tags"), "ner_tags")
+    docs = pin(tagged(spark, sf_dir))
+    coded = encode_label_array(coded_pieces(docs, piece_spec()), label_vocab(docs, "ner_tags"), "ner_tags")
     return ops.align_labels(coded).select("doc_id", text_of("labels").alias("labels"))
 
 
@@ -293,8 +292,9 @@ def labels_pad_separately(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def labels_pad_to_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of whole texts beside ids of at most 512 pieces."""
-    coded = coded_pieces(spark, sf_dir, piece_spec()).withColumn("input_ids", F.slice("input_ids", 1, 512))
-    coded = encode_label_array(coded, label_vocab(tagged(spark, sf_dir), "ner_tags"), "ner_tags")
+    docs = pin(tagged(spark, sf_dir))
+    coded = coded_pieces(docs, piece_spec()).withColumn("input_ids", F.slice("input_ids", 1, 512))
+    coded = encode_label_array(coded, label_vocab(docs, "ner_tags"), "ner_tags")
     splits = split_documents(spark, sf_dir).select("doc_id", "split")
     rows = ops.align_labels(coded).select("doc_id", "input_ids", "labels").join(splits, "doc_id")
     padded = pack.pad_to_longest(pack.assign_batches(rows, "doc_id", 8, shards=4, seed=42))
