@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from prepkit.config import LanguageModelJob, job_from_json
 from prepkit.functions.text import to_text
 from prepkit.operators.batches import assign_batches
 from prepkit.operators.checks import keep_complete, missing_features, require_columns, require_features
-from prepkit.operators.labels import build_label_vocab, declared_vocab
+from prepkit.operators.labels import build_label_vocab
 from prepkit.operators.maps import collate_fn as collate
 from prepkit.operators.maps import filter_rows as keep_rows
 from prepkit.operators.maps import map_batches as map_in_batches
@@ -24,7 +23,7 @@ from prepkit.operators.splits import split_exact as cut_exact
 from prepkit.operators.splits import split_hash as cut_hash
 from prepkit.operators.tokens import EncoderSpec, build_vocab, encode, json_asset
 from prepkit.plans.language_model import lm_features
-from prepkit.session import new_path, pin
+from prepkit.session import new_path
 from prepkit.sinks import store
 from prepkit.sources import scan
 from prepkit.verification.registry import (
