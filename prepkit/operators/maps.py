@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BATCH_BYTES = 16 * 1024 * 1024
+
 
 def map_batches(
     df: DataFrame,
@@ -42,6 +44,54 @@ def map_batches(
     return df.mapInArrow(run, target)
 
 
+def add_columns(
+    df: DataFrame,
+    cols: Sequence[str],
+    added: str,
+    fn: Callable[[Iterator[tuple]], Iterator[tuple]],
+    max_bytes: int = BATCH_BYTES,
+) -> DataFrame:
+    """Add the columns ``added``, computed by ``fn`` from an iterator over the cells of ``cols``.
+
+    For large cells: results leave the worker in batches of about ``max_bytes``. The rows pass
+    through Python, so drop unused columns first; later filters stay behind this step.
+    """
+    fresh = df.sparkSession.createDataFrame([], added).schema
+    target = T.StructType([*df.schema.fields, *fresh.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        types = [f.type for f in to_arrow_schema(fresh)]
+        names = target.names
+
+        def emit(batch: pa.RecordBatch, start: int, rows: list[tuple]) -> pa.RecordBatch:
+            made = [pa.array(list(column), type=t) for column, t in zip(zip(*rows, strict=True), types, strict=True)]
+            return pa.RecordBatch.from_arrays([*batch.slice(start, len(rows)).columns, *made], names=names)
+
+        for batch in batches:
+            cells = zip(*[(v.as_py() for v in batch.column(c)) for c in cols], strict=True)
+            start, rows, size = 0, [], 0
+            for row in fn(cells):
+                rows.append(row)
+                size += sum(map(_cell_bytes, row))
+                if size >= max_bytes:
+                    yield emit(batch, start, rows)
+                    start, rows, size = start + len(rows), [], 0
+            if rows:
+                yield emit(batch, start, rows)
+
+    return df.mapInArrow(run, target)
+
+
+def _cell_bytes(value: object) -> int:
+    if isinstance(value, dict):
+        return sum(map(_cell_bytes, value.values()))
+    if isinstance(value, bytes | str):
+        return len(value)
+    return getattr(value, "nbytes", 8)
+
+
 def map_rows(df: DataFrame, fn: Callable[..., object], dtype: T.DataType | str, out: str, *cols: str) -> DataFrame:
     """Add ``out = fn(*cols)`` row by row, sent to Python in Arrow batches.
 

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepkit.functions.resize import resize
-from prepkit.sources.images import decode_cell, default_decoder
+from prepkit.operators.maps import add_columns
+from prepkit.sources.images import decode_cell, default_decoder, with_first_error
 
 # The usual channel means and deviations for natural images.
 IMAGE_MEAN = (0.485, 0.456, 0.406)
@@ -58,6 +58,13 @@ def normalise(pixels: Column, spec: PixelSpec) -> Column:
     )
 
 
+def image_array(image: dict | None) -> np.ndarray | None:
+    """The pixels of a decoded image."""
+    if image is None:
+        return None
+    return np.frombuffer(image["data"], dtype=np.uint8).reshape(image["height"], image["width"], image["channels"])
+
+
 def pixel_row(pixels: np.ndarray, spec: PixelSpec) -> tuple:
     """``(values, channels, height, width, error)`` of one image."""
     if pixels.shape[2] == 1 and spec.grey_to_rgb:
@@ -83,41 +90,16 @@ def to_pixels(
     ``image`` holds decoded images, or bytes that are decoded in the same pass. Images that cannot
     be read, or whose channels differ from the settings, get a null and an ``error``.
     """
-    names = ["pixel_values", "channels", "height", "width", "error"]
-    shape = "pixel_values array<float>, channels int, height int, width int, error string"
-
-    def table(rows: list[tuple]) -> pd.DataFrame:
-        result = pd.DataFrame(rows, columns=names, dtype=object)
-        return result.astype({c: "Int32" for c in names[1:4]})
+    stored = isinstance(df.schema[image].dataType, T.BinaryType)
 
-    @F.pandas_udf(shape)
-    def from_bytes(cells: pd.Series) -> pd.DataFrame:
+    def prepare(cells: Iterator[tuple]) -> Iterator[tuple]:
         read = decoder or default_decoder()
-        rows = []
-        for cell in cells:
-            pixels, problem = decode_cell(cell, read)
-            rows.append((None, None, None, None, problem) if pixels is None else pixel_row(pixels, spec))
-        return table(rows)
-
-    @F.pandas_udf(shape)
-    def from_images(cells: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for height, width, channels, data in cells[["height", "width", "channels", "data"]].itertuples(index=False):
-            if data is None:
-                rows.append((None,) * 5)
-                continue
-            pixels = np.frombuffer(data, dtype=np.uint8).reshape(int(height), int(width), int(channels))
-            rows.append(pixel_row(pixels, spec))
-        return table(rows)
-
-    stored = isinstance(df.schema[image].dataType, T.BinaryType)
-    # Declared not deterministic, so that a later filter does not run it a second time.
-    prepare = (from_bytes if stored else from_images).asNondeterministic()
-    earlier = F.col(error) if error in df.columns else F.lit(None).cast("string")
-    done = df.withColumn("__p", prepare(image))
-    return done.withColumns(
-        {
-            **{name: F.col(f"__p.{name}") for name in names[:4]},
-            error: F.coalesce(earlier, F.col("__p.error")),
-        }
-    ).drop("__p")
+        for (cell,) in cells:
+            if stored:
+                pixels, problem = decode_cell(cell, read)
+            else:
+                pixels, problem = image_array(cell), None
+            yield (None, None, None, None, problem) if pixels is None else pixel_row(pixels, spec)
+
+    added = "pixel_values array<float>, channels int, height int, width int, __error string"
+    return with_first_error(add_columns(df, [image], added, prepare), error)

@@ -28,7 +28,7 @@ def pixel_spec(job: ImageClassJob | CaptionJob) -> PixelSpec:
 
 
 def image_prepare(df: DataFrame, job: ImageClassJob | CaptionJob) -> DataFrame:
-    """Fetch, decode and normalise: adds ``pixel_values``, its shape, and ``error``.
+    """Fetch, decode and normalise: replaces the image by ``pixel_values``, its shape, and ``error``.
 
     Fetched bytes are stored; decoding and pixel work are one pass over them.
     """
@@ -39,6 +39,7 @@ def image_prepare(df: DataFrame, job: ImageClassJob | CaptionJob) -> DataFrame:
         timeout_s=job.requests_timeout,
         partitions=job.processing_num_workers,
     )
+    loaded = loaded.drop(job.image_column_name)
     return to_pixels(loaded, pixel_spec(job), "__content").drop("__content")
 
 
@@ -64,7 +65,7 @@ def image_class_rows(df: DataFrame, job: ImageClassJob) -> DataFrame:
     wanted = [c for c in ("split", "shard", key, image, label) if c in df.columns]
     prepared = image_prepare(first_rows(df.select(*dict.fromkeys(wanted)), job), job)
     missing = F.when(F.col(label).isNull(), F.lit("no label"))
-    return prepared.withColumn("error", F.coalesce("error", missing)).drop(image)
+    return prepared.withColumn("error", F.coalesce("error", missing))
 
 
 def image_class_batches(df: DataFrame, job: ImageClassJob, labels: DataFrame | None = None) -> DataFrame:
@@ -86,7 +87,7 @@ def caption_rows(df: DataFrame, job: CaptionJob, vocab: DataFrame | None = None)
     rows = first_rows(df, job).select(*wanted, printed.alias("caption"))
     if vocab is None:
         vocab = token_vocab(rows, ["caption"], job)
-    prepared = image_prepare(rows, job).drop(image)
+    prepared = image_prepare(rows, job)
     coded = encode(prepared, "caption", encoder_spec(job, job.max_length), vocab, key=[key])
     return coded.withColumn("attention_mask", attention_mask(F.col("input_ids"))).drop("caption")
 

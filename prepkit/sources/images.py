@@ -6,8 +6,9 @@ A decoded image is a struct ``height, width, channels, data`` with bytes row by
 from __future__ import annotations
 
 import urllib.request
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepkit.functions.png import decode_png
+from prepkit.operators.maps import add_columns
 from prepkit.session import pin
 
 IMAGE = "struct<height:int,width:int,channels:int,data:binary>"
@@ -40,13 +42,13 @@ def fetch(
         except (OSError, ValueError) as error:
             return None, f"fetch: {type(error).__name__}"
 
-    @F.pandas_udf("content binary, error string")
-    def get_all(addresses: pd.Series) -> pd.DataFrame:
+    def get_all(cells: Iterator[tuple]) -> Iterator[tuple]:
+        # A few requests per thread at a time, so that few answers wait in memory.
         with ThreadPoolExecutor(threads) as pool:
-            return pd.DataFrame(list(pool.map(get, addresses)), columns=["content", "error"], dtype=object)
+            while part := [address for (address,) in islice(cells, 2 * threads)]:
+                yield from pool.map(get, part)
 
-    fetched = df.withColumn("__f", get_all.asNondeterministic()(url))
-    return fetched.withColumns({"content": F.col("__f.content"), "error": F.col("__f.error")}).drop("__f")
+    return add_columns(df, [url], "content binary, error string", get_all)
 
 
 def fetch_stored(df: DataFrame, url: str, **options) -> DataFrame:
@@ -90,25 +92,25 @@ def decode_images(
 ) -> DataFrame:
     """Add the decoded image, null where the bytes cannot be read, and say why in ``error``."""
 
-    @F.pandas_udf(f"image {IMAGE}, error string")
-    def decode_all(cells: pd.Series) -> pd.DataFrame:
+    def decode_all(cells: Iterator[tuple]) -> Iterator[tuple]:
         read = decoder or default_decoder()
-        rows = []
-        for cell in cells:
+        for (cell,) in cells:
             pixels, problem = decode_cell(cell, read)
-            image = None
-            if pixels is not None:
-                height, width, channels = pixels.shape
-                image = {"height": height, "width": width, "channels": channels, "data": pixels.tobytes()}
-            rows.append((image, problem))
-        return pd.DataFrame(rows, columns=["image", "error"], dtype=object)
-
-    # Declared not deterministic, so that a later filter does not run it a second time.
-    decoded = df.withColumn("__d", decode_all.asNondeterministic()(content))
+            if pixels is None:
+                yield None, problem
+                continue
+            height, width, channels = pixels.shape
+            yield {"height": height, "width": width, "channels": channels, "data": pixels.tobytes()}, None
+
+    return with_first_error(add_columns(df, [content], f"__image {IMAGE}, __error string", decode_all), error).withColumnRenamed(
+        "__image", out
+    )
+
+
+def with_first_error(df: DataFrame, error: str) -> DataFrame:
+    """Merge a step's ``__error`` into ``error``; the earlier reason stays."""
     earlier = F.col(error) if error in df.columns else F.lit(None).cast("string")
-    return decoded.withColumns(
-        {out: F.col("__d.image"), error: F.coalesce(earlier, F.col("__d.error"))}
-    ).drop("__d")
+    return df.withColumn(error, F.coalesce(earlier, F.col("__error"))).drop("__error")
 
 
 def read_image_folder(spark: SparkSession, path: str, drop_invalid: bool = False) -> DataFrame:
@@ -184,11 +186,7 @@ def load_images(df: DataFrame, col: str, out: str = "image", **options) -> DataF
 def load_mixed(df: DataFrame, binary: str, url: str, out: str = "image", **options) -> DataFrame:
     """Rows carry either bytes or a URL: bytes are used first, the rest is fetched."""
     missing = F.when(F.col(binary).isNull(), F.col(url))
-    fetched = fetch_stored(df.withColumn("__url", missing), "__url", **options)
-    return decode_images(
-        fetched.withColumn("content", F.coalesce(F.col(binary), F.col("content"))).withColumn(
-            "error", F.when(F.col("content").isNull(), F.col("error"))
-        ),
-        "content",
-        out,
-    ).drop("content", "__url")
+    fetched = fetch_stored(df.withColumn("__url", missing), "__url", **options).drop("__url")
+    content = F.coalesce(F.col(binary), F.col("content"))
+    reason = F.when(F.col(binary).isNull(), F.col("error"))
+    return decode_images(fetched.withColumns({"content": content, "error": reason}), "content", out).drop("content")
