@@ -39,4 +39,5 @@ def resize(image: np.ndarray, height: int, width: int, resample: str) -> np.ndar
     """Resize a height x width x channels array; values stay within 0..255, unrounded."""
     rows = axis_weights(image.shape[0], height, resample)
     cols = axis_weights(image.shape[1], width, resample)
-    return np.clip(np.einsum("ih,hwc,jw->ijc", rows, image.astype("float64"), cols, optimize=True), 0.0, 255.0)
+    tall = np.tensordot(rows, image.astype("float64"), axes=(1, 0))
+    return np.clip(np.tensordot(cols, tall, axes=(1, 1)).transpose(1, 0, 2), 0.0, 255.0)

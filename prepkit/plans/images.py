@@ -19,7 +19,7 @@ from prepkit.operators.labels import encode_label_or_raw, label_vocab
 from prepkit.operators.pixels import PixelSpec, to_pixels
 from prepkit.operators.tokens import attention_mask, encode
 from prepkit.plans.common import batch_size, encoder_spec, first_rows, token_vocab
-from prepkit.session import pin
+from prepkit.session import pin, spread
 from prepkit.sources.images import load_content
 
 
@@ -33,7 +33,7 @@ def image_prepare(df: DataFrame, job: ImageClassJob | CaptionJob) -> DataFrame:
     Fetched bytes are stored; decoding and pixel work are one pass over them.
     """
     loaded = load_content(
-        df,
+        spread(df, [job.key_column_name]),
         job.image_column_name,
         "__content",
         timeout_s=job.requests_timeout,

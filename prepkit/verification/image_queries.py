@@ -20,7 +20,7 @@ from prepkit.operators.checks import keep_complete
 from prepkit.operators.maps import map_rows
 from prepkit.operators.pixels import IMAGE_MEAN, IMAGE_STD, PixelSpec
 from prepkit.plans.images import image_prepare as prepare
-from prepkit.session import pin
+from prepkit.session import pin, spread
 from prepkit.sources import images
 from prepkit.verification.registry import micro_text, query, sql_batches, sql_hash_split, sql_micro, sql_text, table, text_of
 
@@ -68,7 +68,7 @@ def vector_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``vec_id, label, px, content, url``."""
     px = table(spark, sf_dir, "embeddings").select("vec_id", "label", bytes_of_vector().alias("px"))
     # Stored once: these stand for the image cells of an input table.
-    stored = pin(map_rows(px, stored_image, "binary", "content", "px", "label"))
+    stored = pin(map_rows(spread(px, ["vec_id"]), stored_image, "binary", "content", "px", "label"))
     url = F.concat(F.lit("data:image/png;base64,"), F.regexp_replace(F.base64("content"), r"\s", ""))
     return stored.withColumn("url", F.when(F.col("label") == 9, F.lit("data:broken")).otherwise(url))
 
