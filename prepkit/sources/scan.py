@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from prepkit.session import file_exists
 
+WHOLE = "train"
+
 
 def scan_split(
     spark: SparkSession,
@@ -22,7 +24,8 @@ def scan_split(
 ) -> DataFrame:
     """One split of a dataset folder.
 
-    With ``split=`` folders the filter prunes them; otherwise the split is a plain subfolder.
+    With ``split=`` folders the filter prunes them; otherwise the split is a plain subfolder, or rows
+    with its name in a ``split`` column. A dataset without any of these is all train.
     """
     root = "/".join([path.rstrip("/"), subset]) if subset else path
     reader = spark.read.format(fmt).options(**options)
@@ -35,9 +38,11 @@ def scan_split(
     if file_exists(spark, f"{root}/{split}"):
         return reader.load(f"{root}/{split}").withColumn("split", F.lit(split))
     df = reader.load(root)
-    if "split" not in df.columns:
-        raise ValueError(f"no split {split!r} under {root}")
-    return df.where(F.col("split") == split)
+    if "split" in df.columns:
+        return df.where(F.col("split") == split)
+    if split == WHOLE:
+        return df.withColumn("split", F.lit(split))
+    raise ValueError(f"no split {split!r} under {root}")
 
 
 def union_splits(splits: Mapping[str, DataFrame]) -> DataFrame:

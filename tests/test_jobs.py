@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prepkit.__main__ import main
 from prepkit.config import (
     CaptionJob,
     ImageClassJob,
@@ -99,6 +100,7 @@ def test_scan_of_split_folders(spark, tmp_path):
     assert scan_split(spark, f"{tmp_path}/b", "train", fmt="json", schema="id long").where("split = 'train'").count() == 7
     assert scan_split(spark, f"{tmp_path}/c", "test").count() == 3
     assert scan_split(spark, f"{tmp_path}/c").count() == 10
+    assert scan_split(spark, f"{tmp_path}/b/train", "train", fmt="json").where("split = 'train'").count() == 7
     with pytest.raises(ValueError, match="no split"):
         scan_split(spark, f"{tmp_path}/b/train", "test", fmt="json")
     with pytest.raises(ValueError):
@@ -208,6 +210,15 @@ def test_text_class_job(spark, tmp_path):
     assert run_job(spark, job).count() >= 1
 
 
+def test_job_from_the_command_line(spark, tmp_path, capsys):
+    flags = ["--dataset_name", texts(spark, tmp_path), "--text_column_name", "text", "--label_column_name", "label"]
+    main(["text-class", *flags, "--output_dir", f"{tmp_path}/cli", "--logging_steps", "5", "--max_length", "2"])
+    assert "split=validation" in capsys.readouterr().out
+    assert spark.read.parquet(f"{tmp_path}/cli/batches").where("size(input_ids) > 2").count() == 0
+    with pytest.raises(SystemExit):
+        main(["translate"])
+
+
 def test_label_seen_only_in_validation(spark):
     rows = [(0, "train", "x", "a"), (1, "validation", "x", "new")]
     df = spark.createDataFrame(rows, "id int, split string, text string, label string")
