@@ -66,6 +66,8 @@ class Job:
     validation_fraction: float = 0.15
     shards: int | None = None
     vocab_size: int = 30_000
+    label_vocab_path: str | None = None
+    token_vocab_path: str | None = None
     encoder: str = "word"
     encoder_width: int | None = None
     add_special_tokens: bool | None = None
@@ -140,6 +142,7 @@ class CaptionJob(Job):
     image_height: int | None = None
     image_width: int | None = None
     max_length: int | None = None
+    caption_mode: str = "repr"
 
     def columns(self) -> list[str]:
         return [self.key_column_name, self.image_column_name, self.text_column_name]

@@ -102,6 +102,8 @@ def to_text(value: Column, dtype: T.DataType, mode: str = "repr") -> Column:
     ``repr`` prints lists the way Python does, with quotes and escapes, and a missing cell as
     ``None``; ``join`` puts the elements of a list side by side with ", ".
     """
+    if mode not in ("repr", "join"):
+        raise ValueError(f"unknown caption mode {mode!r}; use repr or join")
     if mode == "join" and isinstance(dtype, T.ArrayType):
         return F.array_join(value.cast("array<string>"), ", ")
     return _printed(value, dtype, False)

@@ -82,7 +82,7 @@ def encode_label_or_raw(df: DataFrame, vocab: DataFrame, col: str, out: str = "l
     Decided for the whole column: with declared names an integer column holds ids. Otherwise a
     label outside the vocabulary is used as it is, if it is a number.
     """
-    if declared_labels(df, col) is not None and isinstance(df.schema[col].dataType, T.IntegralType):
+    if declared_labels(df, col) is not None and isinstance(df.schema[col].dataType, T.NumericType):
         return df.withColumn(out, F.col(col).cast("int"))
     vocab = vocab.withColumn("label", F.col("label").cast("string"))
     side = small_side(vocab.select(F.col("label").alias("__label"), F.col("id").alias("__id")))

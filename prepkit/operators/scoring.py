@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 
 from prepkit.functions.bind import bind
 
-# Fixed value: keeps the logarithm finite.
+# Keeps the logarithm finite; the label that counts for nothing.
 EPSILON = 1e-10
+IGNORE = -100
 
 
 @dataclass(frozen=True)
@@ -81,8 +83,11 @@ def with_probabilities(df: DataFrame, col: str = "logits", out: str = "probabili
 
 
 def row_loss(probabilities: Column, label: Column) -> Column:
-    """Negative log of the probability of the row's label; null without a label."""
-    return -F.log(F.element_at(probabilities, label + 1) + F.lit(EPSILON))
+    """Negative log of the probability of the row's label; null without a label or for -100."""
+    wrong = F.raise_error(F.concat(F.lit("no class "), label.cast("string"))).cast("double")
+    return F.when(label != IGNORE, F.when(label < 0, wrong).otherwise(
+        -F.log(F.element_at(probabilities, label + 1) + F.lit(EPSILON))
+    ))
 
 
 def nll_loss(
@@ -116,6 +121,23 @@ def evaluate(
     return metrics_rows(summary, run, split)
 
 
+def evaluate_timed(
+    df: DataFrame,
+    vec: str,
+    label: str,
+    weights: HeadWeights | None = None,
+    split: str = "validation",
+    run: str = "run",
+) -> DataFrame:
+    """``evaluate`` carried out now, with its run time and rows per second."""
+    start = time.perf_counter()
+    found = {r["metric"]: r["value"] for r in evaluate(df, vec, label, weights, split, run).collect()}
+    seconds = time.perf_counter() - start
+    found |= {"eval_runtime": seconds, "eval_samples_per_second": found["eval_samples"] / seconds}
+    rows = [(run, split, name, value) for name, value in found.items()]
+    return df.sparkSession.createDataFrame(rows, "run string, split string, metric string, value double")
+
+
 def metrics_rows(summary: DataFrame, run: str, split: str) -> DataFrame:
     """A one-row table of numbers turned into ``(run, split, metric, value)`` rows."""
     listed = F.array(*[

@@ -82,7 +82,7 @@ def image_class_batches(df: DataFrame, job: ImageClassJob, labels: DataFrame | N
 def caption_rows(df: DataFrame, job: CaptionJob, vocab: DataFrame | None = None) -> DataFrame:
     """All rows with pixels, shape, encoded caption and mask, and an ``error`` where pixels are missing."""
     key, image, text = job.columns()
-    printed = to_text(F.col(text), df.schema[text].dataType)
+    printed = to_text(F.col(text), df.schema[text].dataType, job.caption_mode)
     wanted = [c for c in ("split", "shard", key, image) if c in df.columns]
     rows = first_rows(df, job).select(*wanted, printed.alias("caption"))
     if vocab is None:

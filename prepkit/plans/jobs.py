@@ -12,7 +12,7 @@ from prepkit.functions.text import to_text
 from prepkit.operators.checks import keep_complete, split_rejects
 from prepkit.operators.labels import build_label_vocab, label_vocab
 from prepkit.operators.splits import TRAIN
-from prepkit.operators.tokens import with_specials
+from prepkit.operators.tokens import FIRST_ID, with_specials
 from prepkit.plans.common import first_rows, load_splits, token_vocab
 from prepkit.plans.images import (
     caption_batches,
@@ -34,7 +34,9 @@ from prepkit.sinks.store import (
 
 
 def label_table(rows: DataFrame, job: Job) -> DataFrame | None:
-    """The label vocabulary of the job, stored; None for tasks without labels."""
+    """The label vocabulary of the job, given or stored; None for tasks without labels."""
+    if job.label_vocab_path:
+        return rows.sparkSession.read.parquet(job.label_vocab_path)
     if isinstance(job, TokenClassJob | ImageClassJob):
         return pin(label_vocab(rows, job.label_column_name))
     if isinstance(job, TextClassJob):
@@ -44,7 +46,9 @@ def label_table(rows: DataFrame, job: Job) -> DataFrame | None:
 
 
 def token_table(rows: DataFrame, job: Job) -> DataFrame | None:
-    """The token vocabulary of the job, stored; None for image classes and given tokenizers."""
+    """The token vocabulary of the job, given or stored; None for image classes and given tokenizers."""
+    if job.token_vocab_path:
+        return rows.sparkSession.read.parquet(job.token_vocab_path).where(F.col("id") >= FIRST_ID)
     if isinstance(job, LanguageModelJob):
         return token_vocab(lm_rows(rows, job), text_columns(job), job)
     if isinstance(job, TextClassJob):
@@ -52,7 +56,8 @@ def token_table(rows: DataFrame, job: Job) -> DataFrame | None:
         return token_vocab(used, [job.text_column_name], job)
     if isinstance(job, CaptionJob):
         text = job.text_column_name
-        printed = first_rows(rows, job).withColumn("caption", to_text(F.col(text), rows.schema[text].dataType))
+        shown = to_text(F.col(text), rows.schema[text].dataType, job.caption_mode)
+        printed = first_rows(rows, job).withColumn("caption", shown)
         return token_vocab(printed, ["caption"], job)
     return None
 

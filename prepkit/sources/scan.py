@@ -62,8 +62,12 @@ def declare_labels(df: DataFrame, col: str, listed: list[str]) -> DataFrame:
 
 
 def declared_labels(df: DataFrame, col: str) -> list[str] | None:
-    """Class names declared for a label column, or for the elements of an array of labels."""
-    listed = df.schema[col].metadata.get("names")
+    """Class names declared for a label column, or for the elements of an array of labels.
+
+    Columns made by Spark's own label indexers carry their names as well.
+    """
+    metadata = df.schema[col].metadata
+    listed = metadata.get("names") or metadata.get("ml_attr", {}).get("vals")
     return list(listed) if listed else None
 
 

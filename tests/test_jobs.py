@@ -210,6 +210,17 @@ def test_text_class_job(spark, tmp_path):
     assert run_job(spark, job).count() >= 1
 
 
+def test_validation_alone_with_given_vocabularies(spark, tmp_path):
+    settings = {"dataset_name": texts(spark, tmp_path), "text_column_name": "text", "label_column_name": "label"}
+    run_job(spark, job_from_dict(TextClassJob, settings | {"output_dir": f"{tmp_path}/first"}))
+    given = {"label_vocab_path": f"{tmp_path}/first/labels", "token_vocab_path": f"{tmp_path}/first/tokens"}
+    run_job(spark, job_from_dict(TextClassJob, settings | given | {"do_train": False, "output_dir": f"{tmp_path}/second"}))
+    first = spark.read.parquet(f"{tmp_path}/first/batches").where("split = 'validation'")
+    second = spark.read.parquet(f"{tmp_path}/second/batches")
+    assert second.select("split").distinct().count() == 1
+    assert sorted(map(str, first.select(second.columns).collect())) == sorted(map(str, second.collect()))
+
+
 def test_job_from_the_command_line(spark, tmp_path, capsys):
     flags = ["--dataset_name", texts(spark, tmp_path), "--text_column_name", "text", "--label_column_name", "label"]
     main(["text-class", *flags, "--output_dir", f"{tmp_path}/cli", "--logging_steps", "5", "--max_length", "2"])

@@ -99,3 +99,13 @@ def test_hot_label_is_encoded_whole(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("label"))
     vocab = pin(ops.build_label_vocab(df, "label"))
     assert ops.encode_label(df, vocab, "label").where("label_id is not null").count() == 3000
+
+
+def test_indexed_labels_are_declared(spark):
+    from pyspark.ml.feature import StringIndexer
+
+    df = spark.createDataFrame([("b",), ("a",), ("b",)], "name string")
+    coded = StringIndexer(inputCol="name", outputCol="label").fit(df).transform(df)
+    assert declared_labels(coded, "label") == ["b", "a"]
+    got = ops.encode_label_or_raw(coded, ops.label_vocab(coded, "label"), "label")
+    assert {(r["name"], r["label_id"]) for r in got.collect()} == {("b", 0), ("a", 1)}

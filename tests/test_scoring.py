@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from prepkit.operators import scoring as ops
@@ -75,3 +76,19 @@ def test_softmax_matches_numpy(spark, n):
     got = spark.createDataFrame([(z.tolist(),)], "z array<double>").select(ops.softmax(F.col("z")).alias("p")).first()["p"]
     e = np.exp(z - z.max())
     assert np.allclose(got, e / e.sum())
+
+
+def test_ignored_and_impossible_labels(spark):
+    df = spark.createDataFrame([([0.0, 0.0], -100), ([0.0, 0.0], 1)], "z array<double>, label int")
+    assert math.isclose(ops.nll_loss(ops.with_probabilities(df, "z")).first()["loss"], -math.log(0.5 + 1e-10))
+    for bad in (-1, 2):
+        wrong = spark.createDataFrame([([0.0, 0.0], bad)], "z array<double>, label int")
+        with pytest.raises(PySparkException):
+            ops.nll_loss(ops.with_probabilities(wrong, "z")).collect()
+
+
+def test_timed_evaluation(spark):
+    df = spark.createDataFrame([("validation", [0.0, 0.0], 0)] * 3, "split string, z array<double>, label int")
+    found = {r["metric"]: r["value"] for r in ops.evaluate_timed(df, "z", "label").collect()}
+    assert set(found) == {"eval_loss", "eval_samples", "eval_runtime", "eval_samples_per_second"}
+    assert math.isclose(found["eval_samples_per_second"] * found["eval_runtime"], 3)
