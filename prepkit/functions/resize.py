@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 
@@ -21,9 +19,22 @@ def _cubic(x: np.ndarray, a: float = -0.5) -> np.ndarray:
 FILTERS = {"bilinear": _triangle, "bicubic": _cubic}
 
 
-@lru_cache(maxsize=256)
+# Matrices made so far in this worker; a plain dict, which travels with the functions that use it.
+_made: dict[tuple[int, int, str], np.ndarray] = {}
+MADE_LIMIT = 64
+
+
 def axis_weights(old: int, new: int, resample: str) -> np.ndarray:
     """A new x old matrix; each row sums to 1."""
+    found = _made.get((old, new, resample))
+    if found is None:
+        if len(_made) >= MADE_LIMIT:
+            _made.clear()
+        found = _made[(old, new, resample)] = _weights(old, new, resample)
+    return found
+
+
+def _weights(old: int, new: int, resample: str) -> np.ndarray:
     scale = old / new
     centres = (np.arange(new) + 0.5) * scale
     if resample == "nearest":

@@ -48,17 +48,18 @@ def mean_pool(
 
 def score_head(df: DataFrame, col: str, weights: HeadWeights, out: str = "logits") -> DataFrame:
     """Add linear -> ReLU -> linear scores of a vector column, one matrix product per Arrow batch."""
-    shared = df.sparkSession.sparkContext.broadcast(weights)
+    parts = (weights.hidden, weights.hidden_bias, weights.output, weights.output_bias)
+    shared = df.sparkSession.sparkContext.broadcast(parts)
 
     @F.pandas_udf("array<double>")
     def score(vectors: pd.Series) -> pd.Series:
-        w = shared.value
+        hidden_weights, hidden_bias, output_weights, output_bias = shared.value
         given = [v for v in vectors if v is not None]
         if not given:
             return pd.Series([None] * len(vectors), dtype=object)
         x = np.stack(given).astype("float64")
-        hidden = np.maximum(x @ w.hidden.T + w.hidden_bias, 0.0)
-        scores = iter(hidden @ w.output.T + w.output_bias)
+        hidden = np.maximum(x @ hidden_weights.T + hidden_bias, 0.0)
+        scores = iter(hidden @ output_weights.T + output_bias)
         return pd.Series([None if v is None else next(scores) for v in vectors], dtype=object)
 
     return df.withColumn(out, score(col))
