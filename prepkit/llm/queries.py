@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepkit.llm import decontaminate, substring_dedup
+from prepkit.llm import (
+    chat,
+    decontaminate,
+    host_quality,
+    html_text,
+    jaccard_join,
+    licenses,
+    packing,
+    pii,
+    substring_dedup,
+    token_counts,
+)
 from prepkit.verification.registry import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +40,73 @@ def _query(sql: str | None = None) -> Callable[[Query], Query]:
 SPACED = r"'[^\x20\x09-\x0D]+'"
 LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Speaker marks of the transcripts that ``op1_chat`` makes of conversations, by role and style.
+STYLES = {
+    "system": ("System: ", "### System: ", "[system] ", "Context: "),
+    "user": ("User: ", "### Human: ", "[user] ", "Q: "),
+    "assistant": ("Assistant: ", "### Assistant: ", "[assistant] ", "A: "),
+}
+
+
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """Conversations as transcript lines, with their true states.
+
+    Each conversation has one of four styles of speaker marks, and one turn in five has no mark; both
+    follow hashes of the ids.
+    """
+    role = F.col("role")
+    number, mark = F.lit(None).cast("int"), F.lit("")
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(4)).cast("int")
+    for k, name in enumerate(chat.ROLES):
+        number = F.when(role == name, 2 * k).otherwise(number)
+        mark = F.when(role == name, F.get(F.array(*map(F.lit, STYLES[name])), style)).otherwise(mark)
+    marked = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(5)) != 0
+    turns = conversations.select(
+        "conv_id", "turn", number.alias("number"), F.when(marked, mark).otherwise("").alias("mark"),
+        F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("part", "line"),
+    )
+    return turns.select(
+        "conv_id", "turn", "part", F.concat(F.when(F.col("part") == 0, F.col("mark")).otherwise(""), "line").alias("line"),
+        (F.col("number") + (F.col("part") > 0).cast("int")).alias("state"),
+    )
+
+
+@_query()
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns recovered from transcripts of all conversations."""
+    lines = transcripts(table(spark, sf_dir, "conversations"))
+    lines = chat.ordered(lines, "conv_id", ["turn", "part"], "line", "state")
+    return chat.parse(lines, chat.fit(lines)).withColumnRenamed("key", "conv_id")
+
+
+@_query(
+    f"""
+    with recursive d as (select doc_id, coalesce(regexp_extract_all({LOWERED}, {SPACED}), []) as w from documents),
+    s as (select distinct doc_id, array_to_string(w[p:p + 4], ' ') as g from
+      (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2)::bigint)) as p from d where len(w) > 0)),
+    n as (select doc_id, count(*) as n from s group by doc_id),
+    o as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b using (g)
+      where a.doc_id < b.doc_id group by all),
+    l as (select x, y from o join n nx on nx.doc_id = x join n ny on ny.doc_id = y
+      where 100 * c >= 80 * (nx.n + ny.n - c)),
+    e as (select x, y from l union all select y, x from l),
+    r as (select x, y from e union select r.x, e.y from r join e on r.y = e.x)
+    select d.doc_id, coalesce(n, 0)::bigint as n_shingles, least(d.doc_id, coalesce(least_y, d.doc_id)) as component_id
+    from d left join n using (doc_id)
+    left join (select x as doc_id, min(y) as least_y from r group by x) using (doc_id)
+    """
+)
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose 5-word shingles overlap by four fifths."""
+    return jaccard_join.link_classes(table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
 
 @_query(
     f"""
@@ -78,3 +157,84 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@_query()
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by byte-pair merging."""
+    found = token_counts.count_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+    return found.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@_query(
+    f"""
+    with d as (select doc_id, source, coalesce(text, '') as t from documents),
+    m as (select doc_id, source, t, regexp_extract_all(t, {SPACED}) as w,
+      list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, {SPACED})) as ls from d),
+    f as (select doc_id, source, w, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+      len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint as n_symbols, len(ls)::bigint as n_lines,
+      (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines from m),
+    g as (select doc_id, p, md5(array_to_string(w[p:p + 7], ' ')) as h from
+      (select doc_id, w, unnest(range(1, greatest(len(w) - 6, 1)::bigint)) as p from f)),
+    again as (select doc_id, h from g group by doc_id, h having count(*) > 1),
+    r as (select doc_id, count(distinct q) as n from
+      (select doc_id, unnest(range(p, p + 8)) as q from g join again using (doc_id, h)) group by doc_id),
+    x as (select doc_id, source, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n, 0)::bigint as n_repeat_words,
+      n_words < 20 or 100 * coalesce(n, 0) > 30 * n_words as base_failed,
+      (100 * n_symbols > 20 * n_words)::int + (100 * n_dup_lines > 30 * n_lines)::int
+        + (word_chars < 2 * n_words or word_chars > 16 * n_words)::int as soft
+      from f left join r using (doc_id)),
+    hosts as (select source, count(*) as n, sum((base_failed or soft > 0)::int)::double as bad from x group by source),
+    prior as (select coalesce(avg(bad / n), 0) as mean, greatest(coalesce(var_pop(bad / n), 0)
+      - coalesce(avg(bad / n * (1 - bad / n) / n), 0), 1e-6) as between_hosts from hosts),
+    p2 as (select mean, greatest(mean * (1 - mean) / between_hosts - 1, 1) as strength from prior),
+    v as (select source, case when (bad + mean * strength) / (n + strength) > 0.5 then 0
+      when (bad + mean * strength) / (n + strength) < 0.5 * mean then 1 else 0 end as allowed from hosts, p2)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+      not base_failed and soft <= allowed as kept
+    from x join v on x.source is not distinct from v.source
+    """
+)
+def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document, with the source as its host."""
+    judged = host_quality.judge(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@_query()
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of binary length."""
+    return packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), ids=False
+    )
+
+
+@_query()
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    listed = F.transform("matches", lambda m: F.concat_ws(":", m["template"], m["start"], m["end"]))
+    return found.select(
+        "doc_id", "n_words", F.size("matches").cast("long").alias("n_matches"), F.array_join(listed, ",").alias("matches")
+    )
+
+
+def _listed(kept):
+    return F.array_join(F.transform(kept, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@_query()
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base spans, and those that the classifier adds."""
+    found = pii.find_personal(table(spark, sf_dir, "documents")).withColumn(
+        "base", F.filter("spans", lambda s: s["base"])
+    )
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "row.doc_id", *(count(k).alias(f"n_{k}") for k in pii.BASE),
+        F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"), _listed("spans").alias("spans"),
+    )
