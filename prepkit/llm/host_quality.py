@@ -1,9 +1,9 @@
 """Quality rules with host verdicts, in DataFrame expressions only.
 
 Each document is measured once (words, symbols, repeated lines, repeated 8-word windows) and the measures
-are stored, without the texts unless these are asked for. Rule failures are counted per host, where partial sums take the heat off a
-host of many rows. Host rates are shrunk towards all hosts by a beta prior fitted to them by moments, and
-the verdict on the host (trusted, usual, bad) is joined back to its documents. A document goes if it fails
+are stored, without the texts unless these are asked for. Rule failures are counted per host, where
+partial sums take the heat off a host of many rows. Host rates are shrunk towards all hosts by a beta
+prior fitted to them by moments, and the verdict on the host (trusted, usual, bad) is joined back to its documents. A document goes if it fails
 the base rule, or more of the softer rules than its host is allowed: one on a trusted host, else none.
 A document that fails no rule stays on any host.
 
@@ -94,25 +94,28 @@ def soft_failures() -> Column:
 def host_verdicts(measures: DataFrame) -> DataFrame:
     """``host, n_docs, n_failed, rate, verdict`` from the measures of all documents.
 
-    The prior has the mean of the hosts' rates and the variance left after what sampling explains.
+    Hosts weigh as much as they have documents. The prior has the mean rate, and of the variance between
+    rates the part that sampling does not explain.
     """
     failed = (base_failed() | (soft_failures() > 0)).cast("long")
     hosts = measures.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(failed).alias("n_failed"))
     hosts = pin(hosts, "hosts")
-    rate = F.col("n_failed") / F.col("n_docs")
-    mean, spread, by_chance = hosts.agg(
-        F.avg(rate), F.var_pop(rate), F.avg(rate * (1 - rate) / F.col("n_docs"))
+    failed, docs, count, squares = hosts.agg(
+        F.sum("n_failed"), F.sum("n_docs"), F.count(F.lit(1)), F.sum(F.col("n_failed") ** 2 / F.col("n_docs"))
     ).first()
-    mean = 0.0 if mean is None else mean
-    between = max((spread or 0.0) - (by_chance or 0.0), 1e-6)
+    mean = failed / docs if docs else 0.0
+    spread = squares / docs - mean * mean if docs else 0.0
+    between = max(spread - count * mean * (1 - mean) / max(docs or 0, 1), 1e-6)
     strength = max(mean * (1 - mean) / between - 1, 1.0)
     shrunk = (F.col("n_failed") + mean * strength) / (F.col("n_docs") + strength)
     verdict = F.when(shrunk > BAD_RATE, "bad").when(shrunk < TRUSTED_SHARE * mean, "trusted").otherwise("usual")
     return hosts.withColumn("rate", shrunk).withColumn("verdict", verdict)
 
 
-def judge(docs: DataFrame, text: str = "text", host: str = "source", carried: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The measures of every row with ``base_failed, soft_failed, verdict, kept`` and the carried columns in ``row``."""
+def judge(
+    docs: DataFrame, text: str = "text", host: str = "source", carried: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """The measures of every row, ``base_failed, soft_failed, verdict, kept``, and the carried columns in ``row``."""
     measures = pin(measure(docs, text, host, carried), "measures")
     hosts = small_side(host_verdicts(measures).select(F.col("host").alias("h"), "verdict"))
     judged = measures.join(hosts, measures["host"].eqNullSafe(hosts["h"])).drop("h")

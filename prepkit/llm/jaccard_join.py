@@ -155,7 +155,7 @@ def _members(shared: DataFrame) -> DataFrame:
                     [pa.array(np.concatenate(cells).view(np.int64)), pa.array(nodes)], ["tree", "node"]
                 )
 
-    return shared.mapInArrow(unfold, "tree long, node long").distinct()
+    return shared.mapInArrow(unfold, "tree long, node long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:

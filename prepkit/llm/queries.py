@@ -187,9 +187,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         + (word_chars < 2 * n_words or word_chars > 16 * n_words)::int as soft
       from f left join r using (doc_id)),
     hosts as (select source, count(*) as n, sum((base_failed or soft > 0)::int)::double as bad from x group by source),
-    prior as (select coalesce(avg(bad / n), 0) as mean, greatest(coalesce(var_pop(bad / n), 0)
-      - coalesce(avg(bad / n * (1 - bad / n) / n), 0), 1e-6) as between_hosts from hosts),
-    p2 as (select mean, greatest(mean * (1 - mean) / between_hosts - 1, 1) as strength from prior),
+    prior as (select sum(bad) / sum(n) as mean, sum(bad * bad / n) / sum(n) as squares, count(*) / sum(n) as few
+      from hosts),
+    p2 as (select mean, greatest(mean * (1 - mean) / greatest(squares - mean * mean - few * mean * (1 - mean), 1e-6)
+      - 1, 1) as strength from prior),
     v as (select source, case when (bad + mean * strength) / (n + strength) > 0.5 then 0
       when (bad + mean * strength) / (n + strength) < 0.5 * mean then 1 else 0 end as allowed from hosts, p2)
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
