@@ -16,6 +16,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prepkit.llm.words import mix
+
 #: Hashes packed at a time by a task, and hashes that a range should hold.
 RUN, RANGE = 1 << 21, 1 << 22
 #: Stands for a null key, which so is the smallest.
@@ -26,7 +28,7 @@ Entries = Iterator[tuple[np.ndarray, np.ndarray]]
 
 def range_count(df: DataFrame, expected: int) -> int:
     """A power of two: ranges of at most about ``RANGE`` hashes, and enough of them for all tasks."""
-    wanted = max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-expected // RANGE))
+    wanted = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-expected // RANGE))
     return 1 << max(1, int(wanted - 1).bit_length())
 
 
@@ -71,8 +73,8 @@ def shared_hashes(
 ) -> DataFrame:
     """``key, hashes``: for a key, packed hashes of its own that also occur under another (smaller) key.
 
-    ``entries`` turns an Arrow batch of ``df`` into arrays of hashes and their 64-bit keys. A key has a row
-    for every range and run in which something was found; a hash may be listed twice.
+    ``entries`` turns an Arrow batch of ``df`` into arrays of hashes and their 64-bit keys. What the ranges
+    find is packed again, by ranges of mixed keys, so that each key gets one row with its distinct hashes.
     """
     bits = np.uint64(64 - (ranges.bit_length() - 1))
 
@@ -90,8 +92,7 @@ def shared_hashes(
                 yield _cells(hashes[own], keys[own], np.array([0, own.sum()]), [place])
             hashes = hashes[begin]
             which = (hashes >> bits).astype(np.int64)
-            cut = np.flatnonzero(np.diff(which)) + 1
-            cut = np.concatenate(([0], cut, [len(which)]))
+            cut = _cuts(which)
             yield _cells(hashes, least, cut, which[cut[:-1]])
 
         for batch in batches:
@@ -105,30 +106,40 @@ def shared_hashes(
             yield from flush()
 
     def answer(key, table):
-        hashes = np.concatenate([unpacked(c) for c in table.column("hashes").to_pylist()])
-        keys = np.concatenate([unpacked(c).view(np.int64) for c in table.column("keys").to_pylist()])
+        hashes, keys = _joined(table)
         if key[0].as_py() >= 0:
             hashes, keys, _, size, least, most = _groups(hashes, keys)
             which = _found(hashes, keys, size, least, most, later)
             hashes, keys = hashes[which], keys[which]
-        order = np.argsort(keys, kind="stable")
+        place = (mix(keys.view(np.uint64)) >> bits).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        place = place[order]
+        cut = _cuts(place)
+        return pa.Table.from_batches([_cells(hashes[order], keys[order], cut, place[cut[:-1]])])
+
+    def gather(key, table):
+        hashes, keys = _joined(table)
+        order = np.lexsort((hashes, keys))
         hashes, keys = hashes[order], keys[order]
-        cut = np.concatenate(([0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)])) if len(keys) else np.zeros(1, int)
-        bounds = zip(cut[:-1], cut[1:], strict=True)
-        return pa.table(
-            {
-                "key": pa.array(keys[cut[:-1]], pa.int64()),
-                "hashes": pa.array([packed(hashes[a:b]) for a, b in bounds], pa.binary()),
-            }
-        )
-
-    cells = df.mapInArrow(pack, "range long, hashes binary, keys binary")
-    return cells.groupBy("range").applyInArrow(answer, "key long, hashes binary")
-
-
-def as_set(cells: list[bytes] | None) -> np.ndarray:
-    """The distinct hashes of packed cells, sorted."""
-    return np.unique(np.concatenate([unpacked(c) for c in cells])) if cells else np.zeros(0, np.uint64)
+        fresh = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (keys[1:] != keys[:-1])))
+        hashes, keys = hashes[fresh], keys[fresh]
+        cut = _cuts(keys)
+        cells = [packed(hashes[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        return pa.table({"key": pa.array(keys[cut[:-1]], pa.int64()), "hashes": pa.array(cells, pa.binary())})
+
+    shape = "range long, hashes binary, keys binary"
+    found = df.mapInArrow(pack, shape).groupBy("range").applyInArrow(answer, shape)
+    return found.groupBy("range").applyInArrow(gather, "key long, hashes binary")
+
+
+def _joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    hashes = np.concatenate([unpacked(c) for c in table.column("hashes").to_pylist()])
+    return hashes, np.concatenate([unpacked(c).view(np.int64) for c in table.column("keys").to_pylist()])
+
+
+def _cuts(values: np.ndarray) -> np.ndarray:
+    """Bounds of the runs of equal values."""
+    return np.concatenate(([0], np.flatnonzero(np.diff(values)) + 1, [len(values)])) if len(values) else np.zeros(1, int)
 
 
 def is_in(hashes: np.ndarray, held: np.ndarray) -> np.ndarray:

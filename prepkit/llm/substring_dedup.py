@@ -58,7 +58,7 @@ def _window_entries(batch):
         cut = np.searchsorted(found.row[place], np.arange(len(keys) + 1))
         for r, held in enumerate(cells.to_pylist()):
             own = slice(cut[r], cut[r + 1])
-            shared = place[own][X.is_in(hashes[own], X.as_set(held))]
+            shared = place[own][X.is_in(hashes[own], X.unpacked(held))]
             for back in range(PERIOD):
                 begins[np.maximum(shared - back, found.first[r])] = True
         chosen = begins[wide]
@@ -71,8 +71,7 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     ranges = X.range_count(docs, size * len(COVER) // (6 * PERIOD))
     anchors = pin(X.shared_hashes(cells, _anchor_entries, ranges), "anchors")
-    some = cells.join(small_side(anchors.select("key").distinct()), "key", "left_semi")
-    some = some.join(anchors.groupBy("key").agg(F.collect_list("hashes").alias("hashes")), "key")
+    some = cells.join(small_side(anchors.select("key")), "key", "left_semi").join(anchors, "key")
     return pin(X.shared_hashes(some.select("key", "text", "hashes"), _window_entries, ranges, later=True), "windows")
 
 
@@ -91,7 +90,7 @@ def _kept(held_column: int | None, texts: bool):
                     begins = []
                     for r, held in enumerate(batch.column(held_column).slice(chunk.low, n).to_pylist()):
                         own = slice(cut_at[r], cut_at[r + 1])
-                        begins.append(wide[own][X.is_in(hashes[own], X.as_set(held))])
+                        begins.append(wide[own][X.is_in(hashes[own], X.unpacked(held))])
                     removed = W.covered(np.concatenate(begins), WINDOW, len(removed))
                 gone = np.concatenate(([0], np.cumsum(removed)))[found.first]
                 kept = [
@@ -133,11 +132,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", tex
     """
     held = repeated_windows(docs, key, text)
     cells = docs.select(X.safe_key(key).alias("key"), F.col(text).alias("text"))
-    ids = held.select("key").distinct()
+    ids = small_side(held.select("key"))
     shape = "key long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    clean = cells.join(small_side(ids), "key", "left_anti").mapInArrow(_kept(None, texts), shape)
-    some = cells.join(small_side(ids), "key", "left_semi")
-    some = some.join(held.groupBy("key").agg(F.collect_list("hashes").alias("hashes")), "key")
+    clean = cells.join(ids, "key", "left_anti").mapInArrow(_kept(None, texts), shape)
+    some = cells.join(ids, "key", "left_semi").join(held, "key")
     cut = some.select("key", "text", "hashes").mapInArrow(_kept(2, texts), shape)
     out = clean.unionByName(cut).withColumn("key", F.nullif("key", F.lit(X.NULL_KEY)))
     return out.select(F.col("key").alias(key), "n_words", "n_removed", "kept_sha256", *(["kept_text"] if texts else []))
