@@ -1,7 +1,7 @@
 """N-gram Jaccard join by trees over count vectors.
 
 A document's set of 5-word shingles is hashed into groups; how many shingles fall into each group is its
-point, with a dimension for every four to eight shingles. Two sets cannot share more than the sum of the
+point, with a dimension for every two to four shingles. Two sets cannot share more than the sum of the
 smaller of their two counts over all groups, and boxes around points cannot promise more than the sum of
 their smaller upper bounds; pairs of boxes and of points that cannot reach the similarity are dropped, the
 others are verified shingle by shingle.
@@ -9,10 +9,11 @@ others are verified shingle by shingle.
 No tree holds all points. Sets of a similarity of 0.8 share one of their first ``n/5 + 1`` shingles in any
 common order, so there is a tree per such shingle with two or more sets; shingles that a great many
 documents hold come last in the order, which keeps shared passages out of the trees. Trees with the same
-members are one tree. Equal sets are one point. Before points are joined, each is verified against the
-smallest member of its trees, and components are formed: boxes whose points belong to one component need
-no join any more, so thousands of near copies cost about one verification each. A tree of many points is
-joined in pairs of blocks.
+members are one tree. Equal sets are one point. Before points are joined, each is bounded and verified
+against the smallest member of its trees, and components are formed: boxes whose points belong to one
+component need no join any more, so thousands of near copies cost about one verification each. A tree of
+many points is joined in pairs of blocks. Whole sets are made again, from the texts, of the members of
+surviving pairs only.
 
 Defined cases: a text without words or a null text has an empty set, which links with nothing; fewer words
 than five are one shingle; rows that share an id are separate sets; a null id is smaller than all others.
@@ -37,7 +38,7 @@ SHINGLE = 5
 #: Similarity as a fraction.
 PART, WHOLE = 4, 5
 #: Shingles put last in the order of all: at most so many, each met so often in one run of input.
-COMMON, COMMON_IN_RUN = 65_536, 32
+COMMON, COMMON_IN_RUN = 1 << 18, 8
 #: Points joined at a time, and boxes or points in a box.
 BLOCK, FAN = 2048, 8
 
@@ -66,7 +67,7 @@ def _name(own: np.ndarray) -> int:
 
 def _groups(n: int) -> int:
     """Groups of a set of ``n`` shingles: a power of two, from 16."""
-    return max(16, 1 << max(0, (n // 4).bit_length() - 1))
+    return max(16, 1 << max(0, (n // 2).bit_length() - 1))
 
 
 def _point(own: np.ndarray) -> np.ndarray:
@@ -158,8 +159,35 @@ def _members(shared: DataFrame) -> DataFrame:
     return shared.mapInArrow(unfold, "tree long, node long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sets reach the similarity."""
+def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose counts allow the similarity."""
+
+    def compare(batches):
+        for batch in batches:
+            good = []
+            for m, n, x, y in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
+                x, y = np.frombuffer(x, "<u2").astype(np.int64), np.frombuffer(y, "<u2").astype(np.int64)
+                width = min(len(x), len(y))
+                most = int(np.minimum(_fold(x, width), _fold(y, width)).sum())
+                good.append(WHOLE * m >= PART * n and WHOLE * n >= PART * m and (PART + WHOLE) * most >= PART * (m + n))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    of = lambda name, n, point: points.select(
+        F.col("node").alias(name), F.col("n").alias(n), F.col("point").alias(point)
+    )
+    joined = pairs.join(of("a", "m", "x"), "a").join(of("b", "n", "y"), "b")
+    return joined.select("a", "b", "m", "n", "x", "y").mapInArrow(compare, "a long, b long")
+
+
+def _verified(pairs: DataFrame, filled: DataFrame, cells: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose sets reach the similarity (a stored table).
+
+    Of each set in a pair one document is read again; ``cells`` are ``key, text`` of all.
+    """
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    ids = filled.select("node", "key").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
+    ids = pin(ids.select("key").distinct(), "ids")
+    sets = pin(cells.join(small_side(ids), "key", "left_semi").mapInArrow(_whole, "node long, own binary"), "whole")
 
     def compare(batches):
         for batch in batches:
@@ -170,9 +198,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 good.append(WHOLE * both >= PART * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
+    # Rows that share an id may give a set twice, and so a pair twice; links are made distinct later.
     joined = pairs.join(sets.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
     joined = joined.join(sets.select(F.col("node").alias("a"), F.col("own").alias("x")), "a")
-    return joined.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    return pin(joined.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "links")
 
 
 class CountTree:
@@ -259,7 +288,7 @@ def tree_pairs(
         yield nodes[i[good]], nodes[j[good]]
 
 
-def _candidates(members: DataFrame, base: DataFrame) -> DataFrame:
+def _candidates(members: DataFrame, points: DataFrame) -> DataFrame:
     """``a, b``: pairs of sets of different components that the trees cannot tell apart."""
     count = members.groupBy("tree").agg(
         F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
@@ -274,7 +303,6 @@ def _candidates(members: DataFrame, base: DataFrame) -> DataFrame:
     mixed = mixed.select(
         "tree", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node", "component"
     )
-    points = base.groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point"))
     rows = mixed.join(points, "node").repartition("tree", "p", "q").sortWithinPartitions("tree", "p", "q")
     rows = rows.select("tree", "p", "q", "block", "node", "component", "n", "point")
 
@@ -319,20 +347,18 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     trees = lists.groupBy("size", "x", "y", "leader").agg(F.min("tree").alias("tree"))
     members = pin(members.join(trees.select("tree", "leader"), "tree"), "trees")
 
-    # The whole sets of the members, read again from one document of each.
     wanted = members.select("node").distinct()
-    ids = filled.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
-    ids = pin(ids.select("key").distinct(), "ids")
+    points = filled.select("node", "n", "point").join(wanted, "node", "left_semi").groupBy("node")
+    points = pin(points.agg(F.first("n").alias("n"), F.first("point").alias("point")), "points")
     cells = docs.select(X.safe_key(key).alias("key"), F.col(text).alias("text"))
-    sets = pin(cells.join(small_side(ids), "key", "left_semi").mapInArrow(_whole, "node long, own binary"), "whole")
-    sets = sets.groupBy("node").agg(F.first("own").alias("own"))
 
     pairs = members.groupBy("node").agg(F.min("leader").alias("a")).where("a < node")
-    links = pin(_verified(pairs.select("a", F.col("node").alias("b")), sets), "links")
+    pairs = pin(_bounded(pairs.select("a", F.col("node").alias("b")), points), "pairs")
+    links = _verified(pairs, filled, cells)
     known = components(links)
     placed = members.select("tree", "node").join(known, "node", "left")
     placed = pin(placed.withColumn("component", F.coalesce("component", "node")), "placed")
-    more = pin(_verified(pin(_candidates(placed, filled), "pairs"), sets), "links")
+    more = _verified(pin(_candidates(placed, points), "pairs"), filled, cells)
     known = components(links.unionByName(more)) if more.limit(1).count() else known
 
     smallest = filled.groupBy("node").agg(F.min("key").alias("least"))
