@@ -15,22 +15,20 @@ ALIASES = {
     "dataset_name_or_path": "dataset_name",
     "dataset_subset_name": "dataset_config_name",
     "preprocessing_num_workers": "processing_num_workers",
-    "config_name_or_path": "config_name",
-    "overwrite_vocab": "overwrite_vocabulary",
-    "override_vocabulary_embeddings": "overwrite_vocabulary",
 }
 
-# Settings of a training loop. They are accepted and handed on, not used here.
+# Settings of a training loop and its model. They are accepted and handed on, not used here.
 TRAINER_SETTINGS = frozenset(
     """
-    adam_beta1 adam_beta2 adam_epsilon bf16 dataloader_drop_last dataloader_num_workers
+    adam_beta1 adam_beta2 adam_epsilon bf16 config_name config_name_or_path dataloader_drop_last dataloader_num_workers
     dataloader_pin_memory ddp_backend disable_tqdm eval_accumulation_steps eval_delay eval_steps
-    eval_strategy evaluation_strategy fp16 gradient_accumulation_steps gradient_checkpointing
-    group_by_length label_smoothing_factor learning_rate load_best_model_at_end local_rank log_level
+    eval_strategy evaluation_strategy fp16 generation_max_length generation_num_beams
+    gradient_accumulation_steps gradient_checkpointing group_by_length label_smoothing_factor learning_rate load_best_model_at_end local_rank log_level
     logging_dir logging_first_step logging_steps logging_strategy lr_scheduler_type max_grad_norm
-    max_steps metric_for_best_model greater_is_better no_cuda num_train_epochs optim
-    overwrite_output_dir push_to_hub remove_unused_columns report_to resume_from_checkpoint run_name
-    save_steps save_strategy save_total_limit tf32 warmup_ratio warmup_steps weight_decay
+    max_steps metric_for_best_model greater_is_better model_name_or_path no_cuda num_train_epochs optim
+    overwrite_output_dir overwrite_vocab overwrite_vocabulary override_vocabulary_embeddings predict_with_generate
+    preprocessing_batch_size preprocessing_only push_to_hub remove_unused_columns report_to resume_from_checkpoint run_name
+    save_steps save_strategy save_total_limit tf32 use_fast_tokenizer warmup_ratio warmup_steps weight_decay
     """.split()
 )
 
@@ -42,6 +40,8 @@ class Job:
     dataset_name: str | None = None
     dataset_config_name: str | None = None
     dataset_format: str = "parquet"
+    dataset_schema: str | None = None
+    dataset_options: dict[str, str] = field(default_factory=dict)
     key_column_name: str = "id"
     train_split_name: str = "train"
     eval_split_name: str | None = None
@@ -49,22 +49,17 @@ class Job:
     max_eval_samples: int | None = None
     do_train: bool = True
     do_eval: bool = True
-    model_name_or_path: str | None = None
-    config_name: str | None = None
     tokenizer_name: str | None = None
-    use_fast_tokenizer: bool = True
-    overwrite_vocabulary: bool = False
     cache_dir: str | None = None
     overwrite_cache: bool = False
     output_dir: str | None = None
     processing_num_workers: int | None = None
-    preprocessing_batch_size: int = 1000
-    preprocessing_only: bool = False
     per_device_train_batch_size: int = 8
     per_device_eval_batch_size: int = 8
     seed: int = 42
     validation_fraction: float = 0.15
     shards: int | None = None
+    rows_per_shard: int | None = None
     vocab_size: int = 30_000
     label_vocab_path: str | None = None
     token_vocab_path: str | None = None
@@ -79,6 +74,15 @@ class Job:
         """Input columns the job reads."""
         return [self.key_column_name]
 
+    def inputs(self) -> list[str]:
+        """All columns to be loaded."""
+        return self.columns()
+
+    def shaping(self) -> dict[str, Any]:
+        """The settings that shape the prepared tables: not where they go, nor how a model is trained on them."""
+        aside = {"trainer", "output_dir", "cache_dir", "overwrite_cache", "processing_num_workers", "vector_column_name", "head_steps"}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in aside}
+
     def limits(self) -> dict[str, int | None]:
         return {"train": self.max_train_samples, "validation": self.max_eval_samples}
 
@@ -93,9 +97,6 @@ class LanguageModelJob(Job):
     do_lower_case: bool = False
     eval_split_name: str | None = "validation"
     mask_padding: bool = False
-    predict_with_generate: bool = True
-    generation_max_length: int | None = 256
-    generation_num_beams: int | None = 4
 
     def __post_init__(self) -> None:
         require_model_type(self.model_type)
@@ -112,10 +113,15 @@ class TextClassJob(Job):
     label_column_name: str | None = None
     max_length: int | None = None
     on_unknown_label: str = "error"
+    vector_column_name: str | None = None
+    head_steps: int = 100
 
     def columns(self) -> list[str]:
         return [self.key_column_name, self.text_column_name, self.label_column_name]
 
+    def inputs(self) -> list[str]:
+        return self.columns() + ([self.vector_column_name] if self.vector_column_name else [])
+
 
 @dataclass(frozen=True)
 class TokenClassJob(TextClassJob):
@@ -190,6 +196,8 @@ def job_from_json(kind: type[Job], path: str) -> Job:
 
 def _flag_value(hint: Any):
     text = str(hint)
+    if "dict" in text:
+        return json.loads
     if "bool" in text:
         return lambda v: v.lower() in ("1", "true", "yes")
     if "int" in text:
@@ -206,7 +214,7 @@ def job_from_flags(kind: type[Job], argv: Sequence[str]) -> Job:
         if f.name == "trainer":
             continue
         others = [f"--{alias}" for alias, name in ALIASES.items() if name == f.name]
-        default = None if f.default is MISSING else f.default
+        default = f.default if f.default is not MISSING else f.default_factory()
         parser.add_argument(
             f"--{f.name}", *others, dest=f.name, type=_flag_value(hints[f.name]), default=default
         )

@@ -8,7 +8,7 @@ Vocabularies over ``LITERAL_ROWS`` entries, or of very long ones, are joined ins
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,47 +39,45 @@ def literal_lookup(table: DataFrame, key: str, value: str) -> Callable[[Column],
     return find
 
 
-def joined_lookup(
-    df: DataFrame, key: Sequence[str], tokens: str, table: DataFrame, entry: str, number: str, out: str
-) -> DataFrame:
+def joined_lookup(df: DataFrame, tokens: str, table: DataFrame, entry: str, number: str, out: str) -> DataFrame:
     """The same lookup for a vocabulary of any size, as a salted equi-join.
 
-    ``key`` must identify a row. A frequent token is spread over ``SALTS`` join keys.
+    Rows are numbered first, so that they may share keys or have none, and each travels whole with its
+    first token. A frequent token is spread over ``SALTS`` join keys.
     """
-    salt = F.pmod(F.hash(*key, "__p"), F.lit(SALTS))
-    spread = df.select(*key, F.posexplode(F.col(tokens).cast("array<string>")).alias("__p", "__t")).withColumn("__s", salt)
+    row, listed = F.struct(*(F.col(f"`{c}`") for c in df.columns)), F.col(tokens).cast("array<string>")
+    numbered = df.select(F.monotonically_increasing_id().alias("__id"), row.alias("__row"), listed.alias("__l"))
+    # A missing or empty list gives one row without a token.
+    spread = numbered.select("__id", "__row", F.posexplode_outer("__l").alias("__p", "__t")).select(
+        "__id", "__p", "__t",
+        F.when(F.coalesce("__p", F.lit(0)) == 0, F.col("__row")).alias("__row"),
+        F.pmod(F.hash("__id", "__p"), F.lit(SALTS)).alias("__s"),
+    )
     salted = table.select(
         F.col(entry).cast("string").alias("__t"),
         F.col(number).alias("__n"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__s"),
     )
     hits = spread.join(salted, ["__t", "__s"], "left")
-    packed = hits.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("__p", "__n"))).alias("__l"))
-    none = F.array().cast("array<int>")
-    return (
-        df.join(packed, list(key), "left")
-        .withColumn(out, F.coalesce(F.transform("__l", lambda s: s["__n"]), F.when(F.col(tokens).isNotNull(), none)))
-        .drop("__l")
+    found = F.collect_list(F.when(F.col("__p").isNotNull(), F.struct("__p", "__n")))
+    packed = hits.groupBy("__id").agg(
+        F.any_value("__row", ignoreNulls=F.lit(True)).alias("__row"), F.array_sort(found).alias("__f")
     )
+    numbers = F.when(F.col(f"__row.`{tokens}`").isNotNull(), F.transform("__f", lambda s: s["__n"]))
+    return packed.select("__row.*", numbers.alias(out))
 
 
 def map_array(
-    df: DataFrame,
-    tokens: str,
-    table: DataFrame,
-    entry: str,
-    number: str,
-    out: str,
-    key: Sequence[str] | None = None,
-    default: int | None = None,
+    df: DataFrame, tokens: str, table: DataFrame, entry: str, number: str, out: str, default: int | None = None
 ) -> DataFrame:
-    """Add ``out``: the number of each element of ``tokens``, ``default`` where it is not in ``table``."""
+    """Add ``out``: the number of each element of ``tokens``, ``default`` where it is not in ``table``.
+
+    ``table`` holds an entry once. The way taken depends on its size, the result does not.
+    """
     missing = F.lit(default).cast("int")
     find = literal_lookup(table, entry, number)
     if find is not None:
         found = find if default is None else lambda token: F.coalesce(find(token), missing)
         return df.withColumn(out, F.transform(F.col(tokens), found))
-    if not key:
-        raise ValueError("the vocabulary is too long for a literal: a row key is needed to join it")
-    joined = joined_lookup(df, key, tokens, table, entry, number, out)
+    joined = joined_lookup(df, tokens, table, entry, number, out)
     return joined.withColumn(out, F.transform(out, lambda n: F.coalesce(n, missing)))

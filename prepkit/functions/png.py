@@ -41,6 +41,8 @@ def decode_png(content: bytes) -> np.ndarray:
         if len(check) < 4 or struct.unpack(">I", check)[0] != zlib.crc32(kind + body):
             raise ValueError("damaged PNG image")
         if kind == b"IHDR":
+            if length != 13:
+                raise ValueError("damaged PNG image")
             header = struct.unpack(">IIBBBBB", body)
         elif kind == b"IDAT":
             packed.append(body)
@@ -64,6 +66,8 @@ def decode_png(content: bytes) -> np.ndarray:
 
 
 def _unfilter(kinds: np.ndarray, lines: np.ndarray, step: int) -> np.ndarray:
+    if set(kinds.tolist()) & {3, 4}:
+        return _unfilter_lanes(kinds, lines, step)
     done = np.zeros_like(lines)
     above = np.zeros(lines.shape[1], dtype=np.int32)
     for row, kind in enumerate(kinds):
@@ -74,23 +78,31 @@ def _unfilter(kinds: np.ndarray, lines: np.ndarray, step: int) -> np.ndarray:
             current = (line + above) & 255
         elif kind == 1:
             current = np.cumsum(line.reshape(-1, step), axis=0).reshape(-1) & 255
-        elif kind in (3, 4):
-            current = _unfilter_mixed(line, above, step, kind)
         else:
             raise ValueError("damaged PNG image")
         done[row] = above = current
     return done.astype(np.uint8)
 
 
-def _unfilter_mixed(line: np.ndarray, above: np.ndarray, step: int, kind: int) -> np.ndarray:
-    out = [0] * step + line.tolist()
-    up = [0] * step + above.tolist()
-    for i in range(step, len(out)):
-        left, over, corner = out[i - step], up[i], up[i - step]
-        if kind == 3:
-            guess = (left + over) // 2
-        else:
-            target = left + over - corner
-            guess = min((left, over, corner), key=lambda v: abs(target - v))
-        out[i] = (out[i] + guess) & 255
-    return np.array(out[step:], dtype=np.int32)
+def _unfilter_lanes(kinds: np.ndarray, lines: np.ndarray, step: int) -> np.ndarray:
+    """Rows that look left and up: all bytes on one diagonal depend on earlier diagonals only.
+
+    Byte ``x`` of row ``y`` lies on diagonal ``x + y``; the rows of a diagonal are computed together.
+    """
+    if set(kinds.tolist()) - {0, 1, 2, 3, 4}:
+        raise ValueError("damaged PNG image")
+    height, width = len(lines), lines.shape[1] // step
+    # A frame of zeros above and left; one column of pixels per place.
+    done = np.zeros((height + 1, width + 1, step), dtype=np.int32)
+    given = lines.reshape(height, width, step)
+    for diagonal in range(height + width - 1):
+        y = np.arange(max(0, diagonal - width + 1), min(height, diagonal + 1))
+        x = diagonal - y
+        left, over, corner = done[y + 1, x], done[y, x + 1], done[y, x]
+        target = left + over - corner
+        away = np.stack([np.abs(target - left), np.abs(target - over), np.abs(target - corner)])
+        nearest = np.choose(away.argmin(axis=0), [left, over, corner])
+        kind = kinds[y][:, None]
+        guess = np.select([kind == 1, kind == 2, kind == 3, kind == 4], [left, over, (left + over) // 2, nearest], 0)
+        done[y + 1, x + 1] = (given[y, x] + guess) & 255
+    return done[1:, 1:].astype(np.uint8)

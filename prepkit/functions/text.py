@@ -83,6 +83,33 @@ def _quoted(value: Column) -> Column:
     )
 
 
+def _float_text(value: Column) -> Column:
+    """A number as Python prints a float: the shortest digits, an exponent from 1e16 on and below 1e-4."""
+    size = F.abs(value)
+    forms = [F.format_string(f"%.{n}e", size) for n in range(17)]
+    # The first form that reads back as the same number has the fewest digits.
+    text = F.coalesce(*[F.when(f.cast("double") == size, f) for f in forms])
+    exponent = F.regexp_extract(text, "e([+-][0-9]+)$", 1).try_cast("int")
+    mantissa = F.regexp_replace(F.regexp_replace(text, "e.*$", ""), r"\.", "")
+    digits = F.regexp_replace(mantissa, "(?<=.)0+$", "")
+    padded = F.rpad(digits, F.greatest(exponent + 1, F.length(digits)), F.lit("0"))
+    rest = F.substr(padded, exponent + 2)
+    large = F.concat(F.substr(padded, F.lit(1), exponent + 1), F.lit("."), F.when(rest == "", F.lit("0")).otherwise(rest))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    point = F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise("")
+    power = F.abs(exponent).cast("string")
+    power = F.concat(F.when(exponent < 0, F.lit("e-")).otherwise("e+"), F.when(F.length(power) < 2, F.lit("0")).otherwise(""), power)
+    shown = (
+        F.when(F.isnan(value), F.lit("nan"))
+        .when(size == float("inf"), F.lit("inf"))
+        .when(exponent.between(0, 15), large)
+        .when(exponent.between(-4, -1), small)
+        .otherwise(F.concat(F.substr(digits, F.lit(1), F.lit(1)), point, power))
+    )
+    negative = F.startswith(value.cast("string"), F.lit("-"))
+    return F.when(value.isNotNull(), F.concat(F.when(negative, F.lit("-")).otherwise(""), shown))
+
+
 def _printed(value: Column, dtype: T.DataType, inner: bool) -> Column:
     if isinstance(dtype, T.ArrayType):
         items = F.transform(value, lambda v: _printed(v, dtype.elementType, True))
@@ -91,8 +118,12 @@ def _printed(value: Column, dtype: T.DataType, inner: bool) -> Column:
         shown = _quoted(value) if inner else value
     elif isinstance(dtype, T.BooleanType):
         shown = F.initcap(value.cast("string"))
-    else:
+    elif isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
+        shown = _float_text(value.cast("double"))
+    elif isinstance(dtype, T.IntegralType):
         shown = value.cast("string")
+    else:
+        raise ValueError(f"a cell of type {dtype.simpleString()} has no printed form here")
     return F.coalesce(shown, F.lit("None"))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -105,14 +103,13 @@ def encode_label_array(
     vocab: DataFrame,
     col: str,
     out: str = "label_ids",
-    key: Sequence[str] | None = None,
     on_unknown: str = "error",
 ) -> DataFrame:
     """Add the ids of an array of labels; integer arrays with declared names are ids already."""
     dtype = df.schema[col].dataType
     if declared_labels(df, col) is not None and isinstance(dtype.elementType, T.IntegralType):
         return df.withColumn(out, F.col(col).cast("array<int>"))
-    coded = map_array(df, col, vocab, "label", "id", "__ids", key)
+    coded = map_array(df, col, vocab, "label", "id", "__ids")
     value = F.col("__ids")
     if on_unknown == "error":
         value = F.zip_with("__ids", col, known_or_error)

@@ -23,7 +23,8 @@ def map_batches(
 ) -> DataFrame:
     """Apply ``fn`` to batches given as a dict of column lists; its result makes the output rows.
 
-    Only ``columns`` reach the Python workers. Batch borders are not stable between runs.
+    Only ``columns`` reach the Python workers. Batches have ``batch_size`` rows, but for the last one of
+    each partition, whatever the size of Arrow batches; their borders are not stable between runs.
     """
     if num_partitions:
         df = df.repartition(num_partitions)
@@ -35,11 +36,23 @@ def map_batches(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(target)
+
+        def apply(rows: pa.Table) -> pa.RecordBatch:
+            result = fn(rows.to_pydict())
+            return pa.RecordBatch.from_arrays([pa.array(result[f.name], type=f.type) for f in arrow], schema=arrow)
+
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for start in range(0, batch.num_rows, batch_size):
-                result = fn(batch.slice(start, batch_size).to_pydict())
-                arrays = [pa.array(result[f.name], type=f.type) for f in arrow]
-                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+            held.append(batch)
+            if sum(b.num_rows for b in held) < batch_size:
+                continue
+            rows = pa.Table.from_batches(held)
+            whole = rows.num_rows - rows.num_rows % batch_size
+            for start in range(0, whole, batch_size):
+                yield apply(rows.slice(start, batch_size))
+            held = rows.slice(whole).to_batches()
+        if sum(b.num_rows for b in held):
+            yield apply(pa.Table.from_batches(held))
 
     return df.mapInArrow(run, target)
 

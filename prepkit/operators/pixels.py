@@ -65,12 +65,19 @@ def image_array(image: dict | None) -> np.ndarray | None:
     return np.frombuffer(image["data"], dtype=np.uint8).reshape(image["height"], image["width"], image["channels"])
 
 
+def pixel_problem(pixels: np.ndarray, spec: PixelSpec) -> str | None:
+    """Why an image cannot become pixel values, or None."""
+    channels = 3 if pixels.shape[2] == 1 and spec.grey_to_rgb else pixels.shape[2]
+    return None if channels == len(spec.mean) else f"pixels: {pixels.shape[2]} channels"
+
+
 def pixel_row(pixels: np.ndarray, spec: PixelSpec) -> tuple:
     """``(values, channels, height, width, error)`` of one image."""
+    problem = pixel_problem(pixels, spec)
+    if problem:
+        return None, None, None, None, problem
     if pixels.shape[2] == 1 and spec.grey_to_rgb:
         pixels = np.repeat(pixels, 3, axis=2)
-    if pixels.shape[2] != len(spec.mean):
-        return None, None, None, None, f"pixels: {pixels.shape[2]} channels"
     if spec.height is not None:
         pixels = resize(pixels, spec.height, spec.width, spec.resample)
     values = (pixels * spec.scale - np.array(spec.mean)) / np.array(spec.std)
@@ -90,16 +97,43 @@ def to_pixels(
     ``image`` holds decoded images, or bytes that are decoded in the same pass. Images that cannot
     be read, or whose channels differ from the settings, get a null and an ``error``.
     """
-    stored = isinstance(df.schema[image].dataType, T.BinaryType)
+    arrays = _arrays(df, image, decoder)
 
     def prepare(cells: Iterator[tuple]) -> Iterator[tuple]:
+        for pixels, problem in arrays(cells):
+            yield (None, None, None, None, problem) if pixels is None else pixel_row(pixels, spec)
+
+    added = "pixel_values array<float>, channels int, height int, width int, __error string"
+    return with_first_error(add_columns(df, [image], added, prepare), error)
+
+
+def check_pixels(
+    df: DataFrame,
+    spec: PixelSpec,
+    image: str = "image",
+    error: str = "error",
+    decoder: Callable[[bytes], np.ndarray] | None = None,
+) -> DataFrame:
+    """Add ``error`` where ``to_pixels`` would: images are decoded, but only their bytes go on."""
+    arrays = _arrays(df, image, decoder)
+
+    def check(cells: Iterator[tuple]) -> Iterator[tuple]:
+        for pixels, problem in arrays(cells):
+            yield (problem if pixels is None else pixel_problem(pixels, spec),)
+
+    return with_first_error(add_columns(df, [image], "__error string", check), error)
+
+
+def _arrays(df: DataFrame, image: str, decoder: Callable[[bytes], np.ndarray] | None):
+    """A function from cells of ``image`` to pixels and problems."""
+    stored = isinstance(df.schema[image].dataType, T.BinaryType)
+
+    def arrays(cells: Iterator[tuple]) -> Iterator[tuple]:
         read = decoder or default_decoder()
         for (cell,) in cells:
             if stored:
-                pixels, problem = decode_cell(cell, read)
+                yield decode_cell(cell, read)
             else:
-                pixels, problem = image_array(cell), None
-            yield (None, None, None, None, problem) if pixels is None else pixel_row(pixels, spec)
+                yield image_array(cell), "no image" if cell is None else None
 
-    added = "pixel_values array<float>, channels int, height int, width int, __error string"
-    return with_first_error(add_columns(df, [image], added, prepare), error)
+    return arrays

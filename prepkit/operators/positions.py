@@ -16,11 +16,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prepkit.session import pin_ordered
+from prepkit.session import pin, pin_ordered, small_side
 
 HASH_BUCKETS = 16**4
 RANGE_BUCKETS = 4096
 RANGE_ROWS = 250_000
+SHARD_DIGITS = 8
 SAMPLE_PER_BUCKET = 64
 
 
@@ -41,16 +42,17 @@ def with_bucket(
     keys = names(key)
     order = [F.col(k) for k in keys]
     if seed is not None:
-        if buckets > HASH_BUCKETS:
-            raise ValueError(f"at most {HASH_BUCKETS} hash buckets")
+        digits = 4 if buckets <= HASH_BUCKETS else SHARD_DIGITS
+        if buckets > 16**digits:
+            raise ValueError(f"at most {16**digits} hash buckets")
         h = order_hash(keys, seed)
-        first = F.conv(F.substring(h, 1, 4), 16, 10).cast("long")
-        bucket = F.floor(first * buckets / HASH_BUCKETS).cast("int")
+        first = F.conv(F.substring(h, 1, digits), 16, 10).cast("long")
+        bucket = F.floor(first * buckets / 16**digits).cast("int")
         return df.withColumn(out, bucket), [h, *order]
     if _is_number(df, keys):
         return _by_quantiles(df, keys[0], buckets, out), order
     # Any other order: sort into a stored copy and number its partitions.
-    ranged = pin_ordered(df.repartitionByRange(buckets, *keys))
+    ranged = pin_ordered(df.repartitionByRange(buckets, *[F.asc_nulls_first(k) for k in keys]))
     return ranged.withColumn(out, F.spark_partition_id()), order
 
 
@@ -59,25 +61,30 @@ def _is_number(df: DataFrame, keys: list[str]) -> bool:
 
 
 def _by_quantiles(df: DataFrame, key: str, buckets: int, out: str) -> DataFrame:
-    """Range buckets between quantiles of a sample; the sample grows with the buckets, not the data."""
+    """Range buckets between quantiles of a sample; the sample grows with the buckets, not the data.
+
+    Null keys come first, with the smallest ones, and values that are no numbers last.
+    """
     if buckets < 2:
         return df.withColumn(out, F.lit(0))
-    keys = df.select(F.col(key).cast("double").alias("k"))
+    value = F.col(key).cast("double")
+    keys = df.select(value.alias("k")).where(value.isNotNull() & ~F.isnan(value))
     share = min(1.0, SAMPLE_PER_BUCKET * buckets / max(1, keys.count()))
     drawn = keys if share == 1.0 else keys.sample(share, seed=0)
     steps = [i / buckets for i in range(1, buckets)]
     inner = drawn.approxQuantile("k", steps, 1 / (4 * buckets))
     edges = [float("-inf"), *sorted(set(inner)), float("inf")]
     cut = Bucketizer(splits=edges, inputCol="__k", outputCol=out)
-    return (
-        cut.transform(df.withColumn("__k", F.col(key).cast("double")))
-        .drop("__k")
-        .withColumn(out, F.col(out).cast("int"))
-    )
+    shown = F.when(value.isNull(), F.lit(float("-inf"))).when(F.isnan(value), F.lit(float("inf"))).otherwise(value)
+    return cut.transform(df.withColumn("__k", shown)).drop("__k").withColumn(out, F.col(out).cast("int"))
 
 
 def bucket_count(df: DataFrame, key: str | Sequence[str], seed: int | None) -> int:
-    """Buckets for exact positions: a bounded number, each small enough to be sorted by one task."""
+    """Buckets for exact positions: a bounded number.
+
+    A range bucket holds about ``RANGE_ROWS`` rows, or more where ``RANGE_BUCKETS`` of them do not do;
+    a task then sorts its bucket with spilling.
+    """
     if seed is not None:
         return HASH_BUCKETS
     if _is_number(df, names(key)):
@@ -101,9 +108,16 @@ def global_position(
         *by, "__bucket", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset")
     )
     inside = W.partitionBy(*by, "__bucket").orderBy(*order)
-    # At most `buckets` offsets per value of `by`: always small enough to broadcast.
+    renamed = offsets.select(*(F.col(c).alias(f"__by_{c}") for c in [*by, "__bucket"]), "__offset")
+    same = [F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in [*by, "__bucket"]]
+    # At most `buckets` offsets per value of `by`; their size is measured, since `by` is the caller's choice.
     return (
-        df.join(F.broadcast(offsets), [*by, "__bucket"])
+        df.join(small_side(pin(renamed, "offsets")), same)
         .withColumn(out, F.col("__offset") + F.row_number().over(inside))
-        .drop("__bucket", "__offset")
+        .drop("__bucket", "__offset", *renamed.columns)
     )
+
+
+def shard_count(df: DataFrame, rows_per_shard: int) -> int:
+    """Shards that hold about ``rows_per_shard`` rows each: their number follows that of the rows."""
+    return max(1, -(-df.count() // rows_per_shard))

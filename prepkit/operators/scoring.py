@@ -37,13 +37,16 @@ class HeadWeights:
 def mean_pool(
     df: DataFrame, seq: str | Sequence[str], vec: str, mask: str | None = None, out: str = "pooled"
 ) -> DataFrame:
-    """Mean vector of each sequence over all its tokens; with ``mask``, over those marked 1."""
-    if mask is not None:
-        df = df.where(F.col(mask) == 1)
+    """Mean vector of each sequence over all its tokens; with ``mask``, over those marked 1.
+
+    A sequence without a marked token has a null mean.
+    """
     seq = [seq] if isinstance(seq, str) else list(seq)
-    vectors = df.select(*seq, array_to_vector(F.col(vec).cast("array<double>")).alias("__v"))
+    chosen = F.lit(True) if mask is None else F.coalesce(F.col(mask) == 1, F.lit(False))
+    vectors = df.select(*seq, array_to_vector(F.col(vec).cast("array<double>")).alias("__v"), chosen.alias("__c"))
     # Partial means leave each task, so a long sequence is not gathered in one place.
-    return vectors.groupBy(*seq).agg(vector_to_array(Summarizer.mean(F.col("__v"))).alias(out))
+    mean = vector_to_array(Summarizer.mean(F.col("__v"), F.col("__c").cast("double")))
+    return vectors.groupBy(*seq).agg(F.when(F.max("__c"), mean).alias(out))
 
 
 def score_head(df: DataFrame, col: str, weights: HeadWeights, out: str = "logits") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from prepkit.config import Job
 from prepkit.operators.batches import assign_batches
 from prepkit.operators.checks import require_columns
+from prepkit.operators.positions import shard_count
 from prepkit.operators.splits import TRAIN, VALIDATION, head_per_split, split_exact
 from prepkit.operators.tokens import EncoderSpec, build_vocab, json_spec, read_tokenizer
 from prepkit.session import pin
@@ -26,10 +28,13 @@ def load_splits(spark: SparkSession, job: Job) -> DataFrame:
         wanted[TRAIN] = job.train_split_name
     if job.do_eval and job.eval_split_name:
         wanted[VALIDATION] = job.eval_split_name
-    columns = job.columns()
+    columns = job.inputs()
     read = {}
     for name, stored in wanted.items():
-        df = scan_split(spark, job.dataset_name, stored, job.dataset_config_name, job.dataset_format)
+        df = scan_split(
+            spark, job.dataset_name, stored, job.dataset_config_name, job.dataset_format, job.dataset_schema,
+            **job.dataset_options,
+        )
         read[name] = require_columns(df, columns).select(*dict.fromkeys(columns))
     merged = union_splits(read)
     if job.do_eval and not job.eval_split_name:
@@ -76,6 +81,13 @@ def token_vocab(df: DataFrame, columns: Sequence[str], job: Job) -> DataFrame |
     return pin(build_vocab(one, "text", job.vocab_size, job.encoder_width))
 
 
+def sized(df: DataFrame, job: Job) -> Job:
+    """The job with as many shards as the rows of its input ask for; stored rows are counted, not computed ones."""
+    if job.shards is not None or job.rows_per_shard is None:
+        return job
+    return replace(job, shards=shard_count(df, job.rows_per_shard))
+
+
 def batch_size(job: Job) -> int | Column:
     size = job.per_device_train_batch_size
     if job.per_device_eval_batch_size == size:

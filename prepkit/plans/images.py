@@ -7,18 +7,12 @@ from pyspark.sql import functions as F
 
 from prepkit.config import CaptionJob, ImageClassJob
 from prepkit.functions.text import to_text
-from prepkit.operators.batches import (
-    assign_batches,
-    assign_shards,
-    batch_in_shards,
-    labels_masked_copy,
-    pad_to_longest,
-)
-from prepkit.operators.checks import assert_features, require_columns, split_rejects
+from prepkit.operators.batches import assign_batches, labels_masked_copy, pad_to_longest
+from prepkit.operators.checks import assert_features, require_columns
 from prepkit.operators.labels import encode_label_or_raw, label_vocab
-from prepkit.operators.pixels import PixelSpec, to_pixels
-from prepkit.operators.tokens import attention_mask, encode
-from prepkit.plans.common import batch_size, encoder_spec, first_rows, token_vocab
+from prepkit.operators.pixels import PixelSpec, check_pixels, to_pixels
+from prepkit.operators.tokens import encode
+from prepkit.plans.common import batch_size, encoder_spec, first_rows, sized, token_vocab
 from prepkit.session import pin, spread
 from prepkit.sources.images import load_content
 
@@ -27,76 +21,78 @@ def pixel_spec(job: ImageClassJob | CaptionJob) -> PixelSpec:
     return PixelSpec(height=job.image_height, width=job.image_width)
 
 
-def image_prepare(df: DataFrame, job: ImageClassJob | CaptionJob) -> DataFrame:
-    """Fetch, decode and normalise: replaces the image by ``pixel_values``, its shape, and ``error``.
+def loaded_images(df: DataFrame, job: ImageClassJob | CaptionJob) -> DataFrame:
+    """Replaces the image by ``__content`` (its bytes or struct) and ``error``, as a stored table.
 
-    Fetched bytes are stored; decoding and pixel work are one pass over them.
+    Images are fetched and tried once; what is stored and shuffled later are compressed bytes.
     """
     loaded = load_content(
         spread(df, [job.key_column_name]),
         job.image_column_name,
         "__content",
         timeout_s=job.requests_timeout,
+        store_fetched=False,
         partitions=job.processing_num_workers,
     )
-    loaded = loaded.drop(job.image_column_name)
-    return to_pixels(loaded, pixel_spec(job), "__content").drop("__content")
+    return pin(check_pixels(loaded.drop(job.image_column_name), pixel_spec(job), "__content"), "images")
+
 
+def image_prepare(df: DataFrame, job: ImageClassJob | CaptionJob) -> DataFrame:
+    """Fetch, decode and normalise: replaces the image by ``pixel_values``, its shape, and ``error``."""
+    return to_pixels(loaded_images(df, job), pixel_spec(job), "__content").drop("__content")
 
-def batch_prepared(df: DataFrame, job: ImageClassJob | CaptionJob, seed: int | None) -> DataFrame:
-    """Batches of rows made by costly steps.
 
-    Rows that carry a shard are batched in it, in the same pass. Otherwise batches run over the
-    whole split, whose rows must be counted first: the prepared rows are stored for that.
-    """
-    if "shard" in df.columns:
-        return batch_in_shards(df, job.key_column_name, batch_size(job), "split", seed)
-    return assign_batches(pin(df), job.key_column_name, batch_size(job), "split", None, seed)
+def with_pixels(batched: DataFrame, job: ImageClassJob | CaptionJob) -> DataFrame:
+    """The last step: pixel values of rows that have their batch already, so that none are shuffled."""
+    return to_pixels(batched, pixel_spec(job), "__content").drop("__content", "error")
 
 
-def with_shards(df: DataFrame, job: ImageClassJob | CaptionJob, seed: int | None) -> DataFrame:
-    """Shards from the key alone, before any image work."""
-    return df if job.shards is None else assign_shards(df, job.key_column_name, job.shards, seed)
+def batch_loaded(df: DataFrame, job: ImageClassJob | CaptionJob, seed: int | None) -> DataFrame:
+    """Batches of rows that still hold compressed images."""
+    return assign_batches(df, job.key_column_name, batch_size(job), "split", job.shards, seed)
 
 
 def image_class_rows(df: DataFrame, job: ImageClassJob) -> DataFrame:
-    """All rows with their pixels, shape, label, and an ``error`` where pixels or label are missing."""
+    """All rows with their image bytes, label, and an ``error`` where the image or the label is unusable."""
     key, image, label = job.columns()
-    wanted = [c for c in ("split", "shard", key, image, label) if c in df.columns]
-    prepared = image_prepare(first_rows(df.select(*dict.fromkeys(wanted)), job), job)
+    wanted = dict.fromkeys(["split", key, image, label])
+    loaded = loaded_images(first_rows(df.select(*wanted), job), job)
     missing = F.when(F.col(label).isNull(), F.lit("no label"))
-    return prepared.withColumn("error", F.coalesce("error", missing))
+    return loaded.withColumn("error", F.coalesce("error", missing))
 
 
-def image_class_batches(df: DataFrame, job: ImageClassJob, labels: DataFrame | None = None) -> DataFrame:
-    """Batches ``pixel_values, labels`` in stored order."""
+def image_class_batches(
+    df: DataFrame, job: ImageClassJob, labels: DataFrame | None = None, rows: DataFrame | None = None
+) -> DataFrame:
+    """Batches ``pixel_values, labels`` in stored order; ``rows`` are those of ``image_class_rows``."""
     key, image, label = job.columns()
     df = require_columns(df, [key, image, label])
+    job = sized(df, job)
     if labels is None:
         labels = label_vocab(df, label)
-    kept, _ = split_rejects(image_class_rows(with_shards(df, job, None), job), ["pixel_values", label])
-    coded = encode_label_or_raw(kept.drop("error"), labels, label, "labels")
-    return batch_prepared(coded if label == "labels" else coded.drop(label), job, None)
+    kept = (image_class_rows(df, job) if rows is None else rows).where(F.col("error").isNull()).drop("error")
+    coded = encode_label_or_raw(kept, labels, label, "labels")
+    return with_pixels(batch_loaded(coded if label == "labels" else coded.drop(label), job, None), job)
 
 
-def caption_rows(df: DataFrame, job: CaptionJob, vocab: DataFrame | None = None) -> DataFrame:
-    """All rows with pixels, shape, encoded caption and mask, and an ``error`` where pixels are missing."""
+def caption_rows(df: DataFrame, job: CaptionJob) -> DataFrame:
+    """All rows with their image bytes, printed caption, and an ``error`` where the image is unusable."""
     key, image, text = job.columns()
     printed = to_text(F.col(text), df.schema[text].dataType, job.caption_mode)
-    wanted = [c for c in ("split", "shard", key, image) if c in df.columns]
-    rows = first_rows(df, job).select(*wanted, printed.alias("caption"))
-    if vocab is None:
-        vocab = token_vocab(rows, ["caption"], job)
-    prepared = image_prepare(rows, job)
-    coded = encode(prepared, "caption", encoder_spec(job, job.max_length), vocab, key=[key])
-    return coded.withColumn("attention_mask", attention_mask(F.col("input_ids"))).drop("caption")
+    wanted = dict.fromkeys(["split", key, image])
+    return loaded_images(first_rows(df, job).select(*wanted, printed.alias("caption")), job)
 
 
-def caption_batches(df: DataFrame, job: CaptionJob, vocab: DataFrame | None = None) -> DataFrame:
-    """Batches with padded caption ids, and labels that ignore the padding."""
+def caption_batches(
+    df: DataFrame, job: CaptionJob, vocab: DataFrame | None = None, rows: DataFrame | None = None
+) -> DataFrame:
+    """Batches with padded caption ids, and labels that ignore the padding; ``rows`` are those of ``caption_rows``."""
     df = require_columns(df, job.columns())
-    pad = encoder_spec(job, job.max_length).padding
-    rows = caption_rows(with_shards(df, job, job.seed), job, vocab)
-    kept, _ = split_rejects(rows, ["pixel_values", "input_ids", "attention_mask"])
-    batched = batch_prepared(assert_features(kept.drop("attention_mask", "error")), job, job.seed)
-    return labels_masked_copy(pad_to_longest(batched, "input_ids", pad), "input_ids", pad)
+    job = sized(df, job)
+    spec = encoder_spec(job, job.max_length)
+    rows = caption_rows(df, job) if rows is None else rows
+    if vocab is None:
+        vocab = token_vocab(rows, ["caption"], job)
+    kept = encode(rows.where(F.col("error").isNull()).drop("error"), "caption", spec, vocab).drop("caption")
+    batched = pad_to_longest(batch_loaded(assert_features(kept), job, job.seed), "input_ids", spec.padding)
+    return with_pixels(labels_masked_copy(batched, "input_ids", spec.padding), job)

@@ -10,7 +10,7 @@ from prepkit.config import LanguageModelJob
 from prepkit.operators.batches import labels_copy, labels_pad_separately, pad_to_longest
 from prepkit.operators.checks import keep_complete, require_columns
 from prepkit.operators.tokens import EncoderSpec, encode, encode_pair, token_length
-from prepkit.plans.common import batch_rows, encoder_spec, first_rows, token_vocab
+from prepkit.plans.common import batch_rows, encoder_spec, first_rows, sized, token_vocab
 from prepkit.session import spread
 
 
@@ -40,14 +40,15 @@ def lm_features(df: DataFrame, job: LanguageModelJob, vocab: DataFrame | None =
         vocab = token_vocab(rows, texts, job)
     spec = lm_spec(job)
     if job.model_type == "causal-lm":
-        coded = encode(rows, texts[0], spec, vocab, key=[key])
+        coded = encode(rows, texts[0], spec, vocab)
         return token_length(coded).select("split", key, "input_ids", "tokens_input_length")
-    coded = encode_pair(rows, texts[0], texts[-1], spec, vocab, key=[key])
+    coded = encode_pair(rows, texts[0], texts[-1], spec, vocab)
     return token_length(coded).select("split", key, "input_ids", "labels", "tokens_input_length")
 
 
 def lm_batches(df: DataFrame, job: LanguageModelJob, vocab: DataFrame | None = None) -> DataFrame:
     """Padded batches; causal labels copy the ids, seq2seq labels are padded on their own."""
+    job = sized(df, job)
     pad = lm_spec(job).padding
     rows = batch_rows(lm_features(df, job, vocab), job)
     if job.model_type == "causal-lm":

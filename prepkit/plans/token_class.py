@@ -11,7 +11,7 @@ from prepkit.operators.batches import labels_pad_to_input, pad_to_longest
 from prepkit.operators.checks import keep_complete, require_columns
 from prepkit.operators.labels import encode_label_array, label_vocab
 from prepkit.operators.tokens import align_labels, encode
-from prepkit.plans.common import batch_rows, encoder_spec, first_rows, token_vocab
+from prepkit.plans.common import batch_rows, encoder_spec, first_rows, sized, token_vocab
 from prepkit.session import spread
 
 
@@ -31,10 +31,10 @@ def token_class_features(
     if vocab is None:
         vocab = token_vocab(rows, [text], job)
     spec = encoder_spec(job, job.max_length)
-    coded = encode(rows, text, spec, vocab, word_ids="word_ids", key=[key])
+    coded = encode(rows, text, spec, vocab, word_ids="word_ids")
     # Labels of words past the cut are never looked up.
     used = F.slice(label, 1, F.coalesce(F.array_max("word_ids") + 1, F.lit(0)))
-    coded = encode_label_array(coded.withColumn(label, used), labels, label, "label_ids", [key], job.on_unknown_label)
+    coded = encode_label_array(coded.withColumn(label, used), labels, label, "label_ids", job.on_unknown_label)
     return align_labels(coded).select("split", key, "input_ids", "labels")
 
 
@@ -42,6 +42,7 @@ def token_class_batches(
     df: DataFrame, job: TokenClassJob, labels: DataFrame | None = None, vocab: DataFrame | None = None
 ) -> DataFrame:
     """Padded batches; labels are cut or padded with -100 to the padded ids."""
+    job = sized(df, job)
     pad = encoder_spec(job, job.max_length).padding
     rows = batch_rows(token_class_features(df, job, labels, vocab), job)
     return labels_pad_to_input(pad_to_longest(rows, "input_ids", pad))

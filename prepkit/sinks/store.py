@@ -56,7 +56,9 @@ def prepared_cache(
     path = f"{root.rstrip('/')}/{fingerprint(spark, config, inputs)}"
     found = not overwrite and file_exists(spark, f"{path}/_SUCCESS")
     if not found:
-        build().write.mode("overwrite").partitionBy("split").parquet(path)
+        made = build()
+        folders = [c for c in ("split",) if c in made.columns]
+        made.write.mode("overwrite").partitionBy(*folders).parquet(path)
     return spark.read.parquet(path), found
 
 

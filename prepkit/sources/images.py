@@ -5,9 +5,11 @@ A decoded image is a struct ``height, width, channels, data`` with bytes row by
 
 from __future__ import annotations
 
+import struct
 import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from http.client import HTTPException
 from itertools import islice
 
 import numpy as np
@@ -20,6 +22,9 @@ from prepkit.functions.png import decode_png
 from prepkit.operators.maps import add_columns
 from prepkit.session import pin
 
+# How JPEG, GIF, BMP, TIFF and RIFF files begin.
+OTHER_FORMATS = (b"\xff\xd8\xff", b"GIF8", b"BM", b"II*\x00", b"MM\x00*", b"RIFF")
+
 IMAGE = "struct<height:int,width:int,channels:int,data:binary>"
 
 
@@ -39,7 +44,7 @@ def fetch(
         try:
             with urllib.request.urlopen(address, timeout=timeout_s) as response:
                 return response.read(), None
-        except (OSError, ValueError) as error:
+        except (OSError, ValueError, HTTPException) as error:
             return None, f"fetch: {type(error).__name__}"
 
     def get_all(cells: Iterator[tuple]) -> Iterator[tuple]:
@@ -67,19 +72,38 @@ def default_decoder() -> Callable[[bytes], np.ndarray]:
 
     def decode(content: bytes) -> np.ndarray:
         image = Image.open(BytesIO(content))
+        # Palettes, bits and deep greys as what they show; other modes hold bytes by channel already.
+        if image.mode == "P":
+            image = image.convert("RGBA" if "transparency" in image.info else "RGB")
+        elif image.mode == "1" or image.mode.startswith(("I", "F")):
+            image = image.convert("L") if image.mode == "1" else Image.fromarray(_bytes_of(np.asarray(image)))
         pixels = np.asarray(image)
         return pixels[:, :, None] if pixels.ndim == 2 else pixels
 
     return decode
 
 
+def _bytes_of(deep: np.ndarray) -> np.ndarray:
+    """16-bit greys as bytes; other ranges are cut to bytes."""
+    values = deep.astype("float64")
+    return (values / 257 if values.max(initial=0) > 255 else values).clip(0, 255).astype(np.uint8)
+
+
+def needs_library(content: bytes | None) -> bool:
+    """Whether bytes look like an image format that only an imaging library reads."""
+    return content is not None and bytes(content[:12]).startswith(OTHER_FORMATS)
+
+
 def decode_cell(cell: bytes | None, read: Callable[[bytes], np.ndarray]) -> tuple[np.ndarray | None, str | None]:
     """Pixels of a cell, or why there are none."""
     if cell is None:
         return None, "no content"
+    if read is decode_png and needs_library(cell):
+        # Not a bad image: without the library every row of this kind would be lost unseen.
+        raise RuntimeError("an image that is no PNG needs an imaging library on the executors")
     try:
         return read(bytes(cell)), None
-    except (OSError, ValueError) as problem:
+    except (OSError, ValueError, SyntaxError, struct.error, EOFError) as problem:
         return None, f"decode: {problem}"
 
 

@@ -6,6 +6,9 @@ image, 5-6 an RGB 8x8 image, 7 an RGBA 4x4 image, 8 a damaged file, 9 a URL that
 
 from __future__ import annotations
 
+import struct
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +25,18 @@ from prepkit.operators.pixels import IMAGE_MEAN, IMAGE_STD, PixelSpec
 from prepkit.plans.images import image_prepare as prepare
 from prepkit.session import pin, spread
 from prepkit.sources import images
-from prepkit.verification.registry import micro_text, query, sql_batches, sql_hash_split, sql_micro, sql_text, table, text_of
+from prepkit.verification.registry import (
+    ROWS_PER_SHARD,
+    micro_text,
+    query,
+    sql_batches,
+    sql_hash_split,
+    sql_micro,
+    sql_shards,
+    sql_text,
+    table,
+    text_of,
+)
 
 SQL_PX = """px as (select vec_id, label, list_transform(embedding,
     lambda x: cast(floor((cast(x as double) + 1) * 127.5) as int)) as px from embeddings)"""
@@ -32,7 +46,8 @@ SQL_IMAGES = f"""{SQL_PX}, img as (select vec_id, label, px,
     case when label <= 4 then 1 when label <= 6 then 3 when label = 7 then 4 end as channels,
     case when label <= 4 or label = 7 then px
     when label <= 6 then flatten(list_transform(px, lambda p: [p, 255 - p, p // 2])) end as bytes,
-    case when label = 8 then 'decode: damaged PNG image' when label = 9 then 'fetch: ValueError' end as error
+    case when label = 8 then 'decode: damaged PNG image' when label = 9 and vec_id % 2 = 1 then 'fetch: InvalidURL'
+    when label = 9 then 'fetch: ValueError' end as error
     from px)"""
 # Resized to 4x4 with the widened triangle filter, normalised, channel first, single precision.
 SQL_PIXELS = f"""{SQL_IMAGES},
@@ -54,13 +69,17 @@ def bytes_of_vector(vector: str = "embedding") -> Column:
     return F.transform(vector, lambda x: F.floor((x.cast("double") + 1) * 127.5).cast("int"))
 
 
-def stored_image(values: np.ndarray, label: int) -> bytes:
+def stored_image(values: np.ndarray, label: int, number: int) -> bytes:
+    """An image file; of label 8 one that is cut off, or whose header has a wrong length."""
     p = np.asarray(values, dtype=np.uint8)
     if label in (5, 6):
         return encode_png(np.stack([p, 255 - p, p // 2], axis=1).reshape(8, 8, 3))
     if label == 7:
         return encode_png(p.reshape(4, 4, 4))
     whole = encode_png(p.reshape(8, 8, 1))
+    if label == 8 and number % 2:
+        header = b"IHDR" + whole[16:28]
+        return whole[:8] + struct.pack(">I", 12) + header + struct.pack(">I", zlib.crc32(header)) + whole[33:]
     return whole[:20] if label == 8 else whole
 
 
@@ -68,9 +87,10 @@ def vector_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``vec_id, label, px, content, url``."""
     px = table(spark, sf_dir, "embeddings").select("vec_id", "label", bytes_of_vector().alias("px"))
     # Stored once: these stand for the image cells of an input table.
-    stored = pin(map_rows(spread(px, ["vec_id"]), stored_image, "binary", "content", "px", "label"))
+    stored = pin(map_rows(spread(px, ["vec_id"]), stored_image, "binary", "content", "px", "label", "vec_id"))
     url = F.concat(F.lit("data:image/png;base64,"), F.regexp_replace(F.base64("content"), r"\s", ""))
-    return stored.withColumn("url", F.when(F.col("label") == 9, F.lit("data:broken")).otherwise(url))
+    bad = F.when(F.col("vec_id") % 2 == 1, F.lit("http://localhost/a name")).otherwise("data:broken")
+    return stored.withColumn("url", F.when(F.col("label") == 9, bad).otherwise(url))
 
 
 def bytes_text(data: Column | str) -> Column:
@@ -184,18 +204,19 @@ def image_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""with {SQL_PX}, d as ({sql_hash_split('px', 'vec_id')}), b as ({sql_batches('d', 'vec_id', 8, 4)})
+    f"""with {SQL_PX}, d as ({sql_hash_split('px', 'vec_id')}), b as ({sql_batches('d', 'vec_id', 8, sql_shards('d'))})
     select split, cast(shard as bigint) as shard, cast(batch_id as bigint) as batch_id, count(*) as row_count,
     8 as height, string_agg({sql_text('px')}, ',' order by pos) as pixels from b group by split, shard, batch_id"""
 )
 def stack_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prepkit.operators.positions import shard_count
     from prepkit.operators.splits import split_hash
 
     rows = split_hash(table(spark, sf_dir, "embeddings"), "vec_id").select(
         "vec_id", "split", bytes_of_vector().alias("pixel_values"),
         F.lit(1).alias("channels"), F.lit(8).alias("height"), F.lit(8).alias("width"),
     )
-    stacked = stack(assign_batches(rows, "vec_id", 8, shards=4, seed=42))
+    stacked = stack(assign_batches(rows, "vec_id", 8, shards=shard_count(rows, ROWS_PER_SHARD), seed=42))
     return stacked.select(
         "split",
         F.col("shard").cast("bigint"),

@@ -162,5 +162,5 @@ def decode_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encode_label_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pin(tagged(spark, sf_dir))
     vocab = ops.label_vocab(docs, "ner_tags")
-    coded = ops.encode_label_array(docs, vocab, "ner_tags", key=["doc_id"])
+    coded = ops.encode_label_array(docs, vocab, "ner_tags")
     return coded.select("doc_id", text_of("label_ids").alias("label_ids"))

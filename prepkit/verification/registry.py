@@ -94,7 +94,15 @@ def sql_encode(words: str, key: str, vocab: str, extra: str = "") -> str:
     )
 
 
-def sql_batches(source: str, key: str, size: int, shards: int | None) -> str:
+ROWS_PER_SHARD = 100
+
+
+def sql_shards(source: str) -> str:
+    """The number of shards for all rows of ``source``."""
+    return f"(select greatest(1, cast(ceil(count(*) / {ROWS_PER_SHARD}.0) as bigint)) from {source})"
+
+
+def sql_batches(source: str, key: str, size: int, shards: str | None) -> str:
     """Rows of ``source`` with ``shard, batch_id, pos`` by md5 order inside each split."""
     h = f"md5('42:' || cast({key} as varchar))"
     shard = "0" if shards is None else f"cast(floor(cast('0x' || substr({h}, 1, 4) as bigint) * {shards} / 65536) as int)"

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prepkit.config import LanguageModelJob, job_from_json
+from prepkit.config import LanguageModelJob, TextClassJob, job_from_json
 from prepkit.functions.text import to_text
 from prepkit.operators.batches import assign_batches
 from prepkit.operators.checks import keep_complete, missing_features, require_columns, require_features
@@ -17,22 +18,26 @@ from prepkit.operators.maps import collate_fn as collate
 from prepkit.operators.maps import filter_rows as keep_rows
 from prepkit.operators.maps import map_batches as map_in_batches
 from prepkit.operators.maps import map_rows as map_each
+from prepkit.operators.positions import shard_count
 from prepkit.operators.splits import head_n as first_n
 from prepkit.operators.splits import head_per_split
 from prepkit.operators.splits import split_exact as cut_exact
 from prepkit.operators.splits import split_hash as cut_hash
 from prepkit.operators.tokens import EncoderSpec, build_vocab, encode, json_asset
+from prepkit.plans.jobs import input_paths
 from prepkit.plans.language_model import lm_features
 from prepkit.session import new_path
 from prepkit.sinks import store
 from prepkit.sources import scan
 from prepkit.verification.registry import (
+    ROWS_PER_SHARD,
     WORDS,
     query,
     sql_batches,
     sql_encode,
     sql_exact_split,
     sql_hash_split,
+    sql_shards,
     sql_text,
     sql_vocab,
     table,
@@ -117,17 +122,33 @@ def write_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"{HASHED} select doc_id, split, n_chars, 'false,true,false,false' as reused from d")
+@query(f"{HASHED} select doc_id, split, n_chars, 'false,true,false,true,false,false' as reused from d")
 def prepared_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = new_path(spark, "cache")
-    inputs = [f"{sf_dir}/documents.parquet"]
+    """The settings of a job, through reuse, overwriting, another output folder, and a changed vocabulary."""
+    root, vocabulary = new_path(spark, "cache"), new_path(spark, "vocabulary")
+    docs = table(spark, sf_dir, "documents")
+
+    def write_vocabulary(languages: DataFrame) -> None:
+        store.write_label_vocab(build_label_vocab(languages, "lang"), vocabulary)
+
+    write_vocabulary(docs)
+    job = TextClassJob(
+        dataset_name=f"{sf_dir}/documents.parquet", key_column_name="doc_id", text_column_name="text",
+        label_column_name="lang", label_vocab_path=vocabulary, output_dir="first", trainer={"learning_rate": 1},
+    )
 
     def build() -> DataFrame:
         return split_documents(spark, sf_dir).select("doc_id", "n_chars", "split")
 
     found = []
-    for seed, overwrite in ((1, False), (1, False), (2, False), (1, True)):
-        stored, hit = store.prepared_cache(spark, root, {"seed": seed}, inputs, build, overwrite)
+    for change, overwrite in (
+        ({}, False), ({}, False), ({}, True), ({"output_dir": "second", "trainer": {"learning_rate": 2}}, False),
+        ({"seed": 1}, False), (None, False),
+    ):
+        if change is None:
+            write_vocabulary(docs.where("lang = 'en'"))
+        asked = replace(job, **(change or {}))
+        stored, hit = store.prepared_cache(spark, root, asked.shaping(), input_paths(asked), build, overwrite)
         found.append(str(hit).lower())
     return stored.select("doc_id", "split", "n_chars", F.lit(",".join(found)).alias("reused"))
 
@@ -192,14 +213,22 @@ def require_features_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """select doc_id, case when length(text) > 400 then 'causal-lm' else 'seq2seq' end as model_type
-    from documents"""
+    """select model_type, model_type in ('causal-lm', 'seq2seq') as accepted, count(*) as documents from
+    (select unnest(['causal-lm', 'seq2seq', lang, source]) as model_type from documents) group by model_type"""
 )
 def require_model_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    causal, pairs = (LanguageModelJob(model_type=m).model_type for m in ("causal-lm", "seq2seq"))
-    chosen = F.when(F.length("text") > 400, F.lit(causal)).otherwise(F.lit(pairs))
-    return docs.select("doc_id", chosen.alias("model_type"))
+    """Values of a column, and whether a job with each is accepted; the values are few."""
+    named = F.explode(F.array(F.lit("causal-lm"), F.lit("seq2seq"), F.col("lang"), F.col("source")))
+    found = table(spark, sf_dir, "documents").select(named.alias("model_type")).groupBy("model_type")
+    counts = found.agg(F.count(F.lit(1)).alias("documents"))
+
+    def accepted(name: str) -> bool:
+        try:
+            return LanguageModelJob(model_type=name).model_type == name
+        except ValueError:
+            return False
+
+    return map_each(counts, accepted, "boolean", "accepted", "model_type").select("model_type", "accepted", "documents")
 
 
 @query("select doc_id, length(text) as text_length from documents")
@@ -328,7 +357,7 @@ def filter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{HASHED}, b as ({sql_batches('d', 'doc_id', 8, 4)})
+    f"""{HASHED}, b as ({sql_batches('d', 'doc_id', 8, sql_shards('d'))})
     select split, shard, batch_id, string_agg(lang, ',' order by pos) as langs, max(n_chars) as longest
     from b group by split, shard, batch_id"""
 )
@@ -349,5 +378,5 @@ def collate_fn(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     docs = split_documents(spark, sf_dir).select("doc_id", "split", "lang", "n_chars")
-    placed = assign_batches(docs, "doc_id", 8, shards=4, seed=42)
+    placed = assign_batches(docs, "doc_id", 8, shards=shard_count(docs, ROWS_PER_SHARD), seed=42)
     return collate(placed, gather, "split string, shard int, batch_id bigint, langs string, longest bigint")

@@ -15,6 +15,7 @@ from prepkit.session import pin
 from prepkit.verification.image_queries import SQL_PIXELS, vector_images
 from prepkit.verification.label_queries import SQL_TAG_IDS, SQL_TAGGED, sql_label_vocab, tagged
 from prepkit.verification.registry import (
+    ROWS_PER_SHARD,
     WORDS,
     micro_text,
     query,
@@ -24,6 +25,7 @@ from prepkit.verification.registry import (
     sql_hash_split,
     sql_micro,
     sql_pad,
+    sql_shards,
     sql_text,
     sql_vocab,
     table,
@@ -32,7 +34,6 @@ from prepkit.verification.registry import (
 from prepkit.verification.table_queries import split_documents
 from prepkit.verification.token_queries import SQL_ALIGNED, SQL_MASK, SQL_PAIRS, SQL_PIECES, turn_pairs
 
-SHARDS = 8
 SQL_AT = "split, cast(shard as bigint) as shard, cast(batch_id as bigint) as batch_id, cast(pos as bigint) as pos"
 SQL_BATCH = "window q as (partition by split, shard, batch_id)"
 
@@ -46,14 +47,14 @@ def at(*more: str) -> list:
     w as (select doc_id, split, regexp_extract_all(lower(text), {WORDS}) as w from d),
     v as ({sql_vocab("(select * from w where split = 'train')", 10000)}),
     e as ({sql_encode('w', 'doc_id', 'v', 's.split,')}), r as (select doc_id, split, ids[1:128] as ids from e),
-    b as ({sql_batches('r', 'doc_id', 2, SHARDS)}), x as (select *, max(len(ids)) over q as m from b {SQL_BATCH})
+    b as ({sql_batches('r', 'doc_id', 2, sql_shards('r'))}), x as (select *, max(len(ids)) over q as m from b {SQL_BATCH})
     select {SQL_AT}, doc_id, {sql_text(sql_pad('ids', 'm', '0'))} as input_ids, {sql_text(SQL_MASK)} as attention_mask,
     {sql_text(sql_pad('ids', 'm', '0'))} as labels, len(ids) as tokens_input_length from x"""
 )
 def lm_causal(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = LanguageModelJob(
         key_column_name="doc_id", text_column_name="text", max_tokens_length=128, do_lower_case=True,
-        per_device_train_batch_size=2, per_device_eval_batch_size=2, shards=SHARDS, vocab_size=10_000,
+        per_device_train_batch_size=2, per_device_eval_batch_size=2, rows_per_shard=ROWS_PER_SHARD, vocab_size=10_000,
     )
     rows = lm_batches(split_documents(spark, sf_dir), job)
     return rows.select(
@@ -72,7 +73,7 @@ def lm_causal(spark: SparkSession, sf_dir: str) -> DataFrame:
     v as ({sql_vocab("(select w from s where split = 'train' union all select w from g where split = 'train')", 10000)}),
     es as ({sql_encode('s', 'pair_id', 'v', 's.split,')}), eg as ({sql_encode('g', 'pair_id', 'v')}),
     r as (select pair_id, split, es.ids[1:128] as ids, eg.ids[1:128] as labels from es join eg using (pair_id)),
-    b as ({sql_batches('r', 'pair_id', 2, SHARDS)}),
+    b as ({sql_batches('r', 'pair_id', 2, sql_shards('r'))}),
     x as (select *, max(len(ids)) over q as m, max(len(labels)) over q as n from b {SQL_BATCH})
     select {SQL_AT}, pair_id, {sql_text(sql_pad('ids', 'm', '0'))} as input_ids, {sql_text(SQL_MASK)} as attention_mask,
     {sql_text(sql_pad('labels', 'n', '0'))} as labels, len(ids) as tokens_input_length from x"""
@@ -80,7 +81,7 @@ def lm_causal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lm_seq2seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = LanguageModelJob(
         model_type="seq2seq", key_column_name="pair_id", source_column_name="source", target_column_name="target",
-        max_tokens_length=128, per_device_train_batch_size=2, per_device_eval_batch_size=2, shards=SHARDS,
+        max_tokens_length=128, per_device_train_batch_size=2, per_device_eval_batch_size=2, rows_per_shard=ROWS_PER_SHARD,
         vocab_size=10_000,
     )
     rows = lm_batches(split_hash(turn_pairs(spark, sf_dir), "pair_id"), job)
@@ -99,14 +100,14 @@ def lm_seq2seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     w as (select doc_id, split, l.id as labels, regexp_extract_all(text, {WORDS}) as w from d join l on l.label = lang),
     v as ({sql_vocab("(select * from w where split = 'train')", 10000)}),
     r as ({sql_encode('w', 'doc_id', 'v', 's.split, s.labels,')}),
-    b as ({sql_batches('r', 'doc_id', 2, SHARDS)}), x as (select *, max(len(ids)) over q as m from b {SQL_BATCH})
+    b as ({sql_batches('r', 'doc_id', 2, sql_shards('r'))}), x as (select *, max(len(ids)) over q as m from b {SQL_BATCH})
     select {SQL_AT}, doc_id, {sql_text(sql_pad('ids', 'm', '0'))} as input_ids, {sql_text(SQL_MASK)} as attention_mask,
     labels from x"""
 )
 def seqclass(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = TextClassJob(
         key_column_name="doc_id", text_column_name="text", label_column_name="lang", per_device_train_batch_size=2,
-        per_device_eval_batch_size=2, shards=SHARDS, vocab_size=10_000,
+        per_device_eval_batch_size=2, rows_per_shard=ROWS_PER_SHARD, vocab_size=10_000,
     )
     docs = split_exact(table(spark, sf_dir, "documents"), "doc_id")
     rows = text_class_batches(docs, job)
@@ -126,14 +127,15 @@ def seqclass(spark: SparkSession, sf_dir: str) -> DataFrame:
     m as (select map(list(label), list(id)) as m from k),
     c as (select doc_id, split, ids[1:512] as ids, word_ids[1:512] as word_ids, ner_tags from e join s using (doc_id)),
     r as (select doc_id, split, ids, {SQL_ALIGNED} as labels from c, m),
-    b as ({sql_batches('r', 'doc_id', 2, SHARDS)}), x as (select *, max(len(ids)) over q as m from b {SQL_BATCH})
+    b as ({sql_batches('r', 'doc_id', 2, sql_shards('r'))}), x as (select *, max(len(ids)) over q as m from b {SQL_BATCH})
     select {SQL_AT}, doc_id, {sql_text(sql_pad('ids', 'm', '0'))} as input_ids, {sql_text(SQL_MASK)} as attention_mask,
     {sql_text(sql_pad('labels', 'm', '-100'))} as labels from x"""
 )
 def tokenclass(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = TokenClassJob(
         key_column_name="doc_id", text_column_name="tokens", label_column_name="ner_tags", encoder="chunk",
-        encoder_width=4, per_device_train_batch_size=2, per_device_eval_batch_size=2, shards=SHARDS, vocab_size=10_000,
+        encoder_width=4, per_device_train_batch_size=2, per_device_eval_batch_size=2, rows_per_shard=ROWS_PER_SHARD,
+        vocab_size=10_000,
     )
     rows = token_class_batches(split_exact(pin(tagged(spark, sf_dir)), "doc_id"), job)
     return rows.select(
@@ -171,14 +173,14 @@ SQL_CAPTION = """'[''class ' || label || ''', "it''s ' || vec_id % 7 || '", ''sa
     v as ({sql_vocab("(select w from w where split = 'train')", 100)}),
     e as ({sql_encode('w', 'vec_id', 'v', 's.split,')}),
     r as (select vec_id, split, ids, pixel_values from e join pixels using (vec_id)),
-    b as ({sql_batches('r', 'vec_id', 8, SHARDS)}), x as (select *, max(len(ids)) over q as m from b {SQL_BATCH})
+    b as ({sql_batches('r', 'vec_id', 8, sql_shards('embeddings'))}), x as (select *, max(len(ids)) over q as m from b {SQL_BATCH})
     select {SQL_AT}, vec_id, {sql_text(sql_pad('ids', 'm', '0'))} as input_ids, {sql_text(SQL_MASK)} as attention_mask,
     {sql_text(sql_pad('ids', 'm', '-100'))} as labels, {sql_micro('pixel_values')} as pixel_values from x"""
 )
 def imagecap(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = CaptionJob(
         key_column_name="vec_id", image_column_name="content", text_column_name="tags", image_height=4, image_width=4,
-        shards=SHARDS, vocab_size=100,
+        rows_per_shard=ROWS_PER_SHARD, vocab_size=100,
     )
     tags = F.array(
         F.concat(F.lit("class "), F.col("label")),

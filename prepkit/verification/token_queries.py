@@ -10,10 +10,12 @@ from prepkit.functions.text import words
 from prepkit.operators import batches as pack
 from prepkit.operators import tokens as ops
 from prepkit.operators.labels import encode_label_array, label_vocab
+from prepkit.operators.positions import shard_count
 from prepkit.operators.tokens import EncoderSpec
 from prepkit.session import pin, spread
 from prepkit.verification.label_queries import SQL_TAG_IDS, SQL_TAGGED, tagged
 from prepkit.verification.registry import (
+    ROWS_PER_SHARD,
     WORDS,
     query,
     sql_batches,
@@ -21,6 +23,7 @@ from prepkit.verification.registry import (
     sql_hash_split,
     sql_pad,
     sql_repeat,
+    sql_shards,
     sql_text,
     sql_vocab,
     table,
@@ -47,6 +50,10 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
 
 
+def document_shards(spark: SparkSession, sf_dir: str) -> int:
+    return shard_count(table(spark, sf_dir, "documents"), ROWS_PER_SHARD)
+
+
 def vocab_of(docs: DataFrame) -> DataFrame:
     return pin(ops.build_vocab(docs, "text", VOCAB))
 
@@ -54,7 +61,7 @@ def vocab_of(docs: DataFrame) -> DataFrame:
 def coded_documents(spark: SparkSession, sf_dir: str, max_length: int | None = None) -> DataFrame:
     docs = spread(split_documents(spark, sf_dir).select("doc_id", "split", "text"), ["doc_id"])
     spec = EncoderSpec(max_length=max_length)
-    return ops.encode(docs, "text", spec, vocab_of(docs), key=["doc_id"]).select("doc_id", "split", "input_ids")
+    return ops.encode(docs, "text", spec, vocab_of(docs)).select("doc_id", "split", "input_ids")
 
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +100,7 @@ def encode_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way taken for vocabularies too long for a literal."""
     docs = texts(spark, sf_dir)
     listed = docs.select("doc_id", words("text").alias("tokens"))
-    coded = joined_lookup(listed, ["doc_id"], "tokens", vocab_of(docs), "token", "id", "found")
+    coded = joined_lookup(listed, "tokens", vocab_of(docs), "token", "id", "found")
     ids = F.transform("found", lambda i: F.coalesce(i, F.lit(ops.UNKNOWN)))
     return coded.select("doc_id", text_of(ids).alias("ids"))
 
@@ -126,7 +133,7 @@ SQL_PAIR_CODED = f"""c as ({SQL_PAIRS}),
 def encode_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = turn_pairs(spark, sf_dir).withColumns({"source": F.lower("source"), "target": F.lower("target")})
     both = pairs.select(F.col("source").alias("text")).unionByName(pairs.select(F.col("target").alias("text")))
-    coded = ops.encode_pair(pairs, "source", "target", EncoderSpec(max_length=128), vocab_of(both), key=["pair_id"])
+    coded = ops.encode_pair(pairs, "source", "target", EncoderSpec(max_length=128), vocab_of(both))
     return coded.select("pair_id", text_of("input_ids").alias("input_ids"), text_of("labels").alias("labels"))
 
 
@@ -136,7 +143,7 @@ def piece_spec(max_length: int | None = None, specials: bool = False) -> Encoder
 
 def coded_pieces(docs: DataFrame, spec: EncoderSpec) -> DataFrame:
     vocab = pin(ops.build_vocab(docs, "tokens", PIECES, WIDTH))
-    return ops.encode(docs, "tokens", spec, vocab, word_ids="word_ids", key=["doc_id"])
+    return ops.encode(docs, "tokens", spec, vocab, word_ids="word_ids")
 
 
 SQL_PIECES_CODED = f"""t as ({SQL_TAGGED}), {SQL_PIECES}, v as ({sql_vocab('p', PIECES)}),
@@ -170,9 +177,9 @@ def attention_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", text_of(ops.attention_mask(F.col("input_ids"))).alias("mask"))
 
 
-@query(f"with {SQL_WORDS} select doc_id, least(len(w), 128) as tokens_input_length from w")
+@query(f"with {SQL_WORDS} select doc_id, len(w) as tokens_input_length from w")
 def token_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = ops.token_length(coded_documents(spark, sf_dir, 128))
+    coded = ops.token_length(coded_documents(spark, sf_dir))
     return coded.select("doc_id", F.col("tokens_input_length").cast("bigint"))
 
 
@@ -182,14 +189,16 @@ def vocab_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_PLACED = f"""{SQL_WORDS}, v as ({sql_vocab('w', VOCAB)}), d as ({sql_hash_split('documents', 'doc_id')}),
-    e as ({sql_encode('w', 'doc_id', 'v')}), r as (select doc_id, split, ids[1:128] as ids from e join d using (doc_id)),
-    b as ({sql_batches('r', 'doc_id', 8, 4)}),
+    e as ({sql_encode('w', 'doc_id', 'v')}), r as (select doc_id, split, ids from e join d using (doc_id)),
+    b as ({sql_batches('r', 'doc_id', 8, sql_shards('r'))}),
     x as (select *, max(len(ids)) over (partition by split, shard, batch_id) as m from b)"""
 SQL_KEY = "split, cast(shard as bigint) as shard, cast(batch_id as bigint) as batch_id, cast(pos as bigint) as pos, doc_id"
 
 
 def placed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack.assign_batches(coded_documents(spark, sf_dir, 128), "doc_id", 8, shards=4, seed=42)
+    return pack.assign_batches(
+        coded_documents(spark, sf_dir), "doc_id", 8, shards=document_shards(spark, sf_dir), seed=42
+    )
 
 
 def batch_key() -> list:
@@ -262,8 +271,8 @@ def labels_masked_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.labels_masked_copy(padded).select(*batch_key(), text_of("labels").alias("labels"))
 
 
-SQL_PAIR_PLACED = f"""{SQL_PAIR_CODED}, r as (select es.pair_id, 'train' as split, es.ids[1:128] as ids,
-    eg.ids[1:128] as labels from es join eg using (pair_id)), b as ({sql_batches('r', 'pair_id', 2, 4)}),
+SQL_PAIR_PLACED = f"""{SQL_PAIR_CODED}, r as (select es.pair_id, 'train' as split, es.ids as ids,
+    eg.ids as labels from es join eg using (pair_id)), b as ({sql_batches('r', 'pair_id', 2, sql_shards('r'))}),
     x as (select *, max(len(ids)) over q as m, max(len(labels)) over q as n from b
     window q as (partition by split, shard, batch_id))"""
 
@@ -275,9 +284,9 @@ SQL_PAIR_PLACED = f"""{SQL_PAIR_CODED}, r as (select es.pair_id, 'train' as spli
 def labels_pad_separately(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = turn_pairs(spark, sf_dir).withColumns({"source": F.lower("source"), "target": F.lower("target")})
     both = pairs.select(F.col("source").alias("text")).unionByName(pairs.select(F.col("target").alias("text")))
-    coded = ops.encode_pair(pairs, "source", "target", EncoderSpec(max_length=128), vocab_of(both), key=["pair_id"])
+    coded = ops.encode_pair(pairs, "source", "target", EncoderSpec(), vocab_of(both))
     rows = coded.select("pair_id", F.lit("train").alias("split"), "input_ids", "labels")
-    padded = pack.labels_pad_separately(pack.assign_batches(rows, "pair_id", 2, shards=4, seed=42))
+    padded = pack.labels_pad_separately(pack.assign_batches(rows, "pair_id", 2, shards=shard_count(pairs, ROWS_PER_SHARD), seed=42))
     return padded.select(
         "pair_id", *(F.col(c).cast("bigint") for c in ("shard", "batch_id", "pos")), text_of("labels").alias("labels")
     )
@@ -286,7 +295,7 @@ def labels_pad_separately(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""with {SQL_PIECES_CODED}, d as ({sql_hash_split('documents', 'doc_id')}),
     l as (select doc_id, split, ids[1:512] as ids, {SQL_ALIGNED} as labels from e join d using (doc_id), m),
-    b as ({sql_batches('l', 'doc_id', 8, 4)}),
+    b as ({sql_batches('l', 'doc_id', 8, sql_shards('l'))}),
     x as (select *, max(len(ids)) over (partition by split, shard, batch_id) as m from b)
     select doc_id, {sql_text(f"({sql_pad('labels', 'm', '-100')})[1:m]")} as labels from x"""
 )
@@ -297,14 +306,14 @@ def labels_pad_to_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_label_array(coded, label_vocab(docs, "ner_tags"), "ner_tags")
     splits = split_documents(spark, sf_dir).select("doc_id", "split")
     rows = ops.align_labels(coded).select("doc_id", "input_ids", "labels").join(splits, "doc_id")
-    padded = pack.pad_to_longest(pack.assign_batches(rows, "doc_id", 8, shards=4, seed=42))
+    padded = pack.pad_to_longest(pack.assign_batches(rows, "doc_id", 8, shards=document_shards(spark, sf_dir), seed=42))
     return pack.labels_pad_to_input(padded).select("doc_id", text_of("labels").alias("labels"))
 
 
 @query(
     f"""with d as ({sql_hash_split('documents', 'doc_id')}), v as (select lang, row_number() over (order by lang) - 1
     as id from (select distinct lang from documents)), r as (select doc_id, split, id from d join v using (lang)),
-    b as ({sql_batches('r', 'doc_id', 8, 4)}) select split, cast(shard as bigint) as shard,
+    b as ({sql_batches('r', 'doc_id', 8, sql_shards('r'))}) select split, cast(shard as bigint) as shard,
     cast(batch_id as bigint) as batch_id, string_agg(id, ',' order by pos) as labels
     from b group by split, shard, batch_id"""
 )
@@ -313,7 +322,7 @@ def stack_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = split_documents(spark, sf_dir).select("doc_id", "split", "lang")
     coded = encode_label(docs, build_label_vocab(docs, "lang"), "lang", "labels")
-    stacked = pack.stack_labels(pack.assign_batches(coded, "doc_id", 8, shards=4, seed=42))
+    stacked = pack.stack_labels(pack.assign_batches(coded, "doc_id", 8, shards=document_shards(spark, sf_dir), seed=42))
     return stacked.select(
         "split", F.col("shard").cast("bigint"), "batch_id", text_of("labels").alias("labels")
     )

@@ -45,7 +45,9 @@ def test_settings_from_json_and_flags(tmp_path):
     }
     path.write_text(json.dumps(settings))
     job = parse_job(LanguageModelJob, [str(path)])
-    assert (job.model_type, job.max_tokens_length, job.trainer) == ("seq2seq", 64, {"learning_rate": 5e-5, "fp16": True})
+    assert (job.model_type, job.max_tokens_length, job.trainer) == (
+        "seq2seq", 64, {"model_name_or_path": "some/model", "learning_rate": 5e-5, "fp16": True}
+    )
     assert job.limits() == {"train": 3, "validation": None}
     flags = parse_job(
         TextClassJob, ["--dataset_name_or_path", "d", "--text_column_name", "t", "--do_eval", "false", "--max_train_samples", "5"]

@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from prepkit.operators import splits
+from prepkit.operators import positions, splits
 from prepkit.operators.positions import global_position
 from prepkit.operators.splits import boundary_hash, head_n, head_per_split, split_exact, split_hash
 
@@ -65,14 +65,38 @@ def test_head_clamps_and_keeps_order(spark):
     assert head_n(df, "id", None).count() == 20
 
 
-def test_long_head_uses_positions(spark, monkeypatch):
-    monkeypatch.setattr(splits, "TOP_ROWS", 3)
+def test_head_of_shared_and_missing_keys(spark, monkeypatch):
+    """Exactly n rows at any number of buckets, missing keys first."""
+    rows = [(None, "x"), (None, "y"), *((i // 3, f"t{i}") for i in range(90))]
+    df = spark.createDataFrame(rows, "k int, t string").repartition(5)
+    for size in (250_000, 10):
+        monkeypatch.setattr(positions, "RANGE_ROWS", size)
+        for n in (0, 1, 2, 5, 50, 92, 100):
+            got = sorted(((-1 if r["k"] is None else r["k"]) for r in head_n(df, "k", n).collect()))
+            assert got == sorted(-1 if k is None else k for k, _ in rows)[:n]
+            assert head_n(df, ["k", "t"], n).count() == min(n, 92)
+        placed = global_position(df, "k").collect()
+        assert sorted(r["position"] for r in placed) == list(range(1, 93))
+
+
+def test_positions_keep_rows_without_a_group(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, None), (4, "a")], "k int, split string")
+    got = {(r["k"], r["position"]) for r in global_position(df, "k", by="split").collect()}
+    assert got == {(1, 1), (4, 2), (2, 1), (3, 2)}
+
+
+def test_head_of_many_rows(spark):
     df = spark.range(50).repartition(5)
     assert {r["id"] for r in head_n(df, "id", 7).collect()} == set(range(7))
     names = df.select(F.concat(F.lit("n"), F.lpad(F.col("id").cast("string"), 3, "0")).alias("name"))
     assert {r["name"] for r in head_n(names, "name", 4).collect()} == {"n000", "n001", "n002", "n003"}
 
 
+def test_head_per_split_keeps_rows_without_a_split(spark):
+    df = spark.createDataFrame([(1, "train"), (2, None), (3, "train")], "id int, split string")
+    assert {r["id"] for r in head_per_split(df, "id", {"train": 1}).collect()} == {1, 2}
+
+
 def test_head_per_split(spark):
     df = spark.range(30).withColumn("split", F.when(F.col("id") % 3 == 0, "validation").otherwise("train"))
     got = head_per_split(df, "id", {"train": 4, "validation": None}).groupBy("split").count().collect()

@@ -74,15 +74,25 @@ def test_long_vocabularies_are_joined(spark, monkeypatch):
     monkeypatch.setattr(lookup, "LITERAL_ROWS", 1)
     df = rows_of(spark, ["a b q", "", None, "b b"])
     vocab = vocab_of(spark, "a", "b")
-    with pytest.raises(ValueError):
-        ops.encode(df, "text", EncoderSpec(), vocab)
-    coded = ops.encode(df, "text", EncoderSpec(), vocab, key=["k"])
+    coded = ops.encode(df, "text", EncoderSpec(), vocab)
     assert column(coded, "input_ids") == [[4, 5, UNKNOWN], [], None, [5, 5]]
 
 
+@pytest.mark.parametrize("limit", [100_000, 1])
+def test_lookup_is_one_whatever_the_size(spark, monkeypatch, limit):
+    """Shared and missing keys, missing lists and missing words, by literal and by join."""
+    monkeypatch.setattr(lookup, "LITERAL_ROWS", limit)
+    rows = [(1, ["a", "q"]), (1, ["b", "a"]), (1, ["b", "a"]), (None, ["a", None]), (2, None), (3, [])]
+    df = spark.createDataFrame(rows, "k int, t array<string>")
+    found = lookup.map_array(df, "t", vocab_of(spark, "a", "b"), "token", "id", "ids", default=1)
+    got = sorted(((r["k"], r["t"], r["ids"]) for r in found.collect()), key=repr)
+    want = [(1, ["a", "q"], [4, 1]), (1, ["b", "a"], [5, 4]), (1, ["b", "a"], [5, 4]), (None, ["a", None], [4, 1]), (2, None, None), (3, [], [])]
+    assert got == sorted(want, key=repr)
+
+
 def test_hot_token_is_spread(spark):
     df = spark.range(400).select(F.col("id").cast("int").alias("k"), F.array_repeat(F.lit("the"), 5).alias("t"))
-    got = lookup.joined_lookup(df, ["k"], "t", vocab_of(spark, "the"), "token", "id", "ids")
+    got = lookup.joined_lookup(df, "t", vocab_of(spark, "the"), "token", "id", "ids")
     assert got.where(F.col("ids") == F.array_repeat(F.lit(4), 5)).count() == 400
 
 
@@ -219,7 +229,7 @@ def test_public_tokenizer_batches(spark, tmp_path, file):
 def test_very_long_tokens_are_joined(spark):
     long = "z" * 60_000
     df = rows_of(spark, [f"a {long} {long}x"])
-    coded = ops.encode(df, "text", EncoderSpec(), vocab_of(spark, "a", long), key=["k"])
+    coded = ops.encode(df, "text", EncoderSpec(), vocab_of(spark, "a", long))
     assert column(coded, "input_ids") == [[4, 5, UNKNOWN]]
 
 
