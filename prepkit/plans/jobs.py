@@ -127,11 +127,11 @@ def head_metrics(rows: DataFrame, job: TextClassJob, labels: DataFrame) -> DataF
     """Loss, samples and times of a head fitted on the vectors of train rows and scored on validation rows."""
     vector, label = job.vector_column_name, job.label_column_name
     used = keep_complete(first_rows(rows, job), [vector, label])
-    coded = pin(encode_label(used.select("split", vector, label), labels, label, "__label", "keep_null"), "vectors")
-    train = coded.where((F.col("split") == TRAIN) & F.col("__label").isNotNull())
-    model = train_head(train, vector, "__label", labels.count(), job.head_steps, job.seed)
+    coded = pin(encode_label(used.select("split", vector, label), labels, label, "__coded", "keep_null"), "vectors")
+    train = coded.where((F.col("split") == TRAIN) & F.col("__coded").isNotNull())
+    model = train_head(train, vector, "__coded", labels.count(), job.head_steps, job.seed)
     scored = apply_trained_head(coded.where(F.col("split") == VALIDATION), model, vector)
-    return evaluate_timed(scored, "logits", "__label", run="head")
+    return evaluate_timed(scored, "logits", "__coded", run="head")
 
 
 def run_job(spark: SparkSession, job: Job) -> DataFrame:

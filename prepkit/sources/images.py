@@ -25,6 +25,8 @@ from prepkit.session import pin
 # How JPEG, GIF, BMP, TIFF and RIFF files begin.
 OTHER_FORMATS = (b"\xff\xd8\xff", b"GIF8", b"BM", b"II*\x00", b"MM\x00*", b"RIFF")
 
+open_url = urllib.request.urlopen
+
 IMAGE = "struct<height:int,width:int,channels:int,data:binary>"
 
 
@@ -37,12 +39,13 @@ def fetch(
     """
     if partitions:
         df = df.repartition(partitions)
+    opened = open_url
 
     def get(address: str | None) -> tuple[bytes | None, str | None]:
         if address is None:
             return None, "no url"
         try:
-            with urllib.request.urlopen(address, timeout=timeout_s) as response:
+            with opened(address, timeout=timeout_s) as response:
                 return response.read(), None
         except (OSError, ValueError, HTTPException) as error:
             return None, f"fetch: {type(error).__name__}"

@@ -1,5 +1,6 @@
 import base64
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -53,10 +54,35 @@ def test_png_filters(step):
     assert np.array_equal(decode_png(filtered_png(pixels, [0, 1, 2, 3, 4, 4, 3, 2, 1, 0])), pixels)
 
 
+def test_png_filters_of_large_images_are_fast():
+    pixels = np.random.default_rng(1).integers(0, 256, (224, 224, 3), dtype=np.uint8)
+    content = filtered_png(pixels, [4, 3] * 112)
+    start = time.process_time()
+    assert np.array_equal(decode_png(content), pixels)
+    assert time.process_time() - start < 0.25
+
+
+def test_other_formats_are_not_taken_for_bad_images():
+    with pytest.raises(RuntimeError, match="imaging library"):
+        images.decode_cell(b"\xff\xd8\xff\xe0 a photo", decode_png)
+    assert images.decode_cell(b"text", decode_png)[1] == "decode: not a PNG image"
+
+
+def test_bad_addresses_are_reasons(spark):
+    urls = ["http://localhost/a name", "data:broken", "no scheme", None]
+    df = spark.createDataFrame(list(enumerate(urls)), "id int, url string")
+    got = {r["id"]: r["error"] for r in images.fetch(df, "url").collect()}
+    assert got == {0: "fetch: InvalidURL", 1: "fetch: ValueError", 2: "fetch: ValueError", 3: "no url"}
+
+
 def test_png_damage():
     good = encode_png(RGB)
     broken = bytearray(good)
     broken[45] ^= 255
+    header = b"IHDR" + good[16:28]
+    short = good[:8] + struct.pack(">I", 12) + header + struct.pack(">I", zlib.crc32(header)) + good[33:]
+    with pytest.raises(ValueError, match="damaged"):
+        decode_png(short)
     for bad in (b"", b"text", good[:30], bytes(broken)):
         with pytest.raises(ValueError):
             decode_png(bad)

@@ -336,3 +336,100 @@ def test_caption_job(spark, tmp_path):
     assert {"['cat',", '"it\'s"]', "[None,"} <= tokens
     masked = F.zip_with("input_ids", "labels", lambda i, v: F.when(i == 0, v == -100).otherwise(v == i))
     assert got.where(~F.forall(masked, lambda ok: ok)).count() == 0
+
+
+def test_each_url_is_fetched_once(spark, tmp_path, monkeypatch):
+    from prepkit.sources import images
+
+    log = tmp_path / "log"
+    log.mkdir()
+    folder = str(log)
+
+    def served(address, timeout=None):
+        """Answers a ``data:`` address, and notes the request in a folder that all workers see."""
+        import os
+        import uuid
+        from io import BytesIO
+
+        open(os.path.join(folder, uuid.uuid4().hex), "w").close()
+        return BytesIO(base64.b64decode(address.partition(",")[2]))
+
+    monkeypatch.setattr(images, "open_url", served)
+    urls = [
+        (r["id"], None if r["image"] is None else "data:;base64," + base64.b64encode(r["image"]).decode(), r["label"])
+        for r in pictures(spark).collect()
+    ]
+    df = spark.createDataFrame(urls, "id int, image string, label string").withColumn("split", F.lit("train"))
+    df.write.partitionBy("split").parquet(f"{tmp_path}/d")
+    settings = dict(
+        dataset_name=f"{tmp_path}/d", image_column_name="image", label_column_name="label", do_eval=False,
+        cache_dir=f"{tmp_path}/cache", image_height=2, image_width=2,
+    )
+    run_job(spark, ImageClassJob(output_dir=f"{tmp_path}/o", **settings))
+    assert len(list(log.iterdir())) == 7
+    # A second job with the same settings takes everything from the cache, rejects included.
+    run_job(spark, ImageClassJob(output_dir=f"{tmp_path}/p", **settings))
+    assert len(list(log.iterdir())) == 7
+    for name in ("batches", "rejects", "labels"):
+        first, second = (spark.read.parquet(f"{tmp_path}/{o}/{name}") for o in "op")
+        assert sorted(map(str, first.collect())) == sorted(map(str, second.select(first.columns).collect()))
+
+
+@pytest.mark.parametrize("shards", [None, 2])
+def test_pixels_are_made_after_the_shuffle(spark, shards):
+    df = pictures(spark).withColumn("split", F.lit("train"))
+    job = ImageClassJob(image_column_name="image", label_column_name="label", image_height=2, image_width=2, shards=shards)
+    plan = image_class_batches(df, job)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("pixel_values") :].split("Exchange", 1)
+    assert len(below) == 2 and "pixel_values" not in below[1]
+
+
+def test_job_cache_follows_what_shapes_the_table(spark, tmp_path):
+    path = texts(spark, tmp_path)
+    base = dict(dataset_name=path, text_column_name="text", label_column_name="label", cache_dir=f"{tmp_path}/cache")
+
+    def made(**more):
+        """New folders in the cache, and the batches."""
+        before = {p.name for p in (tmp_path / "cache").iterdir()} if (tmp_path / "cache").exists() else set()
+        job = TextClassJob(**base | {"output_dir": f"{tmp_path}/o"} | more)
+        run_job(spark, job)
+        return {p.name for p in (tmp_path / "cache").iterdir()} - before
+
+    assert len(made()) == 4
+    assert not made() and not made(output_dir=f"{tmp_path}/other", trainer={"learning_rate": 1})
+    spark.read.parquet(f"{tmp_path}/o/labels").write.parquet(f"{tmp_path}/vocabulary")
+    given = {"label_vocab_path": f"{tmp_path}/vocabulary"}
+    assert len(made(**given)) == 4 and not made(**given)
+    more = spark.createDataFrame([("new", 3)], "label string, id int")
+    more.write.mode("append").parquet(f"{tmp_path}/vocabulary")
+    assert len(made(**given)) == 4
+    # Overwriting replaces the stored table under the same name.
+    stamp = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "cache").iterdir()}
+    assert not made(overwrite_cache=True)
+    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "cache").iterdir()} != stamp
+
+
+def test_dropped_labels_are_rejects(spark, tmp_path):
+    rows = [(i, "train" if i < 8 else "validation", "x", "a" if i < 9 else "new") for i in range(10)]
+    df = spark.createDataFrame(rows, "id int, split string, text string, label string")
+    df.write.partitionBy("split").parquet(f"{tmp_path}/d")
+    job = TextClassJob(
+        dataset_name=f"{tmp_path}/d", eval_split_name="validation", text_column_name="text", label_column_name="label",
+        on_unknown_label="drop", output_dir=f"{tmp_path}/o",
+    )
+    run_job(spark, job)
+    assert [(r["id"], r["error"]) for r in spark.read.parquet(f"{tmp_path}/o/rejects").collect()] == [(9, "label not in vocabulary")]
+    assert spark.read.parquet(f"{tmp_path}/o/batches").count() == 9
+
+
+def test_head_is_fitted_and_evaluated_by_the_job(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    rows = [(i, "t", "ab"[i % 2], (rng.normal(size=8) + 3 * (i % 2)).tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, text string, label string, v array<double>").withColumn("split", F.lit("train"))
+    df.write.partitionBy("split").parquet(f"{tmp_path}/d")
+    main([
+        "text-class", "--dataset_name", f"{tmp_path}/d", "--text_column_name", "text", "--label_column_name", "label",
+        "--vector_column_name", "v", "--output_dir", f"{tmp_path}/o", "--dataset_options", '{"mergeSchema": "true"}',
+    ])
+    found = {r["metric"]: r["value"] for r in spark.read.parquet(f"{tmp_path}/o/metrics").collect()}
+    assert found["eval_samples"] == 30 and found["eval_loss"] < 0.3 and found["eval_samples_per_second"] > 0
