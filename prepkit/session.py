@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -16,6 +17,7 @@ SPLIT_BYTES = 128 * 1024 * 1024
 SPREAD_BYTES = 4 * 1024 * 1024 * 1024
 
 _pinned: list[str] = []
+_sessions: list[SparkSession] = []
 
 
 def get_session(app_name: str = "prepkit", master: str | None = None, **conf: str) -> SparkSession:
@@ -63,10 +65,14 @@ def new_path(spark: SparkSession, name: str) -> str:
 def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
     """Compute once into a table in the shared folder and continue from there.
 
-    Later readers scan only the columns they need, and lost executors cost no recomputation.
+    Later readers scan only the columns they need, and lost executors cost no recomputation. The table
+    goes at the end of a job (see ``temporary_tables``), or when the driver ends.
     """
     path = new_path(df.sparkSession, name)
     _pinned.append(path)
+    if not _sessions:
+        atexit.register(_drop_pinned)
+    _sessions[:] = [df.sparkSession]
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -78,9 +84,20 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        while len(_pinned) > before:
-            path = hadoop_path(spark, _pinned.pop())
-            file_system(spark, path).delete(path, True)
+        _drop(spark, before)
+
+
+def _drop(spark: SparkSession, left: int) -> None:
+    while len(_pinned) > left:
+        path = hadoop_path(spark, _pinned.pop())
+        file_system(spark, path).delete(path, True)
+
+
+def _drop_pinned() -> None:
+    """At the end of the driver; a session that has been stopped can reach its file system no more."""
+    spark = _sessions[-1]
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        _drop(spark, 0)
 
 
 def pin_ordered(df: DataFrame) -> DataFrame:

@@ -25,19 +25,29 @@ def scan_split(
     """One split of a dataset folder.
 
     With ``split=`` folders the filter prunes them; otherwise the split is a plain subfolder, or rows
-    with its name in a ``split`` column. A dataset without any of these is all train.
+    with its name in a ``split`` column. A dataset without any of these is all train. The format
+    ``image`` reads picture files, JPEG among them, on the JVM, as columns ``image, origin, folder``.
     """
     root = "/".join([path.rstrip("/"), subset]) if subset else path
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
+
+    def load(place: str) -> DataFrame:
+        df = reader.load(place)
+        if fmt != "image":
+            return df
+        # Files of a folder of images: where each lies, and the folder it lies in.
+        folder = F.element_at(F.split("image.origin", "/"), -2)
+        return df.withColumns({"origin": F.col("image.origin"), "folder": folder})
+
     if split is None:
-        return reader.load(root)
+        return load(root)
     if file_exists(spark, f"{root}/split={split}"):
-        return reader.load(root).where(F.col("split") == split)
+        return load(root).where(F.col("split") == split)
     if file_exists(spark, f"{root}/{split}"):
-        return reader.load(f"{root}/{split}").withColumn("split", F.lit(split))
-    df = reader.load(root)
+        return load(f"{root}/{split}").withColumn("split", F.lit(split))
+    df = load(root)
     if "split" in df.columns:
         return df.where(F.col("split") == split)
     if split == WHOLE:

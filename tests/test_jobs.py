@@ -316,6 +316,28 @@ def test_image_class_job(spark, tmp_path, shards, as_url):
     assert set(rejects) == {4, 5, 6, 7} and rejects[4] == "pixels: 4 channels" and rejects[7] == "no label"
 
 
+def test_image_class_job_from_a_folder_of_files(spark, tmp_path):
+    """Pictures that Spark's image source reads: classes are folders, a broken file is a reject."""
+    for k, name in enumerate(("cat", "dog", "cat")):
+        (tmp_path / "d" / name).mkdir(parents=True, exist_ok=True)
+        pixels = np.zeros((4, 4, 3), np.uint8)
+        pixels[..., 0] = 10 * k
+        (tmp_path / "d" / name / f"{k}.png").write_bytes(encode_png(pixels))
+    (tmp_path / "d" / "dog" / "bad.png").write_bytes(b"junk")
+    job = ImageClassJob(
+        dataset_name=f"{tmp_path}/d", dataset_format="image", dataset_options={"recursiveFileLookup": "true"},
+        key_column_name="origin", image_column_name="image", label_column_name="folder", do_eval=False,
+        output_dir=f"{tmp_path}/o", image_height=2, image_width=2,
+    )
+    run_job(spark, job)
+    got = {r["origin"][-5:]: (r["labels"], r["pixel_values"]) for r in spark.read.parquet(f"{tmp_path}/o/batches").collect()}
+    assert {k: v[0] for k, v in got.items()} == {"0.png": 0, "1.png": 1, "2.png": 0}
+    # Red comes first, and only red differs.
+    assert got["0.png"][1][0] < got["2.png"][1][0] and got["0.png"][1][4:] == got["2.png"][1][4:]
+    rejects = spark.read.parquet(f"{tmp_path}/o/rejects").collect()
+    assert [(r["origin"][-7:], r["error"]) for r in rejects] == [("bad.png", "decode: unreadable file")]
+
+
 def test_declared_image_labels_are_ids_already(spark):
     df = pictures(spark).where("id < 4").select("id", "image", (F.col("id") % 2).alias("label"), F.lit("train").alias("split"))
     named = df.withMetadata("label", {"names": ["zebra", "ant"]})
