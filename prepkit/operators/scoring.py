@@ -42,11 +42,20 @@ def mean_pool(
     A sequence without a marked token has a null mean.
     """
     seq = [seq] if isinstance(seq, str) else list(seq)
-    chosen = F.lit(True) if mask is None else F.coalesce(F.col(mask) == 1, F.lit(False))
-    vectors = df.select(*seq, array_to_vector(F.col(vec).cast("array<double>")).alias("__v"), chosen.alias("__c"))
-    # Partial means leave each task, so a long sequence is not gathered in one place.
-    mean = vector_to_array(Summarizer.mean(F.col("__v"), F.col("__c").cast("double")))
-    return vectors.groupBy(*seq).agg(F.when(F.max("__c"), mean).alias(out))
+    values = F.col(vec).cast("array<double>")
+    if mask is None:
+        vectors = df.select(*seq, array_to_vector(values).alias("__v"))
+        # Partial means leave each task, so a long sequence is not gathered in one place.
+        return vectors.groupBy(*seq).agg(vector_to_array(Summarizer.mean(F.col("__v"))).alias(out))
+    chosen = F.coalesce(F.col(mask) == 1, F.lit(False))
+    zeros = F.transform(values, lambda x: F.lit(0.0))
+    marked = F.when(chosen, values).otherwise(zeros)
+    vectors = df.select(*seq, array_to_vector(marked).alias("__v"), chosen.cast("int").alias("__c"))
+    sums = vectors.groupBy(*seq).agg(
+        vector_to_array(Summarizer.sum(F.col("__v"))).alias("__s"), F.sum("__c").alias("__n")
+    )
+    mean = F.when(F.col("__n") > 0, F.transform("__s", lambda x: x / F.col("__n")))
+    return sums.select(*seq, mean.alias(out))
 
 
 def score_head(df: DataFrame, col: str, weights: HeadWeights, out: str = "logits") -> DataFrame:
