@@ -15,6 +15,7 @@ key are separate documents; an empty table gives no pieces.
 from __future__ import annotations
 
 import zlib
+from operator import itemgetter
 from pathlib import Path
 
 import numpy as np
@@ -23,9 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prepkit.llm import words as W
+from prepkit.llm.exchange import is_in
 
 MAX_LENGTH, END_ID = 2048, 1
-#: Words remembered by a task; beyond, remembering starts anew. Words encoded in one call.
+#: Words remembered by a task (and eight times as many ids); beyond, remembering starts anew. Words in one call.
 REMEMBERED, AT_ONCE = 400_000, 20_000
 
 
@@ -36,21 +38,13 @@ def pieces(total: int, longest: int = MAX_LENGTH) -> list[int]:
     return out + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-class _Numbers(dict):
-    """Numbers words in the order they come, and notes the new ones."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        self.new.append(word)
-        return n
-
-
 class WordIds:
-    """Ids of texts by a tokenizer whose pattern never crosses white space."""
+    """Ids of texts by a tokenizer whose pattern never crosses white space.
+
+    Words are handled as arrays of hashes. A word is cut before the stops that end it, where the pattern
+    cuts it too (after a letter or digit, a run of stops is a piece of its own), and ASCII words are put in
+    lower case, as the tokenizer does. Words with an angle bracket may hold special strings and stay whole.
+    """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -59,39 +53,90 @@ class WordIds:
         self._reset()
 
     def _reset(self) -> None:
-        self.numbers = _Numbers()
-        self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.known, self.number, self.table = np.zeros(0, np.uint64), np.zeros(0, np.int64), _Table()
 
-    def _encode(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids, sizes = [], []
-        for at in range(0, len(new), AT_ONCE):
-            some = [w.decode("utf-8") for w in new[at : at + AT_ONCE]]
+    def _encode(self, texts: list[str]) -> None:
+        for at in range(0, len(texts), AT_ONCE):
+            some = texts[at : at + AT_ONCE]
             starts = np.cumsum([0] + [len(w) + 1 for w in some[:-1]])
             found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids.append(np.array(found.ids, np.uint32))
-            where = np.array([o[0] for o in found.offsets], np.int64)
-            sizes.append(np.bincount(np.searchsorted(starts, where, "right") - 1, minlength=len(some)))
-        return np.concatenate(ids), np.concatenate(sizes)
-
-    def batch(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text."""
-        if len(self.numbers) > REMEMBERED:
+            where = np.fromiter(map(itemgetter(0), found.offsets), np.int64, len(found.offsets))
+            size = np.bincount(np.searchsorted(starts, where, "right") - 1, minlength=len(some))
+            self.table.add(np.array(found.ids, np.uint32), size)
+
+    def rows(self, chunk: W.Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows of a chunk, and where each row's begin among them."""
+        if len(self.known) > REMEMBERED or len(self.table.flat) > 8 * REMEMBERED:
             self._reset()
-        cut = [t.split() for t in texts]
-        number = self.numbers.__getitem__
-        which = [np.fromiter(map(number, words), np.int64, len(words)) for words in cut]
-        if self.numbers.new:
-            flat, size = self._encode(self.numbers.new)
-            self.numbers.new.clear()
-            begin = np.cumsum(np.concatenate(([len(self.flat)], size[:-1])))
-            self.flat, self.begin = np.concatenate((self.flat, flat)), np.concatenate((self.begin, begin))
-            self.size = np.concatenate((self.size, size))
-        out = []
-        for w in which:
-            size = self.size[w]
-            shift = self.begin[w] - (np.cumsum(size) - size)
-            out.append(self.flat[np.repeat(shift, size) + np.arange(size.sum())])
-        return out
+        found = W.find_words(chunk, hashed=False)
+        start, end, keys, plain, filled = _parts(chunk.data, found)
+        # Equal keys side by side: the first of each run stands for all.
+        order = np.argsort(keys)
+        fresh = np.concatenate(([True], np.diff(keys[order]) != 0)) if len(keys) else np.zeros(0, bool)
+        first, which = order[fresh], np.empty(len(keys), np.int64)
+        which[order] = np.cumsum(fresh) - 1
+        each = keys[first]
+        old, number = is_in(each, self.known), np.empty(len(each), np.int64)
+        number[old] = self.number[np.searchsorted(self.known, each[old])]
+        fresh = np.flatnonzero(~old)
+        if len(fresh):
+            number[fresh] = len(self.table.size) + np.arange(len(fresh))
+            raw, own = chunk.data.tobytes(), first[fresh]
+            texts = [raw[a:b].decode() for a, b in zip(start[own].tolist(), end[own].tolist(), strict=True)]
+            self._encode([t.lower() if p else t for t, p in zip(texts, plain[own].tolist(), strict=True)])
+            known, numbers = np.concatenate((self.known, each[fresh])), np.concatenate((self.number, number[fresh]))
+            order = np.argsort(known, kind="stable")
+            self.known, self.number = known[order], numbers[order]
+        which = number[which]
+        sizes = np.concatenate(([0], np.cumsum(self.table.size[which])))
+        return self.table.take(which), sizes[np.searchsorted(filled, 2 * found.first)]
+
+
+_STOPS, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
+_STOPS[np.frombuffer(b".,;:!?", np.uint8)] = True
+_ALNUM[np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", np.uint8)] = True
+
+
+def _parts(data: np.ndarray, found: W.Words) -> tuple[np.ndarray, ...]:
+    """Begins, ends and keys of the bodies and stops of words, whether they are plain ASCII, and their places.
+
+    Word ``i`` has places ``2 i`` and ``2 i + 1``; parts without characters are left out.
+    """
+    body = found.end.copy()
+    while len(body):
+        more = (body - found.start > 1) & _STOPS[data[body - 1]]
+        if not more.any():
+            break
+        body -= more
+    body = np.where(_ALNUM[data[body - 1]], body, found.end) if len(body) else body
+    odd = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data >= 128) | (data == ord("<")), out=odd[1:])
+    start, end = np.stack([found.start, body], 1).ravel(), np.stack([body, found.end], 1).ravel()
+    filled = np.flatnonzero(end > start)
+    start, end = start[filled], end[filled]
+    plain = odd[end] == odd[start]
+    keys = np.zeros(len(start), np.uint64)
+    for flags, fold in ((plain, W.LOWER), (~plain, W.AS_IS)):
+        some = np.flatnonzero(flags)
+        keys[some] = W.hash_spans(data, start[some], end[some], fold)
+    return start, end, keys, plain, filled
+
+
+class _Table:
+    """Runs of ids by number."""
+
+    def __init__(self):
+        self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, flat: np.ndarray, size: np.ndarray) -> None:
+        self.begin = np.concatenate((self.begin, len(self.flat) + np.cumsum(size) - size))
+        self.flat, self.size = np.concatenate((self.flat, flat)), np.concatenate((self.size, size))
+
+    def take(self, which: np.ndarray) -> np.ndarray:
+        """The ids of the numbered runs, one after another."""
+        size = self.size[which]
+        shift = self.begin[which] - (np.cumsum(size) - size)
+        return self.flat[np.repeat(shift, size) + np.arange(size.sum())]
 
 
 def pack(
@@ -117,10 +162,10 @@ def pack(
         encoder = WordIds(spec)
         for batch in batches:
             for chunk in W.chunks(batch.column(1)):
-                raw = [chunk.data[a:b].tobytes() for a, b in zip(chunk.offsets[:-1], chunk.offsets[1:], strict=True)]
+                flat, begin = encoder.rows(chunk)
                 rows, starts, lengths, sums, totals, values = [], [], [], [], [], []
-                for r, found in enumerate(encoder.batch(raw)):
-                    own = np.append(found, np.uint32(end_id)).astype("<u4")
+                for r in range(len(begin) - 1):
+                    own = np.append(flat[begin[r] : begin[r + 1]], np.uint32(end_id)).astype("<u4")
                     start = 0
                     for length in pieces(len(own), longest):
                         piece = own[start : start + length]

@@ -115,7 +115,9 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
         low = high
 
 
-def find_words(chunk: Chunk, is_word: np.ndarray = NOT_SPACE, fold: np.ndarray = AS_IS) -> Words:
+def find_words(
+    chunk: Chunk, is_word: np.ndarray = NOT_SPACE, fold: np.ndarray = AS_IS, hashed: bool = True
+) -> Words:
     """The words of each row of ``chunk``; no word spans two rows."""
     data, offsets = chunk.data, chunk.offsets
     inside = is_word[fold][data]
@@ -130,10 +132,12 @@ def find_words(chunk: Chunk, is_word: np.ndarray = NOT_SPACE, fold: np.ndarray =
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     first = np.searchsorted(start, offsets)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    return Words(start, end, row, first, _hash_words(data, start, end, _BYTE_VALUES[fold]))
+    return Words(start, end, row, first, hash_spans(data, start, end, fold) if hashed else np.zeros(0, _U))
 
 
-def _hash_words(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray) -> np.ndarray:
+def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: np.ndarray = AS_IS) -> np.ndarray:
+    """Hashes of spans of (folded) bytes that are not empty, in order, and do not overlap."""
+    values = _BYTE_VALUES[fold]
     out = np.empty(len(start), _U)
     i = 0
     while i < len(start):

@@ -5,15 +5,21 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from helpers import as_dict, empty, table, with_clashes
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from prepkit.llm import packing, token_counts
+from prepkit.llm import words as W
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = Tokenizer.from_file(WORDS)
+ENCODER = packing.WordIds(open(WORDS, encoding="utf-8").read())
 
 ODD = [
     "", None, " ", "   ", "a", " a  b   c ", "\n\n\t", "x y z　", "ﬁ ½ é é 漢字かな😀👩‍👩‍👧", "▁▁a▁b",
@@ -81,9 +87,24 @@ def test_pieces_survive_forgetting(monkeypatch):
     monkeypatch.setattr(packing, "AT_ONCE", 3)
     library = Tokenizer.from_file(WORDS)
     encoder = packing.WordIds(open(WORDS, encoding="utf-8").read())
-    for text in ("one two three four one", "five", "one five six seven eight nine ten"):
-        got = encoder.batch([text.encode(), b""])
-        assert got[0].tolist() == library.encode(text, add_special_tokens=False).ids and not len(got[1])
+    texts = ["one two three four one", "five", "", "one five, six. Seven eight... <|endoftext|>, nine ten!"]
+    for _ in range(2):
+        for chunk in W.chunks(pa.array(texts), 30):
+            flat, begin = encoder.rows(chunk)
+            for r, text in enumerate(texts[chunk.low : chunk.high]):
+                assert flat[begin[r] : begin[r + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+STOPS = st.text(alphabet="aB1é'.,;!?-<|> \n\u0301", max_size=30)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(STOPS, max_size=4))
+def test_words_and_stops_are_cut_where_the_library_cuts(texts):
+    for chunk in W.chunks(pa.array(texts, pa.string())):
+        flat, begin = ENCODER.rows(chunk)
+        for r, text in enumerate(texts):
+            assert flat[begin[r] : begin[r + 1]].tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
 def test_no_documents_and_wrong_length(spark):
