@@ -23,15 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Parts remembered by a task; beyond, remembering starts anew.
-REMEMBERED = 400_000
+#: Parts remembered by a task, and their longest; beyond, remembering starts anew.
+REMEMBERED, LONGEST = 400_000, 64
 
 
 class MergeCounter:
     """Counts tokens of texts for one vocabulary."""
 
     def __init__(self, model: bytes):
-        import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
         spec = sentencepiece_model_pb2.ModelProto()
@@ -48,9 +47,7 @@ class MergeCounter:
             raise ValueError("pieces span words")
         self.prefix = MARK if normal.add_dummy_prefix else ""
         self.bytes = spec.trainer_spec.byte_fallback
-        self.joins_unknown = not self.bytes
         self.known: dict[str, int] = {}
-        self.library = sentencepiece.__name__
 
     def part(self, text: str) -> int:
         """Tokens of one part, by merging."""
@@ -110,9 +107,11 @@ class MergeCounter:
         for part in _PARTS.findall(self.prefix + text.replace(" ", MARK)):
             n = known.get(part)
             if n is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                n = known[part] = self.part(part)
+                n = self.part(part)
+                if len(part) <= LONGEST:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[part] = n
             total += n
         return total
 
