@@ -17,21 +17,21 @@ def components(links: DataFrame) -> DataFrame:
     a node with a third of all links gathers them nowhere.
     """
     edges = pin(links.where(F.col("a") != F.col("b")).select(*_ordered("a", "b")).distinct(), "links")
-    while True:
-        large = _star(edges, larger=True)
-        small = pin(_star(large, larger=False), "stars")
-        # Stars that no round changes have roots without a smaller neighbour.
-        changed = small.join(edges, ["a", "b"], "left_anti").limit(1).count() or edges.join(
-            small, ["a", "b"], "left_anti"
-        ).limit(1).count()
-        edges = small
-        if not changed:
-            break
+    before, now = None, _digest(edges)
+    while now != before:
+        edges = pin(_star(_star(edges, larger=True), larger=False), "stars")
+        before, now = now, _digest(edges)
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
         edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     )
 
 
+def _digest(edges: DataFrame) -> tuple:
+    """Number and hashes of the (distinct) links: equal for the same set of links."""
+    one, two = F.xxhash64("a", "b"), F.xxhash64("b", "a")
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(one), F.bit_xor(two)).first())
+
+
 def _ordered(a: str, b: str):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from prepkit.llm.words import mix
 
 #: Hashes packed at a time by a task, and hashes that a range should hold.
-RUN, RANGE = 1 << 21, 1 << 22
+RUN, RANGE = 1 << 20, 1 << 21
 #: Stands for a null key, which so is the smallest.
 NULL_KEY = -(2**63)
 

@@ -1,18 +1,21 @@
 """N-gram Jaccard join by trees over count vectors.
 
 A document's set of 5-word shingles is hashed into groups; how many shingles fall into each group is its
-point, with a dimension for every two to four shingles. Two sets cannot share more than the sum of the
+point, with a dimension for every one or two shingles. Two sets cannot share more than the sum of the
 smaller of their two counts over all groups, and boxes around points cannot promise more than the sum of
 their smaller upper bounds; pairs of boxes and of points that cannot reach the similarity are dropped, the
 others are verified shingle by shingle.
 
-No tree holds all points. Sets of a similarity of 0.8 share one of their first ``n/5 + 1`` shingles in any
-common order, so there is a tree per such shingle with two or more sets; shingles that a great many
-documents hold come last in the order, which keeps shared passages out of the trees. Trees with the same
-members are one tree. Equal sets are one point. Before points are joined, each is bounded and verified
-against the smallest member of its trees, and components are formed: boxes whose points belong to one
-component need no join any more, so thousands of near copies cost about one verification each. A tree of
-many points is joined in pairs of blocks. Whole sets are made again, from the texts, of the members of
+No tree holds all points. Sets of a similarity of 0.8 share ``k`` of their first ``n/5 + k`` shingles in any
+common order, so there is a tree per such shingle with two or more sets, and a set with fewer than ``k``
+trees is in none; shingles that a great many documents hold come last in the order, which keeps shared
+passages out of the trees. Trees with the same members are one tree. Equal sets are one point.
+
+Components are formed in rounds, and boxes whose points belong to one component need no join any more.
+First each set is bounded and verified against the smallest member of its trees. Then, as long as that finds
+links, each component is verified against the nearest point of another one in each tree; so thousands of
+near copies cost a few verifications each. At last all pairs between components that the bounds leave are
+verified. A tree of many points is joined in pairs of blocks. Whole sets are made again, from the texts, of the members of
 surviving pairs only.
 
 Defined cases: a text without words or a null text has an empty set, which links with nothing; fewer words
@@ -38,7 +41,9 @@ SHINGLE = 5
 #: Similarity as a fraction.
 PART, WHOLE = 4, 5
 #: Shingles put last in the order of all: at most so many, each met so often in one run of input.
-COMMON, COMMON_IN_RUN = 1 << 18, 8
+COMMON, COMMON_IN_RUN = 1 << 18, 4
+#: Shared shingles asked for: one per so many, up to ``MOST_SHARED``.
+SHARED_PER, MOST_SHARED = 16, 8
 #: Points joined at a time, and boxes or points in a box.
 BLOCK, FAN = 2048, 8
 
@@ -67,12 +72,24 @@ def _name(own: np.ndarray) -> int:
 
 def _groups(n: int) -> int:
     """Groups of a set of ``n`` shingles: a power of two, from 16."""
-    return max(16, 1 << max(0, (n // 2).bit_length() - 1))
+    return max(16, 1 << max(0, n.bit_length() - 1))
 
 
 def _point(own: np.ndarray) -> np.ndarray:
+    """Counts by group; 255 of one or two expected hashes in a group do not occur."""
     g = _groups(len(own))
-    return np.bincount((own >> _U(64 - g.bit_length() + 1)).astype(np.int64), minlength=g).astype(np.uint16)
+    return np.bincount((own >> _U(64 - g.bit_length() + 1)).astype(np.int64), minlength=g).astype(np.uint8)
+
+
+def _first_size(n: int) -> int:
+    """How many first shingles of a set of ``n`` enter the trees."""
+    return n - -(-PART * n // WHOLE) + min(MOST_SHARED, max(1, n // SHARED_PER))
+
+
+def _needed() -> F.Column:
+    """How many of the first shingles of a set of ``n`` a similar set shares, which may be smaller by a fifth."""
+    least = F.ceil(F.lit(PART) * F.col("n") / F.lit(WHOLE))
+    return F.least(F.lit(MOST_SHARED), F.greatest(F.lit(1), F.floor(least / F.lit(SHARED_PER))))
 
 
 def common_shingles(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -124,8 +141,8 @@ def _sets(docs: DataFrame, key: str, text: str, common: np.ndarray) -> DataFrame
                 if late.any():
                     ends = own[late]
                     listed = np.concatenate((listed, ends[np.argsort(rank[np.searchsorted(last, ends)])]))
-                first.append(X.packed(listed[: len(own) - -(-PART * len(own) // WHOLE) + 1]))
-                point.append(_point(own).astype("<u2").tobytes())
+                first.append(X.packed(listed[: _first_size(len(own))]))
+                point.append(_point(own).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
                  pa.array(first, pa.binary()), pa.array(point, pa.binary())],
@@ -137,7 +154,7 @@ def _sets(docs: DataFrame, key: str, text: str, common: np.ndarray) -> DataFrame
 
 
 def _first_entries(batch):
-    """All first shingles of a batch of sets, with their sets."""
+    """First shingles of a batch of sets, with their sets."""
     cells = [X.unpacked(c) for c in batch.column(1).to_pylist()]
     sizes = [len(c) for c in cells]
     nodes = batch.column(0).to_numpy(zero_copy_only=False)
@@ -166,9 +183,9 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
         for batch in batches:
             good = []
             for m, n, x, y in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True):
-                x, y = np.frombuffer(x, "<u2").astype(np.int64), np.frombuffer(y, "<u2").astype(np.int64)
                 width = min(len(x), len(y))
-                most = int(np.minimum(_fold(x, width), _fold(y, width)).sum())
+                x, y = _fold(np.frombuffer(x, np.uint8), width), _fold(np.frombuffer(y, np.uint8), width)
+                most = int(np.minimum(x, y).sum(dtype=np.int64))
                 good.append(WHOLE * m >= PART * n and WHOLE * n >= PART * m and (PART + WHOLE) * most >= PART * (m + n))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
@@ -225,12 +242,12 @@ class CountTree:
             )
             self.levels.append(level)
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of points of different components that may reach the similarity."""
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of points of different components that may reach the similarity, and by how much they may."""
         n = len(self.levels[-1][1])
         i, j = np.triu_indices(n)
         for depth in range(len(self.levels) - 1, -1, -1):
-            i, j = self._possible(self.levels[depth], i, j, points=depth == 0)
+            i, j, over = self._possible(self.levels[depth], i, j, points=depth == 0)
             if depth:
                 size = len(self.levels[depth - 1][1])
                 a = (i[:, None] * FAN + np.arange(FAN))[:, :, None]
@@ -239,10 +256,10 @@ class CountTree:
                 a, b = a.ravel(), b.ravel()
                 good = (a <= b) & (b < size)
                 i, j = a[good], b[good]
-        return self.order[i], self.order[j]
+        return self.order[i], self.order[j], over
 
     @staticmethod
-    def _possible(level, i: np.ndarray, j: np.ndarray, points: bool) -> tuple[np.ndarray, np.ndarray]:
+    def _possible(level, i: np.ndarray, j: np.ndarray, points: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         top, low, high, group = level
         good = ~((group[i] == group[j]) & (group[i] >= 0))
         good &= (WHOLE * high[i] >= PART * low[j]) & (WHOLE * high[j] >= PART * low[i])
@@ -256,20 +273,36 @@ class CountTree:
         for at in range(0, len(i), step):
             part = slice(at, at + step)
             most[part] = np.minimum(top[i[part]], top[j[part]]).sum(axis=1, dtype=np.int64)
-        good = (PART + WHOLE) * most >= need
-        return i[good], j[good]
+        over = (PART + WHOLE) * most / np.maximum(need, 1)
+        good = over >= 1
+        return i[good], j[good], over[good]
 
 
 def _fold(cell: np.ndarray, groups: int) -> np.ndarray:
     """Counts over fewer groups: neighbours are added."""
-    return cell.reshape(groups, -1).sum(axis=1)
+    return cell.reshape(groups, -1).sum(axis=1, dtype=np.uint16)
+
+
+def _nearest(i: np.ndarray, j: np.ndarray, over: np.ndarray) -> np.ndarray:
+    """Which pairs are the best one of either of their components."""
+    best = np.zeros(len(i), bool)
+    for side in (i, j):
+        order = np.lexsort((-over, side))
+        best[order[np.flatnonzero(np.diff(side[order], prepend=-1))]] = True
+    return best
 
 
 def tree_pairs(
-    nodes: np.ndarray, sizes: np.ndarray, components_of: np.ndarray, cells: list[np.ndarray], blocks: np.ndarray
+    nodes: np.ndarray,
+    sizes: np.ndarray,
+    components_of: np.ndarray,
+    cells: list[np.ndarray],
+    blocks: np.ndarray,
+    nearest: bool = False,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of sets of one tree that must be verified; with two blocks, pairs across them.
 
+    With ``nearest``, of each component only the pair whose bound is best.
     Points have as many groups as their sizes ask for. Sizes of a similar pair differ by a quarter at most,
     so it is enough to join each width with itself and with the next, folded.
     """
@@ -279,17 +312,21 @@ def tree_pairs(
         own = np.flatnonzero((width == w) | (width == 2 * w))
         if len(own) < 2:
             continue
-        points = np.stack([_fold(cells[k].astype(np.int64), w) for k in own])
-        i, j = CountTree(points, sizes[own], numbered[own]).pairs()
+        points = np.stack([_fold(cells[k], w) for k in own])
+        i, j, over = CountTree(points, sizes[own], numbered[own]).pairs()
         i, j = own[i], own[j]
         good = ~((width[i] == 2 * w) & (width[j] == 2 * w))
         if len(np.unique(blocks)) > 1:
             good &= blocks[i] != blocks[j]
-        yield nodes[i[good]], nodes[j[good]]
+        i, j, over = i[good], j[good], over[good]
+        if nearest:
+            best = _nearest(numbered[i], numbered[j], over)
+            i, j = i[best], j[best]
+        yield nodes[i], nodes[j]
 
 
-def _candidates(members: DataFrame, points: DataFrame) -> DataFrame:
-    """``a, b``: pairs of sets of different components that the trees cannot tell apart."""
+def _candidates(members: DataFrame, points: DataFrame, nearest: bool) -> DataFrame:
+    """``a, b``: pairs of sets of different components that the trees cannot tell apart (a stored table)."""
     count = members.groupBy("tree").agg(
         F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
     )
@@ -310,16 +347,16 @@ def _candidates(members: DataFrame, points: DataFrame) -> DataFrame:
         held: list[tuple] = []
 
         def flush():
-            cells = [np.frombuffer(r[7], "<u2") for r in held]
+            cells = [np.frombuffer(r[7], np.uint8) for r in held]
             column = lambda k: np.array([r[k] for r in held], np.int64)
             found = [
                 (np.minimum(a, b), np.maximum(a, b))
-                for a, b in tree_pairs(column(4), column(6), column(5), cells, column(3))
+                for a, b in tree_pairs(column(4), column(6), column(5), cells, column(3), nearest)
             ]
             held.clear()
             if found:
-                a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                columns = [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -329,7 +366,18 @@ def _candidates(members: DataFrame, points: DataFrame) -> DataFrame:
         if held:
             yield from flush()
 
-    return rows.mapInArrow(join, "a long, b long").distinct()
+    return pin(rows.mapInArrow(join, "a long, b long").distinct(), "pairs")
+
+
+def _more_links(
+    placed: DataFrame, points: DataFrame, nearest: bool, filled: DataFrame, cells: DataFrame
+) -> tuple[DataFrame, bool]:
+    """Verified links between components, and whether there are any."""
+    pairs = _candidates(placed, points, nearest)
+    if not pairs.limit(1).count():
+        return pairs, False
+    links = _verified(pairs, filled, cells)
+    return links, links.limit(1).count() > 0
 
 
 def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -338,12 +386,19 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     filled = base.where("n > 0")
     expected = base.agg(F.sum(F.octet_length("first"))).first()[0] or 0
     ranges = X.range_count(docs, expected // 8)
-    shared = pin(X.shared_hashes(filled.select("node", "first"), _first_entries, ranges), "shared")
-    members = pin(_members(shared), "members")
+    shared = X.shared_hashes(filled.select("node", "first"), _first_entries, ranges)
+    counts = filled.groupBy("node").agg(F.first("n").alias("n"))
+    enough = shared.withColumnRenamed("key", "node").join(counts, "node")
+    enough = enough.where(F.octet_length("hashes") >= 8 * _needed()).select("node", "hashes")
+    members = pin(_members(enough), "members")
+    # Sets that had too few trees have left trees with one member, and so on; once more is worth it.
+    members = members.join(members.groupBy("tree").count().where("count > 1").select("tree"), "tree")
+    enough = members.groupBy("node").count().join(counts, "node").where(F.col("count") >= _needed()).select("node")
+    members = pin(members.join(enough, "node", "left_semi"), "members")
     lists = members.groupBy("tree").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"), F.min("node").alias("leader"),
-    )
+    ).where("size > 1")
     trees = lists.groupBy("size", "x", "y", "leader").agg(F.min("tree").alias("tree"))
     members = pin(members.join(trees.select("tree", "leader"), "tree"), "trees")
 
@@ -355,11 +410,20 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     pairs = members.groupBy("node").agg(F.min("leader").alias("a")).where("a < node")
     pairs = pin(_bounded(pairs.select("a", F.col("node").alias("b")), points), "pairs")
     links = _verified(pairs, filled, cells)
-    known = components(links)
-    placed = members.select("tree", "node").join(known, "node", "left")
-    placed = pin(placed.withColumn("component", F.coalesce("component", "node")), "placed")
-    more = _verified(pin(_candidates(placed, points), "pairs"), filled, cells)
-    known = components(links.unionByName(more)) if more.limit(1).count() else known
+    nearest = True
+    while True:
+        known = components(links)
+        placed = members.select("tree", "node").join(known, "node", "left")
+        placed = pin(placed.withColumn("component", F.coalesce("component", "node")), "placed")
+        more, found = _more_links(placed, points, nearest, filled, cells)
+        if nearest and not found:
+            # No component's nearest is similar: all that the bounds leave are tried, once.
+            nearest = False
+            more, found = _more_links(placed, points, nearest, filled, cells)
+        links = links.unionByName(more) if found else links
+        if not nearest:
+            break
+    known = components(links) if found else known
 
     smallest = filled.groupBy("node").agg(F.min("key").alias("least"))
     named = smallest.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))

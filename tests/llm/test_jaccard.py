@@ -129,6 +129,12 @@ def test_bounds_keep_every_similar_pair():
     }
     assert similar and similar <= got
     assert len(got) < len(sets) * (len(sets) - 1) // 8
+    best = {
+        tuple(sorted(p))
+        for a, b in J.tree_pairs(nodes, sizes, nodes.copy(), cells, np.zeros(len(sets), int), nearest=True)
+        for p in zip(a.tolist(), b.tolist(), strict=True)
+    }
+    assert best <= got and {k for p in got for k in p} == {k for p in best for k in p}
 
 
 def test_components_of_chains_and_stars(spark):
