@@ -13,9 +13,10 @@ passages out of the trees. Trees with the same members are one tree. Equal sets
 
 Components are formed in rounds, and boxes whose points belong to one component need no join any more.
 First each set is bounded and verified against the smallest member of its trees. Then, as long as that finds
-links, each component is verified against the nearest point of another one in each tree; so thousands of
-near copies cost a few verifications each. At last all pairs between components that the bounds leave are
-verified. A tree of many points is joined in pairs of blocks. Whole sets are made again, from the texts, of the members of
+links, each component is verified against the nearest point of another one in each tree of a part of the
+trees, the next part in each round; so thousands of near copies cost a few verifications each. At last all
+pairs between components that the bounds leave in any tree are verified, so no link depends on the rounds.
+A tree of many points is joined in pairs of blocks. Whole sets are made again, from the texts, of the members of
 surviving pairs only.
 
 Defined cases: a text without words or a null text has an empty set, which links with nothing; fewer words
@@ -44,6 +45,8 @@ PART, WHOLE = 4, 5
 COMMON, COMMON_IN_RUN = 1 << 18, 4
 #: Shared shingles asked for: one per so many, up to ``MOST_SHARED``.
 SHARED_PER, MOST_SHARED = 16, 8
+#: Parts of the trees that take turns in looking for nearest points.
+TURNS = 4
 #: Points joined at a time, and boxes or points in a box.
 BLOCK, FAN = 2048, 8
 
@@ -410,13 +413,15 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     pairs = members.groupBy("node").agg(F.min("leader").alias("a")).where("a < node")
     pairs = pin(_bounded(pairs.select("a", F.col("node").alias("b")), points), "pairs")
     links = _verified(pairs, filled, cells)
-    nearest = True
+    nearest, turn = True, 0
     while True:
         known = components(links)
         placed = members.select("tree", "node").join(known, "node", "left")
         placed = pin(placed.withColumn("component", F.coalesce("component", "node")), "placed")
-        more, found = _more_links(placed, points, nearest, filled, cells)
-        if nearest and not found:
+        part = placed.where(F.pmod(F.xxhash64("tree"), F.lit(TURNS)) == turn % TURNS)
+        more, found = _more_links(part, points, nearest, filled, cells)
+        turn += 1
+        if not found:
             # No component's nearest is similar: all that the bounds leave are tried, once.
             nearest = False
             more, found = _more_links(placed, points, nearest, filled, cells)
