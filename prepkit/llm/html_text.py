@@ -1,7 +1,11 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree of elements; scripts, styles, forms and elements that name themselves menus, headers,
-footers, sidebars, notices, adverts or comments are cut off first. Every node gets its characters per tag,
+A page becomes a tree of elements; scripts, styles, menus, footers and hidden elements are cut off first.
+Forms, headers and elements that name themselves menus, sidebars, notices, adverts or comments by a whole class
+or id are cut off if they are not the main text: one that holds an article, a main or an h1 stays, and so does
+one with half of the body's text in paragraphs, items, cells and headings or three quarters of all its text,
+unless it stands beside an article or main with text. A header in an article or main stays, and so does a form
+there that holds a paragraph, item, cell or heading. Every node gets its characters per tag,
 adjusted for links (composite text density). The node whose children's densities have the largest sum is
 taken, among the nodes at least as dense as the least dense node on the path from that node to the body.
 Its text is returned whole, block by block. Pages are parsed where they are; nothing is shuffled.
@@ -13,6 +17,7 @@ pages. Parsing, densities and text all walk the tree without recursion, so its d
 
 from __future__ import annotations
 
+import functools
 import html
 import math
 import re
@@ -24,8 +29,11 @@ from pyspark.sql import functions as F
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template textarea title svg iframe object select xmp noembed".split())
 _CUT = frozenset(
-    "head nav header footer aside form button dialog menu audio video canvas map label fieldset".split()
+    "head nav footer aside button dialog menu audio video canvas map label fieldset".split()
 )
+#: What goes unless it is the main text, by its tag; other elements go by their names (``NAMED``).
+HEADER, FORM, NAMED = "header", "form", "named"
+_MARKED = frozenset("article main".split())
 _BLOCKS = frozenset(
     "address article blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -37,13 +45,18 @@ _ENDS = {
     "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "thead"),
 }
 _BARRIER = frozenset("ul ol dl table html body article section main div td th".split())
+#: Parts of a class or id that say so; with them may stand ``_PLACES`` and numbers, and nothing else.
 _NOISE = re.compile(
-    r"(?:^|[\s_-])(?:nav(?:bar|igation)?|menu|breadcrumbs?|header|masthead|footer|side-?bar|aside|widget|ads?|advert\w*"
+    r"nav(?:bar|igation)?|menu|breadcrumbs?|header|masthead|footer|sidebar|aside|widget|ads?|advert\w*"
     r"|sponsor(?:ed)?|promo\w*|banner|cookies?|consent|gdpr|alert|notice|popup|modal|overlay|comments?(?:list|s)?|replies|respond"
-    r"|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|pagination|pager|toolbar)"
-    r"(?:$|[\s_-])",
+    r"|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|pagination|pager|toolbar",
     re.IGNORECASE,
 )
+_PLACES = frozenset(
+    "site main top bottom left right primary secondary global container wrapper wrap box block area section inner bar "
+    "list links item items posts buttons icons form".split()
+)
+_TEXT_BLOCKS = frozenset("p pre blockquote li dd td h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z))",
@@ -56,33 +69,91 @@ _SPACE = re.compile(r"\s+")
 class Node:
     """An element; ``parts`` holds texts and elements in order."""
 
-    __slots__ = ("tag", "parts", "parent", "order", "depth", "cut", "chars", "tags", "links", "linked", "density", "sum")
+    __slots__ = (
+        "tag", "parts", "parent", "order", "depth", "cut", "suspect", "chars", "tags", "links", "linked", "density", "sum"
+    )
 
-    def __init__(self, tag: str, parent: Node | None, order: int, cut: bool):
-        self.tag, self.parent, self.order, self.cut = tag, parent, order, cut
+    def __init__(self, tag: str, parent: Node | None, order: int, cut: bool, suspect: str = ""):
+        self.tag, self.parent, self.order, self.cut, self.suspect = tag, parent, order, cut, suspect
         self.depth = parent.depth + 1 if parent else 0
         self.parts: list[str | Node] = []
         self.chars = self.tags = self.links = self.linked = 0
         self.density = self.sum = 0.0
 
 
-def _is_noise(tag: str, attributes: str) -> bool:
-    """Whether an element names itself something other than main text."""
+@functools.lru_cache(4096)
+def _named(names: str) -> str:
+    """``HEADER`` or ``NAMED`` if one of the classes or ids says as a whole that it is not main text."""
+    found = ""
+    for name in names.lower().replace("side-bar", "sidebar").replace("side_bar", "sidebar").split():
+        parts = [x for x in re.split("[-_]+", name) if x]
+        noise = {x for x in parts if _NOISE.fullmatch(x)}
+        if noise and all(x in noise or x in _PLACES or x.isdigit() for x in parts):
+            if not noise <= {"header", "masthead"}:
+                return NAMED
+            found = HEADER
+    return found
+
+
+def _noise(tag: str, attributes: str) -> tuple[bool, str]:
+    """Whether an element is cut in any case, and else as what it is cut if it is not the main text."""
     if tag in _CUT:
-        return True
+        return True, ""
+    suspect = tag if tag in (HEADER, FORM) else ""
     if not attributes or tag in ("body", "html", "article", "main") or tag in _HEADINGS:
-        return False
+        return False, suspect
     for name, *values in _ATTR.findall(attributes):
         value, name = "".join(values), name.lower()
-        if name in ("class", "id") and _NOISE.search(value):
-            return True
-        if name == "role" and value.lower() in _ROLES:
-            return True
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, ""
         if name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+            return True, ""
+        if name in ("class", "id"):
+            suspect = suspect or _named(value)
+        elif name == "role" and value.lower() in _ROLES:
+            suspect = suspect or {"banner": HEADER, "form": FORM}.get(value.lower(), NAMED)
+    return False, suspect
+
+
+def _without_noise(nodes: list[Node]) -> list[Node]:
+    """The nodes that stay when the suspects that are not the main text are cut off."""
+    if not any(n.suspect for n in nodes):
+        return nodes
+    chars, marks = [n.chars for n in nodes], [False] * len(nodes)
+    blocks, held = [0] * len(nodes), [False] * len(nodes)
+    marked, body = False, 0
+    for node in nodes:
+        held[node.order] = node.tag in _TEXT_BLOCKS or node.parent is not None and held[node.parent.order]
+        blocks[node.order] = chars[node.order] if held[node.order] else 0
+    for node in reversed(nodes):
+        k = node.order
+        if chars[k]:
+            marks[k] |= node.tag in _MARKED or node.tag == "h1"
+            marked |= node.tag in _MARKED
+        if node.tag == "body":
+            body = k
+        if node.parent is not None:
+            up = node.parent.order
+            chars[up] += chars[k]
+            marks[up] |= marks[k]
+            blocks[up] += blocks[k]
+    inside, gone = [False] * len(nodes), [False] * len(nodes)
+    for node in nodes[1:]:
+        k, up = node.order, node.parent.order
+        inside[k] = inside[up] or node.parent.tag in _MARKED
+        gone[k] = gone[up]
+        if gone[k] or not node.suspect:
+            continue
+        if not chars[k]:
+            gone[k] = True
+        elif marks[k] or inside[k] and (node.suspect == HEADER or node.suspect == FORM and blocks[k]):
+            continue
+        else:
+            most = blocks[k] and 2 * blocks[k] >= blocks[body] or 4 * chars[k] >= 3 * chars[body]
+            gone[k] = not most or marked and not inside[k]
+        if gone[k]:
+            node.parent.parts.remove(node)
+    return [n for n in nodes if not gone[n.order]]
 
 
 def parse(page: str) -> tuple[Node, list[Node]]:
@@ -105,13 +176,16 @@ def parse(page: str) -> tuple[Node, list[Node]]:
         if begin < 0:
             begin = len(page)
         if begin > at and not top.cut:
-            top.parts.append(html.unescape(page[at:begin]))
+            part = html.unescape(page[at:begin])
+            top.parts.append(part)
+            top.chars += len(_SPACE.sub("", part))
         if begin == len(page):
             break
         m = _TAG.match(page, begin)
         if not m:
             if not top.cut:
                 top.parts.append("<")
+                top.chars += 1
             at = begin + 1
             continue
         at = m.end()
@@ -147,13 +221,14 @@ def parse(page: str) -> tuple[Node, list[Node]]:
             if not top.cut:
                 top.parts.append(" " if tag in ("br", "hr", "img") else "")
             continue
-        node = Node(tag, top, len(nodes), top.cut or _is_noise(tag, attributes))
+        cut, suspect = (True, "") if top.cut else _noise(tag, attributes)
+        node = Node(tag, top, len(nodes), cut, suspect)
         if not node.cut:
             top.parts.append(node)
             nodes.append(node)
         open_count[tag] = open_count.get(tag, 0) + 1
         top = node
-    return root, nodes
+    return root, _without_noise(nodes)
 
 
 def _end(top: Node, tags: tuple[str, ...], close) -> Node:
@@ -169,9 +244,8 @@ def _end(top: Node, tags: tuple[str, ...], close) -> Node:
 
 
 def measure(root: Node, nodes: list[Node]) -> None:
-    """Characters, tags and their link shares below every node; densities and sums of densities."""
+    """Characters (of its own so far), tags and their link shares below every node; densities and sums of densities."""
     for node in reversed(nodes):  # children come after their parents
-        node.chars += sum(len(_SPACE.sub("", p)) for p in node.parts if isinstance(p, str))
         if node.tag == "a":
             node.linked, node.links = node.chars, node.links + 1
         if node.parent is not None:

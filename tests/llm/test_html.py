@@ -37,6 +37,38 @@ def test_article(body, want):
     assert html_text.main_text(page(body)) == want
 
 
+LONG = "plain words of text " * 8
+PARTS = "".join(f"<p>{LONG}{k}.</p>" for k in range(3))
+WANT = "\n".join(f"{LONG}{k}." for k in range(3))
+
+
+@pytest.mark.parametrize(
+    "name", ["layout has-sidebar", "no-sidebar", "content with-comments", "page-with-ads", "modal-open", "sidebar", "widget-area"]
+)
+def test_names_of_wrappers_do_not_cut_the_text(name):
+    assert html_text.main_text(page(f"<div class='{name}'><article>{PARTS}</article></div>")) == WANT
+    assert html_text.main_text(page(f"<div id='{name}'><div>{PARTS}</div></div>")) == WANT
+
+
+def test_forms_around_the_text_stay():
+    assert html_text.main_text(page(f"<form id=aspnet><input type=hidden><div>{PARTS}</div></form>")) == WANT
+    assert html_text.main_text(page(f"<form><main>{PARTS}</main><input></form>")) == WANT
+    assert html_text.main_text(page(f"<main>{PARTS}<form><input>mail</form></main>")) == WANT
+    assert html_text.main_text(page(f"<main><form><p>One.</p></form>{PARTS}</main>")) == "One.\n" + WANT
+
+
+def test_titles_of_articles_stay():
+    for head in ("<header><h1>T</h1></header>", "<div class=entry-header><h2>T</h2></div>", "<header class=header><p>T</p></header>"):
+        assert html_text.main_text(page(f"<article>{head}{PARTS}</article>")) == "T\n" + WANT
+
+
+@pytest.mark.parametrize("name", ["ad", "related-posts", "side-bar", "cookie_banner", "nav__links", "site-header", "widget-12"])
+def test_named_parts_go(name):
+    more = f"<div class='x {name}'>Some more text here</div>"
+    assert html_text.main_text(page(f"{more}<div>{PARTS}</div>{more}")) == WANT
+    assert html_text.main_text(page(f"{more}<article><p>One.</p></article>{more}")) == "One."
+
+
 def test_unmarked_link_lists_lose_to_text():
     links = "<div>" + "".join(f"<a href=/{k}>Some link text {k}</a> " for k in range(30)) + "</div>"
     text = "<div><div>" + "".join(f"<p>{'plain words of text ' * 8}{k}.</p>" for k in range(5)) + "</div></div>"
