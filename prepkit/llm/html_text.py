@@ -7,8 +7,12 @@ one with half of the body's text in paragraphs, items, cells and headings or thr
 unless it stands beside an article or main with text. A header in an article or main stays, and so does a form
 there that holds a paragraph, item, cell or heading. Every node gets its characters per tag,
 adjusted for links (composite text density). The node whose children's densities have the largest sum is
-taken, among the nodes at least as dense as the least dense node on the path from that node to the body.
-Its text is returned whole, block by block. Pages are parsed where they are; nothing is shuffled.
+taken, and the least density on the path from it to the body is the threshold. The node stands for the article
+it is in, or for the main if that has several articles or none is marked, or else for the block around it.
+From there the highest ancestor, up to the main or else the body, is taken that has another child at least as
+dense as the threshold, so main text spread over siblings is whole. Its text is returned whole, block by block;
+only if such siblings were found, blocks around them that hold nothing as dense and are mostly links are left
+out. Pages are parsed where they are; nothing is shuffled.
 
 Defined cases: a null, empty or text-free page gives an empty text; markup may be unclosed, misnested or
 cut off anywhere; equal sums take the deeper, then the earlier node; rows that share a key are separate
@@ -272,35 +276,85 @@ def _density(node: Node, share: float) -> float:
     return max(c / t * math.log(max(c / lc * t / lt, 1.0)) / math.log(max(base, math.e)), 0.0) if node.linked else c / t
 
 
-def main_node(root: Node, nodes: list[Node]) -> Node:
-    """The node of the largest sum among those at least as dense as the path of the largest sum to the body."""
+def main_node(root: Node, nodes: list[Node]) -> tuple[Node, frozenset[Node]]:
+    """The node that holds the largest sum and all as dense text beside it, and the link lists in it that do not belong.
+
+    As dense is what is at least as dense as the least dense node on the path of the largest sum to the body.
+    """
     body = next((n for n in nodes if n.tag == "body"), root)
     inside = [n for n in nodes if n.order >= body.order and n.chars]
     if not inside:
-        return body
+        return body, frozenset()
     rank = lambda n: (n.sum, n.depth, -n.order)
     best = max(inside, key=rank)
     least, node = best.density, best
     while node is not body and node.parent is not None:
         least, node = min(least, node.density), node.parent
     least = min(least, body.density)
-    chosen = max((n for n in inside if n.density >= least), key=rank)
-    # A part of an article stands for the article, and a paragraph for the text around it.
-    node = chosen
-    while node is not None and node.tag not in ("article", "main"):
+    chosen, last = _marked(best, body)
+    up = top = chosen
+    while up is not last and up.parent is not None:
+        up, below = up.parent, up
+        if any(isinstance(x, Node) and x is not below and x.density >= least and x.density for x in up.parts):
+            top = up
+    return top, _link_lists(chosen, top, least) if top is not chosen else frozenset()
+
+
+def _marked(best: Node, body: Node) -> tuple[Node, Node]:
+    """The article, main or block that ``best`` is a part of, and the last node up to which more text may belong to it."""
+    path = [best]
+    while path[-1] is not body and path[-1].parent is not None:
+        path.append(path[-1].parent)
+    article = next((n for n in reversed(path) if n.tag == "article"), None)
+    main = next((n for n in reversed(path) if n.tag == "main"), None)
+    last = body if main is None or _holds("main", body, main) else main
+    if article is None:
+        return main or next((n for n in path if n.tag in _REGIONS), path[-1]), last
+    # The main of several articles stands for them all.
+    if main is not None and main.depth < article.depth and _holds("article", main, article):
+        return main, last
+    return article, last
+
+
+def _holds(tag: str, node: Node, without: Node) -> bool:
+    """Whether a subtree has text in an element of ``tag`` outside of one of its own subtrees."""
+    stack = [node]
+    while stack:
+        for x in stack.pop().parts:
+            if isinstance(x, Node) and x is not without and x.chars:
+                if x.tag == tag:
+                    return True
+                stack.append(x)
+    return False
+
+
+def _link_lists(chosen: Node, top: Node, least: float) -> frozenset[Node]:
+    """Blocks around the dense subtrees of ``top`` that hold no dense node, and most of whose text is links."""
+    path, node = {chosen}, chosen
+    while node is not top:
         node = node.parent
-    if node is not None:
-        return node
-    while chosen is not body and chosen.parent is not None and chosen.tag not in _REGIONS:
-        chosen = chosen.parent
-    return chosen
+        path.add(node)
+    outer, stack = [], [top]  # nodes that are not dense, or on the path; parents first
+    while stack:
+        for x in stack.pop().parts:
+            if isinstance(x, Node) and x is not chosen and (x in path or not x.density or x.density < least):
+                outer.append(x)
+                stack.append(x)
+    holds, lists = set(path), set()
+    for x in reversed(outer):
+        if x in holds or any(isinstance(y, Node) and (y in holds or y.density and y.density >= least) for y in x.parts):
+            holds.add(x)
+        elif x.tag in _BLOCKS and 2 * x.linked > x.chars:
+            lists.add(x)
+    # A list within a block that stays, such as a paragraph of little text, stays with it.
+    return frozenset(x for x in lists if x.parent in holds or x.parent in lists)
 
 
 _REGIONS = frozenset("section div body td blockquote html".split())
 
 
-def text_of(node: Node) -> str:
-    """Blocks of a subtree, each with single spaces, joined by line feeds."""
+def text_of(node: Node, without: frozenset[Node] = frozenset()) -> str:
+    """Blocks of a subtree, each with single spaces, joined by line feeds; some subtrees may be left out."""
     blocks: list[str] = []
     line: list[str] = []
 
@@ -317,6 +371,8 @@ def text_of(node: Node) -> str:
             flush()
         elif isinstance(x, str):
             line.append(x)
+        elif x in without:
+            flush()
         elif x.tag in _BLOCKS:
             flush()
             stack.append(None)
@@ -333,7 +389,7 @@ def main_text(page: str | None) -> str:
         return ""
     root, nodes = parse(page)
     measure(root, nodes)
-    return text_of(main_node(root, nodes))
+    return text_of(*main_node(root, nodes))
 
 
 def extract(pages: DataFrame, key: str = "page_id", page: str = "html", carried: tuple[str, ...] = ("url",)) -> DataFrame:

@@ -69,6 +69,20 @@ def test_named_parts_go(name):
     assert html_text.main_text(page(f"{more}<article><p>One.</p></article>{more}")) == "One."
 
 
+def test_text_spread_over_siblings_is_whole():
+    a, b = (("".join(f"<p>{c * 100}</p>" for _ in range(n)), "\n".join([c * 100] * n)) for c, n in (("a", 5), ("b", 3)))
+    (a, x), (b, y) = a, b
+    whole = f"{x}\n{y}"
+    links = "<ul>" + "".join(f"<li><a href=/{k}>Link {k}</a></li>" for k in range(9)) + "</ul>"
+    for one, two in (("section", "section"), ("div", "div"), ("article", "article"), ("article", "section")):
+        parts = f"<{one}>{a}</{one}><{two}>{b}</{two}>"
+        for body in (parts, f"<div id=content>{parts}</div>", f"{links}<div id=content>{parts}</div>{links}", f"<main>{parts}</main>"):
+            assert html_text.main_text(page(body)) == whole, body
+    assert html_text.main_text(page(f"<div>{links}<div>{a}</div></div><h2>B</h2><div><div>{b}</div></div>")) == f"{x}\nB\n{y}"
+    assert html_text.main_text(page(f"<main><article>{a}</article><article><p>short</p></article></main>")) == f"{x}\nshort"
+    assert html_text.main_text(page(f"<main>{a}</main><main>{b}</main>")) == whole
+
+
 def test_unmarked_link_lists_lose_to_text():
     links = "<div>" + "".join(f"<a href=/{k}>Some link text {k}</a> " for k in range(30)) + "</div>"
     text = "<div><div>" + "".join(f"<p>{'plain words of text ' * 8}{k}.</p>" for k in range(5)) + "</div></div>"
