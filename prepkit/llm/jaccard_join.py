@@ -12,9 +12,9 @@ trees is in none; shingles that a great many documents hold come last in the ord
 passages out of the trees. Trees with the same members are one tree. Equal sets are one point.
 
 Components are formed in rounds, and boxes whose points belong to one component need no join any more.
-First each set is bounded and verified against the smallest member of its trees. Then, as long as that finds
-links, each component is verified against the nearest point of another one in each tree of a part of the
-trees, the next part in each round; so thousands of near copies cost a few verifications each. At last all
+First each set is bounded and verified against the smallest member of its trees. Then each component is
+verified against the nearest point of another one in each tree of a part of the trees, the next part in each
+round, until every part in a row has found no link; so thousands of near copies cost a few verifications each. At last all
 pairs between components that the bounds leave in any tree are verified, so no link depends on the rounds.
 A tree of many points is joined in pairs of blocks. Whole sets are made again, from the texts, of the members of
 surviving pairs only.
@@ -413,22 +413,19 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     pairs = members.groupBy("node").agg(F.min("leader").alias("a")).where("a < node")
     pairs = pin(_bounded(pairs.select("a", F.col("node").alias("b")), points), "pairs")
     links = _verified(pairs, filled, cells)
-    nearest, turn = True, 0
-    while True:
-        known = components(links)
-        placed = members.select("tree", "node").join(known, "node", "left")
-        placed = pin(placed.withColumn("component", F.coalesce("component", "node")), "placed")
+    turn = quiet = 0
+    while quiet < TURNS:
+        if not quiet:
+            known = components(links)
+            placed = members.select("tree", "node").join(known, "node", "left")
+            placed = pin(placed.withColumn("component", F.coalesce("component", "node")), "placed")
         part = placed.where(F.pmod(F.xxhash64("tree"), F.lit(TURNS)) == turn % TURNS)
-        more, found = _more_links(part, points, nearest, filled, cells)
-        turn += 1
-        if not found:
-            # No component's nearest is similar: all that the bounds leave are tried, once.
-            nearest = False
-            more, found = _more_links(placed, points, nearest, filled, cells)
+        more, found = _more_links(part, points, True, filled, cells)
         links = links.unionByName(more) if found else links
-        if not nearest:
-            break
-    known = components(links) if found else known
+        turn, quiet = turn + 1, 0 if found else quiet + 1
+    # In no part a component's nearest is similar: all that the bounds leave are tried, once.
+    more, found = _more_links(placed, points, False, filled, cells)
+    known = components(links.unionByName(more)) if found else known
 
     smallest = filled.groupBy("node").agg(F.min("key").alias("least"))
     named = smallest.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))

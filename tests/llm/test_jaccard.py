@@ -89,6 +89,22 @@ def test_many_near_copies_are_one_class(spark):
     assert sorted(map(tuple, got), key=repr) == brute(list(enumerate(texts)))
 
 
+def test_all_parts_find_nothing_before_all_pairs_are_tried(spark, monkeypatch):
+    rounds, more_links = [], J._more_links
+
+    def noted(placed, points, nearest, filled, cells):
+        more, found = more_links(placed, points, nearest, filled, cells)
+        rounds.append((nearest, found))
+        return more, found
+
+    monkeypatch.setattr(J, "_more_links", noted)
+    texts = corpus(4)
+    got = J.link_classes(table(spark, texts)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(list(enumerate(texts)))
+    assert [n for n, _ in rounds] == [True] * (len(rounds) - 1) + [False]
+    assert rounds[-1 - J.TURNS : -1] == [(True, False)] * J.TURNS
+
+
 def test_one_of_each_class_stays(spark):
     texts = corpus(6)
     docs = table(spark, texts)
