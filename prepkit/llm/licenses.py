@@ -3,8 +3,10 @@
 Texts become 3-word shingles (letters and digits, A-Z in lower case). For each template length there is a
 window size and a step such that a passage as long as the template lies whole in some window; from that
 follows the least Jaccard similarity of that window and the template, and from it the number of bands, so
-that a passage that holds the asked share of the template is retrieved with a chance of at least 0.999.
+that a passage that holds the asked share of the template shares a band with a chance of at least 0.999.
 Minima are taken once per block of four shingles and hash function, and windows are joined from blocks.
+What bands miss is retrieved exactly: a window that holds ``s`` of a template's ``n`` shingles holds ``m`` of
+any ``n - s + m`` of them, so windows with that many of a fixed part of the template are compared as well.
 A window that shares a band with a template is compared shingle by shingle, within its own document.
 Nothing is shuffled; templates are few and travel with the tasks.
 
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -60,8 +63,16 @@ TEMPLATES = {
     "rights-reserved": "All rights reserved. No part of this publication may be reproduced",
 }
 
+#: Of a template's shingles, one in so many must be met in its fixed part.
+MET_PER = 16
+
 _U = np.uint64
-_RANDOM = np.random.default_rng(7)
+
+
+def all_templates() -> dict[str, str]:
+    """The notices, and the terms of whole licenses (``license_texts``, read where the driver runs)."""
+    texts = sorted(Path(__file__).with_name("license_texts").glob("*.txt"))
+    return TEMPLATES | {f"{p.stem}-text": p.read_text("utf-8") for p in texts}
 
 
 class Plan(NamedTuple):
@@ -107,7 +118,7 @@ class TemplateIndex:
             p = plan(size, containment)
             most = max(most, p.rows * p.bands)
             self.plans.append((p, []))
-        self.factors = _RANDOM.integers(0, 2**63, most, dtype=np.uint64) * _U(2) + _U(1)
+        self.factors = np.random.default_rng(7).integers(0, 2**63, most, dtype=np.uint64) * _U(2) + _U(1)
         for p, tables in self.plans:
             own = [k for k, s in enumerate(self.sets) if len(s) == p.shingles]
             least = np.stack([[self.minima(self.sets[k], f) for f in range(p.rows * p.bands)] for k in own])
@@ -116,6 +127,15 @@ class TemplateIndex:
                 order = np.argsort(keys)
                 tables.append((keys[order], np.array(own)[order]))
 
+        # Fixed parts of all templates, and how many of a part a passage holds at least.
+        self.met = np.array([max(1, len(s) // MET_PER) for s in self.sets])
+        sizes = [len(s) - math.ceil(containment * len(s)) + m for s, m in zip(self.sets, self.met, strict=True)]
+        parts = [s[:n] for s, n in zip(self.sets, sizes, strict=True)]
+        hashes = np.concatenate(parts) if parts else np.zeros(0, _U)
+        order = np.argsort(hashes, kind="stable")
+        self.part = hashes[order]
+        self.part_of = np.repeat(np.arange(len(parts)), [len(s) for s in parts])[order]
+
     def minima(self, shingles: np.ndarray, f: int):
         return _scatter(shingles, self.factors[f]).min()
 
@@ -129,6 +149,7 @@ class TemplateIndex:
         for factor in self.factors:
             blocks.append(np.minimum.reduceat(_scatter(hashes, factor), edges))
         rows = found.row[place]
+        at, of = self._parts_met(hashes)
         seen: set[tuple[int, int]] = set()
         out = []
         for p, tables in self.plans:
@@ -143,8 +164,34 @@ class TemplateIndex:
                         if (a, int(k)) not in seen:
                             seen.add((a, int(k)))
                             out += self._verify(place, hashes, rows, a, a + p.window * BLOCK, int(k))
+            for a, k in self._windows_met(p, at, of):
+                if (a, k) not in seen:
+                    seen.add((a, k))
+                    out += self._verify(place, hashes, rows, a, a + p.window * BLOCK, k)
         return out
 
+    def _parts_met(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of shingles in fixed parts, and the templates of these."""
+        low, high = np.searchsorted(self.part, hashes, "left"), np.searchsorted(self.part, hashes, "right")
+        n = high - low
+        at = np.repeat(np.arange(len(hashes)), n)
+        first = np.repeat(np.cumsum(n) - n, n)
+        return at, self.part_of[np.repeat(low, n) + np.arange(len(at)) - first]
+
+    def _windows_met(self, p: Plan, at: np.ndarray, of: np.ndarray) -> list[tuple[int, int]]:
+        """Begins of windows, and templates of the plan's length of whose fixed part they hold enough."""
+        own = np.array([len(s) == p.shingles for s in self.sets])[of] if len(of) else np.zeros(0, bool)
+        block, which = at[own] // BLOCK, of[own]
+        found = []
+        for back in range(-(-p.window // p.step)):
+            window = block // p.step - back
+            good = (window >= 0) & (window * p.step + p.window > block)
+            found.append(window[good] * len(self.sets) + which[good])
+        pairs, n = np.unique(np.concatenate(found), return_counts=True)
+        window, which = pairs // len(self.sets), pairs % len(self.sets)
+        good = n >= self.met[which]
+        return list(zip((window[good] * p.step * BLOCK).tolist(), which[good].tolist(), strict=True))
+
     def _verify(self, place, hashes, rows, a: int, b: int, k: int) -> list[tuple[int, int, int, int]]:
         """The template in the part of the window that each row has."""
         own, held, out = self.sets[k], slice(a, min(b, len(hashes))), []

@@ -216,8 +216,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query()
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License notices in every document."""
-    found = licenses.scan(table(spark, sf_dir, "documents"))
+    """License notices and texts in every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"), licenses.all_templates())
     listed = F.transform("matches", lambda m: F.concat_ws(":", m["template"], m["start"], m["end"]))
     return found.select(
         "doc_id", "n_words", F.size("matches").cast("long").alias("n_matches"), F.array_join(listed, ",").alias("matches")

@@ -74,3 +74,32 @@ def test_bands_reach_the_chance():
         shared = -(-4 * size // 5)
         least = shared / (p.window * L.BLOCK + size - shared)
         assert 1 - (1 - least**p.rows) ** p.bands >= L.CHANCE
+
+
+def test_notices_that_share_no_band_are_found(spark, monkeypatch):
+    plan = L.plan
+    monkeypatch.setattr(L, "plan", lambda *a: plan(*a)._replace(bands=1))
+    texts = corpus(2)
+    got = as_dict(L.scan(table(spark, texts)))
+    assert all(brute(t) <= {m["template"] for m in got[i]["matches"]} for i, t in enumerate(texts))
+
+
+def test_every_index_has_the_same_factors():
+    assert (L.TemplateIndex(L.TEMPLATES).factors == L.TemplateIndex(L.TEMPLATES).factors).all()
+
+
+def test_whole_licenses_are_found(spark):
+    rng = random.Random(3)
+    templates = L.all_templates()
+    bodies = {k: t for k, t in templates.items() if k not in L.TEMPLATES}
+    assert {"MIT-text", "BSD-text", "Apache-2.0-text", "GPL-3-text", "LGPL-2.1-text", "MPL-2.0-text"} <= set(bodies)
+    texts = []
+    for t in bodies.values():
+        w = t.split()
+        for _ in range(len(w) // 80):
+            w[rng.randrange(len(w))] = "changed"
+        texts += [" ".join(words(rng, 90) + w + words(rng, 90)), " ".join(w[: len(w) // 2])]
+    got = as_dict(L.scan(table(spark, texts), templates))
+    for k, name in enumerate(bodies):
+        assert name in {m["template"] for m in got[2 * k]["matches"]}
+        assert name not in {m["template"] for m in got[2 * k + 1]["matches"]}
