@@ -16,6 +16,7 @@ from prepkit.llm import (
     jaccard_join,
     licenses,
     packing,
+    periodic_runs,
     pii,
     substring_dedup,
     token_counts,
@@ -239,3 +240,35 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", *(count(k).alias(f"n_{k}") for k in pii.BASE),
         F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"), _listed("spans").alias("spans"),
     )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: a tenth of the documents, by the checksum of the id, repeat a part of their words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    cells = docs.select(
+        "doc_id", "text", (h % 10).alias("h"), F.floor(h / 10).cast("long").alias("g"),
+    )
+    cells = cells.withColumn(
+        "w", F.when(F.col("h") == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    ).withColumn("n", F.size("w"))
+    cells = cells.withColumn("a", (F.col("g") % F.greatest("n", F.lit(1))).cast("int")).withColumn(
+        "times", (F.col("g") % 8 + 3).cast("int")
+    )
+    period = (F.floor((F.col("n") - F.col("a")) / F.col("times")) + 1).cast("int")
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, period), F.col("times")))
+    planted = F.array_join(F.slice(F.concat(F.slice("w", F.lit(1), F.col("a")), again), F.lit(1), F.col("n")), " ")
+    return cells.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@_query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, some of them planted, and the texts without their repeats."""
+    found = periodic_runs.collapse_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = found.withColumn("best", periodic_runs.longest_run())
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    sha = lambda text: F.sha2(text.cast("binary"), 256)
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        sha(F.array_join(F.transform("runs", line), "")).alias("runs_sha256"), sha(F.col("collapsed")).alias("collapsed_sha256"),
+    )
