@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.llm import (
+    bloom_search,
     chat,
     decontaminate,
     host_quality,
     html_text,
+    impact_search,
     jaccard_join,
     licenses,
     packing,
@@ -272,3 +274,41 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
         sha(F.array_join(F.transform("runs", line), "")).alias("runs_sha256"), sha(F.col("collapsed")).alias("collapsed_sha256"),
     )
+
+
+@_query(
+    rf"""
+    with terms as (select doc_id, unnest(regexp_extract_all({LOWERED}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) as t from documents),
+    tf as (select doc_id, t, count(*) as tf from terms group by all),
+    n as (select doc_id, count(*) as n from terms group by doc_id),
+    c as (select count(*)::bigint as big_n, sum(n)::bigint as big_l from n),
+    df as (select t, count(*) as df from tf group by t),
+    w as (select t, floor(1000 * ln((2 * big_n + 2)::double / (2 * df + 1)))::bigint as w from df, c),
+    m as (select doc_id, (50 + (50 * n * big_n) // big_l)::bigint as m from n, c),
+    items as (select distinct item_id, unnest(regexp_extract_all({LOWERED}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) as t
+      from benchmark),
+    s as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+      from items join tf using (t) join w using (t) join m using (doc_id) group by all),
+    r as (select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank from s where score > 0)
+    select item_id, rank, doc_id, score from r where rank <= 50
+    """
+)
+def op12_bloom_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return bloom_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query(
+    """
+    with v as (select vec_id, row_number() over () as number, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as e
+      from embeddings where embedding is not null
+        and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+    s as (select q.number, q.vec_id as query_id, v.vec_id, list_sum(list_transform(list_zip(q.e, v.e), lambda p: p[1] * p[2]))::bigint as score
+      from v q join v on q.number <> v.number where q.vec_id % 50 = 0),
+    r as (select *, row_number() over (partition by number order by score desc, vec_id)::int as rank from s)
+    select query_id, rank, vec_id, score from r where rank <= 5
+    """
+)
+def op13_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest other vectors of every fiftieth one."""
+    return impact_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
