@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.classification import (
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
@@ -22,6 +24,8 @@ from prepkit.functions.bind import bind
 # Keeps the logarithm finite; the label that counts for nothing.
 EPSILON = 1e-10
 IGNORE = -100
+#: Groups of tasks whose gradients are added first.
+GRADIENT_GROUPS = 64
 
 
 @dataclass(frozen=True)
@@ -162,6 +166,92 @@ def metrics_rows(summary: DataFrame, run: str, split: str) -> DataFrame:
     )
 
 
+def start_weights(width: int, num_labels: int, seed: int, spread: float = 0.02) -> HeadWeights:
+    """Weights to begin with: normally distributed around 0, biases 0."""
+    rng = np.random.default_rng(seed)
+    hidden = width // 2
+    return HeadWeights(
+        rng.normal(0.0, spread, (hidden, width)), np.zeros(hidden), rng.normal(0.0, spread, (num_labels, hidden)), np.zeros(num_labels)
+    )
+
+
+def _gradient(weights: HeadWeights, x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
+    """Summed loss of some rows, and its summed derivative by all weights, one after the other."""
+    before = x @ weights.hidden.T + weights.hidden_bias
+    hidden = np.maximum(before, 0.0)
+    z = hidden @ weights.output.T + weights.output_bias
+    raised = np.exp(z - z.max(axis=1, keepdims=True))
+    p = raised / raised.sum(axis=1, keepdims=True)
+    own = p[np.arange(len(y)), y]
+    by_scores = p.copy()
+    by_scores[np.arange(len(y)), y] -= 1.0
+    by_scores *= (own / (own + EPSILON))[:, None]
+    by_hidden = (by_scores @ weights.output) * (before > 0)
+    parts = (by_hidden.T @ x, by_hidden.sum(axis=0), by_scores.T @ hidden, by_scores.sum(axis=0))
+    return float(-np.log(own + EPSILON).sum()), np.concatenate([g.ravel() for g in parts])
+
+
+def head_gradient(df: DataFrame, vec: str, label: str, weights: HeadWeights) -> tuple[int, float, HeadWeights | None]:
+    """Labelled rows, their mean loss and its derivative by the weights.
+
+    Each task sums over its rows; the sums are added by groups of tasks first, and then over the groups, so
+    that no task and not the driver receives one from every task. Rows without a vector or a label, and
+    those labelled -100, count for nothing.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(weights)
+    classes = len(weights.output_bias)
+
+    def sums(batches):
+        n, loss, total = 0, 0.0, None
+        for batch in batches:
+            x = np.array(batch.column(0).to_pylist(), dtype="float64")
+            y = batch.column(1).to_numpy(zero_copy_only=False).astype(int)
+            if not len(y):
+                continue
+            if y.min() < 0 or y.max() >= classes:
+                raise ValueError(f"no class {y.min() if y.min() < 0 else y.max()}")
+            more, part = _gradient(shared.value, x, y)
+            n, loss, total = n + len(y), loss + more, part if total is None else total + part
+        if n:
+            columns = [pa.array([TaskContext.get().partitionId()]), pa.array([n]), pa.array([loss]), pa.array([total.tolist()])]
+            yield pa.RecordBatch.from_arrays(columns, ["task", "n", "loss", "gradient"])
+
+    used = df.where(F.col(vec).isNotNull() & (F.col(label) != IGNORE))
+    parts = used.select(F.col(vec).cast("array<double>"), F.col(label).cast("long")).mapInArrow(
+        sums, "task long, n long, loss double, gradient array<double>"
+    )
+    grouped = parts.select(
+        F.pmod("task", F.lit(GRADIENT_GROUPS)).alias("task"), "n", "loss", array_to_vector("gradient").alias("g")
+    )
+    added = (F.sum("n").alias("n"), F.sum("loss").alias("loss"), Summarizer.sum(F.col("g")).alias("g"))
+    row = grouped.groupBy("task").agg(*added).withColumn("all", F.lit(0)).groupBy("all").agg(*added).first()
+    if row is None:
+        return 0, float("nan"), None
+    flat, shaped = row["g"].toArray() / row["n"], []
+    for w in (weights.hidden, weights.hidden_bias, weights.output, weights.output_bias):
+        shaped.append(flat[: w.size].reshape(w.shape))
+        flat = flat[w.size :]
+    return row["n"], row["loss"] / row["n"], HeadWeights(*shaped)
+
+
+def fit_head(
+    df: DataFrame, vec: str, label: str, weights: HeadWeights, steps: int, rate: float
+) -> tuple[HeadWeights, list[float]]:
+    """Full-batch gradient steps for the head that ``score_head`` scores; also the mean loss before each step.
+
+    ``df`` is read once per step: store it first. Without a labelled row the weights stay.
+    """
+    losses = []
+    for _ in range(steps):
+        n, loss, gradient = head_gradient(df, vec, label, weights)
+        if not n:
+            break
+        losses.append(loss)
+        pairs = zip(vars(weights).values(), vars(gradient).values(), strict=True)
+        weights = HeadWeights(*(w - rate * g for w, g in pairs))
+    return weights, losses
+
+
 def train_head(
     df: DataFrame, vec: str, label: str, num_labels: int, steps: int = 100, seed: int = 42
 ) -> MultilayerPerceptronClassificationModel:

@@ -104,11 +104,68 @@ def evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("value", F.round("value", 6))
 
 
+STEPS, RATE = 3, 0.5
+
+
+def start_weights() -> HeadWeights:
+    """Small weights given by a rule, so that SQL can state them too."""
+    w = fixed_weights()
+    return HeadWeights(0.1 * w.hidden, w.hidden_bias, 0.1 * w.output, w.output_bias)
+
+
+def sql_step(n: int) -> str:
+    """Weights ``w{n}`` (layer, row, col; the bias has col -1) after a gradient step from those of ``n - 1``."""
+    w, k = f"w{n - 1}", f"_{n}"
+    return f"""
+    a{k} as (select vec_id, w.row as j, b.v + sum(x.v * w.v) as a from x
+      join (select * from {w} where layer = 1 and col >= 0) w on w.col = x.i
+      join (select * from {w} where layer = 1 and col = -1) b on b.row = w.row group by vec_id, w.row, b.v),
+    z{k} as (select vec_id, w.row as k, b.v + sum(greatest(a, 0.0) * w.v) as z from a{k}
+      join (select * from {w} where layer = 2 and col >= 0) w on w.col = j
+      join (select * from {w} where layer = 2 and col = -1) b on b.row = w.row group by vec_id, w.row, b.v),
+    p{k} as (select vec_id, k, exp(z - max(z) over o) / sum(exp(z - top)) over o as p from
+      (select *, max(z) over (partition by vec_id) as top from z{k}) window o as (partition by vec_id)),
+    d{k} as (select vec_id, k, (p - (k = label)::int) * own / (own + 1e-10) / n as d from p{k}
+      join (select vec_id, label, p as own from p{k} join y using (vec_id) where k = label) using (vec_id), n),
+    h{k} as (select d{k}.vec_id, j, sum(d * w.v) as d from d{k}
+      join (select * from {w} where layer = 2 and col >= 0) w on w.row = k join a{k} on a{k}.vec_id = d{k}.vec_id and j = w.col
+      where a > 0 group by d{k}.vec_id, j),
+    g{k} as (select 1 as layer, j as row, i as col, sum(d * v) as g from h{k} join x using (vec_id) group by all
+      union all select 1, j, -1, sum(d) from h{k} group by j
+      union all select 2, k, j, sum(d * greatest(a, 0.0)) from d{k} join a{k} using (vec_id) group by k, j
+      union all select 2, k, -1, sum(d) from d{k} group by k),
+    w{n} as materialized (select layer, row, col, v - {RATE} * coalesce(g, 0) as v from {w} left join g{k} using (layer, row, col))"""
+
+
+SQL_TRAINED = f"""with s as ({sql_hash_split('embeddings', 'vec_id')}),
+    y as (select vec_id, label from s where split = 'train'), n as (select count(*) as n from y),
+    x as (select vec_id, unnest(embedding)::double as v, generate_subscripts(embedding, 1) - 1 as i from s where split = 'train'),
+    w0 as (select 1 as layer, j as row, i as col, 0.1 * sin(i + {WIDTH} * j) as v from range({HIDDEN}) a(j), range({WIDTH}) b(i)
+      union all select 1, j, -1, 0.01 * j from range({HIDDEN}) a(j)
+      union all select 2, k, j, 0.1 * sin(j + {HIDDEN} * k) from range({CLASSES}) a(k), range({HIDDEN}) b(j)
+      union all select 2, k, -1, 0.02 * k from range({CLASSES}) a(k)), {", ".join(map(sql_step, range(1, STEPS + 1)))}
+    select layer, row, col, cast(round(v * 1e6) as bigint) as micro from w{STEPS}"""
+
+
+@query(SQL_TRAINED)
+def train_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All weights of the head after three full-batch gradient steps on the train rows, in millionths."""
+    train = split_hash(table(spark, sf_dir, "embeddings"), "vec_id").where("split = 'train'")
+    weights, _ = ops.fit_head(train, "embedding", "label", start_weights(), STEPS, RATE)
+    rows = []
+    for layer, (w, bias) in enumerate(((weights.hidden, weights.hidden_bias), (weights.output, weights.output_bias)), 1):
+        rows += [(layer, j, -1, float(b)) for j, b in enumerate(bias)]
+        rows += [(layer, j, i, float(v)) for j, line in enumerate(w) for i, v in enumerate(line)]
+    found = spark.createDataFrame(rows, "layer int, row long, col long, v double")
+    return found.select("layer", "row", "col", F.round(F.col("v") * 1e6).cast("bigint").alias("micro"))
+
+
 @query(
     f"""with s as ({sql_hash_split('embeddings', 'vec_id')}) select vec_id, label, true as in_range,
     true as improved from s where split = 'validation'"""
 )
-def train_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+def train_perceptron(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The library's perceptron, which has the same layers: its classes are in range, its loss is below an even guess's."""
     vectors = split_hash(table(spark, sf_dir, "embeddings"), "vec_id")
     train = vectors.where("split = 'train'")
     model = ops.train_head(train, "embedding", "label", CLASSES, steps=30)

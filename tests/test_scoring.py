@@ -92,3 +92,49 @@ def test_timed_evaluation(spark):
     found = {r["metric"]: r["value"] for r in ops.evaluate_timed(df, "z", "label").collect()}
     assert set(found) == {"eval_loss", "eval_samples", "eval_runtime", "eval_samples_per_second"}
     assert math.isclose(found["eval_samples_per_second"] * found["eval_runtime"], 3)
+
+
+def some_rows(n=60, width=6, classes=3):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(n, width)) + 2 * np.eye(width)[np.arange(n) % classes]
+    return x, np.arange(n) % classes
+
+
+def mean_loss(w, x, y):
+    z = np.maximum(x @ w.hidden.T + w.hidden_bias, 0) @ w.output.T + w.output_bias
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    return -np.log(p[np.arange(len(y)), y] + 1e-10).mean()
+
+
+def test_gradient_is_that_of_the_loss(spark):
+    x, y = some_rows()
+    w = ops.start_weights(6, 3, seed=1, spread=0.5)
+    rows = [(v.tolist(), int(k)) for v, k in zip(x, y, strict=True)] + [(None, 1), (x[0].tolist(), None), (x[0].tolist(), -100)]
+    df = spark.createDataFrame(rows, "vec array<double>, label int").repartition(7)
+    n, loss, gradient = ops.head_gradient(df, "vec", "label", w)
+    assert n == 60 and math.isclose(loss, mean_loss(w, x, y))
+    for name in ("hidden", "hidden_bias", "output", "output_bias"):
+        got, flat = getattr(gradient, name), getattr(w, name)
+        for place in np.ndindex(flat.shape):
+            high, low = flat.copy(), flat.copy()
+            high[place] += 1e-6
+            low[place] -= 1e-6
+            both = [mean_loss(HeadWeights(**(vars(w) | {name: v})), x, y) for v in (high, low)]
+            assert abs(got[place] - (both[0] - both[1]) / 2e-6) < 1e-6
+
+
+def test_steps_lower_the_loss(spark):
+    x, y = some_rows()
+    df = spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(x, y, strict=True)], "vec array<double>, label int")
+    w, losses = ops.fit_head(df.coalesce(2), "vec", "label", ops.start_weights(6, 3, seed=1, spread=0.3), 12, 0.5)
+    assert len(losses) == 12 and all(b < a for a, b in zip(losses, losses[1:], strict=False))
+    assert math.isclose(ops.head_gradient(df, "vec", "label", w)[1], mean_loss(w, x, y))
+
+
+def test_fitting_without_rows_and_with_impossible_labels(spark):
+    start = ops.start_weights(2, 2, seed=1)
+    df = spark.createDataFrame([([1.0, 2.0], None)], "vec array<double>, label int")
+    assert ops.fit_head(df, "vec", "label", start, 5, 0.1) == (start, [])
+    wrong = spark.createDataFrame([([1.0, 2.0], 2)], "vec array<double>, label int")
+    with pytest.raises(PySparkException):
+        ops.fit_head(wrong, "vec", "label", start, 1, 0.1)
