@@ -74,30 +74,47 @@ def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
         atexit.register(_drop_pinned)
     _sessions[:] = [df.sparkSession]
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._pinned_path = path
+    return stored
 
 
 @contextmanager
-def temporary_tables(spark: SparkSession) -> Iterator[None]:
-    """Drop the tables pinned inside the block when it ends; results must be stored by then."""
-    before = len(_pinned)
+def temporary_tables(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Drop the tables pinned inside the block when it ends, but for those put into the list.
+
+    Results must be stored by then.
+    """
+    before, kept = set(_pinned), []
     try:
-        yield
+        yield kept
     finally:
-        _drop(spark, before)
+        names = {getattr(df, "_pinned_path", None) for df in kept}
+        for path in [p for p in _pinned if p not in before and p not in names]:
+            _pinned.remove(path)
+            _delete(spark, path)
+
 
+def unpin(*tables: DataFrame) -> None:
+    """Drop tables returned by ``pin`` before their time; nothing that is still to be computed may read them."""
+    for df in tables:
+        path = getattr(df, "_pinned_path", None)
+        if path in _pinned:
+            _pinned.remove(path)
+            _delete(df.sparkSession, path)
 
-def _drop(spark: SparkSession, left: int) -> None:
-    while len(_pinned) > left:
-        path = hadoop_path(spark, _pinned.pop())
-        file_system(spark, path).delete(path, True)
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = hadoop_path(spark, path)
+    file_system(spark, target).delete(target, True)
 
 
 def _drop_pinned() -> None:
     """At the end of the driver; a session that has been stopped can reach its file system no more."""
     spark = _sessions[-1]
     if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
-        _drop(spark, 0)
+        while _pinned:
+            _delete(spark, _pinned.pop())
 
 
 def pin_ordered(df: DataFrame) -> DataFrame:
