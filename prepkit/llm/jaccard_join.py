@@ -13,11 +13,12 @@ passages out of the trees. Trees with the same members are one tree. Equal sets
 
 Components are formed in rounds, and boxes whose points belong to one component need no join any more.
 First each set is bounded and verified against the smallest member of its trees. Then each component is
-verified against the nearest point of another one in each tree of a part of the trees, the next part in each
-round, until every part in a row has found no link; so thousands of near copies cost a few verifications each. At last all
-pairs between components that the bounds leave in any tree are verified, so no link depends on the rounds.
-A tree of many points is joined in pairs of blocks. Whole sets are made again, from the texts, of the members of
-surviving pairs only.
+verified against the nearest point of another one in each tree, once for two components, until a round finds
+no link; so thousands of near copies cost a few verifications each. At last all pairs between components
+that the bounds leave in any tree are verified, so no link depends on the rounds. A round looks at the
+components that its links touch only. A tree of many points is joined in pairs of blocks. Texts are read
+three times: for the commonest shingles, for the points, and for the whole sets of one document of each point
+in a tree, which all rounds verify from.
 
 Defined cases: a text without words or a null text has an empty set, which links with nothing; fewer words
 than five are one shingle; rows that share an id are separate sets; a null id is smaller than all others.
@@ -35,8 +36,8 @@ from pyspark.sql import functions as F
 
 from prepkit.llm import exchange as X
 from prepkit.llm import words as W
-from prepkit.llm.components import components
-from prepkit.session import pin, small_side
+from prepkit.llm.components import components, joined
+from prepkit.session import pin, small_side, temporary_tables, unpin
 
 SHINGLE = 5
 #: Similarity as a fraction.
@@ -45,8 +46,8 @@ PART, WHOLE = 4, 5
 COMMON, COMMON_IN_RUN = 1 << 18, 4
 #: Shared shingles asked for: one per so many, up to ``MOST_SHARED``.
 SHARED_PER, MOST_SHARED = 16, 8
-#: Parts of the trees that take turns in looking for nearest points.
-TURNS = 4
+#: Parts over which rows of one set are spread when its class comes back to them.
+SALTS = 16
 #: Points joined at a time, and boxes or points in a box.
 BLOCK, FAN = 2048, 8
 
@@ -199,15 +200,10 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     return joined.select("a", "b", "m", "n", "x", "y").mapInArrow(compare, "a long, b long")
 
 
-def _verified(pairs: DataFrame, filled: DataFrame, cells: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sets reach the similarity (a stored table).
-
-    Of each set in a pair one document is read again; ``cells`` are ``key, text`` of all.
-    """
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    ids = filled.select("node", "key").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("key").alias("key"))
-    ids = pin(ids.select("key").distinct(), "ids")
-    sets = pin(cells.join(small_side(ids), "key", "left_semi").mapInArrow(_whole, "node long, own binary"), "whole")
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` (a stored table) whose ``sets`` (``node, own``) reach the similarity (a stored table)."""
+    ends = pin(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "ends")
+    used = sets.join(small_side(ends), "node", "left_semi")
 
     def compare(batches):
         for batch in batches:
@@ -219,9 +215,11 @@ def _verified(pairs: DataFrame, filled: DataFrame, cells: DataFrame) -> DataFram
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     # Rows that share an id may give a set twice, and so a pair twice; links are made distinct later.
-    joined = pairs.join(sets.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
-    joined = joined.join(sets.select(F.col("node").alias("a"), F.col("own").alias("x")), "a")
-    return pin(joined.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "links")
+    both = pairs.join(used.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
+    both = both.join(used.select(F.col("node").alias("a"), F.col("own").alias("x")), "a")
+    links = pin(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "links")
+    unpin(ends)
+    return links
 
 
 class CountTree:
@@ -296,14 +294,15 @@ def _nearest(i: np.ndarray, j: np.ndarray, over: np.ndarray) -> np.ndarray:
 
 
 def tree_pairs(
-    nodes: np.ndarray,
     sizes: np.ndarray,
     components_of: np.ndarray,
     cells: list[np.ndarray],
     blocks: np.ndarray,
     nearest: bool = False,
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of sets of one tree that must be verified; with two blocks, pairs across them.
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of sets of one tree that must be verified, and by how much they may reach the similarity.
+
+    With two blocks, pairs across them.
 
     With ``nearest``, of each component only the pair whose bound is best.
     Points have as many groups as their sizes ask for. Sizes of a similar pair differ by a quarter at most,
@@ -324,27 +323,41 @@ def tree_pairs(
         i, j, over = i[good], j[good], over[good]
         if nearest:
             best = _nearest(numbered[i], numbered[j], over)
-            i, j = i[best], j[best]
-        yield nodes[i], nodes[j]
+            i, j, over = i[best], j[best], over[best]
+        yield i, j, over
+
 
+def _placed(members: DataFrame, known: DataFrame, points: DataFrame) -> DataFrame:
+    """``tree, p, q, block, node, n, point`` of the trees that hold several components (a stored table).
 
-def _candidates(members: DataFrame, points: DataFrame, nearest: bool) -> DataFrame:
-    """``a, b``: pairs of sets of different components that the trees cannot tell apart (a stored table)."""
-    count = members.groupBy("tree").agg(
+    A tree of many members is joined in pairs of blocks: each point meets every block, as one of the first or of the
+    second of the pair.
+    """
+    placed = members.select("tree", "node").join(small_side(known), "node", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "node"))
+    count = placed.groupBy("tree").agg(
         F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    mixed = members.join(count.where("low <> high").select("tree", "size"), "tree")
+    mixed = members.select("tree", "node").join(count.where("low <> high").select("tree", "size"), "tree")
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     mixed = mixed.withColumn("blocks", blocks).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
-    # Each point meets every block: as the first or the second of the pair of blocks.
     mixed = mixed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     mixed = mixed.select(
-        "tree", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node", "component"
+        "tree", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node"
     )
-    rows = mixed.join(points, "node").repartition("tree", "p", "q").sortWithinPartitions("tree", "p", "q")
+    return pin(mixed.join(points, "node").select("tree", "p", "q", "block", "node", "n", "point"), "placed")
+
+
+def _candidates(placed: DataFrame, known: DataFrame, nearest: bool) -> DataFrame:
+    """``a, b``: pairs of sets of different components that the trees cannot tell apart (a stored table).
+
+    With ``nearest``, of two components only the pair whose bound is best.
+    """
+    rows = placed.join(small_side(known), "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = rows.select("tree", "p", "q", "block", "node", "component", "n", "point")
+    rows = rows.repartition("tree", "p", "q").sortWithinPartitions("tree", "p", "q")
 
     def join(batches):
         held: list[tuple] = []
@@ -352,14 +365,14 @@ def _candidates(members: DataFrame, points: DataFrame, nearest: bool) -> DataFra
         def flush():
             cells = [np.frombuffer(r[7], np.uint8) for r in held]
             column = lambda k: np.array([r[k] for r in held], np.int64)
-            found = [
-                (np.minimum(a, b), np.maximum(a, b))
-                for a, b in tree_pairs(column(4), column(6), column(5), cells, column(3), nearest)
-            ]
+            node, component = column(4), column(5)
+            if (component != component[0]).any():
+                for i, j, over in tree_pairs(column(6), component, cells, column(3), nearest):
+                    swap = node[i] > node[j]
+                    i, j = np.where(swap, j, i), np.where(swap, i, j)
+                    columns = (node[i], node[j], np.minimum(component[i], component[j]), np.maximum(component[i], component[j]), over)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "low", "high", "over"])
             held.clear()
-            if found:
-                columns = [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -369,69 +382,94 @@ def _candidates(members: DataFrame, points: DataFrame, nearest: bool) -> DataFra
         if held:
             yield from flush()
 
-    return pin(rows.mapInArrow(join, "a long, b long").distinct(), "pairs")
+    found = rows.mapInArrow(join, "a long, b long, low long, high long, over double")
+    if nearest:
+        best = F.max_by(F.struct("a", "b"), F.struct("over", "a", "b")).alias("best")
+        return pin(found.groupBy("low", "high").agg(best).select("best.*"), "pairs")
+    return pin(found.select("a", "b").distinct(), "pairs")
 
 
-def _more_links(
-    placed: DataFrame, points: DataFrame, nearest: bool, filled: DataFrame, cells: DataFrame
-) -> tuple[DataFrame, bool]:
-    """Verified links between components, and whether there are any."""
-    pairs = _candidates(placed, points, nearest)
-    if not pairs.limit(1).count():
-        return pairs, False
-    links = _verified(pairs, filled, cells)
-    return links, links.limit(1).count() > 0
+def _round(placed: DataFrame, known: DataFrame, sets: DataFrame, nearest: bool) -> tuple[DataFrame, int]:
+    """The components after a round, and the number of links it found."""
+    pairs = _candidates(placed, known, nearest)
+    links = _verified(pairs, sets)
+    n = links.count()
+    after = joined(known, links) if n else known
+    unpin(pairs, links, *([known] if n else []))
+    return after, n
 
 
-def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_shingles, component_id`` of every row; a component's id is its smallest key."""
-    base = pin(_sets(docs, key, text, common_shingles(docs, text)), "sets")
-    filled = base.where("n > 0")
-    expected = base.agg(F.sum(F.octet_length("first"))).first()[0] or 0
-    ranges = X.range_count(docs, expected // 8)
-    shared = X.shared_hashes(filled.select("node", "first"), _first_entries, ranges)
-    counts = filled.groupBy("node").agg(F.first("n").alias("n"))
+def _trees(nodes: DataFrame, first: DataFrame, ranges: int) -> DataFrame:
+    """``tree, node, leader``: members of the trees (a stored table), and the smallest of each tree."""
+    shared = X.shared_hashes(first, _first_entries, ranges)
+    counts = nodes.select("node", "n")
     enough = shared.withColumnRenamed("key", "node").join(counts, "node")
     enough = enough.where(F.octet_length("hashes") >= 8 * _needed()).select("node", "hashes")
     members = pin(_members(enough), "members")
     # Sets that had too few trees have left trees with one member, and so on; once more is worth it.
-    members = members.join(members.groupBy("tree").count().where("count > 1").select("tree"), "tree")
-    enough = members.groupBy("node").count().join(counts, "node").where(F.col("count") >= _needed()).select("node")
-    members = pin(members.join(enough, "node", "left_semi"), "members")
-    lists = members.groupBy("tree").agg(
+    several = members.join(members.groupBy("tree").count().where("count > 1").select("tree"), "tree")
+    enough = several.groupBy("node").count().join(counts, "node").where(F.col("count") >= _needed()).select("node")
+    several = pin(several.join(enough, "node", "left_semi"), "members")
+    lists = several.groupBy("tree").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"), F.min("node").alias("leader"),
     ).where("size > 1")
     trees = lists.groupBy("size", "x", "y", "leader").agg(F.min("tree").alias("tree"))
-    members = pin(members.join(trees.select("tree", "leader"), "tree"), "trees")
+    out = pin(several.join(trees.select("tree", "leader"), "tree"), "trees")
+    unpin(members, several)
+    return out
 
-    wanted = members.select("node").distinct()
-    points = filled.select("node", "n", "point").join(wanted, "node", "left_semi").groupBy("node")
-    points = pin(points.agg(F.first("n").alias("n"), F.first("point").alias("point")), "points")
-    cells = docs.select(X.safe_key(key).alias("key"), F.col(text).alias("text"))
 
+def _components(docs: DataFrame, key: str, text: str, nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """``node, component`` of the sets that have links (a stored table)."""
+    wanted = pin(members.select("node").distinct(), "wanted")
+    points = pin(nodes.join(small_side(wanted), "node", "left_semi").select("node", "n", "point"), "points")
+    ids = pin(nodes.join(small_side(wanted), "node", "left_semi").select(F.col("least").alias("key")).distinct(), "ids")
+    cells = docs.select(X.safe_key(key).alias("key"), F.col(text).alias("text"))
+    sets = pin(cells.join(small_side(ids), "key", "left_semi").mapInArrow(_whole, "node long, own binary"), "whole")
     pairs = members.groupBy("node").agg(F.min("leader").alias("a")).where("a < node")
     pairs = pin(_bounded(pairs.select("a", F.col("node").alias("b")), points), "pairs")
-    links = _verified(pairs, filled, cells)
-    turn = quiet = 0
-    while quiet < TURNS:
-        if not quiet:
-            known = components(links)
-            placed = members.select("tree", "node").join(known, "node", "left")
-            placed = pin(placed.withColumn("component", F.coalesce("component", "node")), "placed")
-        part = placed.where(F.pmod(F.xxhash64("tree"), F.lit(TURNS)) == turn % TURNS)
-        more, found = _more_links(part, points, True, filled, cells)
-        links = links.unionByName(more) if found else links
-        turn, quiet = turn + 1, 0 if found else quiet + 1
-    # In no part a component's nearest is similar: all that the bounds leave are tried, once.
-    more, found = _more_links(placed, points, False, filled, cells)
-    known = components(links.unionByName(more)) if found else known
-
-    smallest = filled.groupBy("node").agg(F.min("key").alias("least"))
-    named = smallest.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    classes = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(classes, "component").select("node", "component_id")
-    out = base.select("key", "n", "node").join(named, "node", "left")
+    links = _verified(pairs, sets)
+    known = pin(components(links), "known")
+    placed = _placed(members, known, points)
+    unpin(pairs, links, wanted, ids, points)
+    found = 1
+    while found:
+        known, found = _round(placed, known, sets, nearest=True)
+    # No component's nearest is similar: all that the bounds leave are tried, once.
+    return _round(placed, known, sets, nearest=False)[0]
+
+
+def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_shingles, component_id`` of every row; a component's id is its smallest key."""
+    with temporary_tables(docs.sparkSession) as kept:
+        stored = pin(_sets(docs, key, text, common_shingles(docs, text)), "sets")
+        base = pin(stored.select("key", "n", "node"), "base")
+        filled = stored.where("n > 0")
+        # Copies of a set are brought together by partial aggregates, before anything is joined by it.
+        nodes = pin(
+            filled.groupBy("node").agg(
+                F.min("key").alias("least"), F.max("n").alias("n"), F.max("point").alias("point"), F.count(F.lit(1)).alias("copies")
+            ),
+            "nodes",
+        )
+        expected = stored.agg(F.sum(F.octet_length("first"))).first()[0] or 0
+        members = _trees(nodes, filled.select("node", "first"), X.range_count(docs, expected // 8))
+        unpin(stored)
+        known = _components(docs, key, text, nodes, members)
+        least = nodes.select("node", "least", "copies")
+        named = least.join(small_side(known), "node", "left").where("copies > 1 or component is not null")
+        named = named.withColumn("component", F.coalesce("component", "node"))
+        classes = named.groupBy("component").agg(F.min("least").alias("component_id"))
+        named = pin(named.join(classes, "component").select("node", "component_id"), "named")
+        kept += [base, named]
+    # A third of all rows may be one set: they are spread before its class comes to them, and empty sets stay aside.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    held = small_side(named.withColumn("salt", salts))
+    salted = base.where("node is not null").withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    out = salted.join(held, ["node", "salt"], "left").select("key", "n", "component_id")
+    none = F.lit(None).cast("long").alias("component_id")
+    out = out.unionByName(base.where("node is null").select("key", "n", none))
     out = out.withColumn("component_id", F.coalesce("component_id", "key"))
     null = F.lit(X.NULL_KEY)
     return out.select(

@@ -7,8 +7,11 @@ import numpy as np
 import pytest
 from helpers import as_dict, empty, table, with_clashes, words
 
+from prepkit import session
+from prepkit.llm import components as components_module
 from prepkit.llm import jaccard_join as J
-from prepkit.llm.components import components
+from prepkit.llm.components import components, joined
+from prepkit.session import pin
 
 
 def shingles(text):
@@ -89,20 +92,27 @@ def test_many_near_copies_are_one_class(spark):
     assert sorted(map(tuple, got), key=repr) == brute(list(enumerate(texts)))
 
 
-def test_all_parts_find_nothing_before_all_pairs_are_tried(spark, monkeypatch):
-    rounds, more_links = [], J._more_links
+def test_a_round_finds_nothing_before_all_pairs_are_tried(spark, monkeypatch):
+    rounds, one = [], J._round
 
-    def noted(placed, points, nearest, filled, cells):
-        more, found = more_links(placed, points, nearest, filled, cells)
+    def noted(placed, known, sets, nearest):
+        after, found = one(placed, known, sets, nearest)
         rounds.append((nearest, found))
-        return more, found
+        return after, found
 
-    monkeypatch.setattr(J, "_more_links", noted)
+    monkeypatch.setattr(J, "_round", noted)
     texts = corpus(4)
     got = J.link_classes(table(spark, texts)).collect()
     assert sorted(map(tuple, got), key=repr) == brute(list(enumerate(texts)))
     assert [n for n, _ in rounds] == [True] * (len(rounds) - 1) + [False]
-    assert rounds[-1 - J.TURNS : -1] == [(True, False)] * J.TURNS
+    assert rounds[-2] == (True, 0) and all(n for _, n in rounds[:-2])
+
+
+def test_inner_tables_are_dropped(spark):
+    before = set(session._pinned)
+    J.link_classes(table(spark, corpus(7))).collect()
+    left = [p.rsplit("/", 1)[1].split("-")[0] for p in session._pinned if p not in before]
+    assert sorted(left) == ["base", "named"]
 
 
 def test_one_of_each_class_stays(spark):
@@ -134,7 +144,7 @@ def test_bounds_keep_every_similar_pair():
     cells = [J._point(s) for s in sets]
     got = {
         tuple(sorted(p))
-        for a, b in J.tree_pairs(nodes, sizes, nodes.copy(), cells, np.zeros(len(sets), int))
+        for a, b, _ in J.tree_pairs(sizes, nodes.copy(), cells, np.zeros(len(sets), int))
         for p in zip(a.tolist(), b.tolist(), strict=True)
     }
     similar = {
@@ -147,15 +157,21 @@ def test_bounds_keep_every_similar_pair():
     assert len(got) < len(sets) * (len(sets) - 1) // 8
     best = {
         tuple(sorted(p))
-        for a, b in J.tree_pairs(nodes, sizes, nodes.copy(), cells, np.zeros(len(sets), int), nearest=True)
+        for a, b, _ in J.tree_pairs(sizes, nodes.copy(), cells, np.zeros(len(sets), int), nearest=True)
         for p in zip(a.tolist(), b.tolist(), strict=True)
     }
     assert best <= got and {k for p in got for k in p} == {k for p in best for k in p}
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("part", [1 << 18, 20])
+def test_components_of_chains_and_stars(spark, monkeypatch, part):
+    monkeypatch.setattr(components_module, "PART", part)
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 200), (300, 301)] * 2
     df = spark.createDataFrame(links, "a long, b long")
     got = {r["node"]: r["component"] for r in components(df).collect()}
     assert got == {i: 0 for i in range(41)} | {k: 100 for k in range(100, 160)} | {300: 300, 301: 300}
     assert components(df.where("false")).count() == 0
+    first = pin(components(df.where("a < 20 or a >= 200")))
+    after = joined(first, df.unionByName(spark.createDataFrame([(301, 120)], df.schema)))
+    want = {i: 0 for i in range(41)} | {k: 100 for k in [*range(100, 160), 300, 301]}
+    assert {r["node"]: r["component"] for r in after.collect()} == want and after.count() == len(want)
