@@ -1,8 +1,12 @@
-"""Dictionary lookup over array columns.
+"""Dictionary lookup over array columns, on the JVM.
 
-A map lookup in Spark SQL walks the map, so a vocabulary becomes an array of small maps addressed
-by a hash of the key: one array access and one short walk per token, on the JVM, without a shuffle.
-Vocabularies over ``LITERAL_ROWS`` entries, or of very long ones, are joined instead.
+A map lookup in Spark SQL walks the map, so a dictionary becomes an array of small maps addressed by a hash
+of the key: one array access and one short walk per token. A dictionary of up to ``LITERAL_ROWS`` entries is
+a literal of the plan. A longer one comes to the rows instead, in parts: consecutive rows form a chunk, the
+distinct tokens of a chunk meet the dictionary, and what they find comes back to the rows of the chunk as
+one packed dictionary. So tokens are never shuffled one by one, however long the dictionary is.
+
+Entries are unique: an entry that a dictionary holds twice fails the job either way.
 """
 
 from __future__ import annotations
@@ -12,72 +16,91 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from prepkit.session import pin, small_side
 
 LITERAL_ROWS = 100_000
 LITERAL_CHARS = 8_000_000
 ENTRY_CHARS = 10_000
-SALTS = 16
+#: Rows of a chunk (a power of two), maps of its dictionary, and chunks that may meet one copy of a dictionary entry.
+CHUNK_BITS, SLOTS, CHUNKS_PER_COPY = 6, 256, 1_000_000
+
+
+def _slot(token: Column, slots: int) -> Column:
+    return F.hash(token).bitwiseAND(F.lit(slots - 1))
 
 
 def literal_lookup(table: DataFrame, key: str, value: str) -> Callable[[Column], Column] | None:
-    """A function from a column to the int found in ``table``, or None if the table is too long."""
+    """A function from a column to the value found in ``table``, or None if the table is too long."""
     entry = F.col(key).cast("string")
-    found = table.select(entry, value, F.hash(entry)).where(entry.isNotNull()).limit(LITERAL_ROWS + 1).collect()
+    kind = table.schema[value].dataType
+    found = table.select(entry, F.col(value), F.hash(entry)).where(entry.isNotNull()).limit(LITERAL_ROWS + 1).collect()
     lengths = [len(row[0]) for row in found]
     if len(found) > LITERAL_ROWS or sum(lengths) > LITERAL_CHARS or max(lengths, default=0) > ENTRY_CHARS:
         return None
     slots = 1 << max(4, (2 * len(found)).bit_length())
-    maps: list[dict[str, int]] = [{} for _ in range(slots)]
+    maps: list[dict[str, object]] = [{} for _ in range(slots)]
     for text, number, h in found:
+        if text in maps[h & (slots - 1)]:
+            raise ValueError(f"the dictionary holds {text!r} more than once")
         maps[h & (slots - 1)][text] = number
-    literal = F.from_json(F.lit(json.dumps(maps, ensure_ascii=False)), "array<map<string,int>>")
+    literal = F.from_json(F.lit(json.dumps(maps, ensure_ascii=False)), f"array<map<string,{kind.simpleString()}>>")
 
     def find(word: Column) -> Column:
         word = word.cast("string")
-        return F.get(literal, F.hash(word).bitwiseAND(F.lit(slots - 1)))[word]
+        return F.get(literal, _slot(word, slots))[word]
 
     return find
 
 
-def joined_lookup(df: DataFrame, tokens: str, table: DataFrame, entry: str, number: str, out: str) -> DataFrame:
-    """The same lookup for a vocabulary of any size, as a salted equi-join.
+def packed_lookup(df: DataFrame, tokens: str, table: DataFrame, entry: str, number: str, out: str) -> DataFrame:
+    """The same lookup for a dictionary of any length.
 
-    Rows are numbered first, so that they may share keys or have none, and each travels whole with its
-    first token. A frequent token is spread over ``SALTS`` join keys.
+    Rows are stored with their chunk first, so that both reads agree on it, and are then shuffled once, whole,
+    by chunk. The distinct tokens of a chunk are shuffled instead of its tokens; a token of all chunks meets as
+    many copies of its entry as their number asks for.
     """
     row, listed = F.struct(*(F.col(f"`{c}`") for c in df.columns)), F.col(tokens).cast("array<string>")
-    numbered = df.select(F.monotonically_increasing_id().alias("__id"), row.alias("__row"), listed.alias("__l"))
-    # A missing or empty list gives one row without a token.
-    spread = numbered.select("__id", "__row", F.posexplode_outer("__l").alias("__p", "__t")).select(
-        "__id", "__p", "__t",
-        F.when(F.coalesce("__p", F.lit(0)) == 0, F.col("__row")).alias("__row"),
-        F.pmod(F.hash("__id", "__p"), F.lit(SALTS)).alias("__s"),
-    )
-    salted = table.select(
-        F.col(entry).cast("string").alias("__t"),
-        F.col(number).alias("__n"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__s"),
-    )
-    hits = spread.join(salted, ["__t", "__s"], "left")
-    found = F.collect_list(F.when(F.col("__p").isNotNull(), F.struct("__p", "__n")))
-    packed = hits.groupBy("__id").agg(
-        F.any_value("__row", ignoreNulls=F.lit(True)).alias("__row"), F.array_sort(found).alias("__f")
-    )
-    numbers = F.when(F.col(f"__row.`{tokens}`").isNotNull(), F.transform("__f", lambda s: s["__n"]))
-    return packed.select("__row.*", numbers.alias(out))
+    # Ids grow inside a partition and leave gaps between partitions, so no chunk spans two of them.
+    chunk = F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS)
+    numbered = pin(df.select(chunk.alias("__chunk"), row.alias("__row"), listed.alias("__l")), "chunks")
+    copies = max(1, numbered.select("__chunk").distinct().count() // CHUNKS_PER_COPY)
+    seen = numbered.select("__chunk", F.explode(F.array_distinct("__l")).alias("__t")).where("__t is not null").distinct()
+    entries = table.select(F.col(entry).cast("string").alias("__t"), F.col(number).alias("__n")).where("__t is not null")
+    if copies == 1:
+        hits = seen.join(small_side(pin(entries, "entries")), "__t")
+    else:
+        salt = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+        salted = seen.withColumn("__s", F.pmod("__chunk", F.lit(copies)).cast("int"))
+        hits = salted.join(entries.withColumn("__s", salt), ["__t", "__s"]).drop("__s")
+    by_slot = hits.repartition("__chunk").groupBy("__chunk", _slot(F.col("__t"), SLOTS).alias("__slot"))
+    maps = by_slot.agg(F.map_from_entries(F.collect_list(F.struct("__t", "__n"))).alias("__m"))
+    kind = maps.schema["__m"].dataType.simpleString()
+    lists = maps.groupBy("__chunk").agg(F.collect_list(F.struct("__slot", "__m")).alias("__f"))
+
+    def at(slot: Column) -> Column:
+        return F.get(F.filter("__f", lambda x: x["__slot"] == slot), F.lit(0))["__m"]
+
+    packed = lists.select("__chunk", F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), at).alias("__d"))
+    joined = numbered.join(packed, "__chunk", "left")
+    empty = F.lit(None).cast(f"array<{kind}>")
+    find = lambda t: F.get(F.coalesce("__d", empty), _slot(t, SLOTS))[t]
+    return joined.select("__row.*", F.transform("__l", find).alias(out))
 
 
 def map_array(
-    df: DataFrame, tokens: str, table: DataFrame, entry: str, number: str, out: str, default: int | None = None
+    df: DataFrame, tokens: str, table: DataFrame, entry: str, number: str, out: str, default: object = None
 ) -> DataFrame:
-    """Add ``out``: the number of each element of ``tokens``, ``default`` where it is not in ``table``.
+    """Add ``out``: the value of each element of ``tokens``, ``default`` where it is not in ``table``.
 
-    ``table`` holds an entry once. The way taken depends on its size, the result does not.
+    The way taken depends on the length of ``table``, the result does not.
     """
-    missing = F.lit(default).cast("int")
+    kind: T.DataType = table.schema[number].dataType
+    missing = F.lit(default).cast(kind)
     find = literal_lookup(table, entry, number)
     if find is not None:
         found = find if default is None else lambda token: F.coalesce(find(token), missing)
         return df.withColumn(out, F.transform(F.col(tokens), found))
-    joined = joined_lookup(df, tokens, table, entry, number, out)
+    joined = packed_lookup(df, tokens, table, entry, number, out)
     return joined.withColumn(out, F.transform(out, lambda n: F.coalesce(n, missing)))

@@ -13,7 +13,7 @@ from prepkit.operators.batches import assign_batches
 from prepkit.operators.checks import require_columns
 from prepkit.operators.positions import shard_count
 from prepkit.operators.splits import TRAIN, VALIDATION, head_per_split, split_exact
-from prepkit.operators.tokens import EncoderSpec, build_vocab, json_spec, read_tokenizer
+from prepkit.operators.tokens import EncoderSpec, build_vocab, json_spec, read_tokenizer, subword_vocab
 from prepkit.session import pin
 from prepkit.sources.scan import scan_split, union_splits
 
@@ -78,6 +78,8 @@ def token_vocab(df: DataFrame, columns: Sequence[str], job: Job) -> DataFrame |
     one = train.select(F.col(columns[0]).alias("text"))
     for name in columns[1:]:
         one = one.unionByName(train.select(F.col(name).alias("text")))
+    if job.encoder == "subword":
+        return pin(subword_vocab(one, "text", job.vocab_size, job.encoder_width))
     return pin(build_vocab(one, "text", job.vocab_size, job.encoder_width))
 
 

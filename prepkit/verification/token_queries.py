@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepkit.functions.lookup import joined_lookup
+from prepkit.functions.lookup import packed_lookup
 from prepkit.functions.text import words
 from prepkit.operators import batches as pack
 from prepkit.operators import tokens as ops
@@ -100,11 +100,54 @@ def encode_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way taken for vocabularies too long for a literal."""
     docs = texts(spark, sf_dir)
     listed = docs.select("doc_id", words("text").alias("tokens"))
-    coded = joined_lookup(listed, "tokens", vocab_of(docs), "token", "id", "found")
+    coded = packed_lookup(listed, "tokens", vocab_of(docs), "token", "id", "found")
     ids = F.transform("found", lambda i: F.coalesce(i, F.lit(ops.UNKNOWN)))
     return coded.select("doc_id", text_of(ids).alias("ids"))
 
 
+@query(
+    f"""with {SQL_WORDS}, n as (select token, count(*) as n from (select unnest(w) as token from w) group by token),
+    v as (select token, row_number() over (order by n desc, token) + 3 as id from n),
+    e as ({sql_encode('w', 'doc_id', 'v')}) select doc_id, {sql_text('ids')} as ids from e"""
+)
+def encode_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full vocabulary, by the way taken for dictionaries of any length."""
+    docs = texts(spark, sf_dir)
+    listed = docs.select("doc_id", words("text").alias("tokens"))
+    coded = packed_lookup(listed, "tokens", pin(ops.build_full_vocab(docs, "text"), "vocab"), "token", "id", "ids")
+    return coded.select("doc_id", text_of("ids").alias("ids"))
+
+
+SUBWORDS, LONGEST = 2000, 5
+SQL_SPELLED = f"""c as (select word, count(*) as n from (select unnest(w) as word from w) group by word),
+    k as (select word, n, unnest(range(0, length(word))) as i from c where length(word) <= 100),
+    b as (select case when i > 0 then '##' else '' end || substr(word, (i + 1)::bigint, l) as token, min(l) > 1 as several, sum(n) as n
+      from k, range(1, {LONGEST} + 1) r(l) where l <= length(word) - i group by token),
+    v as (select token, row_number() over (order by several, n desc, token) + 3 as id from b
+      order by several, n desc, token limit {SUBWORDS}),
+    g as (select word, 0::bigint as i, []::bigint[] as ids from c where length(word) <= 100
+      union all select word, i + max(l), list_append(ids, arg_max(v.id, l)) from
+        (select g.*, l, case when i > 0 then '##' else '' end || substr(word, i + 1, l) as token
+        from g, range(1, {LONGEST} + 1) r(l) where l <= length(word) - i) join v using (token) group by word, i, ids),
+    spelled as (select word, ids from g where i = length(word)),
+    e as (select doc_id, flatten(list(coalesce(ids, [1]) order by p)) as ids,
+      flatten(list(list_transform(coalesce(ids, [1]), lambda x: p - 1) order by p)) as word_ids from
+      (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as p from w) left join spelled using (word) group by doc_id)"""
+
+
+@query(
+    f"""with recursive {SQL_WORDS}, {SQL_SPELLED} select doc_id, {sql_text('list_concat([2], coalesce(ids, [])[1:510], [3])')} as ids,
+    {sql_text('list_concat([null], coalesce(word_ids, [])[1:510], [null])')} as word_ids from w left join e using (doc_id)"""
+)
+def encode_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words spelled by the longest pieces of a counted vocabulary."""
+    docs = texts(spark, sf_dir)
+    vocab = pin(ops.subword_vocab(docs, "text", SUBWORDS, LONGEST), "subwords")
+    spec = EncoderSpec("subword", width=LONGEST, max_length=512, specials=True)
+    coded = ops.encode(docs, "text", spec, vocab, word_ids="word_ids")
+    return coded.select("doc_id", text_of("input_ids").alias("ids"), text_of("word_ids").alias("word_ids"))
+
+
 @query(
     f"""with {SQL_CODED} select doc_id, {sql_text('list_concat([2], ids, [3])')} as ids,
     {sql_text("list_concat([null], range(0, len(ids)), [null])")} as word_ids from e""",

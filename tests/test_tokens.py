@@ -92,7 +92,7 @@ def test_lookup_is_one_whatever_the_size(spark, monkeypatch, limit):
 
 def test_hot_token_is_spread(spark):
     df = spark.range(400).select(F.col("id").cast("int").alias("k"), F.array_repeat(F.lit("the"), 5).alias("t"))
-    got = lookup.joined_lookup(df, "t", vocab_of(spark, "the"), "token", "id", "ids")
+    got = lookup.packed_lookup(df, "t", vocab_of(spark, "the"), "token", "id", "ids")
     assert got.where(F.col("ids") == F.array_repeat(F.lit(4), 5)).count() == 400
 
 
