@@ -9,13 +9,14 @@ others are verified shingle by shingle.
 No tree holds all points. Sets of a similarity of 0.8 share ``k`` of their first ``n/5 + k`` shingles in any
 common order, so there is a tree per such shingle with two or more sets, and a set with fewer than ``k``
 trees is in none; shingles that a great many documents hold come last in the order, which keeps shared
-passages out of the trees. Trees with the same members are one tree. Equal sets are one point.
+passages out of the trees. Trees with the same members are one tree, trees with the same smallest member are
+joined together, by pairs that have a tree in common. Equal sets are one point.
 
 Components are formed in rounds, and boxes whose points belong to one component need no join any more.
 First each set is bounded and verified against the smallest member of its trees. Then each component is
-verified against the nearest point of another one in each tree, once for two components, until a round finds
-no link; so thousands of near copies cost a few verifications each. At last all pairs between components
-that the bounds leave in any tree are verified, so no link depends on the rounds. A round looks at the
+verified against the nearest point of another one under each leader, once for two components, until hardly a
+pair is a link; so thousands of near copies cost a few verifications each. At last all pairs between
+components that the bounds leave in any tree are verified, so no link depends on the rounds. A round looks at the
 components that its links touch only. A tree of many points is joined in pairs of blocks. Texts are read
 three times: for the commonest shingles, for the points, and for the whole sets of one document of each point
 in a tree, which all rounds verify from.
@@ -46,6 +47,8 @@ PART, WHOLE = 4, 5
 COMMON, COMMON_IN_RUN = 1 << 18, 4
 #: Shared shingles asked for: one per so many, up to ``MOST_SHARED``.
 SHARED_PER, MOST_SHARED = 16, 8
+#: Another round of nearest points is worth it if one pair in so many was a link.
+WORTH = 50
 #: Parts over which rows of one set are spread when its class comes back to them.
 SALTS = 16
 #: Points joined at a time, and boxes or points in a box.
@@ -293,16 +296,34 @@ def _nearest(i: np.ndarray, j: np.ndarray, over: np.ndarray) -> np.ndarray:
     return best
 
 
+def _flags(trees: list[list[int]]) -> np.ndarray:
+    """A row of bits for each set: the trees it is in."""
+    every, numbers = np.unique(np.concatenate([np.array(t, np.int64) for t in trees]), return_inverse=True)
+    out = np.zeros((len(trees), -(-len(every) // 8)), np.uint8)
+    np.bitwise_or.at(out, (np.repeat(np.arange(len(trees)), list(map(len, trees))), numbers // 8), np.uint8(1) << (numbers % 8).astype(np.uint8))
+    return out
+
+
+def _meet(flags: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs have a tree in common."""
+    out, step = np.zeros(len(i), bool), max(1, (1 << 24) // flags.shape[1])
+    for at in range(0, len(i), step):
+        part = slice(at, at + step)
+        out[part] = (flags[i[part]] & flags[j[part]]).any(axis=1)
+    return out
+
+
 def tree_pairs(
     sizes: np.ndarray,
     components_of: np.ndarray,
     cells: list[np.ndarray],
     blocks: np.ndarray,
     nearest: bool = False,
+    trees: list[list[int]] | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Places of sets of one tree that must be verified, and by how much they may reach the similarity.
+    """Places of sets of one leader that must be verified, and by how much they may reach the similarity.
 
-    With two blocks, pairs across them.
+    With two blocks, pairs across them; with ``trees`` of each set, pairs that have one in common.
 
     With ``nearest``, of each component only the pair whose bound is best.
     Points have as many groups as their sizes ask for. Sizes of a similar pair differ by a quarter at most,
@@ -310,6 +331,7 @@ def tree_pairs(
     """
     _, numbered = np.unique(components_of, return_inverse=True)
     width = np.array([len(c) for c in cells])
+    flags = None if trees is None else _flags(trees)
     for w in np.unique(width):
         own = np.flatnonzero((width == w) | (width == 2 * w))
         if len(own) < 2:
@@ -321,6 +343,9 @@ def tree_pairs(
         if len(np.unique(blocks)) > 1:
             good &= blocks[i] != blocks[j]
         i, j, over = i[good], j[good], over[good]
+        if flags is not None:
+            good = _meet(flags, i, j)
+            i, j, over = i[good], j[good], over[good]
         if nearest:
             best = _nearest(numbered[i], numbered[j], over)
             i, j, over = i[best], j[best], over[best]
@@ -328,26 +353,29 @@ def tree_pairs(
 
 
 def _placed(members: DataFrame, known: DataFrame, points: DataFrame) -> DataFrame:
-    """``tree, p, q, block, node, n, point`` of the trees that hold several components (a stored table).
+    """``leader, p, q, block, node, trees, n, point`` of the leaders with several components (a stored table).
 
-    A tree of many members is joined in pairs of blocks: each point meets every block, as one of the first or of the
-    second of the pair.
+    The trees under a leader mostly have the same members, so they are joined together; ``trees`` are those that a
+    member is in. Many members are joined in pairs of blocks: each point meets every block, as one of the first
+    or of the second of the pair.
     """
-    placed = members.select("tree", "node").join(small_side(known), "node", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "node"))
-    count = placed.groupBy("tree").agg(
+    held = members.groupBy("leader", "node").agg(F.sort_array(F.collect_list("tree")).alias("trees"))
+    held = pin(held.join(small_side(known), "node", "left").withColumn("component", F.coalesce("component", "node")), "held")
+    count = held.groupBy("leader").agg(
         F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    mixed = members.select("tree", "node").join(count.where("low <> high").select("tree", "size"), "tree")
+    mixed = held.join(count.where("low <> high").select("leader", "size"), "leader")
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     mixed = mixed.withColumn("blocks", blocks).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
     mixed = mixed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     mixed = mixed.select(
-        "tree", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node"
+        "leader", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node", "trees"
     )
-    return pin(mixed.join(points, "node").select("tree", "p", "q", "block", "node", "n", "point"), "placed")
+    placed = pin(mixed.join(points, "node").select("leader", "p", "q", "block", "node", "trees", "n", "point"), "placed")
+    unpin(held)
+    return placed
 
 
 def _candidates(placed: DataFrame, known: DataFrame, nearest: bool) -> DataFrame:
@@ -356,18 +384,18 @@ def _candidates(placed: DataFrame, known: DataFrame, nearest: bool) -> DataFrame
     With ``nearest``, of two components only the pair whose bound is best.
     """
     rows = placed.join(small_side(known), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = rows.select("tree", "p", "q", "block", "node", "component", "n", "point")
-    rows = rows.repartition("tree", "p", "q").sortWithinPartitions("tree", "p", "q")
+    rows = rows.select("leader", "p", "q", "block", "node", "component", "n", "point", "trees")
+    rows = rows.repartition("leader", "p", "q").sortWithinPartitions("leader", "p", "q")
 
     def join(batches):
         held: list[tuple] = []
 
         def flush():
-            cells = [np.frombuffer(r[7], np.uint8) for r in held]
             column = lambda k: np.array([r[k] for r in held], np.int64)
             node, component = column(4), column(5)
             if (component != component[0]).any():
-                for i, j, over in tree_pairs(column(6), component, cells, column(3), nearest):
+                cells = [np.frombuffer(r[7], np.uint8) for r in held]
+                for i, j, over in tree_pairs(column(6), component, cells, column(3), nearest, [r[8] for r in held]):
                     swap = node[i] > node[j]
                     i, j = np.where(swap, j, i), np.where(swap, i, j)
                     columns = (node[i], node[j], np.minimum(component[i], component[j]), np.maximum(component[i], component[j]), over)
@@ -389,14 +417,14 @@ def _candidates(placed: DataFrame, known: DataFrame, nearest: bool) -> DataFrame
     return pin(found.select("a", "b").distinct(), "pairs")
 
 
-def _round(placed: DataFrame, known: DataFrame, sets: DataFrame, nearest: bool) -> tuple[DataFrame, int]:
-    """The components after a round, and the number of links it found."""
+def _round(placed: DataFrame, known: DataFrame, sets: DataFrame, nearest: bool) -> tuple[DataFrame, int, int]:
+    """The components after a round, the number of links it found, and that of the pairs it tried."""
     pairs = _candidates(placed, known, nearest)
     links = _verified(pairs, sets)
-    n = links.count()
+    tried, n = pairs.count(), links.count()
     after = joined(known, links) if n else known
     unpin(pairs, links, *([known] if n else []))
-    return after, n
+    return after, n, tried
 
 
 def _trees(nodes: DataFrame, first: DataFrame, ranges: int) -> DataFrame:
@@ -433,10 +461,10 @@ def _components(docs: DataFrame, key: str, text: str, nodes: DataFrame, members:
     known = pin(components(links), "known")
     placed = _placed(members, known, points)
     unpin(pairs, links, wanted, ids, points)
-    found = 1
-    while found:
-        known, found = _round(placed, known, sets, nearest=True)
-    # No component's nearest is similar: all that the bounds leave are tried, once.
+    found = tried = 1
+    while found * WORTH >= max(tried, 1):
+        known, found, tried = _round(placed, known, sets, nearest=True)
+    # Hardly a component's nearest is similar: all that the bounds leave are tried, once.
     return _round(placed, known, sets, nearest=False)[0]
 
 

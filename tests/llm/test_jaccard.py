@@ -92,20 +92,20 @@ def test_many_near_copies_are_one_class(spark):
     assert sorted(map(tuple, got), key=repr) == brute(list(enumerate(texts)))
 
 
-def test_a_round_finds_nothing_before_all_pairs_are_tried(spark, monkeypatch):
+def test_rounds_end_when_hardly_worth_it(spark, monkeypatch):
     rounds, one = [], J._round
 
     def noted(placed, known, sets, nearest):
-        after, found = one(placed, known, sets, nearest)
-        rounds.append((nearest, found))
-        return after, found
+        after, found, tried = one(placed, known, sets, nearest)
+        rounds.append((nearest, found, tried))
+        return after, found, tried
 
     monkeypatch.setattr(J, "_round", noted)
     texts = corpus(4)
     got = J.link_classes(table(spark, texts)).collect()
     assert sorted(map(tuple, got), key=repr) == brute(list(enumerate(texts)))
-    assert [n for n, _ in rounds] == [True] * (len(rounds) - 1) + [False]
-    assert rounds[-2] == (True, 0) and all(n for _, n in rounds[:-2])
+    assert [n for n, *_ in rounds] == [True] * (len(rounds) - 1) + [False]
+    assert rounds[-2][1] * J.WORTH < max(rounds[-2][2], 1)
 
 
 def test_inner_tables_are_dropped(spark):
@@ -163,6 +163,13 @@ def test_bounds_keep_every_similar_pair():
     assert best <= got and {k for p in got for k in p} == {k for p in best for k in p}
 
 
+def test_pairs_have_a_tree_in_common():
+    trees = [[5, 9], [9], [7], [5, 7], [2**62]]
+    i, j = np.triu_indices(5, 1)
+    want = [bool(set(trees[a]) & set(trees[b])) for a, b in zip(i, j, strict=True)]
+    assert J._meet(J._flags(trees), i, j).tolist() == want
+
+
 @pytest.mark.parametrize("part", [1 << 18, 20])
 def test_components_of_chains_and_stars(spark, monkeypatch, part):
     monkeypatch.setattr(components_module, "PART", part)
