@@ -1,11 +1,12 @@
 """Quality rules with host verdicts, in DataFrame expressions only.
 
-Each document is measured once (words, symbols, repeated lines, repeated 8-word windows) and the measures
-are stored, without the texts unless these are asked for. Rule failures are counted per host, where
+Each document is measured (words, symbols, repeated lines, repeated 8-word windows) and the measures are
+stored, with the columns asked for; no text is stored. Rule failures are counted per host, where
 partial sums take the heat off a host of many rows. Host rates are shrunk towards all hosts by a beta
-prior fitted to them by moments, and the verdict on the host (trusted, usual, bad) is joined back to its documents. A document goes if it fails
-the base rule, or more of the softer rules than its host is allowed: one on a trusted host, else none.
-A document that fails no rule stays on any host.
+prior fitted to them by moments, and the verdict on the host (trusted, usual, bad) is joined back to its
+documents. A document goes if it fails the base rule, or more of the softer rules than its host is allowed:
+one on a trusted host, else none. On a bad host the softer rules have stricter limits. A document that is
+within all limits, the strict ones too, stays on any host.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null host is a host of its
 own; repeated rows count as often as they occur; without documents there are no hosts. Windows are
@@ -19,13 +20,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prepkit.session import pin, small_side
+from prepkit.session import pin, small_side, temporary_tables
 
 WORDS = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PCT = 20, 8, 30
 #: The softer rules: symbols per word, repeated lines per line (in percent), and mean word length.
-MAX_SYMBOL_PCT, MAX_DUP_LINE_PCT, MIN_MEAN_CHARS, MAX_MEAN_CHARS = 20, 30, 2, 16
+LIMITS = (20, 30, 2, 16)
+#: The same for documents of a bad host.
+STRICT_LIMITS = (10, 15, 3, 12)
 #: A host whose shrunk rate is under this share of the mean rate is trusted; over this rate it is bad.
 TRUSTED_SHARE, BAD_RATE = 0.5, 0.5
 
@@ -80,13 +83,13 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
 
 
-def soft_failures() -> Column:
+def soft_failures(limits: Sequence[int] = LIMITS) -> Column:
     """How many of the softer rules a document fails."""
+    symbols, lines, shortest, longest = limits
     rules = (
-        100 * F.col("n_symbols") > MAX_SYMBOL_PCT * F.col("n_words"),
-        100 * F.col("n_dup_lines") > MAX_DUP_LINE_PCT * F.col("n_lines"),
-        (F.col("word_chars") < MIN_MEAN_CHARS * F.col("n_words"))
-        | (F.col("word_chars") > MAX_MEAN_CHARS * F.col("n_words")),
+        100 * F.col("n_symbols") > symbols * F.col("n_words"),
+        100 * F.col("n_dup_lines") > lines * F.col("n_lines"),
+        (F.col("word_chars") < shortest * F.col("n_words")) | (F.col("word_chars") > longest * F.col("n_words")),
     )
     return sum((r.cast("int") for r in rules[1:]), rules[0].cast("int"))
 
@@ -112,18 +115,31 @@ def host_verdicts(measures: DataFrame) -> DataFrame:
     return hosts.withColumn("rate", shrunk).withColumn("verdict", verdict)
 
 
+def _judged(measures: DataFrame, verdicts: DataFrame) -> DataFrame:
+    hosts = small_side(verdicts.select(F.col("host").alias("h"), "verdict"))
+    judged = measures.join(hosts, measures["host"].eqNullSafe(hosts["h"])).drop("h")
+    bad = F.col("verdict") == "bad"
+    judged = judged.withColumn("base_failed", base_failed()).withColumn(
+        "soft_failed", F.when(bad, soft_failures(STRICT_LIMITS)).otherwise(soft_failures())
+    )
+    allowed = F.when(F.col("verdict") == "trusted", 1).otherwise(0)
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("soft_failed") <= allowed))
+
+
 def judge(
     docs: DataFrame, text: str = "text", host: str = "source", carried: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
     """The measures of every row, ``base_failed, soft_failed, verdict, kept``, and the carried columns in ``row``."""
     measures = pin(measure(docs, text, host, carried), "measures")
-    hosts = small_side(host_verdicts(measures).select(F.col("host").alias("h"), "verdict"))
-    judged = measures.join(hosts, measures["host"].eqNullSafe(hosts["h"])).drop("h")
-    judged = judged.withColumn("base_failed", base_failed()).withColumn("soft_failed", soft_failures())
-    allowed = F.when(F.col("verdict") == "trusted", 1).otherwise(0)
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("soft_failed") <= allowed))
+    return _judged(measures, host_verdicts(measures))
 
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns unchanged; texts are stored once and not shuffled."""
-    return judge(docs, text, host, docs.columns).where("kept").select("row.*")
+    """The rows of ``docs`` that the rules keep, all columns unchanged.
+
+    Texts are neither stored nor shuffled: they are measured once for the hosts and once more where they lie.
+    """
+    with temporary_tables(docs.sparkSession) as kept:
+        verdicts = pin(host_verdicts(pin(measure(docs, text, host), "measures")), "verdicts")
+        kept.append(verdicts)
+    return _judged(measure(docs, text, host, docs.columns), verdicts).where("kept").select("row.*")

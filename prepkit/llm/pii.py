@@ -6,7 +6,7 @@ number rule, a gazetteer, the words around, and the characters that touch it. Vo
 documents by pattern of votes, of which there is a fixed number; expectation-maximisation on these counts
 estimates how reliable each labeler is and how likely each pattern is personal. A logistic classifier is
 then fitted, on the counts of all spans by features, to those likelihoods; it decides which proposals
-join the base spans. Texts are scanned once, in place; only counts by pattern are shuffled.
+join the base spans. Texts are scanned in place (twice where they are masked); only counts by pattern are shuffled.
 
 Defined cases: a null or empty text has no spans; spans never overlap within a kind, and a proposal that
 overlaps a base span is not made; rows that share a key are judged apart; without proposals nothing is
@@ -16,6 +16,7 @@ fitted and nothing added.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -266,9 +267,7 @@ def find_personal(
 ) -> DataFrame:
     """``row`` (the carried columns) and the final ``spans`` of every row, by start and kind."""
     found = _proposals(docs, text, carried)
-    each = found.select(F.explode("spans.signature").alias("signature"))
-    seen = each.groupBy("signature").count().orderBy("signature").collect()  # at most one row per signature
-    good = accepted_signatures(np.array([r[0] for r in seen], int), np.array([r[1] for r in seen], float), accept)
+    good = _accepted(found.select(F.explode("spans.signature").alias("signature"), F.lit(1).alias("n")), accept)
     keep = F.array(*map(F.lit, good)) if good else F.array().cast("array<int>")
     return found.withColumn(
         "spans", F.filter("spans", lambda s: s["base"] | F.array_contains(keep, s["signature"]))
@@ -276,22 +275,40 @@ def find_personal(
 
 
 def mask_personal(docs: DataFrame, text: str = "text", accept: float = ACCEPT) -> DataFrame:
-    """``docs`` with each span replaced by its kind in brackets; all rows and columns stay."""
-    found = find_personal(docs, text, docs.columns, accept)
+    """``docs`` with each span replaced by its kind in brackets; all rows and columns stay.
+
+    Texts are read twice, for the votes and to be masked, and stored nowhere.
+    """
     place = docs.columns.index(text)
 
+    def count(batches):
+        seen: Counter[int] = Counter()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                seen.update(signature(s, votes(t or "", s)) for s in spans(t or ""))
+        yield pa.RecordBatch.from_pydict({"signature": pa.array(list(seen), pa.int32()), "n": pa.array(list(seen.values()), pa.int64())})
+
+    counts = docs.select(F.col(text).alias("text")).mapInArrow(count, "signature int, n long")
+    good = frozenset(_accepted(counts, accept))
+
     def mask(batches):
         for batch in batches:
-            rows = batch.column(0)
-            columns = [rows.field(k) for k in range(rows.type.num_fields)]
-            texts = columns[place].to_pylist()
-            for r, cells in enumerate(batch.column(1).to_pylist()):
-                if cells:
-                    texts[r] = masked(texts[r], cells)
+            texts = batch.column(place).to_pylist()
+            for r, t in enumerate(texts):
+                found = [s for s in spans(t or "") if s[3] or signature(s, votes(t, s)) in good]
+                if found:
+                    texts[r] = masked(t, [dict(zip(_SPAN.names, s, strict=False)) for s in found])
+            columns = batch.columns
             columns[place] = pa.array(texts, columns[place].type)
-            yield pa.RecordBatch.from_arrays(columns, [f.name for f in rows.type])
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return docs.mapInArrow(mask, docs.schema)
+
 
-    return found.mapInArrow(mask, docs.schema)
+def _accepted(counts: DataFrame, accept: float) -> list[int]:
+    """Signatures that the classifier accepts, from ``signature, n`` rows."""
+    seen = counts.groupBy("signature").agg(F.sum("n")).orderBy("signature").collect()  # at most one row per signature
+    return accepted_signatures(np.array([r[0] for r in seen], int), np.array([r[1] for r in seen], float), accept)
 
 
 def masked(text: str, cells: Sequence[dict]) -> str:

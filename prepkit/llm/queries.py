@@ -187,17 +187,19 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     x as (select doc_id, source, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n, 0)::bigint as n_repeat_words,
       n_words < 20 or 100 * coalesce(n, 0) > 30 * n_words as base_failed,
       (100 * n_symbols > 20 * n_words)::int + (100 * n_dup_lines > 30 * n_lines)::int
-        + (word_chars < 2 * n_words or word_chars > 16 * n_words)::int as soft
+        + (word_chars < 2 * n_words or word_chars > 16 * n_words)::int as soft,
+      (100 * n_symbols > 10 * n_words)::int + (100 * n_dup_lines > 15 * n_lines)::int
+        + (word_chars < 3 * n_words or word_chars > 12 * n_words)::int as strict
       from f left join r using (doc_id)),
     hosts as (select source, count(*) as n, sum((base_failed or soft > 0)::int)::double as bad from x group by source),
     prior as (select sum(bad) / sum(n) as mean, sum(bad * bad / n) / sum(n) as squares, count(*) / sum(n) as few
       from hosts),
     p2 as (select mean, greatest(mean * (1 - mean) / greatest(squares - mean * mean - few * mean * (1 - mean), 1e-6)
       - 1, 1) as strength from prior),
-    v as (select source, case when (bad + mean * strength) / (n + strength) > 0.5 then 0
+    v as (select source, (bad + mean * strength) / (n + strength) > 0.5 as bad_host, case when bad_host then 0
       when (bad + mean * strength) / (n + strength) < 0.5 * mean then 1 else 0 end as allowed from hosts, p2)
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-      not base_failed and soft <= allowed as kept
+      not base_failed and case when bad_host then strict else soft end <= allowed as kept
     from x join v on x.source is not distinct from v.source
     """
 )

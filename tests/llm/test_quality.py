@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 from helpers import SCHEMA, as_dict, empty, with_clashes, words
+from prepkit import session
 from prepkit.llm import host_quality as Q
 
 
@@ -83,6 +84,22 @@ def test_base_rule_holds_on_any_host(spark, hosts):
     assert not judged[9000]["kept"] and not judged[9001]["kept"]
 
 
+def test_a_bad_host_is_held_to_stricter_limits(spark, hosts):
+    """A document between the two limits stays on a usual host and goes from a bad one."""
+    rng = random.Random(3)
+    between = " ".join(f"word{rng.randrange(10**6)}" + (" #" if k % 7 == 0 else "") for k in range(70))
+    rows = [(9000 + k, between, "en", host, 1) for k, host in enumerate(("bad", "hot", "good", None))]
+    left = as_dict(Q.keep_good(hosts.unionByName(spark.createDataFrame(rows, SCHEMA))))
+    assert {k for k in left if k >= 9000} == {9001, 9002, 9003}
+
+
+def test_no_text_is_stored(hosts):
+    before = set(session._pinned)
+    assert Q.keep_good(hosts).count()
+    left = [p for p in session._pinned if p not in before]
+    assert [p.rsplit("/", 1)[1].split("-")[0] for p in left] == ["verdicts"]
+
+
 def test_empty_and_repeated(spark, hosts):
     assert Q.judge(empty(spark)).count() == 0
     twice = hosts.unionByName(hosts)
