@@ -1,8 +1,9 @@
 """License scan: MinHash bands over overlapping windows retrieve templates, exact containment verifies.
 
 Texts become 3-word shingles (letters and digits, A-Z in lower case). For each template length there is a
-window size and a step such that a passage as long as the template lies whole in some window; from that
-follows the least Jaccard similarity of that window and the template, and from it the number of bands, so
+window size and a step such that a passage as long as the template lies whole in some window. Windows begin with
+the text and end with it, so what is found in a text depends on that text alone: a template is found where a
+window holds the asked share of its shingles, from the first to the last of them. From the size follows the least Jaccard similarity of that window and the template, and from it the number of bands, so
 that a passage that holds the asked share of the template shares a band with a chance of at least 0.999.
 Minima are taken once per block of four shingles and hash function, and windows are joined from blocks.
 What bands miss is retrieved exactly: a window that holds ``s`` of a template's ``n`` shingles holds ``m`` of
@@ -144,30 +145,29 @@ class TemplateIndex:
         place, hashes = W.row_windows(found, SHINGLE)
         if not len(hashes):
             return []
-        edges = np.arange(0, len(hashes), BLOCK)
-        blocks: list[np.ndarray] = []
-        for factor in self.factors:
-            blocks.append(np.minimum.reduceat(_scatter(hashes, factor), edges))
-        rows = found.row[place]
+        text = _Layout(found.row[place], len(found.first) - 1)
+        every = [text.windows(p) for p, _ in self.plans]
+        least: list[list[np.ndarray]] = [[] for _ in self.plans]
+        for f, factor in enumerate(self.factors):
+            levels = _levels(np.minimum.reduceat(_scatter(hashes, factor), text.edges), max(p.window for p, _ in self.plans))
+            for (p, _), windows, own in zip(self.plans, every, least, strict=True):
+                if f < p.rows * p.bands:
+                    own.append(_window_minima(levels, windows.start, windows.end))
         at, of = self._parts_met(hashes)
-        seen: set[tuple[int, int]] = set()
         out = []
-        for p, tables in self.plans:
-            starts = np.arange(0, len(edges), p.step)
-            least = [_window_minima(blocks[f], starts, p.window) for f in range(p.rows * p.bands)]
+        for (p, tables), windows, minima in zip(self.plans, every, least, strict=True):
+            seen: set[tuple[int, int]] = set()
             for band, (keys, which) in enumerate(tables):
-                got = _band(np.stack(least[band * p.rows : (band + 1) * p.rows]))
+                got = _band(np.stack(minima[band * p.rows : (band + 1) * p.rows]))
                 low, high = np.searchsorted(keys, got, "left"), np.searchsorted(keys, got, "right")
-                for w in np.flatnonzero(high > low):
-                    a = int(starts[w]) * BLOCK
-                    for k in which[low[w] : high[w]]:
-                        if (a, int(k)) not in seen:
-                            seen.add((a, int(k)))
-                            out += self._verify(place, hashes, rows, a, a + p.window * BLOCK, int(k))
-            for a, k in self._windows_met(p, at, of):
-                if (a, k) not in seen:
-                    seen.add((a, k))
-                    out += self._verify(place, hashes, rows, a, a + p.window * BLOCK, k)
+                for w in np.flatnonzero(high > low).tolist():
+                    seen.update((w, k) for k in which[low[w] : high[w]].tolist())
+            seen.update(self._windows_met(p, text, windows, at, of))
+            for w, k in sorted(seen):
+                a, b = text.shingles(p, windows, w)
+                hit = np.flatnonzero(X.is_in(hashes[a:b], self.sets[k])) + a
+                if len(np.unique(hashes[hit])) >= self.containment * len(self.sets[k]):
+                    out.append((int(windows.row[w]), k, int(place[hit[0]]), int(place[hit[-1]]) + SHINGLE))
         return out
 
     def _parts_met(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,29 +178,53 @@ class TemplateIndex:
         first = np.repeat(np.cumsum(n) - n, n)
         return at, self.part_of[np.repeat(low, n) + np.arange(len(at)) - first]
 
-    def _windows_met(self, p: Plan, at: np.ndarray, of: np.ndarray) -> list[tuple[int, int]]:
-        """Begins of windows, and templates of the plan's length of whose fixed part they hold enough."""
+    def _windows_met(self, p: Plan, text: _Layout, windows: _Windows, at: np.ndarray, of: np.ndarray) -> list[tuple[int, int]]:
+        """Windows, and templates of the plan's length of whose fixed part they hold enough."""
         own = np.array([len(s) == p.shingles for s in self.sets])[of] if len(of) else np.zeros(0, bool)
-        block, which = at[own] // BLOCK, of[own]
+        row, which = text.row[at[own]], of[own]
+        block = (at[own] - text.cut[row]) // BLOCK
         found = []
         for back in range(-(-p.window // p.step)):
             window = block // p.step - back
             good = (window >= 0) & (window * p.step + p.window > block)
-            found.append(window[good] * len(self.sets) + which[good])
+            found.append((windows.first[row] + window)[good] * len(self.sets) + which[good])
         pairs, n = np.unique(np.concatenate(found), return_counts=True)
         window, which = pairs // len(self.sets), pairs % len(self.sets)
         good = n >= self.met[which]
-        return list(zip((window[good] * p.step * BLOCK).tolist(), which[good].tolist(), strict=True))
-
-    def _verify(self, place, hashes, rows, a: int, b: int, k: int) -> list[tuple[int, int, int, int]]:
-        """The template in the part of the window that each row has."""
-        own, held, out = self.sets[k], slice(a, min(b, len(hashes))), []
-        inside = X.is_in(hashes[held], own)
-        for r in np.unique(rows[held][inside]):
-            hit = np.flatnonzero(inside & (rows[held] == r)) + a
-            if len(np.unique(hashes[hit])) >= self.containment * len(own):
-                out.append((int(r), k, int(place[hit[0]]), int(place[hit[-1]]) + SHINGLE))
-        return out
+        return list(zip(window[good].tolist(), which[good].tolist(), strict=True))
+
+
+class _Windows(NamedTuple):
+    """The row of each window, its first block and the block after its last, and the first window of each row."""
+
+    row: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+
+
+class _Layout:
+    """Blocks of the shingles of a chunk; blocks and windows begin with each row."""
+
+    def __init__(self, row: np.ndarray, n_rows: int):
+        self.row = row
+        self.cut = np.searchsorted(row, np.arange(n_rows + 1))
+        blocks = -(-np.diff(self.cut) // BLOCK)
+        self.first = np.concatenate(([0], np.cumsum(blocks)))
+        of = np.repeat(np.arange(n_rows), blocks)
+        self.edges = self.cut[of] + (np.arange(len(of)) - self.first[of]) * BLOCK
+
+    def windows(self, p: Plan) -> _Windows:
+        n = -(-np.diff(self.first) // p.step)
+        first = np.concatenate(([0], np.cumsum(n)))
+        row = np.repeat(np.arange(len(n)), n)
+        start = self.first[row] + (np.arange(len(row)) - first[row]) * p.step
+        return _Windows(row, start, np.minimum(start + p.window, self.first[row + 1]), first)
+
+    def shingles(self, p: Plan, windows: _Windows, w: int) -> tuple[int, int]:
+        """The first shingle of a window, and the one after its last."""
+        a = int(self.edges[windows.start[w]])
+        return a, min(a + p.window * BLOCK, int(self.cut[windows.row[w] + 1]))
 
 
 def _scatter(hashes: np.ndarray, factor) -> np.ndarray:
@@ -216,14 +240,19 @@ def _band(least: np.ndarray) -> np.ndarray:
     return key
 
 
-def _window_minima(blocks: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """Least value of ``size`` blocks from each start on, by doubling; windows end with the blocks."""
-    n, width, low = len(blocks), 1, blocks
-    while 2 * width <= size:
-        low = np.minimum(low, np.concatenate((low[width:], np.full(min(width, n), low[-1]))) if n > width else low.min())
-        width *= 2
-    last = np.minimum(starts + max(0, size - width), n - 1)
-    return np.minimum(low[starts], low[last])
+def _levels(blocks: np.ndarray, most: int) -> np.ndarray:
+    """Least values of 1, 2, 4 ... blocks from each block on, as far as ``most`` blocks ask for."""
+    out = [blocks]
+    while 2 ** len(out) <= min(most, len(blocks)):
+        low, width = out[-1], 2 ** (len(out) - 1)
+        out.append(np.minimum(low, np.concatenate((low[width:], np.full(width, low[-1])))))
+    return np.stack(out)
+
+
+def _window_minima(levels: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Least values of the blocks from ``start`` up to ``end``."""
+    level = np.frexp(end - start)[1] - 1
+    return np.minimum(levels[level, start], levels[level, end - (1 << level)])
 
 
 def scan(
