@@ -4,7 +4,8 @@ A page becomes a tree of elements; scripts, styles, menus, footers and hidden el
 Forms, headers and elements that name themselves menus, sidebars, notices, adverts or comments by a whole class
 or id are cut off if they are not the main text: one that holds an article, a main or an h1 stays, and so does
 one with half of the body's text in paragraphs, items, cells and headings or three quarters of all its text,
-unless it stands beside an article or main with text. A header in an article or main stays, and so does a form
+unless it stands beside an article or main with text. Readers' comments, articles of this name too, go whatever
+their size if enough other text is there. A header in an article or main stays, and so does a form
 there that holds a paragraph, item, cell or heading. Every node gets its characters per tag,
 adjusted for links (composite text density). The node whose children's densities have the largest sum is
 taken, and the least density on the path from it to the body is the threshold. The node stands for the article
@@ -36,7 +37,7 @@ _CUT = frozenset(
     "head nav footer aside button dialog menu audio video canvas map label fieldset".split()
 )
 #: What goes unless it is the main text, by its tag; other elements go by their names (``NAMED``).
-HEADER, FORM, NAMED = "header", "form", "named"
+HEADER, FORM, NAMED, COMMENTS = "header", "form", "named", "comments"
 _MARKED = frozenset("article main".split())
 _BLOCKS = frozenset(
     "address article blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
@@ -56,17 +57,24 @@ _NOISE = re.compile(
     r"|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|pagination|pager|toolbar",
     re.IGNORECASE,
 )
+#: Parts of a name that tell of readers' comments, unless another part says that the element merely has, lacks or counts them.
+_COMMENTS = re.compile(r"comments?(?:list|s)?|replies|disqus", re.IGNORECASE)
+_MERELY = frozenset("with without no has have show hide open closed enabled disabled count counter number link toggle".split())
+#: Comments go if so many characters of text blocks stand outside of all comments.
+_ELSEWHERE = 140
 _PLACES = frozenset(
     "site main top bottom left right primary secondary global container wrapper wrap box block area section inner bar "
     "list links item items posts buttons icons form".split()
 )
 _TEXT_BLOCKS = frozenset("p pre blockquote li dd td h1 h2 h3 h4 h5 h6".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+# As browsers read them: a comment ends at --> or --!>, or at once; a quote begins a value only after an equals sign.
 _TAG = re.compile(
-    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z))",
+    r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*+)"
+    r"((?>[\s/]+|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?)?)*+)(?:>|\Z))",
     re.DOTALL,
 )
-_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s"'>]+)))?""")
+_ATTR = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>"'][^\s>]*))?)?""")
 _SPACE = re.compile(r"\s+")
 
 
@@ -87,10 +95,12 @@ class Node:
 
 @functools.lru_cache(4096)
 def _named(names: str) -> str:
-    """``HEADER`` or ``NAMED`` if one of the classes or ids says as a whole that it is not main text."""
+    """``HEADER`` or ``NAMED`` if one of the classes or ids says as a whole that it is not main text, or ``COMMENTS``."""
     found = ""
     for name in names.lower().replace("side-bar", "sidebar").replace("side_bar", "sidebar").split():
         parts = [x for x in re.split("[-_]+", name) if x]
+        if any(_COMMENTS.fullmatch(x) for x in parts) and not any(x in _MERELY for x in parts):
+            return COMMENTS
         noise = {x for x in parts if _NOISE.fullmatch(x)}
         if noise and all(x in noise or x in _PLACES or x.isdigit() for x in parts):
             if not noise <= {"header", "masthead"}:
@@ -104,7 +114,7 @@ def _noise(tag: str, attributes: str) -> tuple[bool, str]:
     if tag in _CUT:
         return True, ""
     suspect = tag if tag in (HEADER, FORM) else ""
-    if not attributes or tag in ("body", "html", "article", "main") or tag in _HEADINGS:
+    if not attributes or tag in ("body", "html", "main") or tag in _HEADINGS:
         return False, suspect
     for name, *values in _ATTR.findall(attributes):
         value, name = "".join(values), name.lower()
@@ -114,7 +124,9 @@ def _noise(tag: str, attributes: str) -> tuple[bool, str]:
             return True, ""
         if name in ("class", "id"):
             suspect = suspect or _named(value)
-        elif name == "role" and value.lower() in _ROLES:
+            if tag == "article" and suspect != COMMENTS:
+                suspect = ""
+        elif name == "role" and tag != "article" and value.lower() in _ROLES:
             suspect = suspect or {"banner": HEADER, "form": FORM}.get(value.lower(), NAMED)
     return False, suspect
 
@@ -132,8 +144,9 @@ def _without_noise(nodes: list[Node]) -> list[Node]:
     for node in reversed(nodes):
         k = node.order
         if chars[k]:
-            marks[k] |= node.tag in _MARKED or node.tag == "h1"
-            marked |= node.tag in _MARKED
+            own = node.tag in _MARKED and node.suspect != COMMENTS
+            marks[k] |= own or node.tag == "h1"
+            marked |= own
         if node.tag == "body":
             body = k
         if node.parent is not None:
@@ -141,6 +154,10 @@ def _without_noise(nodes: list[Node]) -> list[Node]:
             chars[up] += chars[k]
             marks[up] |= marks[k]
             blocks[up] += blocks[k]
+    said = [n.suspect == COMMENTS and not marks[n.order] for n in nodes]
+    for node in nodes[1:]:
+        said[node.order] |= said[node.parent.order]
+    elsewhere = sum(n.chars for n in nodes if held[n.order] and not said[n.order])
     inside, gone = [False] * len(nodes), [False] * len(nodes)
     for node in nodes[1:]:
         k, up = node.order, node.parent.order
@@ -150,6 +167,8 @@ def _without_noise(nodes: list[Node]) -> list[Node]:
             continue
         if not chars[k]:
             gone[k] = True
+        elif node.suspect == COMMENTS and not marks[k] and elsewhere >= _ELSEWHERE:
+            gone[k] = True
         elif marks[k] or inside[k] and (node.suspect == HEADER or node.suspect == FORM and blocks[k]):
             continue
         else:
@@ -217,7 +236,8 @@ def parse(page: str) -> tuple[Node, list[Node]]:
         if tag in _ENDS:
             top = _end(top, _ENDS[tag], close)
         if tag in _RAW:
-            if not attributes.endswith("/"):
+            # Elsewhere a closing slash says nothing.
+            if tag != "svg" or not attributes.endswith("/"):
                 stop = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
                 at = stop.end() if stop else len(page)
             continue
@@ -276,6 +296,11 @@ def _density(node: Node, share: float) -> float:
     return max(c / t * math.log(max(c / lc * t / lt, 1.0)) / math.log(max(base, math.e)), 0.0) if node.linked else c / t
 
 
+def best_node(nodes: list[Node]) -> Node:
+    """The node of the largest sum; of equal sums the deeper, then the earlier one."""
+    return max(nodes, key=lambda n: (n.sum, n.depth, -n.order))
+
+
 def main_node(root: Node, nodes: list[Node]) -> tuple[Node, frozenset[Node]]:
     """The node that holds the largest sum and all as dense text beside it, and the link lists in it that do not belong.
 
@@ -285,8 +310,7 @@ def main_node(root: Node, nodes: list[Node]) -> tuple[Node, frozenset[Node]]:
     inside = [n for n in nodes if n.order >= body.order and n.chars]
     if not inside:
         return body, frozenset()
-    rank = lambda n: (n.sum, n.depth, -n.order)
-    best = max(inside, key=rank)
+    best = best_node(inside)
     least, node = best.density, best
     while node is not body and node.parent is not None:
         least, node = min(least, node.density), node.parent

@@ -1,6 +1,7 @@
 """Main text of pages."""
 
 import html
+import math
 import random
 
 import pytest
@@ -119,3 +120,117 @@ def test_whole_table(spark):
     got = sorted(map(tuple, html_text.extract(df).collect()), key=repr)
     assert got == sorted([(1, "u", "a"), (1, None, ""), (None, "v", "")], key=repr)
     assert html_text.extract(df.where("false")).count() == 0
+
+
+LONG = " ".join(f"word{k}" for k in range(60))
+
+
+def framed(body):
+    return f"<html><body><div><h1>Title</h1><p>{LONG} one.</p>{body}<p>{LONG} three.</p></div></body></html>"
+
+
+def test_a_quote_in_an_unquoted_value_is_a_part_of_it():
+    got = html_text.main_text(framed("<p>See <a href=/it's>this link</a> and go on.</p><p>It's the next one.</p>"))
+    assert "this link and go on." in got and "It's the next one." in got and "three." in got
+
+
+@pytest.mark.parametrize("comment", ["<!-->", "<!--->", "<!-- a --!>", "<!-- a -- b -->", "<!---->"])
+def test_comments_end_as_in_browsers(comment):
+    got = html_text.main_text(framed(f"{comment}<p>Two is here.</p><!-- end --><p>Two and a half.</p>"))
+    assert got == html_text.main_text(framed("<p>Two is here.</p><p>Two and a half.</p>"))
+
+
+def test_a_slash_does_not_close_a_script():
+    got = html_text.main_text(framed("<script src=a.js/>var hidden = 1;</script><style/>p{}</style><p>Two.</p>"))
+    assert got == html_text.main_text(framed("<p>Two.</p>")) and "hidden" not in got
+
+
+def test_unquoted_values_attributes_and_cut_off_tags():
+    assert html_text.main_text("<p class=a>b>c</p>") == "b>c"
+    assert html_text.main_text("<p title='a>b' data-x = \"c>d\" =e>f</p>") == "f"
+    assert html_text.main_text(framed("") + "<p class=\"never closed") == html_text.main_text(framed(""))
+
+
+COMMENTS = [
+    f'<div class="post-comments"><p>{LONG} first reader. {LONG}</p><p>{LONG} {LONG} second reader.</p></div>',
+    f'<div id="disqus_thread"><div class="c"><p>{LONG} first reader.</p></div></div>',
+    f'<div><div class="user-comment"><p>{LONG} first reader.</p></div><div class="user-comment"><p>{LONG} reader.</p></div></div>',
+    f'<article class="comment"><p>{LONG} first reader.</p></article><article class="comment"><p>{LONG} reader.</p></article>',
+    f'<section class="comments comment-list"><article class="comment"><h4>Ann</h4><p>{LONG} reader.</p></article></section>',
+]
+
+
+@pytest.mark.parametrize("comments", COMMENTS)
+@pytest.mark.parametrize("frame", ["div", "article", "main"])
+def test_comments_go_and_the_article_stays(comments, frame):
+    got = html_text.main_text(f"<body><{frame}><h1>Title</h1><p>{LONG} one.</p><p>{LONG} two.</p></{frame}>{comments}</body>")
+    assert "one." in got and "two." in got and "reader" not in got
+
+
+@pytest.mark.parametrize("name", ["content with-comments", "comments-open", "no-comments", "has-comments post"])
+def test_wrappers_that_merely_mention_comments_stay(name):
+    got = html_text.main_text(f'<body><div class="{name}"><p>{LONG} one.</p><p>{LONG} two.</p></div></body>')
+    assert "one." in got and "two." in got
+
+
+def test_a_page_of_comments_only_keeps_them():
+    assert "reader" in html_text.main_text(f'<body><div class="comments"><p>{LONG} reader.</p><p>{LONG} more.</p></div></body>')
+
+
+def random_tree(rng, depth=0):
+    """Markup of random nested elements with texts and links, and many equal parts."""
+    tag = rng.choice(("div", "section", "span", "p" if depth else "div"))
+    inner = []
+    for _ in range(rng.randrange(1, 5)):
+        kind = rng.random()
+        if kind < 0.35 and depth < 5:
+            inner.append(random_tree(rng, depth + 1))
+        elif kind < 0.5:
+            inner.append(f"<a href=x>{'l' * rng.choice((3, 10))}</a>")
+        else:
+            inner.append(rng.choice(("t" * 20, "t" * 20, "u" * rng.randrange(1, 90))))
+    return f"<{tag}>{''.join(inner)}</{tag}>"
+
+
+def test_densities_and_the_largest_sum_beside_a_plain_computation():
+    """Every node's density from its own subtree, sums of children, and the argmax with its ties."""
+    rng = random.Random(12)
+    for _ in range(150):
+        root, nodes = html_text.parse(f"<body>{random_tree(rng)}{random_tree(rng)}</body>")
+
+        def below(node):
+            """All elements under a node, and all characters without blanks, in links and in all."""
+            tags = links = chars = linked = 0
+            for x in node.parts:
+                if isinstance(x, str):
+                    chars += len("".join(x.split()))
+                else:
+                    t, k, c, w = below(x)
+                    tags, links, chars, linked = tags + t + 1, links + k, chars + c, linked + w
+            return (tags, links + 1, chars, chars) if node.tag == "a" else (tags, links, chars, linked)
+
+        body = next(n for n in nodes if n.tag == "body")
+        share = below(body)[3] / max(below(body)[2], 1)
+
+        def density(node):
+            tags, links, chars, linked = below(node)
+            if not chars:
+                return 0.0
+            plain, t = max(chars - linked, 1), max(tags, 1)
+            if not linked:
+                return chars / t
+            base = math.log(max(math.log(chars / plain * linked + share * chars + math.e), math.e))
+            return max(chars / t * math.log(max(chars / linked * t / max(links, 1), 1.0)) / base, 0.0)
+
+        want = {n: density(n) for n in nodes}
+        sums = {n: sum(want[x] for x in n.parts if not isinstance(x, str)) for n in nodes}
+        html_text.measure(root, nodes)
+        for n in nodes:
+            assert math.isclose(n.density, want[n], abs_tol=1e-9) and math.isclose(n.sum, sums[n], abs_tol=1e-9)
+        inside = [n for n in nodes if n.order >= body.order and below(n)[2]]
+        if inside:
+            depth = {n: 0 for n in nodes}
+            for n in nodes[1:]:
+                depth[n] = depth[n.parent] + 1
+            top = max(inside, key=lambda n: (n.sum, depth[n], -n.order))
+            assert html_text.best_node(inside) is top
