@@ -59,7 +59,7 @@ class Job:
     seed: int = 42
     validation_fraction: float = 0.15
     shards: int | None = None
-    rows_per_shard: int | None = None
+    rows_per_shard: int | None = 100_000
     vocab_size: int = 30_000
     label_vocab_path: str | None = None
     token_vocab_path: str | None = None

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from prepkit.operators.positions import global_position, names, order_hash
+from prepkit.operators.positions import order_hash
+from prepkit.operators.selection import rows_between
 
 TRAIN, VALIDATION = "train", "validation"
 HASH_DIGITS = 32
@@ -74,32 +73,12 @@ def split_hash(
 
 
 def head_n(df: DataFrame, key: str | Sequence[str], n: int | None) -> DataFrame:
-    """The first ``n`` rows in key order, null keys first; all rows if there are fewer or ``n`` is None.
+    """The first ``n`` rows in key order, missing keys first; all rows if there are fewer or ``n`` is None.
 
-    The key of row ``n`` is found on the key columns only; rows up to it are then filtered, not
-    shuffled. Of the rows that share that key, as many as are wanted stay.
+    The key of row ``n`` is found by counts over the key columns; rows up to it are then filtered, not
+    shuffled. Of the rows that share that key, the first by the hash of all columns stay.
     """
-    if n is None:
-        return df
-    if n < 1:
-        return df.limit(0)
-    keys = names(key)
-    placed = global_position(df.select(*keys), keys, out="__at")
-    edge = placed.where(F.col("__at") == n).drop("__at").first()
-    if edge is None:
-        return df
-    before, same = _before(keys, edge), reduce(and_, (F.col(k).eqNullSafe(F.lit(edge[k])) for k in keys))
-    left = n - df.select(*keys).where(before).count()
-    return df.where(before).unionByName(df.where(same).limit(left))
-
-
-def _before(keys: list[str], edge: Row) -> Column:
-    """Whether a row's keys come before those of ``edge``, column by column, nulls first."""
-    key, *rest = keys
-    value = F.col(key)
-    smaller = F.lit(False) if edge[key] is None else value.isNull() | (value < F.lit(edge[key]))
-    smaller = F.coalesce(smaller, F.lit(False))
-    return smaller | (value.eqNullSafe(F.lit(edge[key])) & _before(rest, edge)) if rest else smaller
+    return df if n is None else rows_between(df, key, 0, max(0, n))
 
 
 def head_per_split(

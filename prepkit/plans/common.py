@@ -15,7 +15,7 @@ from prepkit.operators.positions import shard_count
 from prepkit.operators.splits import TRAIN, VALIDATION, head_per_split, split_exact
 from prepkit.operators.tokens import EncoderSpec, build_vocab, json_spec, read_tokenizer, subword_vocab
 from prepkit.session import pin
-from prepkit.sources.scan import scan_split, union_splits
+from prepkit.sources.scan import scan_slice, union_splits
 
 
 def load_splits(spark: SparkSession, job: Job) -> DataFrame:
@@ -31,9 +31,9 @@ def load_splits(spark: SparkSession, job: Job) -> DataFrame:
     columns = job.inputs()
     read = {}
     for name, stored in wanted.items():
-        df = scan_split(
-            spark, job.dataset_name, stored, job.dataset_config_name, job.dataset_format, job.dataset_schema,
-            **job.dataset_options,
+        df = scan_slice(
+            spark, job.dataset_name, stored, job.key_column_name, job.dataset_config_name, job.dataset_format,
+            job.dataset_schema, **job.dataset_options,
         )
         read[name] = require_columns(df, columns).select(*dict.fromkeys(columns))
     merged = union_splits(read)

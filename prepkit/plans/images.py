@@ -26,20 +26,27 @@ def loaded_images(df: DataFrame, job: ImageClassJob | CaptionJob) -> DataFrame:
 
     Images are fetched and tried once; what is stored and shuffled later are compressed bytes.
     """
+    return pin(check_pixels(_contents(df, job, False), pixel_spec(job), "__content"), "images")
+
+
+def _contents(df: DataFrame, job: ImageClassJob | CaptionJob, store_fetched: bool) -> DataFrame:
     loaded = load_content(
         spread(df, [job.key_column_name]),
         job.image_column_name,
         "__content",
         timeout_s=job.requests_timeout,
-        store_fetched=False,
+        store_fetched=store_fetched,
         partitions=job.processing_num_workers,
     )
-    return pin(check_pixels(loaded.drop(job.image_column_name), pixel_spec(job), "__content"), "images")
+    return loaded.drop(job.image_column_name)
 
 
 def image_prepare(df: DataFrame, job: ImageClassJob | CaptionJob) -> DataFrame:
-    """Fetch, decode and normalise: replaces the image by ``pixel_values``, its shape, and ``error``."""
-    return to_pixels(loaded_images(df, job), pixel_spec(job), "__content").drop("__content")
+    """Fetch, decode and normalise: replaces the image by ``pixel_values``, its shape, and ``error``.
+
+    Nothing is shuffled between, so each image is decoded once; fetched bytes are stored.
+    """
+    return to_pixels(_contents(df, job, True), pixel_spec(job), "__content").drop("__content")
 
 
 def with_pixels(batched: DataFrame, job: ImageClassJob | CaptionJob) -> DataFrame:

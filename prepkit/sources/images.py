@@ -6,11 +6,14 @@ A decoded image is a struct ``height, width, channels, data`` with bytes row by
 from __future__ import annotations
 
 import struct
+import time
 import urllib.request
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from http.client import HTTPException
 from itertools import islice
+from threading import Lock
 
 import numpy as np
 import pandas as pd
@@ -20,22 +23,48 @@ from pyspark.sql import types as T
 
 from prepkit.functions.png import decode_png
 from prepkit.operators.maps import add_columns
-from prepkit.session import pin
+from prepkit.session import pin, small_side
 
 # How JPEG, GIF, BMP, TIFF and RIFF files begin.
 OTHER_FORMATS = (b"\xff\xd8\xff", b"GIF8", b"BM", b"II*\x00", b"MM\x00*", b"RIFF")
 
+#: Seconds of a whole request, bytes of a body, bytes read at a time, and rows that share a copy of a content.
+DEADLINE_S, MAX_BYTES, READ_BYTES, ROWS_PER_COPY = 30.0, 64 << 20, 1 << 16, 10_000
+
 open_url = urllib.request.urlopen
 
 IMAGE = "struct<height:int,width:int,channels:int,data:binary>"
 
 
+def _read(response, deadline: float, max_bytes: int) -> tuple[bytes | None, str | None]:
+    """The body of a response, as it arrives; None and a reason when it takes too long or too much room."""
+    take = getattr(response, "read1", None) or response.read
+    parts, size = [], 0
+    while block := take(READ_BYTES):
+        size += len(block)
+        if size > max_bytes:
+            return None, "fetch: body too large"
+        if time.monotonic() > deadline:
+            return None, "fetch: deadline"
+        parts.append(block)
+    return b"".join(parts), None
+
+
 def fetch(
-    df: DataFrame, url: str, timeout_s: float = 1.0, threads: int = 16, partitions: int | None = None
+    df: DataFrame,
+    url: str,
+    timeout_s: float = 1.0,
+    threads: int = 16,
+    partitions: int | None = None,
+    deadline_s: float = DEADLINE_S,
+    max_bytes: int = MAX_BYTES,
+    one_per_host: bool = False,
 ) -> DataFrame:
     """Add ``content`` and ``error``: the bytes behind each URL, or why there are none.
 
-    Rows are spread evenly, not by URL, so a URL shared by many rows does not pile up in one task.
+    ``timeout_s`` bounds each wait for the other side, ``deadline_s`` a whole request, ``max_bytes`` a body.
+    Rows are spread evenly, not by URL, so a URL shared by many rows does not pile up in one task. With
+    ``one_per_host`` a task has one open request to a host at a time.
     """
     if partitions:
         df = df.repartition(partitions)
@@ -45,23 +74,64 @@ def fetch(
         if address is None:
             return None, "no url"
         try:
+            deadline = time.monotonic() + deadline_s
             with opened(address, timeout=timeout_s) as response:
-                return response.read(), None
+                return _read(response, deadline, max_bytes)
         except (OSError, ValueError, HTTPException) as error:
             return None, f"fetch: {type(error).__name__}"
 
     def get_all(cells: Iterator[tuple]) -> Iterator[tuple]:
+        hosts: defaultdict[str, Lock] = defaultdict(Lock)
+
+        def get_alone(address: str | None) -> tuple[bytes | None, str | None]:
+            with hosts[host_name(address or "")]:
+                return get(address)
+
         # A few requests per thread at a time, so that few answers wait in memory.
         with ThreadPoolExecutor(threads) as pool:
             while part := [address for (address,) in islice(cells, 2 * threads)]:
-                yield from pool.map(get, part)
+                yield from pool.map(get_alone if one_per_host else get, part)
 
     return add_columns(df, [url], "content binary, error string", get_all)
 
 
+def host_name(address: str) -> str:
+    """What stands between the slashes of a URL, or nothing."""
+    return address.split("//", 1)[-1].split("/", 1)[0].lower() if "//" in address else ""
+
+
+def fetch_once(df: DataFrame, url: str, host_requests: int | None = None, **options) -> DataFrame:
+    """As ``fetch``, but each distinct URL is asked once and stored, whatever number of rows share it.
+
+    Content comes back to the rows by a join on the URL; a URL of many rows meets as many copies of its
+    content as their number asks for. With ``host_requests`` a host has at most so many open requests over
+    all tasks: its URLs go to so many tasks, each with one request to it at a time.
+    """
+    partitions = options.pop("partitions", None)
+    counts = pin(df.where(F.col(url).isNotNull()).groupBy(F.col(url).alias("__u")).agg(F.count(F.lit(1)).alias("__n")), "urls")
+    asked = counts
+    if host_requests:
+        host = F.lower(F.regexp_extract("__u", "//([^/]*)", 1))
+        asked = asked.withColumn("__h", host).withColumn("__part", F.pmod(F.xxhash64("__u"), F.lit(host_requests)))
+        keys = ("__h", "__part")
+        asked = asked.repartition(partitions, *keys) if partitions else asked.repartition(*keys)
+        options["one_per_host"] = True
+        partitions = None
+    found = pin(fetch(asked.select("__u", "__n"), "__u", partitions=partitions, **options), "fetched")
+    copies = F.ceil(F.col("__n") / F.lit(ROWS_PER_COPY)).cast("int")
+    hot = small_side(pin(counts.where(copies > 1).select(F.col("__u").alias("__hot"), copies.alias("__copies")), "hot"))
+    salted = df.join(hot, F.col(url) == F.col("__hot"), "left").withColumn(
+        "__salt", F.pmod(F.monotonically_increasing_id(), F.coalesce("__copies", F.lit(1))).cast("int")
+    )
+    spread = found.withColumn("__copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+    joined = salted.join(spread, (F.col(url) == F.col("__u")) & (F.col("__salt") == F.col("__copy")), "left")
+    error = F.when(F.col(url).isNull(), F.lit("no url")).otherwise(F.col("error"))
+    return joined.withColumn("error", error).drop("__u", "__n", "__copy", "__salt", "__hot", "__copies")
+
+
 def fetch_stored(df: DataFrame, url: str, **options) -> DataFrame:
-    """``fetch`` into the shared folder, so that later stages and retries never ask the network again."""
-    return pin(fetch(df, url, **options))
+    """``fetch_once`` into the shared folder, so that later stages and retries never ask the network again."""
+    return pin(fetch_once(df, url, **options))
 
 
 def default_decoder() -> Callable[[bytes], np.ndarray]:
@@ -190,7 +260,7 @@ def load_content(
     """
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.StringType):
-        fetched = (fetch_stored if store_fetched else fetch)(df, col, timeout_s=timeout_s, **options)
+        fetched = (fetch_stored if store_fetched else fetch_once)(df, col, timeout_s=timeout_s, **options)
         return fetched if out == "content" else fetched.withColumnRenamed("content", out)
     if isinstance(dtype, T.StructType) and "nChannels" in dtype.names:
         image, error = _from_source(F.col(col))

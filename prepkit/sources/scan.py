@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prepkit.operators.selection import rows_between
 from prepkit.session import file_exists
 
 WHOLE = "train"
@@ -55,6 +57,44 @@ def scan_split(
     raise ValueError(f"no split {split!r} under {root}")
 
 
+# name, name[begin:end], begin and end in rows or per cent, negative ones from the end; joined by +.
+_SLICE = re.compile(r"\s*([^\[\]+]+?)\s*(?:\[\s*(-?\d+\s*%?)?\s*:\s*(-?\d+\s*%?)?\s*\])?\s*")
+
+
+def _edge(text: str | None, rows: int, default: int) -> int:
+    """A row number from an edge in rows or per cent, inside the table."""
+    if text is None:
+        return default
+    number = int(text.rstrip("% "))
+    at = round(number * rows / 100) if text.endswith("%") else number
+    return min(max(at + rows if number < 0 else at, 0), rows)
+
+
+def scan_slice(
+    spark: SparkSession, path: str, split: str | None, key: str | Sequence[str], *args, **options
+) -> DataFrame:
+    """Parts of splits: ``train``, ``train[:10%]``, ``train[100:200]``, ``train[-5%:]+validation``.
+
+    Rows are counted in key order; per cents are rounded to the nearest row. Other arguments are those of
+    ``scan_split``.
+    """
+    if split is None:
+        return scan_split(spark, path, None, *args, **options)
+    merged = None
+    for text in split.split("+"):
+        found = _SLICE.fullmatch(text)
+        if not found:
+            raise ValueError(f"no split or slice: {text!r} in {split!r}")
+        name, begin, end = found.groups()
+        part = scan_split(spark, path, name, *args, **options)
+        if begin is not None or end is not None:
+            rows = part.count()
+            start, stop = _edge(begin, rows, 0), _edge(end, rows, rows)
+            part = rows_between(part, key, start, None if stop == rows and start < rows else stop)
+        merged = part if merged is None else merged.unionByName(part)
+    return merged
+
+
 def union_splits(splits: Mapping[str, DataFrame]) -> DataFrame:
     """All splits as one table with a ``split`` column, so one plan serves them all."""
     merged = None

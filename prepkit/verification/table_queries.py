@@ -59,6 +59,27 @@ def scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.scan_split(spark, path, "train").select("doc_id", "n_chars", "lang", "split")
 
 
+@query(
+    f"""{HASHED}, r as (select doc_id, n_chars, split, row_number() over (partition by split order by doc_id) as rn,
+    count(*) over (partition by split) as n from d)
+    select 'first' as part, doc_id, n_chars, split from r where split = 'train' and rn <= round_even(n * 10 / 100.0, 0)
+    union all select 'inner', doc_id, n_chars, split from r where split = 'train' and rn between 101 and 200
+    or split = 'validation' and rn > n - 5
+    union all select 'last', doc_id, n_chars, split from r where split = 'train' and rn > n - round_even(n * 25 / 100.0, 0)
+    or split = 'validation'"""
+)
+def scan_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices of stored splits, in rows and per cent, from both ends."""
+    path = new_path(spark, "slices")
+    split_documents(spark, sf_dir).write.partitionBy("split").parquet(path)
+    named = {"first": "train[:10%]", "inner": "train[100:200] + validation[-5:]", "last": "train[-25%:]+validation"}
+    parts = [
+        scan.scan_slice(spark, path, text, "doc_id").select(F.lit(name).alias("part"), "doc_id", "n_chars", "split")
+        for name, text in named.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(
     """select doc_id, source as origin, 'train' as split from documents where lang = 'en'
     union all select doc_id, source, 'validation' from documents where lang <> 'en'"""

@@ -194,3 +194,65 @@ def test_large_results_leave_in_small_batches(spark):
     assert got.where("long <> repeat('x', 1000) or n <> 100").count() == 0
     assert [r["id"] for r in got.collect()] == list(range(40))
     assert add_columns(df.limit(0), ["text"], "long string, n int", grow).count() == 0
+
+
+def test_dripping_and_endless_bodies_are_given_up(spark, monkeypatch):
+    class Body:
+        def __init__(self, block, wait):
+            self.block, self.wait = block, wait
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            return False
+
+        def read1(self, n):
+            import time
+
+            time.sleep(self.wait)
+            return self.block
+
+    def opened(address, timeout):
+        return Body(b"x", 0.01) if "drip" in address else Body(b"x" * 60_000, 0)
+
+    monkeypatch.setattr(images, "open_url", opened)
+    df = spark.createDataFrame([(0, "http://a/drip"), (1, "http://b/endless")], "id int, url string")
+    start = time.monotonic()
+    got = {r["id"]: (r["content"], r["error"]) for r in images.fetch(df, "url", deadline_s=0.5, max_bytes=10**6).collect()}
+    assert got == {0: (None, "fetch: deadline"), 1: (None, "fetch: body too large")}
+    assert time.monotonic() - start < 20
+
+
+@pytest.mark.parametrize("host_requests", [None, 2])
+def test_a_shared_url_is_asked_once(spark, monkeypatch, tmp_path, host_requests):
+    """A third of all rows share a URL; every request leaves a file behind."""
+    import io
+
+    folder = str(tmp_path)
+
+    def opened(address, timeout):
+        import uuid
+
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as handle:
+            handle.write(address)
+        return io.BytesIO(address.encode())
+
+    monkeypatch.setattr(images, "open_url", opened)
+    monkeypatch.setattr(images, "ROWS_PER_COPY", 7)
+    urls = [None if k % 10 == 9 else "http://h/hot" if k % 3 == 0 else f"http://h/{k // 2}" for k in range(120)]
+    df = spark.createDataFrame(list(enumerate(urls)), "id int, url string")
+    got = {r["id"]: (r["content"], r["error"]) for r in images.fetch_once(df, "url", host_requests=host_requests).collect()}
+    assert got == {k: (None, "no url") if u is None else (u.encode(), None) for k, u in enumerate(urls)}
+    asked = sorted(p.read_text() for p in tmp_path.iterdir())
+    assert asked == sorted({u for u in urls if u})
+
+
+def test_an_image_is_decoded_once_where_nothing_is_shuffled(spark, tmp_path):
+    from prepkit.config import ImageClassJob
+    from prepkit.plans.images import image_prepare
+
+    df = spark.createDataFrame([(1, encode_png(RGB), "a")], "id int, image binary, label string")
+    job = ImageClassJob(key_column_name="id", image_column_name="image", label_column_name="label")
+    plan = image_prepare(df, job)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") + plan.count("MapInArrow") + plan.count("ArrowEvalPython") == 1

@@ -1,12 +1,14 @@
 import hashlib
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from prepkit.operators import positions, splits
+from prepkit.operators import positions, selection, splits
 from prepkit.operators.positions import global_position
 from prepkit.operators.splits import boundary_hash, head_n, head_per_split, split_exact, split_hash
+from prepkit.sources import scan
 
 
 def digest(key, seed=42):
@@ -71,6 +73,7 @@ def test_head_of_shared_and_missing_keys(spark, monkeypatch):
     df = spark.createDataFrame(rows, "k int, t string").repartition(5)
     for size in (250_000, 10):
         monkeypatch.setattr(positions, "RANGE_ROWS", size)
+        monkeypatch.setattr(selection, "FEW", size)
         for n in (0, 1, 2, 5, 50, 92, 100):
             got = sorted(((-1 if r["k"] is None else r["k"]) for r in head_n(df, "k", n).collect()))
             assert got == sorted(-1 if k is None else k for k, _ in rows)[:n]
@@ -131,3 +134,68 @@ def test_positions_of_text_keys(spark):
     df = spark.range(100).select(F.md5(F.col("id").cast("string")).alias("name"))
     rows = global_position(df, "name").orderBy("position").collect()
     assert [r["name"] for r in rows] == sorted(r["name"] for r in rows)
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: [(v is not None, v) for v in r])
+
+
+def test_keys_are_found_by_narrowing(spark, monkeypatch):
+    """Two columns with missing values, many ties, few bounds a pass, and passes until one key is left."""
+    rng = random.Random(3)
+    rows = [(rng.choice((None, 1, 2, 2, 2, 7)), rng.choice((None, "a", "b", "\u00e9"))) for _ in range(150)]
+    df = spark.createDataFrame(rows, "k int, t string").repartition(3)
+    want = ordered(rows)
+    monkeypatch.setattr(selection, "BOUNDS", 3)
+    monkeypatch.setattr(selection, "FEW", 0)
+    for n in (1, 2, 40, 75, 149, 150):
+        assert tuple(selection.key_at(df, ["k", "t"], n)) == want[n - 1]
+    assert selection.key_at(df, ["k", "t"], 151) is None and selection.key_at(df, ["k", "t"], 0) is None
+    assert selection.key_at(df.limit(0), "k", 1) is None
+
+
+def test_rows_between_split_a_tie_the_same_way(spark):
+    rows = [(i // 10, f"t{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, t string")
+    whole = {r["t"] for r in df.collect()}
+    cuts = [0, 3, 7, 25, 25, 48, 60]
+    parts = []
+    for parts_count in (1, 5):
+        shuffled = df.repartition(parts_count)
+        got = [{r["t"] for r in selection.rows_between(shuffled, "k", a, b).collect()} for a, b in zip(cuts, cuts[1:], strict=False)]
+        assert [len(g) for g in got] == [b - a for a, b in zip(cuts, cuts[1:], strict=False)]
+        assert set().union(*got) == whole
+        parts.append(got)
+    assert parts[0] == parts[1]
+    assert selection.rows_between(df, "k", 55, None).count() == 5 and selection.rows_between(df, "k", 60, None).count() == 0
+    assert selection.rows_between(df, "k", 70, 80).count() == 0 and selection.rows_between(df, "k", 5, 4).count() == 0
+
+
+def test_head_shuffles_counts_only(spark):
+    """The key of row n comes from one grouped pass a time; the rows are filtered where they lie."""
+    df = spark.range(5000).repartition(4).withColumn("text", F.repeat(F.lit("x"), 100))
+    plan = head_n(df, "id", 100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "RepartitionByExpression" not in plan
+    assert head_n(df, "id", 100).agg(F.max("id")).first()[0] == 99
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("train", range(20)), ("train[:10%]", range(2)), ("train[15:]", range(15, 20)), ("train[-3:]", range(17, 20)),
+        ("train[ 2 : 50% ]", range(2, 10)), ("train[:]", range(20)), ("train[5:5]", ()), ("train[30:40]", ()),
+        ("train[:3]+train[-2:]", (0, 1, 2, 18, 19)), ("train[:-90%] + test", (0, 1, 100, 101)),
+    ],
+)
+def test_slices(spark, tmp_path, text, want):
+    spark.range(20).withColumn("split", F.lit("train")).unionByName(
+        spark.range(100, 102).withColumn("split", F.lit("test"))
+    ).write.partitionBy("split").parquet(str(tmp_path / "d"))
+    got = scan.scan_slice(spark, str(tmp_path / "d"), text, "id").collect()
+    assert sorted(r["id"] for r in got) == list(want)
+
+
+@pytest.mark.parametrize("text", ["train[1]", "train[1:2", "[1:2]", "train[a:b]", "train[1:2]x", ""])
+def test_bad_slices_are_refused(spark, tmp_path, text):
+    with pytest.raises(ValueError, match="slice"):
+        scan.scan_slice(spark, str(tmp_path), text, "id")

@@ -237,3 +237,104 @@ def test_piece_counts_weigh_words(spark):
     df = rows_of(spark, ["abab ab abab", "cab"])
     got = {r["token"]: r["count"] for r in ops.count_tokens(df, "text", 2).collect()}
     assert got == {"ab": 5, "ca": 1, "b": 1}
+
+
+def spelled(word, vocab, longest):
+    """Greedy longest match in plain Python."""
+    if len(word) > 100:
+        return [UNKNOWN]
+    ids, at = [], 0
+    while at < len(word):
+        for n in range(min(longest, len(word) - at), 0, -1):
+            piece = ("##" if at else "") + word[at : at + n]
+            if piece in vocab:
+                ids.append(vocab[piece])
+                at += n
+                break
+        else:
+            return [UNKNOWN]
+    return ids
+
+
+@pytest.mark.parametrize("limit", [100_000, 1])
+def test_subwords_are_the_longest_matches(spark, monkeypatch, limit):
+    monkeypatch.setattr(lookup, "LITERAL_ROWS", limit)
+    rng = random.Random(limit)
+    texts = [" ".join("".join(rng.choices("abcé", k=rng.randrange(1, 9))) for _ in range(rng.randrange(12))) for _ in range(60)]
+    texts += [None, "", "abc" * 40, "q", "##ab ab##", "a" * 100, "a" * 101]
+    df = rows_of(spark, texts)
+    vocab = ops.subword_vocab(df, "text", 60, 4)
+    held = {r["token"]: r["id"] for r in vocab.collect()}
+    assert len(held) == 60 and sorted(held.values()) == list(range(4, 64))
+    held.pop("b", None)
+    kept = vocab.where("token <> 'b'")
+    coded = ops.encode(df, "text", EncoderSpec("subword", width=4), kept, word_ids="w")
+    for text, ids, at in zip(texts, column(coded, "input_ids"), column(coded, "w"), strict=True):
+        want = None if text is None else [spelled(w, held, 4) for w in text.split()]
+        assert ids == (None if want is None else [i for p in want for i in p])
+        assert at == (None if want is None else [k for k, p in enumerate(want) for _ in p])
+
+
+def test_subwords_of_word_lists_and_limits(spark):
+    vocab = vocab_of(spark, "a", "b", "##b", "##c", "ab")
+    df = rows_of(spark, [["abc", "", None, "x", "b"], [], None], "array<string>")
+    coded = ops.encode(df, "text", EncoderSpec("subword", width=2), vocab, word_ids="w")
+    assert column(coded, "input_ids") == [[8, 7, UNKNOWN, 5], [], None]
+    assert column(coded, "w") == [[0, 0, 3, 4], [], None]
+    cut = ops.encode(df, "text", EncoderSpec("subword", width=2, max_length=4, specials=True), vocab, word_ids="w")
+    assert column(cut, "input_ids") == [[START, 8, 7, END], [START, END], None]
+    assert column(cut, "w") == [[None, 0, 0, None], [None, None], None]
+
+
+def test_single_characters_come_first_in_a_subword_vocabulary(spark):
+    df = rows_of(spark, ["aab aab aab c"])
+    got = {r["token"]: r["id"] for r in ops.subword_vocab(df, "text", 6, 3).collect()}
+    assert sorted(got, key=got.get) == ["##a", "##b", "a", "c", "##ab", "aa"]
+
+
+def test_subwords_plan_has_no_python(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "LITERAL_ROWS", 1)
+    df = rows_of(spark, ["ab abc", "c"])
+    coded = ops.encode(df, "text", EncoderSpec("subword", width=2), vocab_of(spark, "a", "##b", "##c", "c"))
+    assert not any(w in coded._jdf.queryExecution().executedPlan().toString() for w in ("Python", "Arrow", "Pandas"))
+
+
+@pytest.mark.parametrize("limit", [100_000, 1])
+def test_an_entry_held_twice_is_refused(spark, monkeypatch, limit):
+    monkeypatch.setattr(lookup, "LITERAL_ROWS", limit)
+    df = spark.createDataFrame([(1, ["a", "b"])], "k int, t array<string>")
+    with pytest.raises((ValueError, PySparkException)):
+        lookup.map_array(df, "t", vocab_of(spark, "a", "b", "a"), "token", "id", "ids").collect()
+
+
+def test_long_dictionaries_shuffle_rows_and_distinct_tokens_only(spark):
+    """Above the step that lists tokens, an aggregate makes them distinct before anything is shuffled."""
+    df = spark.range(2000).select("id", F.array_repeat(F.lit("the"), 50).alias("t"))
+    got = lookup.packed_lookup(df, "t", vocab_of(spark, "the", "a"), "token", "id", "ids")
+    lines = got._jdf.queryExecution().sparkPlan().toString().splitlines()
+    names = [line.lstrip(" :+-*").split("(")[0].split(" ")[0] for line in lines]
+    depth = [len(line) - len(line.lstrip(" :+-*")) for line in lines]
+    place = names.index("Generate")
+    assert names.count("Generate") == 1
+    above, at = [], depth[place]
+    for k in range(place - 1, -1, -1):
+        if depth[k] < at:
+            above.append(names[k])
+            at = depth[k]
+    assert "HashAggregate" in above
+    first = above.index("HashAggregate")
+    assert not {"Exchange", "RepartitionByExpression", "SortMergeJoin"} & set(above[:first])
+    assert got.where("ids = array_repeat(4, 50)").count() == 2000
+
+
+def test_copies_of_an_entry_follow_the_chunks(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "CHUNKS_PER_COPY", 2)
+    df = spark.range(1500).select("id", F.array(F.lit("the"), F.concat(F.lit("w"), F.col("id") % 7)).alias("t"))
+    got = lookup.packed_lookup(df, "t", vocab_of(spark, "the", "w3"), "token", "id", "ids").collect()
+    assert len(got) == 1500 and all(r["ids"] == [4, 5 if r["id"] % 7 == 3 else None] for r in got)
+
+
+def test_full_vocabulary_is_numbered_as_the_capped_one(spark):
+    df = rows_of(spark, ["b a b", "c a d e", None, ""])
+    full = {r["token"]: r["id"] for r in ops.build_full_vocab(df, "text").collect()}
+    assert full == {r["token"]: r["id"] for r in ops.build_vocab(df, "text", 100).collect()}
