@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from prepkit.session import pin_ordered
+from prepkit.session import pin, pin_ordered
 
 ROLES = ("system", "user", "assistant")
 #: State 2 r begins a turn of role r, state 2 r + 1 continues it.
@@ -124,7 +124,7 @@ def fit(lines: DataFrame) -> Model:
             rows.append({"what": 6, "a": first, "b": last, "n": k, "key": name, "task": task})
         yield pa.RecordBatch.from_pylist(rows, schema=_COUNTS)
 
-    got = lines.mapInArrow(count, "what int, a int, b int, n long, key string, task int")
+    got = pin(lines.mapInArrow(count, "what int, a int, b int, n long, key string, task int"), "counts")
     # One row per feature value and state, and two per task.
     sums = got.where("what < 6").groupBy("what", "a", "b").agg(F.sum("n").alias("n")).collect()
     values = [np.ones((STATES, n)) for n in SHAPE]
@@ -302,7 +302,9 @@ def _turns(model: Model, key, held: list, place: tuple | None) -> Iterator[dict]
     cut = [k for k, s in enumerate(states) if k == 0 or s % 2 == 0]
     for a, b in zip(cut, [*cut[1:], len(states)], strict=True):
         begins = states[a] % 2 == 0 or opens and a == 0
-        first = split_marker(held[a][0])[1] if begins else held[a][0]
+        mark, rest = split_marker(held[a][0])
+        # Only the mark of the role that was decoded; a turn's own text may begin like another's mark.
+        first = rest if begins and mark == states[a] // 2 + 1 else held[a][0]
         yield {
             "key": key, "first_line": offset + a, "n_lines": b - a, "role": ROLES[states[a] // 2],
             "text": "\n".join([first, *(t for t, _ in held[a + 1 : b])]), "begins": begins,

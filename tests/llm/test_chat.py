@@ -6,8 +6,11 @@ import numpy as np
 import pytest
 from prepkit.llm import chat
 from prepkit.llm.queries import transcripts
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.01"
+#: Share of lines of unmarked turns whose role is found.
+UNMARKED = 0.75
 
 
 def a_model(seed=0):
@@ -87,6 +90,41 @@ def test_held_out_roles(spark):
     assert sum(got[k] == want[k] for k in want) > 0.9 * len(want)
 
 
+def unmarked(lines):
+    """Places of the lines of turns that have no mark."""
+    rows = lines.withColumn("bare", F.pmod(F.xxhash64("conv_id", "turn"), F.lit(5)) == 0).collect()
+    out, count = set(), {}
+    for r in sorted(rows, key=lambda r: (r["conv_id"], r["turn"], r["part"])):
+        k = count[r["conv_id"]] = count.get(r["conv_id"], -1) + 1
+        if r["bare"]:
+            out.add((r["conv_id"], k))
+    return out
+
+
+def test_held_out_roles_of_turns_without_marks(spark):
+    """Fitted on one half by a hash of the id, decoded on the other; turns without a mark are told by what stands around."""
+    half = lambda k: lines_of(spark, f"pmod(hash(conv_id), 2) = {k}")
+    model = chat.fit(chat.ordered(half(0), "conv_id", ["turn", "part"], "line", "state"))
+    held = half(1)
+    got = roles(chat.parse(chat.ordered(held, "conv_id", ["turn", "part"], "line"), model))
+    want, bare = truth(held), unmarked(held)
+    right = [got[k] == want[k] for k in bare]
+    commonest = max(sum(want[k] == r for k in bare) for r in chat.ROLES)
+    print(f"{sum(right)} of {len(right)} lines of unmarked turns, commonest role {commonest}")
+    assert len(right) > 100 and sum(right) > max(UNMARKED * len(right), commonest)
+
+
+def test_only_the_mark_of_the_decoded_role_is_taken_off(spark):
+    """A user's turn that begins like another role's mark keeps its words."""
+    lines = lines_of(spark, "conv_id < 40")
+    model = chat.fit(chat.ordered(lines, "conv_id", ["turn", "part"], "line", "state"))
+    for turn in chat._turns(model, 1, [("User: a question", None), ("Assistant: Context: this is so", None)], None):
+        assert turn["text"] in ("a question", "Context: this is so")
+    sure = chat.Model(np.array([-9.0] * 2 + [0.0] + [-9.0] * (chat.STATES - 3)), model.step, model.values)
+    first = next(iter(chat._turns(sure._replace(values=tuple(0 * v for v in model.values)), 1, [("Context: mine", None)], None)))
+    assert first["role"] == "user" and first["text"] == "Context: mine"
+
+
 def test_one_long_transcript_over_many_tasks(spark):
     """All lines as one transcript: parts on all tasks give what one task gives."""
     one = lines_of(spark, "conv_id < 60").selectExpr("7 as conv_id", "conv_id * 100 + turn as turn", "part", "line", "state")
