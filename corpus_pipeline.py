@@ -4,6 +4,11 @@ Quality rules drop documents, the Jaccard join leaves one of each class, benchma
 data are taken out of the texts, and the rest is packed. All stages but the last return the columns of
 ``documents``. ``run`` stores each stage in the shared folder and reads it again, so that a lost executor
 costs no more than a part of one stage.
+
+Defined cases: an empty table gives no rows; a null, empty or very short text is rejected by the quality rules;
+texts of any length are handled whole; equal texts under different ids are one class, of which the smallest id
+stays, and rows equal in id and text stay once; a null id is the smallest; a host or an item may be null; other
+columns go through all stages but the last, whatever their names (but ``_kept``).
 """
 
 from __future__ import annotations
