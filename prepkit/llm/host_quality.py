@@ -142,4 +142,6 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> Data
     with temporary_tables(docs.sparkSession) as kept:
         verdicts = pin(host_verdicts(pin(measure(docs, text, host), "measures")), "verdicts")
         kept.append(verdicts)
-    return _judged(measure(docs, text, host, docs.columns), verdicts).where("kept").select("row.*")
+    # A filter is not moved below a column that depends on the place of a row, so no measure is taken twice.
+    placed = measure(docs, text, host, docs.columns).withColumn("place", F.monotonically_increasing_id())
+    return _judged(placed, verdicts).where(F.col("kept") & (F.col("place") >= 0)).select("row.*")

@@ -10,7 +10,7 @@ import test_jaccard
 import test_pii
 import test_quality
 import test_text_search
-from helpers import SCHEMA, words
+from helpers import SCHEMA, empty, table, with_clashes, words
 from tokenizers import Tokenizer
 
 
@@ -103,3 +103,34 @@ def personal(rows, items):
         text = "".join(parts) + text[at:]
         out.append((r[0], text, r[2], r[3], len(text)))
     return out
+
+
+def test_empty_table(spark, folder):
+    path, _, _ = folder
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty(spark), path).count() == 0, name
+
+
+def test_clashing_columns_ties_and_null_ids(spark, folder):
+    """Columns of any name go through; of equal texts one row stays, with the smallest id, a null first."""
+    path, _, items = folder
+    rng = random.Random(4)
+    one, two = (" ".join(words(rng, 40, 10**6)) for _ in range(2))
+    docs = with_clashes(table(spark, [one, one, two, two, two], [None, 5, 9, 7, 7], source=None))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, path)
+        assert out.columns == docs.columns, name
+        docs = spark.createDataFrame(out.collect(), out.schema)
+    assert sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=repr) == [(7, two), (None, one)]
+
+
+def test_a_very_long_text_goes_through(spark, folder):
+    path, _, items = folder
+    rng = random.Random(5)
+    long = " ".join(words(rng, 700_000, 10**7))
+    leaked = f"{long[: 2_000_000]} {items[0][1]} {long[2_000_000:]}"
+    docs = table(spark, [leaked, " ".join(words(rng, 30, 10**6))])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, path).collect(), docs.schema)
+    left = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert set(left) == {0, 1} and items[0][1] not in left[0] and len(left[0]) > 4_000_000

@@ -106,6 +106,12 @@ def test_empty_and_repeated(spark, hosts):
     assert Q.keep_good(twice).count() == 2 * Q.keep_good(hosts).count()
 
 
+def test_measures_are_taken_once_where_rows_are_kept(hosts):
+    """The filter stays above the measures; below them it would repeat them for each of its parts."""
+    plan = Q.keep_good(hosts)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 2 and not re.search("Python|Arrow|Pandas", plan)
+
+
 def test_no_python_in_the_plan(hosts):
     plan = Q.measure(hosts)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
