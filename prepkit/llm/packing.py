@@ -14,6 +14,7 @@ key are separate documents; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import os
 import zlib
 from operator import itemgetter
 from pathlib import Path
@@ -28,7 +29,7 @@ from prepkit.llm.exchange import is_in
 
 MAX_LENGTH, END_ID = 2048, 1
 #: Words remembered by a task (and eight times as many ids); beyond, remembering starts anew. Words in one call.
-REMEMBERED, AT_ONCE = 400_000, 20_000
+REMEMBERED, AT_ONCE = 400_000, 1000
 
 
 def pieces(total: int, longest: int = MAX_LENGTH) -> list[int]:
@@ -46,23 +47,38 @@ class WordIds:
     lower case, as the tokenizer does. Words with an angle bracket may hold special strings and stay whole.
     """
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, ends: np.ndarray | None = None):
         from tokenizers import Tokenizer
 
+        # Spark already runs one task per core.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(spec)
+        self.ends = word_ends(self.tokenizer) if ends is None else ends
         self._reset()
 
     def _reset(self) -> None:
         self.known, self.number, self.table = np.zeros(0, np.uint64), np.zeros(0, np.int64), _Table()
 
-    def _encode(self, texts: list[str]) -> None:
-        for at in range(0, len(texts), AT_ONCE):
-            some = texts[at : at + AT_ONCE]
-            starts = np.cumsum([0] + [len(w) + 1 for w in some[:-1]])
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            where = np.fromiter(map(itemgetter(0), found.offsets), np.int64, len(found.offsets))
-            size = np.bincount(np.searchsorted(starts, where, "right") - 1, minlength=len(some))
-            self.table.add(np.array(found.ids, np.uint32), size)
+    def _encode(self, texts: list[str], letters: bool) -> None:
+        """Add the ids of words; those of ``letters`` are one piece of the pattern each, so that marked ids end them."""
+        coded = [self._one_call(texts[at : at + AT_ONCE], letters) for at in range(0, len(texts), AT_ONCE)]
+        if coded:
+            self.table.add(*(np.concatenate(x) for x in zip(*coded, strict=True)))
+
+    def _one_call(self, some: list[str], letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after another, and how many each has."""
+        text = " ".join(some)
+        if letters:
+            [found] = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(found.ids, np.uint32)
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(some):
+                return ids, np.diff(last, prepend=-1)
+        starts = np.cumsum([0] + [len(w) + 1 for w in some[:-1]])
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        where = np.fromiter(map(itemgetter(0), found.offsets), np.int64, len(found.offsets))
+        size = np.bincount(np.searchsorted(starts, where, "right") - 1, minlength=len(some))
+        return np.array(found.ids, np.uint32), size
 
     def rows(self, chunk: W.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows of a chunk, and where each row's begin among them."""
@@ -80,18 +96,32 @@ class WordIds:
         number[old] = self.number[np.searchsorted(self.known, each[old])]
         fresh = np.flatnonzero(~old)
         if len(fresh):
-            number[fresh] = len(self.table.size) + np.arange(len(fresh))
             raw, own = chunk.data.tobytes(), first[fresh]
             texts = [raw[a:b].decode() for a, b in zip(start[own].tolist(), end[own].tolist(), strict=True)]
-            self._encode([t.lower() if p else t for t, p in zip(texts, plain[own].tolist(), strict=True)])
-            known, numbers = np.concatenate((self.known, each[fresh])), np.concatenate((self.number, number[fresh]))
-            order = np.argsort(known, kind="stable")
-            self.known, self.number = known[order], numbers[order]
+            texts = [t.lower() if p else t for t, p in zip(texts, plain[own].tolist(), strict=True)]
+            letters = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+            for some, flag in ((np.flatnonzero(letters), True), (np.flatnonzero(~letters), False)):
+                number[fresh[some]] = len(self.table.size) + np.arange(len(some))
+                self._encode([texts[i] for i in some.tolist()], flag)
+            # Both are in order.
+            at = np.searchsorted(self.known, each[fresh])
+            self.known, self.number = np.insert(self.known, at, each[fresh]), np.insert(self.number, at, number[fresh])
         which = number[which]
         sizes = np.concatenate(([0], np.cumsum(self.table.size[which])))
         return self.table.take(which), sizes[np.searchsorted(filled, 2 * found.first)]
 
 
+def word_ends(tokenizer) -> np.ndarray:
+    """Which ids end a piece of the pattern, as their token has the suffix of the model; none if it has no suffix."""
+    known = tokenizer.get_vocab()
+    ends = np.zeros(max(known.values(), default=0) + 1, bool)
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    added = tokenizer.get_added_tokens_decoder().values()
+    if suffix and all("<" in t.content for t in added):
+        ends[[i for t, i in tokenizer.get_vocab(False).items() if t.endswith(suffix)]] = True
+    return ends
+
+
 _STOPS, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
 _STOPS[np.frombuffer(b".,;:!?", np.uint8)] = True
 _ALNUM[np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", np.uint8)] = True
@@ -158,8 +188,12 @@ def pack(
     if len(spec) > 64 << 20:
         raise ValueError("a tokenizer file of over 64 MB")
 
+    from tokenizers import Tokenizer
+
+    ends = word_ends(Tokenizer.from_str(spec))
+
     def cut(batches):
-        encoder = WordIds(spec)
+        encoder = WordIds(spec, ends)
         for batch in batches:
             for chunk in W.chunks(batch.column(1)):
                 flat, begin = encoder.rows(chunk)

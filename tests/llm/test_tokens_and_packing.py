@@ -117,3 +117,26 @@ def test_buckets_are_folders_of_one_length(spark, tmp_path):
     packing.write_buckets(packing.pack(table(spark, ["a b c d e", "f g h", None]), WORDS), str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert all(r["length"] == 2 ** r["bucket"] for r in back.collect())
+
+
+def test_words_of_letters_are_encoded_without_places(monkeypatch):
+    class NoPlaces:
+        def __getattr__(self, name):
+            assert name != "encode", "places of ids were asked for"
+            return getattr(LIBRARY, name)
+
+    encoder = packing.WordIds(open(WORDS, encoding="utf-8").read())
+    encoder.tokenizer = NoPlaces()
+    texts = ["Several plain words and \u00e9t\u00e9 \u6f22\u5b57", None, "unbelievably longwordsthatsplit into pieces"]
+    for chunk in W.chunks(pa.array(texts)):
+        flat, begin = encoder.rows(chunk)
+        for r, text in enumerate(texts):
+            assert flat[begin[r] : begin[r + 1]].tolist() == LIBRARY.encode(text or "", add_special_tokens=False).ids
+
+
+def test_letters_that_come_apart_in_lower_case():
+    texts = ["\u0130stanbul \u0130 one", "abc \u0130", "\u212a \u1e9e J\u030c"]
+    for chunk in W.chunks(pa.array(texts)):
+        flat, begin = ENCODER.rows(chunk)
+        for r, text in enumerate(texts):
+            assert flat[begin[r] : begin[r + 1]].tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
