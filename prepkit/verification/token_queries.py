@@ -100,7 +100,7 @@ def encode_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way taken for vocabularies too long for a literal."""
     docs = texts(spark, sf_dir)
     listed = docs.select("doc_id", words("text").alias("tokens"))
-    coded = packed_lookup(listed, "tokens", vocab_of(docs), "token", "id", "found")
+    coded = packed_lookup(listed, "tokens", vocab_of(docs), "token", "id", "found", keep=False)
     ids = F.transform("found", lambda i: F.coalesce(i, F.lit(ops.UNKNOWN)))
     return coded.select("doc_id", text_of(ids).alias("ids"))
 
@@ -114,7 +114,8 @@ def encode_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full vocabulary, by the way taken for dictionaries of any length."""
     docs = texts(spark, sf_dir)
     listed = docs.select("doc_id", words("text").alias("tokens"))
-    coded = packed_lookup(listed, "tokens", pin(ops.build_full_vocab(docs, "text"), "vocab"), "token", "id", "ids")
+    vocab = pin(ops.build_full_vocab(docs, "text"), "vocab")
+    coded = packed_lookup(listed, "tokens", vocab, "token", "id", "ids", keep=False)
     return coded.select("doc_id", text_of("ids").alias("ids"))
 
 

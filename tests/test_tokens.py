@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -7,10 +8,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from prepkit.functions import lookup
+from prepkit.functions.arrow import small_parts
 from prepkit.functions.text import to_text, words
+from prepkit.operators import subwords
 from prepkit.operators import tokens as ops
 from prepkit.operators.labels import label_vocab
 from prepkit.operators.tokens import END, START, UNKNOWN, EncoderSpec
+from prepkit.session import pin
 
 
 def rows_of(spark, values, kind="string"):
@@ -338,3 +342,38 @@ def test_full_vocabulary_is_numbered_as_the_capped_one(spark):
     df = rows_of(spark, ["b a b", "c a d e", None, ""])
     full = {r["token"]: r["id"] for r in ops.build_full_vocab(df, "text").collect()}
     assert full == {r["token"]: r["id"] for r in ops.build_vocab(df, "text", 100).collect()}
+
+
+def test_a_row_of_any_size_is_a_part():
+    parts = list(small_parts(pa.array(["x" * 5000, "y", None, "z" * 5000, "", "q"]), 1000))
+    assert [x for p in parts for x in p.to_pylist()] == ["x" * 5000, "y", None, "z" * 5000, "", "q"]
+    assert all(len(p) == 1 or p.nbytes <= 1000 for p in parts)
+
+
+def test_tokens_are_stored_as_places_in_their_chunk(spark, monkeypatch):
+    """The rows of an Arrow batch make one chunk, so a token of all rows meets the dictionary once for them."""
+    stored = []
+    monkeypatch.setattr(lookup, "pin", lambda df, name: stored.append(pin(df, name)) or stored[-1])
+    words = F.array(F.lit("the"), F.concat(F.lit("w"), F.col("id") % 7), F.lit(None))
+    df = spark.range(0, 3000, 1, 2).select("id", F.when(F.col("id") % 5 > 0, words).alias("t"))
+    got = lookup.packed_lookup(df, "t", vocab_of(spark, "the", "w3"), "token", "id", "ids", keep=False)
+    assert got.columns == ["id", "ids"]
+    want = {i: [4, 5 if i % 7 == 3 else None, None] if i % 5 else None for i in range(3000)}
+    assert {r["id"]: r["ids"] for r in got.collect()} == want
+    assert stored[0].agg(F.sum(F.size("entries"))).first()[0] <= 6 * 8
+
+
+@pytest.mark.parametrize("limit", [100_000, 1])
+def test_spelling_by_literal_and_by_join(spark, monkeypatch, limit):
+    monkeypatch.setattr(lookup, "LITERAL_ROWS", limit)
+    vocab = vocab_of(spark, "a", "ab", "##b", "##bc", "##c", "x", "é", "##漢")
+    spelled = {"abc": [5, 8], "a": [4], "abbcb": [5, 7, 6], "q": [1], "xq": [1], "": [], "é漢": [10, 11], "a" + "b" * 99: [5] + [6] * 98, "a" + "b" * 100: [1]}
+    df = spark.createDataFrame([(w,) for w in [*spelled, None]], "w string")
+    got = {r["word"]: r["ids"] for r in subwords.spell(df, "w", vocab, 3, 1).collect()}
+    assert got == spelled
+
+
+def test_short_vocabularies_spell_words_without_a_shuffle(spark):
+    df = spark.range(9).select(F.concat(F.lit("a"), F.col("id")).alias("w"))
+    plan = subwords.spell(df, "w", vocab_of(spark, "a", "##1"), 3, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
