@@ -195,6 +195,9 @@ def remove_leaks(
         for batch in batches:
             for chunk, found, hit, which in _batch_hits(blocks, batch.column(place)):
                 rows = batch.slice(chunk.low, chunk.high - chunk.low)
+                if not which:
+                    yield rows
+                    continue
                 texts = rows.column(place).to_pylist()
                 for r in which:
                     texts[r] = _without(chunk, found, hit, r)

@@ -13,8 +13,9 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
-BLOCK_BYTES = 1 << 20
+#: Bytes of text handled at a time, of which the arrays of a task take some eighty times as many, and hashed at a time.
+CHUNK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 _U = np.uint64
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93

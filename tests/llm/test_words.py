@@ -1,6 +1,8 @@
 """Word arrays beside plain Python."""
 
+import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -82,3 +84,16 @@ def test_shared_hashes_beside_sets(spark, monkeypatch):
         got = {(r["key"], h) for r in X.shared_hashes(df, entries, 16, later).collect() for h in X.unpacked(r["hashes"]).tolist()}
         want = {(k, h) for h, own in owners.items() if len(own) > 1 for k in own if not later or k > min(own)}
         assert got == want
+
+
+def test_windows_of_long_columns_take_bounded_memory():
+    """Besides the column, a task holds the arrays of one chunk at a time."""
+    rng = random.Random(5)
+    texts = pa.array([" ".join(f"w{rng.randrange(10**5)}" for _ in range(1000)) for _ in range(1000)])
+    tracemalloc.start()
+    try:
+        for chunk in W.chunks(texts):
+            W.row_windows(W.find_words(chunk, W.LETTERS, W.LOWER), 10)
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
