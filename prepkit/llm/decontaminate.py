@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepkit.llm import words as W
+from prepkit.session import short_batches
 
 WINDOW = 10
 #: Windows held by a task at a time: at most about 200 bytes each.
@@ -149,6 +150,7 @@ def find_leaks(
     max_windows: int = MAX_WINDOWS,
 ) -> DataFrame:
     """``key, n_words, n_hit, items, run_start, run_end`` of each row: hit words as runs of word places."""
+    short_batches(docs.sparkSession)
     blocks = window_blocks(docs.sparkSession, item_windows(items, item_key, item_text, size), max_windows)
 
     def find(batches):
@@ -188,6 +190,7 @@ def remove_leaks(
     max_windows: int = MAX_WINDOWS,
 ) -> DataFrame:
     """``docs`` without the hit words: all rows and columns stay, a removed run leaves one space."""
+    short_batches(docs.sparkSession)
     blocks = window_blocks(docs.sparkSession, item_windows(items, item_key, item_text, size), max_windows)
     place = docs.columns.index(text)
 

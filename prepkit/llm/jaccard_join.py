@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from prepkit.llm import exchange as X
 from prepkit.llm import words as W
 from prepkit.llm.components import components, joined
-from prepkit.session import pin, small_side, temporary_tables, unpin
+from prepkit.session import pin, short_batches, small_side, temporary_tables, unpin
 
 SHINGLE = 5
 #: Similarity as a fraction.
@@ -470,6 +470,7 @@ def _components(docs: DataFrame, key: str, text: str, nodes: DataFrame, members:
 
 def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_shingles, component_id`` of every row; a component's id is its smallest key."""
+    short_batches(docs.sparkSession)
     with temporary_tables(docs.sparkSession) as kept:
         stored = pin(_sets(docs, key, text, common_shingles(docs, text)), "sets")
         base = pin(stored.select("key", "n", "node"), "base")

@@ -26,10 +26,13 @@ from pyspark.sql import functions as F
 
 from prepkit.llm import words as W
 from prepkit.llm.exchange import is_in
+from prepkit.session import short_batches
 
 MAX_LENGTH, END_ID = 2048, 1
 #: Words remembered by a task (and eight times as many ids); beyond, remembering starts anew. Words in one call.
 REMEMBERED, AT_ONCE = 400_000, 1000
+#: Bytes of text encoded at a time.
+CHUNK_BYTES = 1 << 18
 
 
 def pieces(total: int, longest: int = MAX_LENGTH) -> list[int]:
@@ -184,6 +187,7 @@ def pack(
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest length must be a power of two")
+    short_batches(docs.sparkSession)
     spec = Path(tokenizer_path).read_text(encoding="utf-8")
     if len(spec) > 64 << 20:
         raise ValueError("a tokenizer file of over 64 MB")
@@ -195,7 +199,7 @@ def pack(
     def cut(batches):
         encoder = WordIds(spec, ends)
         for batch in batches:
-            for chunk in W.chunks(batch.column(1)):
+            for chunk in W.chunks(batch.column(1), CHUNK_BYTES):
                 flat, begin = encoder.rows(chunk)
                 rows, starts, lengths, sums, totals, values = [], [], [], [], [], []
                 for r in range(len(begin) - 1):

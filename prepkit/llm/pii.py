@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prepkit.session import pin
+from prepkit.session import pin, short_batches
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "ssn", "masked_email")
@@ -246,6 +246,7 @@ _ARROW = ("string", "int32", "int32", "bool", "int32")
 
 def _proposals(docs: DataFrame, text: str, carried: Sequence[str]) -> DataFrame:
     """``row`` (the carried columns) and ``spans`` of every row, as a stored table."""
+    short_batches(docs.sparkSession)
     cells = docs.select(F.struct(*carried).alias("row"), F.col(text).alias("text"))
 
     def find(batches):
@@ -279,6 +280,7 @@ def mask_personal(docs: DataFrame, text: str = "text", accept: float = ACCEPT) -
 
     Texts are read twice, for the votes and to be masked, and stored nowhere.
     """
+    short_batches(docs.sparkSession)
     place = docs.columns.index(text)
 
     def count(batches):

@@ -5,12 +5,16 @@ import re
 
 import corpus_pipeline
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import test_jaccard
 import test_pii
 import test_quality
 import test_text_search
 from helpers import SCHEMA, empty, table, with_clashes, words
+from prepkit.llm import decontaminate, jaccard_join, packing, pii
+from prepkit.session import BATCH_BYTES, BATCH_SETTING
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 
@@ -134,3 +138,48 @@ def test_a_very_long_text_goes_through(spark, folder):
         docs = spark.createDataFrame(stage(spark, docs, path).collect(), docs.schema)
     left = {r["doc_id"]: r["text"] for r in docs.collect()}
     assert set(left) == {0, 1} and items[0][1] not in left[0] and len(left[0]) > 4_000_000
+
+
+@pytest.fixture
+def plain(spark):
+    """A session with Spark's own settings for Arrow."""
+    session = spark.newSession()
+    for name in (BATCH_SETTING, "spark.sql.execution.arrow.maxRecordsPerBatch"):
+        session.conf.unset(name)
+    yield session
+    spark.createDataFrame([(1,)], "a int")  # the active session is the last one that made a table
+
+
+OPERATORS = {
+    "jaccard_join": lambda docs, items: jaccard_join.keep_one(docs),
+    "decontamination": decontaminate.remove_leaks,
+    "personal_data": lambda docs, items: pii.mask_personal(docs),
+    "spans": lambda docs, items: pii.find_personal(docs),
+    "packing": lambda docs, items: packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")),
+}
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_long_rows_reach_python_a_few_megabytes_at_a_time(plain, name):
+    """An executor holds a batch on both sides, so Spark's 64 MB would be held several times by each task."""
+    items = plain.createDataFrame([], "item_id long, text string")
+    OPERATORS[name](empty(plain), items)
+    text = F.repeat(F.concat(F.col("id").cast("string"), F.lit(" ")), F.when(F.col("id") == 7, 10**6).otherwise(1000))
+    docs = plain.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            bytes_, rows = batch.nbytes, batch.num_rows
+            yield pa.RecordBatch.from_pydict({"bytes": [bytes_], "rows": [rows]})
+
+    found = docs.mapInArrow(sizes, "bytes long, rows long").collect()
+    assert sum(r["rows"] for r in found) == 3000
+    # The row that reaches the bound is the last of its batch.
+    assert sorted(r["bytes"] > BATCH_BYTES + 10_000 for r in found).count(True) <= 1
+    assert max(r["bytes"] for r in found) < 2 * BATCH_BYTES
+
+
+def test_a_bound_of_the_session_stays(plain):
+    plain.conf.set(BATCH_SETTING, "1000000")
+    packing.pack(empty(plain), public_tokenizers.path("word_bpe_49k.json"))
+    assert plain.conf.get(BATCH_SETTING) == "1000000"
