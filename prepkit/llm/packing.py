@@ -14,8 +14,11 @@ key are separate documents; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
 import zlib
+from collections.abc import Callable
 from operator import itemgetter
 from pathlib import Path
 
@@ -42,12 +45,16 @@ def pieces(total: int, longest: int = MAX_LENGTH) -> list[int]:
     return out + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
+Coded = list[tuple[np.ndarray, np.ndarray]]
+
+
 class WordIds:
     """Ids of texts by a tokenizer whose pattern never crosses white space.
 
     Words are handled as arrays of hashes. A word is cut before the stops that end it, where the pattern
     cuts it too (after a letter or digit, a run of stops is a piece of its own), and ASCII words are put in
     lower case, as the tokenizer does. Words with an angle bracket may hold special strings and stay whole.
+    Words of Latin letters are one piece each, so the model alone encodes them, without normaliser and pattern.
     """
 
     def __init__(self, spec: str, ends: np.ndarray | None = None):
@@ -57,28 +64,36 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(spec)
         self.ends = word_ends(self.tokenizer) if ends is None else ends
+        self.bare, self.simple = bare_tokenizer(self.tokenizer, self.ends)
         self._reset()
 
     def _reset(self) -> None:
         self.known, self.number, self.table = np.zeros(0, np.uint64), np.zeros(0, np.int64), _Table()
 
-    def _encode(self, texts: list[str], letters: bool) -> None:
-        """Add the ids of words; those of ``letters`` are one piece of the pattern each, so that marked ids end them."""
-        coded = [self._one_call(texts[at : at + AT_ONCE], letters) for at in range(0, len(texts), AT_ONCE)]
-        if coded:
-            self.table.add(*(np.concatenate(x) for x in zip(*coded, strict=True)))
+    def _encode(self, texts: list[str], call: Callable) -> Coded:
+        return [call(texts[at : at + AT_ONCE]) for at in range(0, len(texts), AT_ONCE)]
+
+    def _by_model(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words of simple letters, one after another, and how many each has."""
+        text = " ".join(some).lower()
+        if not text.isascii():
+            text = codecs.charmap_decode(text.encode(), "strict", _BYTE_LETTERS)[0]
+        return self._sized(self.bare, text, len(some)) or self._by_places(some)
+
+    def _by_ends(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of any letters: each is one piece of the pattern, so that marked ids end them."""
+        return self._sized(self.tokenizer, " ".join(some), len(some)) or self._by_places(some)
 
-    def _one_call(self, some: list[str], letters: bool) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words, one after another, and how many each has."""
-        text = " ".join(some)
-        if letters:
-            [found] = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-            ids = np.array(found.ids, np.uint32)
-            last = np.flatnonzero(self.ends[ids])
-            if len(last) == len(some):
-                return ids, np.diff(last, prepend=-1)
+    def _sized(self, tokenizer, text: str, n: int) -> tuple[np.ndarray, np.ndarray] | None:
+        [found] = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        last = np.flatnonzero(self.ends[ids])
+        return (ids, np.diff(last, prepend=-1)) if len(last) == n else None
+
+    def _by_places(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for all words, by the places of their ids."""
         starts = np.cumsum([0] + [len(w) + 1 for w in some[:-1]])
-        found = self.tokenizer.encode(text, add_special_tokens=False)
+        found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
         where = np.fromiter(map(itemgetter(0), found.offsets), np.int64, len(found.offsets))
         size = np.bincount(np.searchsorted(starts, where, "right") - 1, minlength=len(some))
         return np.array(found.ids, np.uint32), size
@@ -101,11 +116,16 @@ class WordIds:
         if len(fresh):
             raw, own = chunk.data.tobytes(), first[fresh]
             texts = [raw[a:b].decode() for a, b in zip(start[own].tolist(), end[own].tolist(), strict=True)]
-            texts = [t.lower() if p else t for t, p in zip(texts, plain[own].tolist(), strict=True)]
-            letters = np.fromiter(map(str.isalpha, texts), bool, len(texts))
-            for some, flag in ((np.flatnonzero(letters), True), (np.flatnonzero(~letters), False)):
-                number[fresh[some]] = len(self.table.size) + np.arange(len(some))
-                self._encode([texts[i] for i in some.tolist()], flag)
+            simple = np.fromiter((self.simple(t) is not None for t in texts), bool, len(texts))
+            rest = np.flatnonzero(~simple)
+            others = [texts[i].lower() if p else texts[i] for i, p in zip(rest.tolist(), plain[own[rest]].tolist(), strict=True)]
+            letters = np.fromiter(map(str.isalpha, others), bool, len(others))
+            coded = self._encode([texts[i] for i in np.flatnonzero(simple).tolist()], self._by_model)
+            coded += self._encode([others[i] for i in np.flatnonzero(letters).tolist()], self._by_ends)
+            coded += self._encode([others[i] for i in np.flatnonzero(~letters).tolist()], self._by_places)
+            listed = np.concatenate((np.flatnonzero(simple), rest[letters], rest[~letters]))
+            number[fresh[listed]] = len(self.table.size) + np.arange(len(listed))
+            self.table.add(*(np.concatenate(x) for x in zip(*coded, strict=True)))
             # Both are in order.
             at = np.searchsorted(self.known, each[fresh])
             self.known, self.number = np.insert(self.known, at, each[fresh]), np.insert(self.number, at, number[fresh])
@@ -125,9 +145,36 @@ def word_ends(tokenizer) -> np.ndarray:
     return ends
 
 
-_STOPS, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
-_STOPS[np.frombuffer(b".,;:!?", np.uint8)] = True
+def bare_tokenizer(tokenizer, ends: np.ndarray) -> tuple:
+    """The model of a byte-level tokenizer over words between spaces, and the match of words that need no more.
+
+    These are words of letters, ASCII or of two bytes, that come out the same by both, alone and repeated; without
+    marked ids there are none.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    bare = Tokenizer(tokenizer.model)
+    bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    letters = [c for c in map(chr, range(ord("A"), 0x250)) if c.isalpha()] if ends.any() else []
+    tried = [c * k for c in letters for k in (1, 3)]
+    want = tokenizer.encode_batch_fast(tried, add_special_tokens=False)
+    coded = [codecs.charmap_decode(t.lower().encode(), "strict", _BYTE_LETTERS)[0] for t in tried]
+    got = bare.encode_batch_fast(coded, add_special_tokens=False)
+    same = [w.ids == g.ids and ends[w.ids].sum() == 1 for w, g in zip(want, got, strict=True)]
+    good = "".join(c for c, one, three in zip(letters, same[::2], same[1::2], strict=True) if one and three)
+    return bare, re.compile(f"[{good}]+" if good else "(?!)").fullmatch
+
+
+#: Bytes as the letters that stand for them in byte-level models; white space, which is only between words, as it is.
+_BYTE_LETTERS = "".join(
+    chr(b + 0xA2) if 0x7F <= b <= 0xA0 else chr(0x143) if b == 0xAD else chr(b) for b in range(256)
+)
+#: What may end a word as a piece of its own, and what may be before it: digits and letters, among them those of two bytes that begin so.
+_STOPS, _ALNUM, _LATIN, _LATIN_LEAD = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool), 0xC3
+_STOPS[np.frombuffer(b"!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~", np.uint8)] = True
 _ALNUM[np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", np.uint8)] = True
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
 
 
 def _parts(data: np.ndarray, found: W.Words) -> tuple[np.ndarray, ...]:
@@ -135,13 +182,16 @@ def _parts(data: np.ndarray, found: W.Words) -> tuple[np.ndarray, ...]:
 
     Word ``i`` has places ``2 i`` and ``2 i + 1``; parts without characters are left out.
     """
-    body = found.end.copy()
-    while len(body):
-        more = (body - found.start > 1) & _STOPS[data[body - 1]]
-        if not more.any():
-            break
-        body -= more
-    body = np.where(_ALNUM[data[body - 1]], body, found.end) if len(body) else body
+    body, stops = found.end.copy(), _STOPS[data]
+    if len(body):
+        last = np.concatenate(([0], np.flatnonzero(~stops)))
+        some = np.flatnonzero(stops[body - 1])
+        at = last[np.searchsorted(last[1:], body[some])]
+        good = _ALNUM[data[at]] | _LATIN[data[at]] & (data[at - 1] == _LATIN_LEAD)
+        good &= at >= found.start[some]
+        body[some[good]] = at[good] + 1
+        held = np.searchsorted(found.start, np.flatnonzero(data == ord("<")), "right") - 1
+        body[held] = found.end[held]
     odd = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data >= 128) | (data == ord("<")), out=odd[1:])
     start, end = np.stack([found.start, body], 1).ravel(), np.stack([body, found.end], 1).ravel()

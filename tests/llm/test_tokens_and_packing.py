@@ -140,3 +140,38 @@ def test_letters_that_come_apart_in_lower_case():
         flat, begin = ENCODER.rows(chunk)
         for r, text in enumerate(texts):
             assert flat[begin[r] : begin[r + 1]].tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_words_of_latin_letters_need_the_model_only():
+    class Refused:
+        def __getattr__(self, name):
+            raise AssertionError(f"{name} of the whole tokenizer was asked for")
+
+    encoder = packing.WordIds(open(WORDS, encoding="utf-8").read())
+    encoder.tokenizer = Refused()
+    texts = ["Straße ÉTÉ unbelievablylongwords łódź ǅ ª", None, "resteé"]
+    for chunk in W.chunks(pa.array(texts)):
+        flat, begin = encoder.rows(chunk)
+        for r, text in enumerate(texts):
+            assert flat[begin[r] : begin[r + 1]].tolist() == LIBRARY.encode(text or "", add_special_tokens=False).ids
+    assert encoder.simple("\u00e9") and not any(map(encoder.simple, ["\u0130", "e\u0301", "a1"]))
+
+
+PIECES = ["a", "B", "1", "é", "×", "ß", "İ", "́", "$$$", "'s", "'", "&&&", "|", ">", "-", "<|endoftext|>", "<", " ", "\n", "\x1c"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=12).map("".join), max_size=4))
+def test_punctuation_is_cut_off_where_the_library_cuts(texts):
+    for chunk in W.chunks(pa.array(texts, pa.string())):
+        flat, begin = ENCODER.rows(chunk)
+        for r, text in enumerate(texts):
+            assert flat[begin[r] : begin[r + 1]].tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_ends_of_any_punctuation_are_parts_of_their_own():
+    [chunk] = W.chunks(pa.array(["word$$$ word&&& été### word $$$ <|endoftext|> a|> ×$"]))
+    start, end, *_ = packing._parts(chunk.data, W.find_words(chunk, hashed=False))
+    assert [chunk.text(a, b) for a, b in zip(start.tolist(), end.tolist(), strict=True)] == [
+        "word", "$$$", "word", "&&&", "été", "###", "word", "$$$", "<|endoftext|>", "a", "|>", "×$"
+    ]
