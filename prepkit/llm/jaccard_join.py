@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prepkit.llm import exchange as X
@@ -53,6 +53,8 @@ WORTH = 50
 SALTS = 16
 #: Points joined at a time, and boxes or points in a box.
 BLOCK, FAN = 2048, 8
+#: Points handed on at a time.
+HANDED = 256
 
 _U = np.uint64
 
@@ -352,12 +354,42 @@ def tree_pairs(
         yield i, j, over
 
 
+def _groups_held(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows of one leader and pair of blocks at a time."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and row[:3] != held[0][:3]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _column(held: list[tuple], k: int) -> np.ndarray:
+    return np.array([r[k] for r in held], np.int64)
+
+
+def _held_pairs(held: list[tuple], nearest: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``tree_pairs`` of the rows ``leader, p, q, block, node, component, n, point, trees`` of a group."""
+    component = _column(held, 5)
+    if (component != component[0]).any():
+        cells = [np.frombuffer(r[7], np.uint8) for r in held]
+        yield from tree_pairs(_column(held, 6), component, cells, _column(held, 3), nearest, [r[8] for r in held])
+
+
+def _in_groups(rows: DataFrame) -> DataFrame:
+    rows = rows.select("leader", "p", "q", "block", "node", "component", "n", "point", "trees")
+    return rows.repartition("leader", "p", "q").sortWithinPartitions("leader", "p", "q")
+
+
 def _placed(members: DataFrame, known: DataFrame, points: DataFrame) -> DataFrame:
-    """``leader, p, q, block, node, trees, n, point`` of the leaders with several components (a stored table).
+    """``leader, p, q, block, node, trees, n, point`` of the sets that may be similar to one of another component (a stored table).
 
     The trees under a leader mostly have the same members, so they are joined together; ``trees`` are those that a
     member is in. Many members are joined in pairs of blocks: each point meets every block, as one of the first
-    or of the second of the pair.
+    or of the second of the pair. Components only grow together, so a point without a possible pair has none later.
     """
     held = members.groupBy("leader", "node").agg(F.sort_array(F.collect_list("tree")).alias("trees"))
     held = pin(held.join(small_side(known), "node", "left").withColumn("component", F.coalesce("component", "node")), "held")
@@ -371,9 +403,27 @@ def _placed(members: DataFrame, known: DataFrame, points: DataFrame) -> DataFram
     )
     mixed = mixed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     mixed = mixed.select(
-        "leader", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node", "trees"
-    )
-    placed = pin(mixed.join(points, "node").select("leader", "p", "q", "block", "node", "trees", "n", "point"), "placed")
+        "leader", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "node", "component",
+        "trees",
+    )
+    rows = _in_groups(mixed.join(points, "node"))
+    names = ["leader", "p", "q", "block", "node", "trees", "n", "point"]
+    shape = rows.select(*names).schema
+    at = [rows.columns.index(name) for name in names]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+
+    def possible(batches):
+        for group in _groups_held(batches):
+            some = np.zeros(len(group), bool)
+            for i, j, _ in _held_pairs(group, nearest=False):
+                some[i] = some[j] = True
+            left = [group[k] for k in np.flatnonzero(some)]
+            for first in range(0, len(left), HANDED):
+                columns = list(zip(*left[first : first + HANDED], strict=True))
+                cells = [pa.array(columns[k], kind) for k, kind in zip(at, types, strict=True)]
+                yield pa.RecordBatch.from_arrays(cells, names)
+
+    placed = pin(rows.mapInArrow(possible, shape), "placed")
     unpin(held)
     return placed
 
@@ -384,33 +434,17 @@ def _candidates(placed: DataFrame, known: DataFrame, nearest: bool) -> DataFrame
     With ``nearest``, of two components only the pair whose bound is best.
     """
     rows = placed.join(small_side(known), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = rows.select("leader", "p", "q", "block", "node", "component", "n", "point", "trees")
-    rows = rows.repartition("leader", "p", "q").sortWithinPartitions("leader", "p", "q")
 
     def join(batches):
-        held: list[tuple] = []
-
-        def flush():
-            column = lambda k: np.array([r[k] for r in held], np.int64)
-            node, component = column(4), column(5)
-            if (component != component[0]).any():
-                cells = [np.frombuffer(r[7], np.uint8) for r in held]
-                for i, j, over in tree_pairs(column(6), component, cells, column(3), nearest, [r[8] for r in held]):
-                    swap = node[i] > node[j]
-                    i, j = np.where(swap, j, i), np.where(swap, i, j)
-                    columns = (node[i], node[j], np.minimum(component[i], component[j]), np.maximum(component[i], component[j]), over)
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "low", "high", "over"])
-            held.clear()
-
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and row[:3] != held[0][:3]:
-                    yield from flush()
-                held.append(row)
-        if held:
-            yield from flush()
-
-    found = rows.mapInArrow(join, "a long, b long, low long, high long, over double")
+        for held in _groups_held(batches):
+            node, component = _column(held, 4), _column(held, 5)
+            for i, j, over in _held_pairs(held, nearest):
+                swap = node[i] > node[j]
+                i, j = np.where(swap, j, i), np.where(swap, i, j)
+                columns = (node[i], node[j], np.minimum(component[i], component[j]), np.maximum(component[i], component[j]), over)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "low", "high", "over"])
+
+    found = _in_groups(rows).mapInArrow(join, "a long, b long, low long, high long, over double")
     if nearest:
         best = F.max_by(F.struct("a", "b"), F.struct("over", "a", "b")).alias("best")
         return pin(found.groupBy("low", "high").agg(best).select("best.*"), "pairs")
@@ -427,27 +461,46 @@ def _round(placed: DataFrame, known: DataFrame, sets: DataFrame, nearest: bool)
     return after, n, tried
 
 
-def _trees(nodes: DataFrame, first: DataFrame, ranges: int) -> DataFrame:
-    """``tree, node, leader``: members of the trees (a stored table), and the smallest of each tree."""
+def _met(nodes: DataFrame, first: DataFrame, ranges: int) -> DataFrame:
+    """``tree, node``: sets that have enough of their first shingles in common with others (a stored table)."""
     shared = X.shared_hashes(first, _first_entries, ranges)
+    enough = shared.withColumnRenamed("key", "node").join(nodes.select("node", "n"), "node")
+    return pin(_members(enough.where(F.octet_length("hashes") >= 8 * _needed()).select("node", "hashes")), "members")
+
+
+def _trees(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """``tree, node, leader``: members of the trees (a stored table), and the smallest of each tree."""
     counts = nodes.select("node", "n")
-    enough = shared.withColumnRenamed("key", "node").join(counts, "node")
-    enough = enough.where(F.octet_length("hashes") >= 8 * _needed()).select("node", "hashes")
-    members = pin(_members(enough), "members")
     # Sets that had too few trees have left trees with one member, and so on; once more is worth it.
-    several = members.join(members.groupBy("tree").count().where("count > 1").select("tree"), "tree")
+    several = pin(members.join(members.groupBy("tree").count().where("count > 1").select("tree"), "tree"), "several")
+    unpin(members)
     enough = several.groupBy("node").count().join(counts, "node").where(F.col("count") >= _needed()).select("node")
-    several = pin(several.join(enough, "node", "left_semi"), "members")
-    lists = several.groupBy("tree").agg(
+    members = pin(several.join(enough, "node", "left_semi"), "members")
+    unpin(several)
+    lists = members.groupBy("tree").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"), F.min("node").alias("leader"),
     ).where("size > 1")
-    trees = lists.groupBy("size", "x", "y", "leader").agg(F.min("tree").alias("tree"))
-    out = pin(several.join(trees.select("tree", "leader"), "tree"), "trees")
-    unpin(members, several)
+    trees = lists.groupBy("size", "x", "y", "leader").agg(F.min("tree").alias("tree"), F.count(F.lit(1)).alias("alike"))
+    left = pin(_left(members.join(trees.select("tree", "size", "alike"), "tree"), counts), "left")
+    leaders = left.groupBy("tree").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader"))
+    out = pin(left.join(leaders.where("size > 1").select("tree", "leader"), "tree"), "trees")
+    unpin(members, left)
     return out
 
 
+def _left(members: DataFrame, counts: DataFrame) -> DataFrame:
+    """``tree, node``: the members (``tree, node, size, alike``) without the largest trees of each set.
+
+    Two similar sets have as many trees in common as either needs (``alike``: trees with these members). If each
+    leaves its largest trees, in one order for all and fewer than it needs, what either has left of their common
+    ones comes first in that order and is less than they have: they still meet in the last.
+    """
+    order = Window.partitionBy("node").orderBy(F.desc("size"), "tree").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = members.join(counts, "node").withColumn("upto", F.sum("alike").over(order))
+    return ranked.where(F.col("upto") >= _needed()).select("tree", "node")
+
+
 def _components(docs: DataFrame, key: str, text: str, nodes: DataFrame, members: DataFrame) -> DataFrame:
     """``node, component`` of the sets that have links (a stored table)."""
     wanted = pin(members.select("node").distinct(), "wanted")
@@ -483,8 +536,9 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             "nodes",
         )
         expected = stored.agg(F.sum(F.octet_length("first"))).first()[0] or 0
-        members = _trees(nodes, filled.select("node", "first"), X.range_count(docs, expected // 8))
+        members = _met(nodes, filled.select("node", "first"), X.range_count(docs, expected // 8))
         unpin(stored)
+        members = _trees(nodes, members)
         known = _components(docs, key, text, nodes, members)
         least = nodes.select("node", "least", "copies")
         named = least.join(small_side(known), "node", "left").where("copies > 1 or component is not null")

@@ -182,3 +182,58 @@ def test_components_of_chains_and_stars(spark, monkeypatch, part):
     after = joined(first, df.unionByName(spark.createDataFrame([(301, 120)], df.schema)))
     want = {i: 0 for i in range(41)} | {k: 100 for k in [*range(100, 160), 300, 301]}
     assert {r["node"]: r["component"] for r in after.collect()} == want and after.count() == len(want)
+
+
+def _sets_with_first(rng, n_sets):
+    """Sets of shingles, near copies among them, and the trees of each: first shingles that others have too."""
+    pool = rng.choice(2**62, 600, replace=False).astype(np.uint64)
+    sets = []
+    for _ in range(n_sets):
+        base = rng.choice(pool[100:], int(rng.integers(5, 160)), replace=False)
+        for _ in range(int(rng.integers(1, 4))):
+            sets.append(np.unique(np.concatenate((base[int(len(base) * rng.random() * 0.15) :], rng.choice(pool[:100], 2)))))
+    return sets
+
+
+def test_sets_that_leave_their_largest_trees_still_meet(spark):
+    sets = _sets_with_first(np.random.default_rng(3), 40)
+    holders = {}
+    for node, own in enumerate(sets):
+        for h in own[: J._first_size(len(own))].tolist():
+            holders.setdefault(h, []).append(node)
+    rows = [(h, node) for h, nodes in holders.items() if len(nodes) > 1 for node in nodes]
+    nodes = spark.createDataFrame([(k, len(s)) for k, s in enumerate(sets)], "node long, n long")
+    members = spark.createDataFrame([(h - 2**61, node) for h, node in rows], "tree long, node long")
+    found = J._trees(nodes, pin(members)).collect()
+    held = {}
+    for r in found:
+        held.setdefault(r["node"], set()).add(r["tree"])
+    similar = [
+        (a, b)
+        for a in range(len(sets))
+        for b in range(a)
+        if 5 * (n := len(np.intersect1d(sets[a], sets[b]))) >= 4 * (len(sets[a]) + len(sets[b]) - n)
+    ]
+    assert len(similar) > 20 and all(held.get(a, set()) & held.get(b, set()) for a, b in similar)
+    assert {r["tree"]: r["leader"] for r in found} == {t: min(r["node"] for r in found if r["tree"] == t) for t in {r["tree"] for r in found}}
+
+
+def chance(seed, n):
+    """Long texts that share single passages, each with a few of the others, and none of them similar."""
+    rng = random.Random(seed)
+    passages = [" ".join(words(rng, 6)) for _ in range(10 * n)]
+    return [" ".join(" ".join(words(rng, 12)) + " " + rng.choice(passages) for _ in range(25)) for _ in range(n)]
+
+
+def test_points_met_by_chance_stay_out_of_the_rounds(spark, monkeypatch):
+    placed, one = [], J._round
+
+    def noted(rows, known, sets, nearest):
+        placed.append(rows.count())
+        return one(rows, known, sets, nearest)
+
+    monkeypatch.setattr(J, "_round", noted)
+    texts = chance(8, 60)
+    got = J.link_classes(table(spark, texts)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(list(enumerate(texts)))
+    assert placed and not any(placed)
