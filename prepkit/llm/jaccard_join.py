@@ -9,13 +9,15 @@ others are verified shingle by shingle.
 No tree holds all points. Sets of a similarity of 0.8 share ``k`` of their first ``n/5 + k`` shingles in any
 common order, so there is a tree per such shingle with two or more sets, and a set with fewer than ``k``
 trees is in none; shingles that a great many documents hold come last in the order, which keeps shared
-passages out of the trees. Trees with the same members are one tree, trees with the same smallest member are
-joined together, by pairs that have a tree in common. Equal sets are one point.
+passages out of the trees. Each set then leaves its ``k - 1`` largest trees: two that share ``k`` still meet in
+one, and fewer meet by chance. Trees with the same members are one tree, trees with the same smallest member
+are joined together, by pairs that have a tree in common. Equal sets are one point.
 
 Components are formed in rounds, and boxes whose points belong to one component need no join any more.
 First each set is bounded and verified against the smallest member of its trees. Then each component is
 verified against the nearest point of another one under each leader, once for two components, until hardly a
-pair is a link; so thousands of near copies cost a few verifications each. At last all pairs between
+pair is a link; so thousands of near copies cost a few verifications each. Points that the bounds leave no
+partner after the first step are in no round. At last all pairs between
 components that the bounds leave in any tree are verified, so no link depends on the rounds. A round looks at the
 components that its links touch only. A tree of many points is joined in pairs of blocks. Texts are read
 three times: for the commonest shingles, for the points, and for the whole sets of one document of each point
